@@ -137,7 +137,7 @@ def require_format(version: Column) -> Column:
 
 def key_namespace(key: Column) -> Column:
     """Text before the last slash, empty when there is none."""
-    return F.regexp_extract(key, r"^(.*)/([^/]*)$", 1)
+    return F.left(key, F.greatest(F.length(key) - F.length(leaf(key)) - 1, F.lit(0)))
 
 
 def key_field(key: Column) -> Column:
