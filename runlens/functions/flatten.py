@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 FIELDS_TYPE = "array<struct<field:string,value:array<float>,scalar:boolean>>"
 Flattener = Callable[[Column], Column]
-MAX_DEPTH = 8
+# Deeper messages are reported as failed, never cut silently.
+MAX_DEPTH = 6
 
 
 def _entry(field: Column, value: Column, scalar: Column) -> Column:
@@ -88,47 +89,80 @@ _NUMERIC = "^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
 _NUMERIC_LIST = r"^ARRAY<(BIGINT|DECIMAL\([0-9]+,[0-9]+\)|DOUBLE|FLOAT)>$"
 
 
-def _walk(node: Column, prefix: Column, depth: int) -> Column:
-    """Entries below an object; strings, nulls and object lists are left out."""
-    members = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
+def _children(parent: Column) -> Column:
+    """Members of an object node; names starting with ``_`` are private."""
+    members = F.map_entries(F.try_variant_get(parent["node"], "$", "map<string,variant>"))
     visible = F.filter(members, lambda m: ~m["key"].startswith("_"))
+    return F.transform(
+        visible,
+        lambda m: F.struct(
+            F.concat_ws(".", parent["path"], m["key"]).alias("path"),
+            m["value"].alias("node"),
+            F.schema_of_variant(m["value"]).alias("kind"),
+        ),
+    )
+
+
+def _walk(parent: Column, depth: int) -> Column:
+    """Entries below a node; strings, nulls and object lists are left out.
+
+    Each level works on a lambda variable, so the expression grows by the same
+    amount per level.
+    """
+
+    def leaf_or_branch(n: Column) -> Column:
+        here = _leaf(n["path"], n["node"], n["kind"])
+        if depth <= 1:
+            too_deep = F.array(_entry(n["path"], F.lit(None), F.lit(False)))
+            below = F.when(n["kind"] == "OBJECT<>", F.array().cast(FIELDS_TYPE)).otherwise(too_deep)
+        else:
+            below = _walk(n, depth - 1)
+        return F.when(n["kind"].startswith("OBJECT"), below).otherwise(here)
+
+    return F.flatten(F.transform(_children(parent), leaf_or_branch))
+
 
-    def leaf_or_branch(m: Column) -> Column:
-        v = m["value"]
-        kind = F.schema_of_variant(v)
-        path = F.when(prefix == "", m["key"]).otherwise(F.concat(prefix, F.lit("."), m["key"]))
-        single = F.when(
+def _leaf(path: Column, node: Column, kind: Column) -> Column:
+    return (
+        F.when(
             kind.rlike(_NUMERIC),
-            F.array(_entry(path, F.array(F.try_variant_get(v, "$", "double")), F.lit(True))),
+            F.array(_entry(path, F.array(F.try_variant_get(node, "$", "double")), F.lit(True))),
         )
-        many = F.when(
+        .when(
             kind.rlike(_NUMERIC_LIST),
-            F.array(_entry(path, F.try_variant_get(v, "$", "array<double>"), F.lit(False))),
+            F.array(_entry(path, F.try_variant_get(node, "$", "array<double>"), F.lit(False))),
         )
-        here = F.coalesce(single, many, F.array().cast(FIELDS_TYPE))
-        if depth <= 1:
-            return here
-        return F.when(kind.startswith("OBJECT"), _walk(v, path, depth - 1)).otherwise(here)
-
-    return F.coalesce(
-        F.flatten(F.transform(visible, leaf_or_branch)), F.array().cast(FIELDS_TYPE)
+        .otherwise(F.array().cast(FIELDS_TYPE))
     )
 
 
 def generic(msg: Column, depth: int = MAX_DEPTH) -> Column:
     """Every numeric leaf of any message, under its dotted path."""
-    kind = F.schema_of_variant(msg)
-    bare = F.when(
-        kind.rlike(_NUMERIC),
-        F.array(_entry(F.lit("value"), F.array(F.try_variant_get(msg, "$", "double")), F.lit(True))),
-    ).when(
-        kind.rlike(_NUMERIC_LIST),
-        F.array(_entry(F.lit("value"), F.try_variant_get(msg, "$", "array<double>"), F.lit(False))),
+    root = F.array(
+        F.struct(
+            F.lit(None).cast("string").alias("path"),
+            msg.alias("node"),
+            F.schema_of_variant(msg).alias("kind"),
+        )
     )
-    return F.struct(
-        F.coalesce(bare, _walk(msg, F.lit(""), depth)).cast(FIELDS_TYPE).alias("fields"),
-        F.lit(None).cast("string").alias("failed"),
+    found = F.flatten(
+        F.transform(
+            root,
+            lambda r: F.when(r["kind"].startswith("OBJECT"), _walk(r, depth)).otherwise(
+                _leaf(F.lit("value"), r["node"], r["kind"])
+            ),
+        )
     )
+    found = F.coalesce(found, F.array().cast(FIELDS_TYPE)).cast(FIELDS_TYPE)
+
+    def finish(fields: Column) -> Column:
+        deep = F.exists(fields, lambda e: e["value"].isNull())
+        return F.struct(
+            F.when(deep, F.array().cast(FIELDS_TYPE)).otherwise(fields).alias("fields"),
+            F.when(deep, F.lit(f"nested deeper than {depth} levels")).alias("failed"),
+        )
+
+    return F.element_at(F.transform(F.array(found), finish), 1)
 
 
 imu = _vectors(
