@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("evaluation", "recordings")
+MODULES = ("evaluation", "recordings", "rules")
 
 
 def load():

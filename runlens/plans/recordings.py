@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from runlens.functions import flatten as fl
 from runlens.functions.classify import classify_topic
@@ -14,7 +13,9 @@ from runlens.plans import bindings as B
 from runlens.plans.registry import query
 from runlens.sources import recordings as rec
 
-_COUNT = F.count(F.lit(1)).alias("n")
+def _count() -> Column:
+    return F.count(F.lit(1)).alias("n")
+
 
 _SLOT_SQL = """CASE WHEN msgtype IN ('sensor_msgs/msg/Image', 'sensor_msgs/msg/CompressedImage') THEN 'video'
   WHEN msgtype IN ('geometry_msgs/msg/Twist', 'geometry_msgs/msg/TwistStamped', 'geometry_msgs/msg/Wrench',
@@ -35,7 +36,7 @@ def classify_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         msgs.withColumn("c", classify_topic(F.col("topic"), F.col("msgtype")))
         .groupBy("topic", "msgtype", "c.slot", "c.reason")
-        .agg(_COUNT)
+        .agg(_count())
     )
 
 
@@ -116,7 +117,7 @@ _STEADY_SQL = f"""{B.FIELDS_SQL},
 def pack_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = pack.pack_messages(pack.stored_flat_messages(B.messages(spark, sf_dir)))
     return samples.groupBy("episode_id", "slot", "key").agg(
-        _COUNT,
+        _count(),
         F.max("step").alias("last_step"),
         F.max("t_ns").alias("last_t_ns"),
         F.round(F.sum(F.col("value")[0].cast("double")), 3).alias("total"),
@@ -273,11 +274,10 @@ def camera_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ── flattening ───────────────────────────────────────────────────────
 
-_FLAT_TOTALS = (
-    _COUNT,
-    F.max(F.size("value")).alias("width"),
-    F.round(F.sum(F.aggregate(F.col("value").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)), 3).alias("total"),
-)
+def _total() -> Column:
+    """Sum of all numbers of ``value``."""
+    return F.aggregate(F.col("value").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+
 
 
 @query(
@@ -290,7 +290,11 @@ def flatten_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = pack.flat_messages(B.messages(spark, sf_dir))
     # The outer form adds no size filter, which would flatten every message twice.
     long = flat.select("msgtype", F.inline_outer("fields")).where(F.col("field").isNotNull())
-    return long.groupBy("msgtype", "field").agg(*_FLAT_TOTALS)
+    return long.groupBy("msgtype", "field").agg(
+        _count(),
+        F.max(F.size("value")).alias("width"),
+        F.round(F.sum(_total()), 3).alias("total"),
+    )
 
 
 @query(
@@ -308,16 +312,15 @@ def flatten_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"grip":'), props, F.lit(',"name":"x","none":null,"_private":5,"on":true,"deep":{"a":{"b":'), v,
         F.lit('}},"list":['), v, F.lit(',2],"parts":[{"x":1}],'), F.substring_index(props, "{", -1),
     )
-    flat = B.events(spark, sf_dir).select(fl.generic(F.parse_json(body))["fields"].alias("fields"))
+    parsed = B.events(spark, sf_dir).select(F.parse_json(body).alias("payload"))
+    flat = parsed.select(fl.generic(F.col("payload"))["fields"].alias("fields"))
     return (
         flat.select(F.inline_outer("fields"))
         .where(F.col("field").isNotNull())
         .groupBy("field")
         .agg(
-            _COUNT,
-            F.round(
-                F.sum(F.aggregate(F.col("value").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)), 3
-            ).alias("total"),
+            _count(),
+            F.round(F.sum(_total()), 3).alias("total"),
         )
     )
 
@@ -343,13 +346,14 @@ def _flatten_query(name: str, cases: list[tuple[str, str, list[tuple[str, int, i
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ev = B.cases(spark, sf_dir, inputs, "msgtype, template", n)
         body = F.parse_json(F.replace(F.col("template"), F.lit("@"), F.col("value").cast("string")))
-        flat = ev.withColumn("f", fl.flatten_message(F.col("msgtype"), body))
+        # A column of its own: inside the flattener it would be parsed per field.
+        parsed = ev.select("msgtype", body.alias("payload"))
+        flat = parsed.withColumn("f", fl.flatten_message(F.col("msgtype"), F.col("payload")))
         long = flat.select("msgtype", "f.failed", F.inline_outer("f.fields"))
-        total = F.aggregate(F.col("value").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
         return (
             long.withColumn("width", F.when(F.col("value").isNotNull(), F.size("value")))
             .groupBy("msgtype", "field", "width", "failed")
-            .agg(_COUNT, F.round(F.sum(total), 3).alias("total"))
+            .agg(_count(), F.round(F.sum(_total()), 3).alias("total"))
         )
 
     query(name, oracle)(run)
@@ -482,11 +486,6 @@ def rollout_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("total_reward", F.round("total_reward", 4)).withColumn("duration_s", F.round("duration_s", 6))
 
 
-_SPACE = T.StructType.fromDDL(
-    "pose STRUCT<xyz: ARRAY<DOUBLE>, grid: ARRAY<ARRAY<DOUBLE>>>, mode INT, pair STRUCT<_1: DOUBLE, _2: ARRAY<INT>>"
-)
-
-
 @query(
     "flatten_space",
     """SELECT l_suppkey, key, count(*) AS n, round(sum(x), 2) AS total FROM (
@@ -505,10 +504,9 @@ def flatten_space(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(q.alias("_1"), F.array(n, n).alias("_2")).alias("pair"),
     )
     rows = B.table(spark, sf_dir, "lineitem").select("l_suppkey", value.alias("obs"))
-    keyed = fl.flatten_space(F.col("obs"), _SPACE, "observation")
+    keyed = fl.flatten_space(F.col("obs"), rows.schema["obs"].dataType, "observation")
     long = rows.select(
         "l_suppkey",
         F.inline(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in keyed])),
     )
-    total = F.aggregate(F.col("value").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
-    return long.groupBy("l_suppkey", "key").agg(_COUNT, F.round(F.sum(total), 2).alias("total"))
+    return long.groupBy("l_suppkey", "key").agg(_count(), F.round(F.sum(_total()), 2).alias("total"))
