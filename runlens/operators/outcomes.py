@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runlens.functions.classify import classify_dataset
 from runlens.operators.ordering import salted_join
 
 DEFAULT_MAX_STEPS = 10_000
@@ -29,28 +30,37 @@ def frame_outcomes(
 def demo_outcomes(datasets: DataFrame, keys: Sequence[str] = ("path", "demo")) -> DataFrame:
     """Last element per outcome leaf, and the reward sum, of demonstrations.
 
-    ``datasets`` is ``(…keys, name, data ARRAY<DOUBLE>)`` holding the outcome
-    datasets with values in row order; a later name wins for the same leaf.
+    ``datasets`` comes in row blocks ``(…keys, name, row_start, data)``. Blocks
+    are reduced to one number each before the shuffle; a later name wins when
+    two datasets share a leaf.
     """
     leaf = F.substring_index("name", "/", -1)
-    known = datasets.where(F.size("data") > 0).select(
+    slot = classify_dataset(F.col("name"))["slot"]
+    blocks = datasets.where((slot == "episode_meta") & (F.size("data") > 0)).select(
         *keys,
         "name",
         leaf.alias("leaf"),
+        "row_start",
         F.element_at("data", -1).alias("last"),
-        F.when(
-            leaf.isin("reward", "rewards"),
-            F.aggregate("data", F.lit(0.0), lambda acc, x: acc + x),
-        ).alias("total"),
+        F.aggregate("data", F.lit(0.0), lambda acc, x: acc + x).alias("total"),
     )
-    per_leaf = known.groupBy(*keys, "leaf").agg(F.max_by("last", "name").alias("last"))
-    sums = known.groupBy(*keys).agg(
-        F.max_by("total", F.when(F.col("total").isNotNull(), F.col("name"))).alias("reward_sum")
+    per_name = blocks.groupBy(*keys, "leaf", "name").agg(
+        F.max_by("last", "row_start").alias("last"), F.sum("total").alias("total")
     )
-    lasts = per_leaf.groupBy(*keys).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("leaf", "last")))).alias("outcome")
+    rewarded = F.when(F.col("leaf").isin("reward", "rewards"), F.col("name"))
+    last = F.struct("name", "leaf", "last")
+    # The number of outcome leaves of one trajectory is small and fixed by name.
+    gathered = per_name.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(last)).alias("leaves"), F.max_by("total", rewarded).alias("reward_sum")
+    )
+    latest = F.filter(
+        "leaves", lambda e: ~F.exists("leaves", lambda o: (o["leaf"] == e["leaf"]) & (o["name"] > e["name"]))
+    )
+    return gathered.select(
+        *keys,
+        F.map_from_entries(F.transform(latest, lambda e: F.struct(e["leaf"], e["last"]))).alias("outcome"),
+        "reward_sum",
     )
-    return lasts.join(sums, list(keys))
 
 
 def rollout_totals(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("evaluation", "recordings", "rules")
+MODULES = ("evaluation", "recordings", "rules", "datasets")
 
 
 def load():
