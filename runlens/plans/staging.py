@@ -52,7 +52,8 @@ def frames_by_file(frames: DataFrame, root: str) -> None:
         if writer is not None:
             writer.close()
             sink.close()
-        yield pd.DataFrame({"path": done, "rows": [0] * len(done)})
+        if done:
+            yield pd.DataFrame({"path": done, "rows": [0] * len(done)})
 
     sorted_frames = frames.repartition("episode_index").sortWithinPartitions("episode_index", "frame_index")
     # Pandas functions cannot take column names with dots.
