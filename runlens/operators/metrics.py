@@ -91,68 +91,50 @@ def action_l2(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
 
 
 def action_stats(baseline: DataFrame) -> DataFrame:
-    """Mean and deviation vectors per key: ``(episode_id, stats MAP)``."""
+    """``(episode_id, key, mean ARRAY, std ARRAY)`` of keys with enough rows."""
     dims = action_keys(baseline).select(
         "episode_id", "key", F.posexplode(F.col("value").cast("array<double>")).alias("dim", "x")
     )
     per_dim = dims.groupBy("episode_id", "key", "dim").agg(
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")
     )
+    floored = F.when(F.col("std") < STD_FLOOR, 1.0).otherwise(F.col("std"))
     per_key = (
         per_dim.where(F.col("n") >= MIN_BASELINE_ROWS)
-        .withColumn("std", F.when(F.col("std") < STD_FLOOR, 1.0).otherwise(F.col("std")))
         .groupBy("episode_id", "key")
-        .agg(F.sort_array(F.collect_list(F.struct("dim", "mean", "std"))).alias("dims"))
-        .select(
-            "episode_id",
-            F.struct("key", F.col("dims.mean").alias("mean"), F.col("dims.std").alias("std")).alias("kv"),
-        )
+        .agg(F.sort_array(F.collect_list(F.struct("dim", "mean", floored.alias("std")))).alias("dims"))
+    )
+    return per_key.select(
+        "episode_id", "key", F.col("dims.mean").alias("mean"), F.col("dims.std").alias("std")
     )
-    return per_key.groupBy("episode_id").agg(F.collect_list("kv").alias("stats"))
-
-
-def _step_outlier(stats: Column, cand: Column) -> Column:
-    """NULL when no measured key has a value at this step, else max |z| > limit."""
-
-    def worst(e: Column) -> Column:
-        v = F.try_element_at(cand, e["key"])
-        scaled = F.transform(
-            F.arrays_zip(v.alias("v"), e["mean"].alias("m"), e["std"].alias("s")),
-            lambda t: F.abs((t["v"] - t["m"]) / t["s"]),
-        )
-        # One NaN makes the whole key count as zero.
-        usable = (F.size(v) == F.size(e["mean"])) & ~F.exists(scaled, lambda z: F.isnan(z))
-        return F.when(v.isNull(), None).when(usable, F.array_max(scaled)).otherwise(0.0)
-
-    z = F.array_max(F.filter(F.transform(stats, worst), lambda x: x.isNotNull()))
-    return F.when(z.isNotNull(), z > Z_LIMIT)
 
 
-def _candidate_by_step(candidate: DataFrame) -> DataFrame:
-    return candidate.groupBy("episode_id", "step").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("key", F.col("value").cast("array<double>")))
-        ).alias("cand")
-    )
+def _largest_z(value: Column, mean: Column, std: Column) -> Column:
+    """Largest |z| of one vector; 0 for another width or when any z is NaN."""
+    z = F.zip_with(F.zip_with(value, mean, lambda v, m: v - m), std, lambda d, s: F.abs(d / s))
+    # NaN sorts above every number, so it is the maximum when there is one.
+    top = F.array_max(z)
+    return F.when((F.size(value) == F.size(mean)) & ~F.isnan(top), top).otherwise(0.0)
 
 
 def ood_share(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     """Share of candidate steps outside the baseline's per-key distribution.
 
-    Every candidate step counts, paired or not; episodes without enough
-    baseline rows or without a measured key give NULL.
+    Every candidate step with a value for a measured key counts, paired or not;
+    episodes without enough baseline rows or without such a step give NULL.
     """
     stats = action_stats(baseline)
-    steps = _candidate_by_step(candidate)
-    flagged = salted_join(steps, stats, ["episode_id"], F.col("step"), how="inner").select(
-        "episode_id", _step_outlier(F.col("stats"), F.col("cand")).alias("out")
-    )
-    share = flagged.groupBy("episode_id").agg(
-        (F.count_if("out") / F.nullif(F.count("out"), F.lit(0))).alias("ood_share")
+    given = candidate.where(F.col("value").isNotNull()).select(
+        "episode_id", "key", "step", F.col("value").cast("array<double>").alias("value")
     )
-    known = (
-        baseline.select("episode_id").union(candidate.select("episode_id")).distinct()
+    scored = salted_join(given, stats, ["episode_id", "key"], F.col("step"))
+    share = (
+        scored.groupBy("episode_id", "step")
+        .agg(F.max(_largest_z(F.col("value"), F.col("mean"), F.col("std"))).alias("z"))
+        .groupBy("episode_id")
+        .agg(F.avg((F.col("z") > Z_LIMIT).cast("double")).alias("ood_share"))
     )
+    known = baseline.select("episode_id").union(candidate.select("episode_id")).distinct()
     return known.join(share, "episode_id", "left")
 
 

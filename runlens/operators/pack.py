@@ -13,7 +13,7 @@ from runlens.functions.flatten import Flattener, flatten_message
 from runlens.functions.scalars import seconds_to_ns, synthetic_ns
 from runlens.operators import quality
 from runlens.operators.ordering import number_rows, salted_join
-from runlens.session import materialize
+from runlens.session import materialize, spread_small
 
 KEY = ["recording_id", "topic"]
 
@@ -45,7 +45,8 @@ def stored_flat_messages(
     Packing and its notes read the flat rows several times; parsing every
     payload again for each of them would cost far more than the write.
     """
-    return materialize(flat_messages(messages, custom), "flat")
+    spread = spread_small(messages, *KEY, "seq")
+    return materialize(flat_messages(spread, custom), "flat")
 
 
 def flat_messages(messages: DataFrame, custom: Mapping[str, Flattener] | None = None) -> DataFrame:

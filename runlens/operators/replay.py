@@ -6,12 +6,14 @@ import json
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.outcome import extract_outcome, mirror_outcome
 from runlens.operators import metrics
+from runlens.operators.ordering import salted_join
 from runlens.session import materialize
 
 Policy = Callable[[dict[str, Any]], Mapping[str, Any]]
@@ -20,26 +22,57 @@ SENTINEL = "_outcome"
 _ACTIONS = "ARRAY<STRUCT<key: STRING, value: ARRAY<DOUBLE>>>"
 
 
-def _act(policy: Policy, keys, values) -> tuple[list | None, str | None, str | None]:
+def _act(policy: Policy, obs: dict[str, Any]) -> tuple[list | None, str | None, str | None]:
     """One step: (actions, sentinel JSON, error)."""
-    import numpy as np
-
     try:
-        action = policy(dict(zip(keys, values, strict=True)))
+        action = policy(obs)
         if not isinstance(action, Mapping):
             raise TypeError(f"a policy must return a mapping, got {type(action).__name__}")
         told = action.get(SENTINEL)
-        rows = []
-        for key, value in action.items():
-            if key == SENTINEL:
-                continue
-            flat = None if value is None else np.asarray(value, dtype="float64").ravel().tolist()
-            rows.append({"key": str(key), "value": flat})
+        rows = [
+            (str(key), None if value is None else np.asarray(value, dtype="float64").ravel())
+            for key, value in action.items()
+            if key != SENTINEL
+        ]
         return rows, json.dumps(dict(told)) if isinstance(told, Mapping) else None, None
     except Exception as exc:  # noqa: BLE001 - a failing policy fails its episode only
         return None, None, f"{type(exc).__name__}: {exc}"
 
 
+def _observations(column: pa.MapArray) -> Iterator[dict[str, Any]]:
+    """Maps of a batch with array values as views of its buffers."""
+    keys, items = column.keys.to_pylist(), column.items
+    flat, ends = items.values.to_numpy(zero_copy_only=False), items.offsets.to_numpy()
+    given = items.is_valid().to_pylist() if items.null_count else None
+    bounds = column.offsets.to_numpy()
+    for i in range(len(column)):
+        yield {
+            keys[j]: flat[ends[j] : ends[j + 1]] if given is None or given[j] else None
+            for j in range(bounds[i], bounds[i + 1])
+        }
+
+
+def _answers(ids: pa.Array, steps: pa.Array, out: list) -> pa.RecordBatch:
+    """Policy answers of a batch as Arrow columns."""
+    pairs = [pair for rows, _, _ in out for pair in rows or ()]
+    sizes = [0 if rows is None else len(rows) for rows, _, _ in out]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype("int32"))
+    values = pa.array([v for _, v in pairs], pa.list_(pa.float64()))
+    actions = pa.ListArray.from_arrays(
+        offsets, pa.StructArray.from_arrays([pa.array([k for k, _ in pairs], pa.string()), values], ["key", "value"])
+    )
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            steps,
+            actions,
+            pa.array([o[1] for o in out], pa.string()),
+            pa.array([o[2] for o in out], pa.string()),
+        ],
+        ["episode_id", "step", "actions", "sentinel", "error"],
+    )
+
+
 def replay(
     observations: DataFrame,
     policy: Policy | None = None,
@@ -59,46 +92,30 @@ def replay(
     schema = (
         f"episode_id {id_type}, step BIGINT, actions {_ACTIONS}, sentinel STRING, error STRING"
     )
-    rows = observations.select(
-        "episode_id",
-        "step",
-        F.map_keys("obs").alias("keys"),
-        F.map_values("obs").alias("vals"),
-    )
+    rows = observations.select("episode_id", "step", "obs")
 
-    def stateless(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [_act(policy, k, v) for k, v in zip(pdf["keys"], pdf["vals"], strict=True)]
-            yield _frame(pdf["episode_id"], pdf["step"], out)
+    def stateless(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [_act(policy, obs) for obs in _observations(batch.column("obs"))]
+            yield _answers(batch.column("episode_id"), batch.column("step"), out)
 
-    def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, live, broken = object(), None, False
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for ep, k, v in zip(pdf["episode_id"], pdf["keys"], pdf["vals"], strict=True):
+            ids = batch.column("episode_id")
+            for ep, obs in zip(ids.to_pylist(), _observations(batch.column("obs")), strict=True):
                 if ep != current:
                     current, live, broken = ep, policy_factory(), False
-                result = (None, None, None) if broken else _act(live, k, v)
+                result = (None, None, None) if broken else _act(live, obs)
                 broken = broken or result[2] is not None
                 out.append(result)
-            yield _frame(pdf["episode_id"], pdf["step"], out)
+            yield _answers(ids, batch.column("step"), out)
 
     if policy is not None:
-        return rows.mapInPandas(stateless, schema)
+        return rows.mapInArrow(stateless, schema)
     by_episode = rows.repartition("episode_id").sortWithinPartitions("episode_id", "step")
-    return by_episode.mapInPandas(ordered, schema)
-
-
-def _frame(episode_id, step, out) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "episode_id": episode_id,
-            "step": step,
-            "actions": [o[0] for o in out],
-            "sentinel": [o[1] for o in out],
-            "error": [o[2] for o in out],
-        }
-    )
+    return by_episode.mapInArrow(ordered, schema)
 
 
 def candidate_samples(played: DataFrame) -> DataFrame:
@@ -133,10 +150,14 @@ def evaluate(
     sees the same answers even from a policy that is not deterministic.
     """
     wanted = plan.select(F.col("baseline_episode_id").alias("episode_id")).distinct()
-    observed = metrics.materialize_steps(sensors.join(wanted, "episode_id", "left_semi"))
+
+    def asked_for(series: DataFrame) -> DataFrame:
+        return salted_join(series, wanted, ["episode_id"], F.col("step"), how="left_semi")
+
+    observed = metrics.materialize_steps(asked_for(sensors))
     played = materialize(replay(observed, policy, policy_factory), "replay")
     cand = candidate_samples(played)
-    base = actions.join(wanted, "episode_id", "left_semi")
+    base = asked_for(actions)
     told = metadata.select(
         F.col("episode_id").alias("_m"), extract_outcome(F.col("metadata"), extended_sources).alias("b")
     )

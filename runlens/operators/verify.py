@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions.scalars import number_text
 from runlens.operators.ordering import salted_join
+from runlens.session import materialize
 
 # name, baseline expression, candidate expression, whether higher is better
 # (NULL: only one value exists per row, so there is no direction).
@@ -115,12 +116,25 @@ def scenario_of_baseline(scenarios: DataFrame, pos: str) -> DataFrame:
 
 def scenario_results(results: DataFrame, scenarios: DataFrame, pos: str) -> DataFrame:
     """Verification rows for finished replays; unknown episodes are ignored."""
-    found = results.join(scenario_of_baseline(scenarios, pos), "baseline_episode_id")
+    found = salted_join(
+        results, scenario_of_baseline(scenarios, pos), ["baseline_episode_id"], F.xxhash64(*results.columns)
+    )
     return found.withColumn(
         "verify_status", verification_status(F.col("status"), F.col("success_candidate"))
     )
 
 
+def mirror_results(results: DataFrame, scenarios: DataFrame, pos: str, candidate: str) -> DataFrame:
+    """Results of a finished run as rows for the scenarios of its baselines."""
+    return scenario_results(results, scenarios, pos).select(
+        "scenario_id",
+        F.lit(candidate).alias("candidate_policy_version"),
+        F.col("verify_status").alias("status"),
+        "eval_run_id",
+        F.col("baseline_episode_id"),
+    )
+
+
 def record_results(results: DataFrame) -> DataFrame:
     """Fill in the status of recorded results that came without one."""
     return results.withColumn(
@@ -216,13 +230,19 @@ def run_check(
     latest = latest_status(results, order)
     todo = blockers(scenarios, latest, candidate)
     plan = todo.select(F.col(pos).alias("pos"), "baseline_episode_id")
-    fresh = scenario_results(evaluate(plan), todo, pos).select(
-        "scenario_id", F.lit(candidate).alias("candidate_policy_version"), "verify_status"
+    # Results are stored once: they are the record of the check.
+    fresh = materialize(
+        scenario_results(evaluate(plan), todo, pos).withColumn(
+            "candidate_policy_version", F.lit(candidate)
+        ),
+        "check",
     )
     if dry_run:
         after = latest
     else:
-        renewed = fresh.withColumnRenamed("verify_status", "latest_status")
+        renewed = fresh.select(
+            "scenario_id", "candidate_policy_version", F.col("verify_status").alias("latest_status")
+        )
         kept = latest.join(renewed, ["scenario_id", "candidate_policy_version"], "left_anti")
         after = kept.unionByName(renewed)
     verdict = gate_of(scenarios, after, candidate)

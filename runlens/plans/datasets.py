@@ -581,3 +581,63 @@ def outcome_h5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("outcome")["dones"].alias("dones"),
         F.round("reward_sum", 3).alias("reward_sum"),
     )
+
+
+@query(
+    "report_dataset",
+    """WITH e AS (SELECT conv_id, conv_id // 4 AS path, count(*) AS length FROM conversations GROUP BY ALL),
+    t AS (SELECT path, count(*) AS total_episodes, sum(length)::BIGINT AS total_frames FROM e GROUP BY 1),
+    f AS (SELECT DISTINCT conv_id // 4 AS path, 'observation.' || role AS name FROM conversations),
+    lines AS (
+      SELECT path, 0 AS a, 0 AS b, path || '  (v2.1, 30.0 fps)' AS line FROM t
+      UNION ALL SELECT path, 1, 0, '  episodes: ' || total_episodes || ', frames: ' || total_frames FROM t
+      UNION ALL SELECT path, 2, 0, '  cameras: observation.images.top' FROM t
+      UNION ALL SELECT path, 3, 0, '  features: ' || string_agg(name, ', ' ORDER BY name) FROM f GROUP BY path
+      UNION ALL SELECT path, 4, conv_id, '  ep ' || conv_id || ': ' || length || ' frames, task='''
+        || CASE WHEN conv_id % 2 = 0 THEN 'talk' ELSE '(no task)' END || '''' FROM e JOIN t USING (path) WHERE total_episodes <= 5)
+    SELECT path, row_number() OVER (PARTITION BY path ORDER BY a, b) - 1 AS line_no, line FROM lines""",
+)
+def report_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = B.table(spark, sf_dir, "conversations").withColumn("path", F.expr("conv_id div 4"))
+    eps = talks.groupBy("path", F.col("conv_id").alias("episode_index")).agg(F.count(F.lit(1)).alias("length"))
+    eps = eps.withColumn("task", F.when(F.col("episode_index") % 2 == 0, "talk"))
+    spoken = talks.select("path", F.concat(F.lit("observation."), F.col("role")).alias("name"))
+    fixed = talks.select(
+        "path", F.explode(F.array(F.lit("observation.images.top"), F.lit("timestamp"))).alias("name")
+    )
+    features = spoken.unionByName(fixed).distinct().withColumn(
+        "dtype", F.when(F.col("name") == "observation.images.top", "video").otherwise("float32")
+    )
+    info = eps.select("path").distinct().select(
+        "path",
+        F.lit("v2.1").alias("codebase_version"),
+        F.lit(30.0).alias("fps"),
+        F.lit(0).cast("bigint").alias("total_episodes"),
+        F.lit(None).cast("bigint").alias("total_frames"),
+    )
+    return frames.dataset_report(frames.dataset_summary(info, eps), features, eps)
+
+
+@query(
+    "report_file",
+    f"""WITH {_DEMO_SQL},
+    s AS (SELECT path, bool_or(single) AS single, count(*) AS n FROM lengths GROUP BY path)
+    SELECT path, unnest([0, 1, 2, 3, 4, 5, 6]) AS line_no,
+           unnest(CASE WHEN single THEN [path, '  layout: single', '  trajectories: ' || n, '  fps: 30.0 (assumed)', '  robot_type: real',
+             '  cameras: observations/images/top', '  datasets: action, dones, observations/images/flat, observations/images/top, observations/qpos, rewards, states']
+           ELSE [path, '  layout: robomimic', '  trajectories: ' || n, '  fps: 20.0', '  robot_type: Panda', '  env: Lift',
+             '  cameras: obs/agentview_image'] END) AS line FROM s
+    UNION ALL SELECT path, 7, '  datasets: actions, dones, obs/agentview_image, obs/depth_map, obs/robot0_eef_pos, rewards, states' FROM s WHERE NOT single""",
+)
+def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return demos.file_report(demos.file_summary(*_demo_tables(spark, sf_dir)))
+
+
+@query(
+    "h5_episodes",
+    f"""WITH {_DEMO_SQL}
+    SELECT path, demo, length, row_number() OVER (
+      PARTITION BY path ORDER BY coalesce(regexp_extract(demo, '_([0-9]+)$', 1)::BIGINT, 0), demo) - 1 AS "index" FROM lengths""",
+)
+def h5_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return demos.episode_refs(demos.trajectory_lengths(*_demo_tables(spark, sf_dir)))

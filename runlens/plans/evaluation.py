@@ -540,3 +540,20 @@ def result_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         *order,
     )
     return catalog.upsert(rows, ["eval_run_id", "baseline_episode_id"], order)
+
+
+@query(
+    "mirror_results",
+    f"""WITH {B.OUTCOME_SQL},
+    scenario AS (SELECT o_custkey AS baseline_episode_id, max(o_orderkey) AS scenario_id FROM orders GROUP BY 1)
+    SELECT scenario_id, 'next' AS candidate_policy_version, doc_id AS baseline_episode_id, doc_id % 5 AS eval_run_id,
+           CASE WHEN doc_id % 11 = 0 THEN 'error' WHEN success_candidate THEN 'pass' ELSE 'fail' END AS status
+    FROM mirrored JOIN scenario ON baseline_episode_id = doc_id""",
+)
+def mirror_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scenarios = B.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("scenario_id"),
+        F.col("o_custkey").alias("baseline_episode_id"),
+        F.col("o_orderkey").alias("pos"),
+    )
+    return verify.mirror_results(_label_results(spark, sf_dir), scenarios, "pos", "next")

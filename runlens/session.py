@@ -53,6 +53,17 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a small input over all cores before heavy per-row work.
+
+    One small file is one task, however much work each row takes. Large inputs
+    have splits enough and are left as they are.
+    """
+    if estimated_bytes(df) > SMALL_INPUT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting lineage."""
     spark = df.sparkSession

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions.classify import classify_dataset, is_camera
 from runlens.functions.scalars import demo_order, resolve_fps
+from runlens.operators.ordering import number_rows
 
 # Names that mark a single-trajectory file.
 ROOT_ACTIONS = ("action", "actions")
@@ -92,18 +93,10 @@ def trajectory_lengths(datasets: DataFrame, attrs: DataFrame) -> DataFrame:
 
 
 def episode_refs(lengths: DataFrame) -> DataFrame:
-    """Demos of a file in natural order, numbered from 0.
-
-    A file's demo list is its own metadata: one entry per demo, no data.
-    """
-    ordered = lengths.groupBy("path").agg(
-        F.sort_array(
-            F.collect_list(F.struct(demo_order(F.coalesce("demo", F.lit(""))).alias("o"), "demo", "length"))
-        ).alias("d")
-    )
-    return ordered.select("path", F.posexplode("d").alias("index", "d")).select(
-        "path", "index", "d.demo", "d.length"
-    )
+    """Demos of a file in natural order, numbered from 0."""
+    order = demo_order(F.coalesce("demo", F.lit("")))
+    keyed = lengths.withColumn("_n", order["n"]).withColumn("_key", order["key"])
+    return number_rows(keyed, ["path"], ["_n", "_key"], out="index").drop("_n", "_key")
 
 
 def file_summary(datasets: DataFrame, attrs: DataFrame, user_fps: float | None = None) -> DataFrame:

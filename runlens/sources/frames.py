@@ -6,6 +6,7 @@ A dataset root holds ``meta/info.json``, episode and task tables below
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.functions.classify import FRAME_BOOKKEEPING, format_support, require_format
-from runlens.operators.ordering import number_rows
+from runlens.operators.ordering import number_rows, salted_join
 
 FRAME_NAME = r"chunk-(\d+)/episode_(\d+)\.parquet"
 DEFAULT_CHUNK = 1000
@@ -27,39 +28,33 @@ def scan_frames_v2(spark: SparkSession, root: str, schema: T.StructType | None =
     """Frames of one file per episode, with ``episode_index`` from the path.
 
     When an episode lies in both chunkings, the directory for chunks of 1000
-    wins. The winner follows from the file listing alone: only episodes with
-    two paths are affected, so the choice is a join on file names.
+    wins. That follows from the file names Spark has listed for the scan, so
+    frames themselves need no join.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     frames = reader.parquet(f"{root}/data/chunk-*/episode_*.parquet")
+    files = frames.inputFiles()
+    kept = preferred_files(files)
+    if len(kept) < len(files):
+        frames = reader.parquet(*kept)
     path = F.col("_metadata.file_path")
-    frames = frames.select(
+    return frames.select(
         *[F.col(f"`{c}`") for c in frames.columns if c != "episode_index"],
-        F.regexp_extract(path, FRAME_NAME, 1).cast("bigint").alias("_chunk"),
         F.regexp_extract(path, FRAME_NAME, 2).cast("bigint").alias("episode_index"),
     )
-    # A file sits in its preferred chunk, or is the only one of its episode.
-    preferred = F.col("_chunk") == F.expr(f"episode_index div {DEFAULT_CHUNK}")
-    listing = (
-        spark.read.format("binaryFile")
-        .load(f"{root}/data/chunk-*/episode_*.parquet")
-        .select(
-            F.regexp_extract("path", FRAME_NAME, 1).cast("bigint").alias("_c"),
-            F.regexp_extract("path", FRAME_NAME, 2).cast("bigint").alias("episode_index"),
-        )
-    )
-    shadowed = (
-        listing.groupBy("episode_index")
-        .agg(F.max(F.col("_c") == F.expr(f"episode_index div {DEFAULT_CHUNK}")).alias("_has"))
-        .where("_has")
-        .drop("_has")
-        .withColumn("_twice", F.lit(True))
-    )
-    return (
-        frames.join(shadowed, "episode_index", "left")
-        .where(preferred | F.col("_twice").isNull())
-        .drop("_chunk", "_twice")
-    )
+
+
+def preferred_files(files: Sequence[str]) -> list[str]:
+    """One file per episode: the one in its chunk of 1000 when there are two."""
+    chosen: dict[int, str] = {}
+    for path in files:
+        found = re.search(FRAME_NAME, path)
+        if found is None:
+            continue
+        chunk, episode = int(found[1]), int(found[2])
+        if episode not in chosen or chunk == episode // DEFAULT_CHUNK:
+            chosen[episode] = path
+    return list(chosen.values())
 
 
 def scan_frames_v3(spark: SparkSession, root: str) -> DataFrame:
@@ -221,7 +216,10 @@ def with_tasks(episodes: DataFrame, tasks: DataFrame) -> DataFrame:
     ``episodes`` has ``tasks ARRAY``, ``task STRING`` and ``task_index``.
     """
     lookup = tasks.select("task_index", F.col("task").alias("_looked_up"))
-    joined = episodes.join(lookup, "task_index", "left")
+    # Most rows may have no index, or all the same one.
+    joined = salted_join(
+        episodes, lookup, ["task_index"], F.xxhash64(*episodes.columns), how="left"
+    )
     return joined.withColumn(
         "task_list",
         F.when(F.col("tasks").isNotNull(), F.col("tasks"))
@@ -286,3 +284,42 @@ def feature_text(features: DataFrame, key: str = "path", limit: int = 8) -> Data
             F.when(more > 0, F.format_string(" (+%d more)", more)).otherwise(""),
         ).alias("features"),
     )
+
+
+def dataset_report(summary: DataFrame, features: DataFrame, episodes: DataFrame, key: str = "path") -> DataFrame:
+    """Text lines per dataset; episodes are listed for datasets of at most five."""
+    cameras = camera_keys(features, key).groupBy(key).agg(
+        F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("cameras")
+    )
+    small = summary.where("total_episodes <= 5").select(key)
+    listed = (
+        episodes.join(small, key)
+        .groupBy(key)
+        .agg(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("episode_index", "length", "task"))),
+                lambda e: F.format_string(
+                    "  ep %d: %d frames, task='%s'",
+                    e["episode_index"],
+                    e["length"],
+                    F.coalesce(e["task"], F.lit("(no task)")),
+                ),
+            ).alias("eps")
+        )
+    )
+    joined = (
+        summary.join(cameras, key, "left")
+        .join(feature_text(features, key), key, "left")
+        .join(listed, key, "left")
+    )
+    head = F.format_string("%s  (%s, %s fps)", F.col(key).cast("string"), "codebase_version", F.col("fps").cast("string"))
+    lines = F.array_compact(
+        F.array(
+            head,
+            F.format_string("  episodes: %d, frames: %d", "total_episodes", "total_frames"),
+            F.concat(F.lit("  cameras: "), F.col("cameras")),
+            F.concat(F.lit("  features: "), F.col("features")),
+        )
+    )
+    every = F.concat(lines, F.coalesce("eps", F.array().cast("array<string>")))
+    return joined.select(key, F.posexplode(every).alias("line_no", "line"))
