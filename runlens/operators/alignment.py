@@ -43,23 +43,17 @@ def infer_fps(messages: DataFrame, slices: int | None = None) -> DataFrame:
 
 
 def require_camera(frames: DataFrame, camera: str) -> DataFrame:
-    """Only one camera; a recording without it fails the job."""
+    """Only one camera; a recording without it is an error before any work.
+
+    The check fetches at most one offending id.
+    """
     has = frames.groupBy("recording_id").agg(
         F.max((F.col("topic") == camera).cast("int")).alias("has")
     )
-    checked = has.select(
-        "recording_id",
-        F.when(F.col("has") == 1, True)
-        .otherwise(
-            F.raise_error(
-                F.concat(F.lit(f"no camera {camera} in "), F.col("recording_id").cast("string"))
-            )
-        )
-        .alias("ok"),
-    ).where("ok")
-    return salted_join(
-        frames, checked.drop("ok"), ["recording_id"], F.xxhash64("seq")
-    ).where(F.col("topic") == camera)
+    lacking = has.where("has = 0").select("recording_id").first()
+    if lacking is not None:
+        raise ValueError(f"no camera {camera} in recording {lacking['recording_id']}")
+    return frames.where(F.col("topic") == camera)
 
 
 def camera_frames(frames: DataFrame, slices: int | None = None) -> DataFrame:
