@@ -91,7 +91,7 @@ def message_issues(flat: DataFrame) -> DataFrame:
     topics = health.select("recording_id", slot.alias("slot"), F.col("topic").alias("item"), reason.alias("reason"))
     rows = usable_rows(flat)
     types = health.select(*KEY, slot.alias("slot"))
-    fields = quality.field_consistency(rows.select(*KEY, "pos", "fields")).join(types, KEY)
+    fields = quality.field_consistency(rows).join(types, KEY)
     return topics.where(F.col("reason").isNotNull()).unionByName(
         fields.select("recording_id", "slot", F.col("topic").alias("item"), "reason")
     )
@@ -105,22 +105,8 @@ def pack_messages(flat: DataFrame, slices: int | None = None) -> DataFrame:
     """
     rows = usable_rows(flat)
     numbered = number_rows(rows, KEY, ["t_ns", "seq"], slices=slices)
-    long = numbered.select(
-        *KEY, "msgtype", "t_ns", "step", "usable", F.inline("fields")
-    ).withColumn("size", F.size("value"))
-    # Scalars get their own class, so "()" and "(1,)" differ.
-    long = long.withColumn("shape_id", F.when(F.col("scalar"), -1).otherwise(F.col("size")))
-    steady = (
-        long.groupBy(*KEY, "field")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("usable").alias("rows"),
-            F.min("shape_id").alias("lo"),
-            F.max("shape_id").alias("hi"),
-        )
-        .where((F.col("n") == F.col("rows")) & (F.col("lo") == F.col("hi")))
-        .select(*KEY, "field")
-    )
+    long = numbered.select(*KEY, "msgtype", "t_ns", "step", F.inline("fields"))
+    steady = quality.field_summary(rows).where("steady").drop("steady")
     kept = salted_join(long, steady, [*KEY, "field"], F.col("step"))
     return kept.select(
         F.col("recording_id").alias("episode_id"),
@@ -131,7 +117,7 @@ def pack_messages(flat: DataFrame, slices: int | None = None) -> DataFrame:
         "step",
         "t_ns",
         "value",
-        F.when(F.col("scalar"), F.array().cast("array<int>")).otherwise(F.array("size")).alias("shape"),
+        F.when(F.col("scalar"), F.array().cast("array<int>")).otherwise(F.array(F.size("value"))).alias("shape"),
     )
 
 

@@ -4,30 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from runlens.functions.classify import IMAGE_TYPES
+from runlens.functions.flatten import shape_text
 from runlens.operators.ordering import salted_join
 
 
 def first_two(df: DataFrame, group: Sequence[str], variant: str, pos: str) -> DataFrame:
-    """Per group the first variant seen, the first other one, and the row count.
+    """Per group the first variant seen (``a``), the first other one and where.
 
-    Columns ``a``, ``b``, ``b_pos`` and ``n``. Rows are counted per variant
-    before the window, and the rank limit lets each task send on two rows per
-    group at most.
+    Rows are reduced to one per variant before the window, and the rank limit
+    lets each task send on two rows per group at most.
     """
-    seen = df.groupBy(*group, variant).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_p"))
+    seen = df.groupBy(*group, variant).agg(F.min(pos).alias("_p"))
     rank = F.row_number().over(W.partitionBy(*group).orderBy("_p"))
     top = seen.withColumn("_r", rank).where("_r <= 2")
-    heads = top.groupBy(*group).agg(
+    return top.groupBy(*group).agg(
         F.max(F.when(F.col("_r") == 1, F.col(variant))).alias("a"),
         F.max(F.when(F.col("_r") == 2, F.col(variant))).alias("b"),
         F.max(F.when(F.col("_r") == 2, F.col("_p"))).alias("b_pos"),
     )
-    return heads.join(seen.groupBy(*group).agg(F.sum("_n").alias("n")), list(group))
 
 
 def missing_topics(present: DataFrame, recordings: DataFrame, slot: str, wanted: Sequence[str]) -> DataFrame:
@@ -58,7 +57,7 @@ def missing_columns(declared: Sequence[str], present: Sequence[str]) -> list[str
 
 
 def ragged_columns(df: DataFrame, group: Sequence[str], value: str, pos: str) -> DataFrame:
-    """Groups whose list column changes length: ``(…group, a, b, b_pos, n, reason)``.
+    """Groups whose list column changes length: ``(…group, a, b, b_pos, reason)``.
 
     The first row gives the expected length; a NULL row has length 0 and is
     never acceptable. ``reason`` is NULL for groups that can be packed.
@@ -76,44 +75,53 @@ def ragged_columns(df: DataFrame, group: Sequence[str], value: str, pos: str) ->
     return out.withColumn("reason", text)
 
 
+def field_summary(rows: DataFrame) -> DataFrame:
+    """``(recording_id, topic, field, steady)``: in every usable row with one shape.
+
+    ``rows`` has one row per usable message with its ``fields`` and the number
+    of ``usable`` messages of the topic.
+    """
+    shape = shape_text(F.col("f.value"), F.col("f.scalar"))
+    long = rows.select("recording_id", "topic", "usable", F.explode("fields").alias("f"))
+    return (
+        long.groupBy("recording_id", "topic", F.col("f.field").alias("field"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max("usable").alias("rows"),
+            F.min(shape).alias("lo"),
+            F.max(shape).alias("hi"),
+        )
+        .select(
+            "recording_id",
+            "topic",
+            "field",
+            ((F.col("n") == F.col("rows")) & (F.col("lo") == F.col("hi"))).alias("steady"),
+        )
+    )
+
+
 def field_consistency(rows: DataFrame) -> DataFrame:
     """Fields that cannot be stacked: ``(recording_id, topic, field, reason)``.
 
-    ``rows`` is ``(recording_id, topic, pos STRUCT, fields ARRAY)`` with one row
-    per message that has any field. The earlier of "missing" and "shape
-    changed" is reported, as a reader going message by message would see it.
+    The earlier of "missing" and "shape changed" is reported, as a reader going
+    message by message would see it. Only the fields found unsteady are looked
+    at again, so the second pass is as small as the problem.
     """
     key = ["recording_id", "topic"]
-    totals = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"))
-    present = rows.select(*key, "pos", F.explode("fields").alias("f")).select(
-        *key, "pos", F.col("f.field").alias("field"), _shape("f").alias("shape")
+    broken = (
+        field_summary(rows).where("NOT steady").groupBy(*key).agg(F.collect_list("field").alias("broken"))
     )
-    seen = first_two(present, [*key, "field"], "shape", "pos").join(totals, key)
-    gaps = F.col("n") < F.col("rows")
-    both = seen.where(gaps & F.col("b").isNotNull()).select(*key, "field", "b_pos")
-    before = (
-        salted_join(rows, both.groupBy(*key).agg(F.collect_list(F.struct("field", "b_pos")).alias("doubt")), key, F.xxhash64("pos"))
-        .select(*key, "pos", "fields", F.explode("doubt").alias("d"))
-        .where(F.col("pos") < F.col("d.b_pos"))
-        .groupBy(*key, F.col("d.field").alias("field"))
-        .agg(F.count_if(~F.exists("fields", lambda f: f["field"] == F.col("d.field"))).alias("gone_before"))
+    again = salted_join(
+        rows.select(*key, "pos", "fields"), broken, key, F.xxhash64("pos")
+    ).select(*key, "pos", "fields", F.explode("broken").alias("field"))
+    mine = F.filter("fields", lambda f: f["field"] == F.col("field"))
+    shape = F.coalesce(
+        F.try_element_at(F.transform(mine, lambda f: shape_text(f["value"], f["scalar"])), F.lit(1)),
+        F.lit(""),
     )
+    seen = first_two(again.select(*key, "pos", "field", shape.alias("shape")), [*key, "field"], "shape", "pos")
     missing = F.format_string("field '%s' missing in some messages", "field")
     changed = F.format_string("field '%s' shape changed mid-bag (%s → %s)", "field", "a", "b")
-    return (
-        seen.join(before, [*key, "field"], "left")
-        .select(
-            *key,
-            "field",
-            F.when(gaps & F.col("b").isNull(), missing)
-            .when(gaps & (F.col("gone_before") > 0), missing)
-            .when(F.col("b").isNotNull(), changed)
-            .alias("reason"),
-        )
-        .where(F.col("reason").isNotNull())
+    return seen.select(
+        *key, "field", F.when((F.col("a") == "") | (F.col("b") == ""), missing).otherwise(changed).alias("reason")
     )
-
-
-def _shape(entry: str) -> Column:
-    value = F.col(f"{entry}.value")
-    return F.when(F.col(f"{entry}.scalar"), "()").otherwise(F.format_string("(%d,)", F.size(value)))

@@ -332,8 +332,8 @@ def pack_series_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos,
              CASE WHEN vec_id % 40 = 13 THEN NULL WHEN vec_id % 60 = 31 THEN 3 ELSE 64 END AS size, label % 3 = 0 AS clean FROM embeddings),
     s AS (SELECT label, pos, CASE WHEN clean THEN 64 ELSE coalesce(size, 0) END AS len, NOT clean AND size IS NULL AS gone FROM e),
-    f AS (SELECT label, arg_min(len, pos) AS first_len, bool_or(gone AND pos = 0) AS first_gone, count(*) AS n FROM s GROUP BY 1)
-    SELECT label, any_value(n) AS n, CASE WHEN bool_or(first_gone) THEN 'row 0 has length 0, expected 0'
+    f AS (SELECT label, arg_min(len, pos) AS first_len, bool_or(gone AND pos = 0) AS first_gone FROM s GROUP BY 1)
+    SELECT label, CASE WHEN bool_or(first_gone) THEN 'row 0 has length 0, expected 0'
              WHEN count(*) FILTER (len <> first_len) > 0 THEN 'row ' || min(pos) FILTER (len <> first_len) || ' has length '
                || arg_min(len, pos) FILTER (len <> first_len) || ', expected ' || any_value(first_len) END AS reason
     FROM s JOIN f USING (label) GROUP BY label""",
@@ -344,7 +344,7 @@ def ragged_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     uneven = F.when(k % 40 == 13, None).when(k % 60 == 31, F.slice("embedding", 1, 3)).otherwise(F.col("embedding"))
     value = F.when(F.col("label") % 3 == 0, F.col("embedding")).otherwise(uneven)
     out = quality.ragged_columns(vec.withColumn("v", value), ["label"], "v", "pos")
-    return out.select("label", "n", "reason")
+    return out.select("label", "reason")
 
 
 # ── archives and lists ───────────────────────────────────────────────

@@ -148,7 +148,7 @@ _CONSISTENCY_SQL = f"""{B.FIELDS_SQL},
 @query("field_consistency", f"WITH {_CONSISTENCY_SQL} SELECT * FROM field_issues")
 def field_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pack.usable_rows(pack.stored_flat_messages(B.messages(spark, sf_dir)))
-    return quality.field_consistency(rows.select("recording_id", "topic", "pos", "fields"))
+    return quality.field_consistency(rows)
 
 
 _ISSUES_SQL = f"""{_CONSISTENCY_SQL},

@@ -33,3 +33,14 @@ def test_every_query_has_a_twin():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).columns == ["episode_id", "action_l2"]
+
+
+@pytest.mark.parametrize("name", ["step_number", "infer_fps", "msg_deltas", "camera_frames", "rollout_totals", "ragged_check"])
+def test_large_input_path_gives_the_same_rows(spark, duck, name, monkeypatch):
+    """Force the slicing that only large inputs get."""
+    from runlens.operators import ordering
+
+    monkeypatch.setattr(ordering, "SMALL_INPUT_BYTES", 0)
+    monkeypatch.setattr(ordering, "ROWS_PER_SLICE", 100)
+    ok, note = compare(spark, duck, name, QUERIES[name], ORACLES[name], SF_DIR)
+    assert ok, note
