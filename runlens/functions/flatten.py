@@ -27,62 +27,72 @@ def _entry(field: Column, value: Column, scalar: Column) -> Column:
     )
 
 
-def _result(entries: list[Column], problems: list[Column]) -> Column:
-    fields = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-    failed = F.coalesce(*problems) if problems else F.lit(None).cast("string")
-    return F.struct(
-        F.when(failed.isNull(), fields)
-        .otherwise(F.array().cast(FIELDS_TYPE))
-        .cast(FIELDS_TYPE)
-        .alias("fields"),
-        failed.alias("failed"),
-    )
-
-
-def _present(msg: Column, path: str) -> Column:
-    return F.try_variant_get(msg, path, "variant").isNotNull()
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` written, and computed, only once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _axes(msg: Column, path: str, axes: str) -> tuple[Column, Column]:
-    """Value and problem of a vector stored as named components."""
-    parts = [F.try_variant_get(msg, f"{path}.{a}", "double") for a in axes]
-    problem = F.coalesce(
-        *[
-            F.when(p.isNull(), F.lit(f"{path[2:]}.{a} missing"))
-            for p, a in zip(parts, axes, strict=True)
-        ]
+def _outcome(fields: Column, failed: Column) -> Column:
+    return F.struct(
+        F.when(failed.isNull(), fields).otherwise(F.array().cast(FIELDS_TYPE)).cast(FIELDS_TYPE).alias("fields"),
+        failed.alias("failed"),
     )
-    return F.when(problem.isNull(), F.array(*parts)), problem
 
 
 def _vectors(spec: Mapping[str, tuple[str, str]], optional: bool = False) -> Flattener:
+    """Vectors stored as named components: field to (path, component names)."""
+
     def flatten(msg: Column) -> Column:
-        entries, problems = [], []
+        parts = []
         for field, (path, axes) in spec.items():
-            value, problem = _axes(msg, path, axes)
-            if optional:
-                problem = F.when(_present(msg, path), problem)
-            entries.append(_entry(F.lit(field), value, F.lit(False)))
-            problems.append(problem)
-        return _result(entries, problems)
+            present = F.try_variant_get(msg, path, "variant").isNotNull() if optional else F.lit(True)
+            parts.append(
+                F.struct(
+                    F.lit(field).alias("field"),
+                    F.array(*[F.try_variant_get(msg, f"{path}.{x}", "double") for x in axes]).alias("value"),
+                    present.alias("present"),
+                    F.array(*[F.lit(f"{path[2:]}.{x} missing") for x in axes]).alias("missing"),
+                )
+            )
+
+        def finish(found: Column) -> Column:
+            given = F.filter(found, lambda v: v["present"])
+            gaps = F.flatten(
+                F.transform(
+                    given,
+                    lambda v: F.zip_with(v["value"], v["missing"], lambda x, m: F.when(x.isNull(), m)),
+                )
+            )
+            return _outcome(
+                F.transform(given, lambda v: _entry(v["field"], v["value"], F.lit(False))),
+                F.try_element_at(F.array_compact(gaps), F.lit(1)),
+            )
+
+        return _let(F.array(*parts), finish)
 
     return flatten
 
 
 def joint_state(msg: Column) -> Column:
-    entries, problems = [], []
-    for field in ("position", "velocity", "effort"):
-        path = f"$.{field}"
-        values = F.try_variant_get(msg, path, "array<double>")
-        given = F.try_variant_get(msg, path, "variant")
-        entries.append(_entry(F.lit(field), F.when(F.size(values) > 0, values), F.lit(False)))
-        problems.append(
-            F.when(
-                given.isNotNull() & ~F.coalesce(F.is_variant_null(given), F.lit(True)) & values.isNull(),
-                F.lit(f"{field} is not a list of numbers"),
-            )
+    parts = [
+        F.struct(
+            F.lit(field).alias("field"),
+            F.try_variant_get(msg, f"$.{field}", "array<double>").alias("value"),
+            F.schema_of_variant(F.try_variant_get(msg, f"$.{field}", "variant")).alias("kind"),
+        )
+        for field in ("position", "velocity", "effort")
+    ]
+
+    def finish(found: Column) -> Column:
+        usable = F.filter(found, lambda v: F.size(v["value"]) > 0)
+        wrong = F.filter(found, lambda v: v["value"].isNull() & (v["kind"] != "VOID"))
+        first = F.try_element_at(wrong, F.lit(1))["field"]
+        return _outcome(
+            F.transform(usable, lambda v: _entry(v["field"], v["value"], F.lit(False))),
+            F.concat(first, F.lit(" is not a list of numbers")),
         )
-    return _result(entries, problems)
+
+    return _let(F.array(*parts), finish)
 
 
 _NUMERIC = "^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
@@ -138,20 +148,16 @@ def _leaf(path: Column, node: Column, kind: Column) -> Column:
 
 def generic(msg: Column, depth: int = MAX_DEPTH) -> Column:
     """Every numeric leaf of any message, under its dotted path."""
-    root = F.array(
-        F.struct(
-            F.lit(None).cast("string").alias("path"),
-            msg.alias("node"),
-            F.schema_of_variant(msg).alias("kind"),
-        )
+    root = F.struct(
+        F.lit(None).cast("string").alias("path"),
+        msg.alias("node"),
+        F.schema_of_variant(msg).alias("kind"),
     )
-    found = F.flatten(
-        F.transform(
-            root,
-            lambda r: F.when(r["kind"].startswith("OBJECT"), _walk(r, depth)).otherwise(
-                _leaf(F.lit("value"), r["node"], r["kind"])
-            ),
-        )
+    found = _let(
+        root,
+        lambda r: F.when(r["kind"].startswith("OBJECT"), _walk(r, depth)).otherwise(
+            _leaf(F.lit("value"), r["node"], r["kind"])
+        ),
     )
     found = F.coalesce(found, F.array().cast(FIELDS_TYPE)).cast(FIELDS_TYPE)
 
@@ -162,7 +168,7 @@ def generic(msg: Column, depth: int = MAX_DEPTH) -> Column:
             F.when(deep, F.lit(f"nested deeper than {depth} levels")).alias("failed"),
         )
 
-    return F.element_at(F.transform(F.array(found), finish), 1)
+    return _let(found, finish)
 
 
 imu = _vectors(
