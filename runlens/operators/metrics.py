@@ -117,11 +117,12 @@ def _largest_z(value: Column, mean: Column, std: Column) -> Column:
     return F.when((F.size(value) == F.size(mean)) & ~F.isnan(top), top).otherwise(0.0)
 
 
-def ood_share(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
+def ood_share(baseline: DataFrame, candidate: DataFrame, every_episode: bool = True) -> DataFrame:
     """Share of candidate steps outside the baseline's per-key distribution.
 
-    Every candidate step with a value for a measured key counts, paired or not;
-    episodes without enough baseline rows or without such a step give NULL.
+    Every candidate step with a value for a measured key counts, paired or not.
+    Episodes without enough baseline rows or without such a step give NULL, or
+    no row at all when ``every_episode`` is off, which saves a pass over both.
     """
     stats = action_stats(baseline)
     given = candidate.where(F.col("value").isNotNull()).select(
@@ -134,6 +135,8 @@ def ood_share(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
         .groupBy("episode_id")
         .agg(F.avg((F.col("z") > Z_LIMIT).cast("double")).alias("ood_share"))
     )
+    if not every_episode:
+        return share
     known = baseline.select("episode_id").union(candidate.select("episode_id")).distinct()
     return known.join(share, "episode_id", "left")
 

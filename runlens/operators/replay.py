@@ -169,7 +169,7 @@ def evaluate(
     joined = (
         ids.join(on(replay_summary(played), "_s"), F.col("_id") == F.col("_s"), "left")
         .join(on(metrics.action_l2(base, cand), "_l"), F.col("_id") == F.col("_l"), "left")
-        .join(on(metrics.ood_share(base, cand), "_o"), F.col("_id") == F.col("_o"), "left")
+        .join(on(metrics.ood_share(base, cand, every_episode=False), "_o"), F.col("_id") == F.col("_o"), "left")
         .join(told, F.col("_id") == F.col("_m"), "left")
     )
     ok = F.col("error").isNull()

@@ -229,6 +229,11 @@ def replay_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.join(errors, "episode_id")
 
 
+def _stored_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered line items as a stored table, the way recordings are kept."""
+    return materialize(B.line_steps(spark, sf_dir), "steps")
+
+
 def _line_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = B.outcome_metadata(spark, sf_dir)
     sup = B.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("episode_id"))
@@ -272,7 +277,7 @@ _REPLAY_SQL = f"""{B.line_sql()}, {_BROKEN_SQL}, {B.OUTCOME_SQL},
 
 @query("replay_metrics", f"WITH {_REPLAY_SQL} SELECT * FROM results")
 def replay_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = B.line_steps(spark, sf_dir)
+    steps = _stored_steps(spark, sf_dir)
     out = evaluate(
         _supplier_plan(spark, sf_dir),
         _line_sensors(steps),
@@ -483,7 +488,7 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM after""",
 )
 def run_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = B.line_steps(spark, sf_dir)
+    steps = _stored_steps(spark, sf_dir)
 
     def replayed(plan: DataFrame) -> DataFrame:
         return evaluate(

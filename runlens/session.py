@@ -23,6 +23,8 @@ def build_session(master: str | None = None, name: str = "runlens", **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Call-site capture doubles the time to build large expressions.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
     }
