@@ -178,6 +178,16 @@ def grouped_median(df: DataFrame, group: Sequence[str], value: str, out: str) ->
     return ranked.groupBy(*group).agg(((at("_lo") + at("_hi")) / 2).alias(out))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A deterministic hash of all columns that have one, to deal rows by."""
+    plain = [
+        f"`{f.name}`"
+        for f in df.schema.fields
+        if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
+    ]
+    return F.xxhash64(*plain) if plain else F.lit(0)
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,

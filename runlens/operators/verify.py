@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.scalars import number_text
-from runlens.operators.ordering import salted_join
+from runlens.operators.ordering import row_hash, salted_join
 from runlens.session import materialize
 
 # name, baseline expression, candidate expression, whether higher is better
@@ -117,7 +117,7 @@ def scenario_of_baseline(scenarios: DataFrame, pos: str) -> DataFrame:
 def scenario_results(results: DataFrame, scenarios: DataFrame, pos: str) -> DataFrame:
     """Verification rows for finished replays; unknown episodes are ignored."""
     found = salted_join(
-        results, scenario_of_baseline(scenarios, pos), ["baseline_episode_id"], F.xxhash64(*results.columns)
+        results, scenario_of_baseline(scenarios, pos), ["baseline_episode_id"], row_hash(results)
     )
     return found.withColumn(
         "verify_status", verification_status(F.col("status"), F.col("success_candidate"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.functions.classify import FRAME_BOOKKEEPING, format_support, require_format
-from runlens.operators.ordering import number_rows, salted_join
+from runlens.operators.ordering import number_rows, row_hash, salted_join
 
 FRAME_NAME = r"chunk-(\d+)/episode_(\d+)\.parquet"
 DEFAULT_CHUNK = 1000
@@ -210,6 +210,17 @@ def latest_tasks(rows: DataFrame) -> DataFrame:
     )
 
 
+def task_fields(episodes: DataFrame) -> DataFrame:
+    """The three ways an episode line may name its tasks, from ``row``."""
+    v = F.col("row")
+    return episodes.select(
+        "*",
+        F.try_variant_get(v, "$.tasks", "array<string>").alias("tasks"),
+        F.try_variant_get(v, "$.task", "string").alias("task"),
+        _integer(v, "$.task_index").alias("task_index"),
+    )
+
+
 def with_tasks(episodes: DataFrame, tasks: DataFrame) -> DataFrame:
     """Episode task lists: a list, else one task, else the task table.
 
@@ -217,9 +228,7 @@ def with_tasks(episodes: DataFrame, tasks: DataFrame) -> DataFrame:
     """
     lookup = tasks.select("task_index", F.col("task").alias("_looked_up"))
     # Most rows may have no index, or all the same one.
-    joined = salted_join(
-        episodes, lookup, ["task_index"], F.xxhash64(*episodes.columns), how="left"
-    )
+    joined = salted_join(episodes, lookup, ["task_index"], row_hash(episodes), how="left")
     return joined.withColumn(
         "task_list",
         F.when(F.col("tasks").isNotNull(), F.col("tasks"))

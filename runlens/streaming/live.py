@@ -51,7 +51,12 @@ def closed_sessions(stream: DataFrame, gap: str, delay: str) -> DataFrame:
     """One row per recording session, once no message can extend it any more.
 
     Sessions exist only where a message does, so an empty recording gives no row.
+    Messages are merged into sessions before the shuffle, so a recording with
+    very many messages sends on few rows.
     """
+    stream.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+    )
     return (
         stream.withWatermark("ts", delay)
         .groupBy("recording_id", F.session_window("ts", gap).alias("w"))

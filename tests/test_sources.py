@@ -205,3 +205,61 @@ def test_typed_encoding_round_trip(spark):
 def test_seconds_are_truncated_like_float32(spark):
     row = spark.sql("SELECT CAST(0.1 AS FLOAT) AS t").select(scalars.seconds_to_ns(F.col("t"))).first()
     assert row[0] == int(np.float64(np.float32(0.1)) * 1e9) == 100000001
+
+
+def test_a_whole_dataset_from_files_to_samples(spark, tmp_path):
+    """Two episodes of 5 and 3 frames, one file each, with lines of metadata."""
+    from runlens.operators import outcomes, pack
+
+    features = {
+        "observation.state": {"dtype": "float32"},
+        "observation.images.top": {"dtype": "video"},
+        "action": {"dtype": "float32"},
+        "next.reward": {"dtype": "float32"},
+        "timestamp": {"dtype": "float32"},
+    }
+    meta = tmp_path / "meta"
+    meta.mkdir()
+    info = {"codebase_version": "v2.1", "fps": 10, "total_episodes": 2, "total_frames": 0, "features": features}
+    (meta / "info.json").write_text(json.dumps(info))
+    (meta / "episodes.jsonl").write_text(
+        '{"episode_index":0,"tasks":["pick"],"length":5}\n{"length":3,"task_index":1}\n'
+    )
+    (meta / "tasks.jsonl").write_text('{"task_index":0,"task":"pick"}\n{"task_index":1,"task":"place"}\n')
+    for ep, n in ((0, 5), (1, 3)):
+        path = tmp_path / f"data/chunk-000/episode_{ep:06d}.parquet"
+        os.makedirs(path.parent, exist_ok=True)
+        pd.DataFrame(
+            {
+                "timestamp": np.arange(n, dtype="float32") / np.float32(10),
+                "frame_index": range(n),
+                "observation.state": [np.full(6, i, "float32") for i in range(n)],
+                "action": [np.full(3, i, "float32") for i in range(n)],
+                "next.reward": np.full(n, 0.5, "float32"),
+                "next.done": [i == n - 1 for i in range(n)],
+            }
+        ).to_parquet(path)
+
+    declared = frames.info_features(frames.scan_info(spark, str(meta / "info.json")), strict=True)
+    episodes = frames.scan_episodes_jsonl(spark, str(meta / "episodes.jsonl"))
+    tasks = frames.tasks_from_lines(spark, str(meta / "tasks.jsonl"))
+    named = frames.with_tasks(frames.task_fields(episodes), tasks)
+    assert {(r["episode_index"], r["length"], tuple(r["task_list"])) for r in named.collect()} == {
+        (0, 5, ("pick",)), (1, 3, ("place",)),
+    }
+    one = declared.select("total_episodes", "total_frames").distinct().withColumn("path", F.lit("d"))
+    total = frames.dataset_summary(one, episodes.withColumn("path", F.lit("d"))).first()
+    assert (total["total_episodes"], total["total_frames"]) == (2, 8)
+
+    data = frames.scan_frames_v2(spark, str(tmp_path))
+    samples, notes = pack.pack_frames(data, ["observation.state", "observation.gone", "action"])
+    counts = {(r["episode_id"], r["key"], r["slot"]): r["count"] for r in samples.groupBy("episode_id", "key", "slot").count().collect()}
+    assert counts == {
+        (0, "observation.state/value", "sensors"): 5, (1, "observation.state/value", "sensors"): 3,
+        (0, "action/value", "actions"): 5, (1, "action/value", "actions"): 3,
+    }
+    assert samples.where("step = 1").first()["t_ns"] == 100000001
+    assert [r["item"] for r in notes.collect()] == ["observation.gone"]
+    ends = outcomes.frame_outcomes(data, ["next.reward", "next.done"], "episode_index", "frame_index")
+    got = {r["episode_index"]: (r["outcome"]["next.done"], r["reward_sum"]) for r in ends.collect()}
+    assert got == {0: (True, 2.5), 1: (True, 1.5)}
