@@ -227,8 +227,10 @@ def run_check(
     candidate whose gate is already open has nothing pending, so the same plan
     covers both cases. A dry run adds nothing to the gate.
     """
-    latest = latest_status(results, order)
-    todo = blockers(scenarios, latest, candidate)
+    # Both are small and read many times below; results are scanned once.
+    mine = results.where(F.col("candidate_policy_version") == candidate)
+    latest = materialize(latest_status(mine, order), "latest")
+    todo = materialize(blockers(scenarios, latest, candidate), "pending")
     plan = todo.select(F.col(pos).alias("pos"), "baseline_episode_id")
     # Results are stored once: they are the record of the check.
     fresh = materialize(
