@@ -12,6 +12,8 @@ from runlens.operators.ordering import number_rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Stored times carry no zone; they are read as UTC whatever the session says.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
