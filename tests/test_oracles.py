@@ -7,10 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from runlens.plans import load
 from tests.compare import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = load()
 
 # Nothing qualifies for these at the smallest size.
 MAY_BE_EMPTY = {"field_consistency"}
