@@ -5,6 +5,8 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
+    "near_dup",
+    "decontaminate",
     "importance",
     "sharding",
     "token_budget",

@@ -65,3 +65,8 @@ def by_length(texts, chars: int):
         size += len(text)
     if held:
         yield held
+
+
+def sized(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it was counted to hold at most ``rows`` narrow rows; else unmarked, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
