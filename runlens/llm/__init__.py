@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
+    "bpe",
     "longest_factor",
     "near_dup",
     "decontaminate",
