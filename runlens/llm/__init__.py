@@ -12,6 +12,7 @@ MODULES = (
     "importance",
     "sharding",
     "token_budget",
+    "toxicity",
 )
 
 
