@@ -8,6 +8,8 @@ MODULES = (
     "bpe",
     "longest_factor",
     "near_dup",
+    "license_rules",
+    "quotes",
     "decontaminate",
     "importance",
     "sharding",
