@@ -7,10 +7,11 @@ a probability below 1e-6. Candidates are estimated from their signatures and
 confirmed on full sets, recomputed from whole texts.
 
 A bucket's members are first compared with one pivot, the member that meets most
-others, so that a large group of copies costs one comparison for each. After
-connected components (large-star and small-star) only members of one bucket that
-are still in different components are compared with each other, so no link that
-could join two components is left out and no group is expanded into its pairs.
+others, so that a large group of copies costs one comparison for each. Where a
+bucket still holds several components (large-star and small-star) its members'
+differences from the pivot are joined by an exact prefix filter
+(``pairs_by_difference``), which finds every link between them without expanding
+the bucket into its pairs.
 
 Defined cases: texts without words are linked with nothing; rows that share an
 id are one document; a row without id takes its class's component and is kept
@@ -153,33 +154,114 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("u", "v", "tu", "tv").mapInArrow(arrow_rows(make), "u long, v long").distinct()
 
 
-def pivot_pairs(buckets: DataFrame) -> DataFrame:
-    """(u, v): each member of some bucket with the most met pivot of its buckets."""
+def differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, q, size, other, linked, diff): how the full set of u differs from that of the pivot q."""
+    names = ["u", "q", "size", "other", "linked", "diff"]
+
+    def make():
+        hashes = shingle_hashes()
+        held: list = [None, None]
+
+        def rows(found):
+            us, qs, sizes, others, linked, diffs = zip(*found)
+            ends = np.cumsum([0, *map(len, diffs)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(diffs).view(np.int64)))
+            columns = [pa.array(x, pa.int64()) for x in (us, qs, sizes, others)] + [pa.array(linked, pa.bool_()), lists]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        def step(batch):
+            found, size = [], 0
+            for u, q, tu, tq in zip(*(batch.column(k) for k in range(4))):
+                tq = tq.as_py()
+                if held[0] != tq:
+                    held[:] = tq, hashes(tq)
+                a, b = hashes(tu.as_py()), held[1]
+                d = np.setxor1d(a, b, assume_unique=True)
+                found.append((u.as_py(), q.as_py(), len(a), len(b), 7 * len(d) <= len(a) + len(b), d))
+                size += len(d)
+                if size > 500_000:
+                    yield rows(found)
+                    found, size = [], 0
+            if found:
+                yield rows(found)
+
+        return step
+
+    both = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), "u").join(
+        texts.select(F.col("doc_id").alias("q"), F.col("text").alias("tq")), "q"
+    )
+    return both.select("u", "q", "tu", "tq").mapInArrow(
+        arrow_rows(make), "u long, q long, size long, other long, linked boolean, diff array<bigint>"
+    )
+
+
+def pivots_of(buckets: DataFrame) -> DataFrame:
+    """(key, met, q): of each bucket the member that meets most others in all its buckets."""
     met = buckets.groupBy("rep").agg(F.sum("n").alias("met"))
-    pivots = buckets.join(met, "rep").groupBy("key").agg(F.max(F.struct("met", (-F.col("rep")).alias("least"))).alias("p"))
+    best = F.max(F.struct("met", (-F.col("rep")).alias("least"))).alias("p")
+    return buckets.join(met, "rep").groupBy("key").agg(best).select("key", "p.met", (-F.col("p.least")).alias("q"))
+
+
+def pivot_pairs(buckets: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(u, v): each member of some bucket with the most met pivot of its buckets."""
     return (
         buckets.join(pivots, "key")
-        .filter(-F.col("p.least") != F.col("rep"))
-        .groupBy("rep")
-        .agg(F.max("p").alias("p"))
-        .select(F.col("rep").alias("u"), (-F.col("p.least")).alias("v"))
+        .filter("q <> rep")
+        .groupBy(F.col("rep").alias("u"))
+        .agg(F.max(F.struct("met", (-F.col("q")).alias("least"))).alias("p"))
+        .select("u", (-F.col("p.least")).alias("v"))
     )
 
 
-def open_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(u, v) of one bucket and of different components; members of the commonest one only meet the others."""
-    placed = buckets.join(labels, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    by_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
-        by_root.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("most"))
-        .filter("roots > 1")
-        .select("key", F.col("most.root").alias("main"))
+def placed_in(rows: DataFrame, node: str, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, F.col(node) == F.col("id"), "left").withColumn("root", F.coalesce("root", node)).drop("id")
+
+
+def open_members(buckets: DataFrame, pivots: DataFrame, labels: DataFrame) -> DataFrame:
+    """(u, q): members of buckets that hold several components, with the buckets' pivots."""
+    placed = placed_in(buckets.select("key", "rep"), "rep", labels)
+    several = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
+    return placed.join(several, "key").join(pivots, "key").filter("q <> rep").select(F.col("rep").alias("u"), "q").distinct()
+
+
+def pairs_by_difference(diffs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(u, v) that may be linked although their components differ, from what both differ from a common pivot in.
+
+    With n(u) shingles and d(u) differences from q, u and v are linked exactly
+    if their differences share at least (d(u) + d(v) - (n(u) + n(v)) / 7) / 2
+    entries. Not both are linked with q, and an unlinked v has
+    d(v) > (n(v) + n(q)) / 7, which bounds the prefix of u's differences, rarest
+    first, that must meet v's. Copies with edits of their own share no rare
+    differences, so they never meet, however many there are.
+    """
+    d = placed_in(diffs.withColumn("nd", F.size("diff").cast("long")), "u", labels)
+    entries = d.select("q", "u", F.explode("diff").alias("x"))
+    common = entries.groupBy("q", "x").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    ordered = (
+        entries.join(common, ["q", "x"])
+        .groupBy("q", "u")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "x"))).alias("xs"))
+        .join(d.drop("diff"), ["q", "u"])
+    )
+    # Entries that only one member has stand before all others.
+    at = F.col("nd") - F.size("xs") + F.col("k") + 1
+    short = F.floor((7 * F.col("nd") + F.col("size") - F.col("other")) / 14) + 1
+    rows = (
+        ordered.select("*", F.posexplode("xs").alias("k", "e"))
+        .select("q", F.col("e.x").alias("x"), "u", "size", "nd", "linked", "root", at.alias("at"), (at <= short).alias("early"))
+        .filter("early OR NOT linked")
+    )
+    a = rows.filter("early").select("q", "x", *[F.col(c).alias(f"{c}_a") for c in ("u", "size", "nd", "linked", "root", "at")])
+    met = a.join(rows.filter("NOT linked"), ["q", "x"]).filter(
+        (F.col("root_a") != F.col("root"))
+        & (F.col("linked_a") | (F.col("early") & (F.col("u_a") < F.col("u"))))
+        & (4 * F.least("size", "size_a") >= 3 * F.greatest("size", "size_a"))
+        & (
+            14 * (1 + F.least(F.col("nd") - F.col("at"), F.col("nd_a") - F.col("at_a")))
+            >= 7 * (F.col("nd") + F.col("nd_a")) - F.col("size") - F.col("size_a")
+        )
     )
-    members = placed.join(mixed, "key")
-    few = members.filter("root <> main").select("key", F.col("rep").alias("a"), F.col("root").alias("ra"))
-    met = few.join(members, "key").filter("ra <> root AND (root = main OR a < rep)")
-    return met.select(F.least("a", "rep").alias("u"), F.greatest("a", "rep").alias("v")).distinct()
+    return met.select(F.least("u_a", "u").alias("u"), F.greatest("u_a", "u").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -205,11 +287,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(candidates, "doc_id", "left_semi")
     )
     texts = stored(texts, "texts")
-    links = stored(confirmed(alike(pivot_pairs(buckets), named), texts), "links")
+    pivots = stored(pivots_of(buckets), "pivots")
+    links = stored(confirmed(alike(pivot_pairs(buckets, pivots), named), texts), "links")
     labels = components(links)
-    rest = stored(alike(open_pairs(buckets, labels), named), "open")
-    if not rest.isEmpty():
-        labels = components(links.union(confirmed(rest, texts)))
+    diffs = stored(differences(open_members(buckets, pivots, labels), texts), "differences")
+    if not diffs.isEmpty():
+        links = links.union(diffs.filter("linked").select("u", F.col("q").alias("v")))
+        labels = components(links)
+        more = stored(confirmed(alike(pairs_by_difference(diffs, labels), named), texts), "more")
+        labels = labels if more.isEmpty() else components(links.union(more))
     placed = classes.select("fingerprint", "rep").join(labels, F.col("rep") == F.col("id"), "left").select(
         "fingerprint", F.coalesce("root", "rep").alias("root")
     )

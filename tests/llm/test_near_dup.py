@@ -29,6 +29,24 @@ def test_star_of_copies_that_are_not_linked_with_each_other(spark):
     assert result(spark.createDataFrame(rows, SCHEMA)) == want
 
 
+@pytest.mark.parametrize("seed,words", [(1, 60), (2, 150), (3, 30)])
+def test_many_copies_around_the_threshold(spark, seed, words):
+    """Independent edits, edits of edits, cut and grown copies: some linked with the original, some with each other."""
+    rng = random.Random(seed)
+    base = brute.prose(rng, words)
+    texts = [base] + [brute.edited(rng, base, max(1, round(words * rng.uniform(0.01, 0.08)))) for _ in range(60)]
+    for _ in range(60):
+        t = brute.edited(rng, rng.choice(texts), rng.randrange(1, 4))
+        w = t.split(" ")
+        cut = rng.randrange(0, max(1, len(w) // 6))
+        texts += [" ".join(w[cut:]), t + " " + brute.prose(rng, cut)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    want = brute.near_duplicates(rows)
+    assert result(spark.createDataFrame(rows, SCHEMA).repartition(3)) == want
+    assert len({c for _, c, _ in want.values()}) > 3
+
+
 def test_given_table(spark):
     df = near_dup.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
     assert result(df) == brute.near_duplicates([tuple(r) for r in df.collect()])

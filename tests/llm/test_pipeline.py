@@ -91,7 +91,7 @@ def test_quality_figures_and_score(spark, folder):
     loop = brute.prose(rng, 20)
     more = [(100 + k, t) for k, t in enumerate([loop + "\n" + loop + "\n" + brute.prose(rng, 60), "a b " * 40, "x\n\nx\n x\nx", "é\x0b#ü |>\t<"])]
     more += [r for r in brute.awkward_documents(2) if len(r[1] or "") < 3000]
-    base = [(d[0], d[1]) for d in docs] + [(1000 + i, t) for i, t in more]
+    base = [(d[0], d[1]) for d in docs] + [(5000 + i, t) for i, t in more]
     df = spark.createDataFrame(base, "doc_id long, text string")
     labels = corpus_pipeline.table(spark, path, "labels")
     got = {r.doc_id: r for r in importance.score(df, labels).collect()}
