@@ -12,9 +12,10 @@ The suffix order is built in two levels. Every window of ``width`` bytes has one
 anchor, the least hashed ``width // 2``-gram inside it, which depends on its
 bytes alone, so equal windows have equal anchors at equal offsets. Anchors that
 occur once are settled there. Repeated anchors are grouped with the bytes of all
-their windows (the context); equal contexts repeat as a whole, and only where
-one anchor has several contexts are single windows compared, one context for
-each group of copies. All groups are counted by partial aggregation, so no
+their windows (the context); equal contexts repeat as a whole, and only where one
+anchor has several contexts are parts of them compared in the same way, first
+chunks of neighbouring windows and then single windows, one for each group of
+copies. All groups are counted by partial aggregation, so no
 group of copies is gathered anywhere.
 
 Defined cases: a missing text is empty; shorter texts than ``width`` keep all
@@ -36,6 +37,8 @@ from runlens.llm.registry import query
 WIDTH = 200
 # Window starts handled at once; also the room for a position in a packed minimum.
 CHUNK = 1 << 19
+# Window starts compared together at first, where single ones must be compared.
+STEP = 16
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
 
@@ -75,7 +78,7 @@ class RollingHash:
 
 
 def anchors(hashes: RollingHash, size: int, width: int):
-    """(anchor hash, context hash, first and last window start) of the loaded text's anchors."""
+    """(anchor hash, context hash, first and last window start, anchor position) of the loaded text's anchors."""
     gram = width // 2
     room = width - gram + 1
     found = []
@@ -96,7 +99,7 @@ def anchors(hashes: RollingHash, size: int, width: int):
         lo, hi, anchor = begin + first, end + first, at[begin] + first
         context = hashes.ranges(lo, hi + width)
         shape = ((anchor - lo) * 4096 + (hi - lo)).astype(np.uint64)
-        found.append((grams[at[begin]], context ^ (shape * SPREAD), lo, hi))
+        found.append((grams[at[begin]], context ^ (shape * SPREAD), lo, hi, anchor))
     return [np.concatenate(x) for x in zip(*found)]
 
 
@@ -105,8 +108,8 @@ def signed(x: np.ndarray) -> pa.Array:
 
 
 def anchor_rows(texts: DataFrame, width: int) -> DataFrame:
-    """(_a, _b, h, c, lo, hi) of every anchor of every text."""
-    names = ["_a", "_b", "h", "c", "lo", "hi"]
+    """(_a, _b, h, c, lo, hi, at) of every anchor of every text."""
+    names = ["_a", "_b", "h", "c", "lo", "hi", "at"]
 
     def make():
         hashes = RollingHash()
@@ -123,8 +126,8 @@ def anchor_rows(texts: DataFrame, width: int) -> DataFrame:
                 if len(data) < width:
                     continue
                 hashes.load(data)
-                h, c, lo, hi = anchors(hashes, len(data), width)
-                rows.append((np.full(len(h), a), np.full(len(h), b), h, c, lo, hi))
+                h, *rest = anchors(hashes, len(data), width)
+                rows.append((np.full(len(h), a), np.full(len(h), b), h, *rest))
                 size += len(h)
                 if size > 100_000:
                     yield flush()
@@ -134,63 +137,90 @@ def anchor_rows(texts: DataFrame, width: int) -> DataFrame:
 
         return step
 
-    return texts.mapInArrow(arrow_rows(make), "_a long, _b long, h long, c long, lo long, hi long")
+    return texts.mapInArrow(arrow_rows(make), "_a long, _b long, h long, c long, lo long, hi long, at long")
 
 
-def window_rows(texts: DataFrame, width: int) -> DataFrame:
-    """(h, k, n, _a, _b, p): every window of the contexts listed in ``reps``, keyed by its hash."""
-    names = ["h", "k", "n", "_a", "_b", "p"]
+def chunk_rows(texts: DataFrame, width: int) -> DataFrame:
+    """(h, k, left, right, n, _a, _b, lo, hi): the windows of the contexts in ``reps``, by chunks of neighbours.
+
+    A chunk holds the windows that start at most ``STEP`` positions apart, by
+    their distance from the anchor. They share a core, hashed to ``k``; what
+    they have besides it is left and right of the core.
+    """
+    names = ["h", "k", "left", "right", "n", "_a", "_b", "lo", "hi"]
 
     def make():
         hashes = RollingHash()
 
         def step(batch):
             for a, b, value, reps in zip(*(batch.column(k) for k in range(4))):
-                hashes.load(value.as_py().encode())
-                r = reps.values
-                h, lo, hi, n = (r.field(k).to_numpy() for k in ("h", "lo", "hi", "n"))
-                counts = hi - lo + 1
-                p = np.repeat(lo - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                k = hashes.ranges(p, p + width)
-                wide = [np.repeat(h, counts), k, np.repeat(n, counts), np.full(len(p), a.as_py()), np.full(len(p), b.as_py()), p]
-                yield pa.RecordBatch.from_arrays([signed(x) for x in wide], names)
+                data = value.as_py().encode()
+                hashes.load(data)
+                h, lo, hi, at, n = (reps.values.field(k).to_numpy() for k in ("h", "lo", "hi", "at", "n"))
+                first = (at - hi) // STEP
+                counts = (at - lo) // STEP - first + 1
+                which = np.repeat(np.arange(len(h)), counts)
+                chunk = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + first[which]
+                base = at[which] - STEP * chunk
+                lo, hi = np.maximum(lo[which], base - STEP + 1), np.minimum(hi[which], base)
+                end = base - STEP + 1 + width
+                k = hashes.ranges(base, end) ^ (chunk.astype(np.uint64) * SPREAD)
+                left = [data[x:y] for x, y in zip(lo.tolist(), base.tolist())]
+                right = [data[x:y] for x, y in zip(end.tolist(), (hi + width).tolist())]
+                same = [np.full(len(k), x.as_py()) for x in (a, b)]
+                yield pa.RecordBatch.from_arrays(
+                    [signed(h[which]), signed(k), pa.array(left, pa.binary()), pa.array(right, pa.binary())]
+                    + [signed(x) for x in (n[which], *same, lo, hi)],
+                    names,
+                )
 
         return step
 
-    return texts.mapInArrow(arrow_rows(make), "h long, k long, n long, _a long, _b long, p long")
+    kinds = "h long, k long, left binary, right binary, n long, _a long, _b long, lo long, hi long"
+    return texts.mapInArrow(arrow_rows(make), kinds)
+
+
+def settle(rows: DataFrame, key: list[str], context: list[str], keep_first: bool):
+    """Groups of ``rows`` with equal key and context are copies.
+
+    Returns the ranges of window starts that are copies (all, or all but the
+    first of each group), and the groups, with their least row, whose key has
+    other contexts too.
+    """
+    place = [c for c in ("_a", "_b", "lo", "hi", "at") if c in rows.columns]
+    groups = stored(
+        rows.groupBy(*key, *context).agg(F.sum("n").alias("n"), F.min(F.struct(*place)).alias("first")), "groups"
+    )
+    copied = groups.filter("n > 1").select(*key, *context, "first")
+    copies = rows.join(copied, [*key, *context])
+    if keep_first:
+        copies = copies.filter(F.struct(*place) != F.col("first"))
+    several = groups.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select(*key)
+    return copies.select("_a", "_b", "lo", "hi"), groups.join(several, key, "left_semi")
 
 
 def repeated_starts(texts: DataFrame, width: int, keep_first: bool) -> DataFrame:
     """(_a, _b, lo, hi): ranges of window starts that are copies; all of them, or all but the first of each run."""
     rows = anchor_rows(texts, width)
     twice = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    repeated = stored(rows.join(twice, "h", "left_semi"), "anchors")
-    contexts = stored(
-        repeated.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_a", "_b", "lo", "hi")).alias("first")),
-        "contexts",
-    )
-    copied = contexts.filter("n > 1").select("h", "c", "first")
-    whole = repeated.join(copied, ["h", "c"])
-    if keep_first:
-        whole = whole.filter(F.struct("_a", "_b", "lo", "hi") != F.col("first"))
-    several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("h")
-    reps = (
-        contexts.join(several, "h", "left_semi")
-        .groupBy(F.col("first._a").alias("_a"), F.col("first._b").alias("_b"))
-        .agg(F.collect_list(F.struct("h", F.col("first.lo").alias("lo"), F.col("first.hi").alias("hi"), "n")).alias("reps"))
+    repeated = stored(rows.join(twice, "h", "left_semi").withColumn("n", F.lit(1).cast("long")), "anchors")
+    by_context, contexts = settle(repeated, ["h"], ["c"], keep_first)
+    reps = contexts.groupBy(F.col("first._a").alias("_a"), F.col("first._b").alias("_b")).agg(
+        F.collect_list(F.struct("h", "first.lo", "first.hi", "first.at", "n")).alias("reps")
     )
     # Rows with one id and text are one entry here: their contexts were counted above.
-    listed = texts.join(reps, ["_a", "_b"]).select("_a", "_b", "text", "reps")
-    windows = stored(window_rows(listed, width), "suffixes")
-    runs = (
-        windows.groupBy("h", "k")
-        .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("_a", "_b", "p")).alias("least"))
-        .filter("m > 1")
+    listed = texts.join(reps, ["_a", "_b"]).select("_a", "_b", "text", "reps").dropDuplicates(["_a", "_b"])
+    chunks = stored(chunk_rows(listed, width), "chunks")
+    by_chunk, chunk_contexts = settle(chunks, ["h", "k"], ["left", "right"], keep_first)
+    # A window takes the end of what is left of the core and the start of what is right of it.
+    windows = (
+        chunk_contexts.select("h", "k", "left", "right", "n", "first", F.explode(F.sequence("first.lo", "first.hi")).alias("p"))
+        .withColumn("i", (F.col("first.lo") + F.length("left") - F.col("p")).cast("int"))
+        .withColumn("w", F.xxhash64(F.expr("substring(left, length(left) - i + 1, i)"), F.expr(f"substring(right, 1, {STEP - 1} - i)")))
+        .select("h", "k", "i", "w", "n", F.col("first._a").alias("_a"), F.col("first._b").alias("_b"), F.col("p").alias("lo"), F.col("p").alias("hi"))
     )
-    single = windows.filter(F.lit(keep_first) | (F.col("n") == 1)).join(runs, ["h", "k"])
-    if keep_first:
-        single = single.filter(F.struct("_a", "_b", "p") != F.col("least"))
-    return whole.select("_a", "_b", "lo", "hi").union(single.select("_a", "_b", F.col("p").alias("lo"), F.col("p").alias("hi")))
+    by_window, _ = settle(stored(windows, "windows"), ["h", "k", "i", "w"], [], keep_first)
+    return by_context.union(by_chunk).union(by_window)
 
 
 def cut(data: bytes, starts, width: int):
