@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FIELDS_TYPE = "array<struct<field:string,value:array<float>,scalar:boolean>>"
 Flattener = Callable[[Column], Column]
-# Deeper messages are reported as failed, never cut silently.
-MAX_DEPTH = 6
+# Levels walked where the caller has not asked the data (``needed_depth``);
+# deeper messages are reported as failed, never cut silently.
+MAX_DEPTH = 12
 
 
 def _entry(field: Column, value: Column, scalar: Column) -> Column:
@@ -212,9 +213,9 @@ FLATTENERS: dict[str, Flattener] = {
 
 
 def flatten_message(
-    msgtype: Column, payload: Column, custom: Mapping[str, Flattener] | None = None
+    msgtype: Column, payload: Column, custom: Mapping[str, Flattener] | None = None, depth: int = MAX_DEPTH
 ) -> Column:
-    """Dispatch on the message type; unknown types take the generic walk.
+    """Dispatch on the message type; unknown types take the generic walk of ``depth`` levels.
 
     ``custom`` adds or replaces flatteners without touching the registry.
     """
@@ -222,7 +223,16 @@ def flatten_message(
     for name, fn in {**FLATTENERS, **(custom or {})}.items():
         branch = fn(payload)
         out = F.when(msgtype == name, branch) if out is None else out.when(msgtype == name, branch)
-    return out.otherwise(generic(payload))
+    return out.otherwise(generic(payload, depth))
+
+
+def needed_depth(messages: DataFrame, custom: Mapping[str, Flattener] | None = None) -> int:
+    """Object levels of the deepest message that takes the generic walk; one pass over ``(msgtype, payload)``."""
+    known = [*FLATTENERS, *(custom or {})]
+    kinds = messages.where(~F.col("msgtype").isin(*known)).select(F.schema_of_variant("payload").alias("kind")).distinct()
+    # The count of object brackets bounds the nesting of one schema from above.
+    bound = kinds.agg(F.max(F.regexp_count("kind", F.lit("OBJECT<")))).first()[0]
+    return max(1, bound or 0)
 
 
 def shape_text(value: Column, scalar: Column) -> Column:

@@ -75,6 +75,16 @@ def mirror_outcome(sentinel: Column, baseline: Column) -> Column:
     )
 
 
+def mirror_told(told: Column, baseline: Column) -> Column:
+    """As ``mirror_outcome``, of typed fields whose names are listed in ``told.given``."""
+    return F.struct(
+        *[
+            F.when(F.coalesce(F.array_contains(told["given"], k), F.lit(False)), told[k]).otherwise(baseline[k]).alias(k)
+            for k in OUTCOME_KEYS
+        ]
+    )
+
+
 def merge_metadata(produced: Column, given: Column) -> Column:
     """Shallow merge of two string-keyed maps; the caller's entries win."""
     produced = F.coalesce(produced, F.create_map().cast("map<string,string>"))

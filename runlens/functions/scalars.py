@@ -140,3 +140,8 @@ def number_text(value: Column, signed: bool = False) -> Column:
 
 def flag_text(value: Column) -> Column:
     return F.when(value.isNull(), "-").when(value, "yes").otherwise("no")
+
+
+def stripped(text: Column) -> Column:
+    """``text`` without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")

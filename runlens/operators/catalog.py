@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.classify import kind_from_extension
-from runlens.functions.scalars import clamp_failure_time
+from runlens.functions.scalars import clamp_failure_time, stripped
 from runlens.operators.ordering import salted_join
 
 
@@ -89,7 +89,7 @@ def eval_plan(requests: DataFrame, episodes: DataFrame) -> DataFrame:
     episode are kept with ``known`` false.
     """
     asked = (
-        requests.withColumn("baseline_episode_id", F.trim("token"))
+        requests.withColumn("baseline_episode_id", stripped(F.col("token")))
         .where((F.col("baseline_episode_id") != "") & ~F.col("baseline_episode_id").startswith("#"))
         .drop("token")
     )
@@ -105,7 +105,7 @@ def eval_plan(requests: DataFrame, episodes: DataFrame) -> DataFrame:
 
 def require_run(candidate_version: Column) -> Column:
     """Trimmed version of a run; a blank one fails the job."""
-    v = F.trim(candidate_version)
+    v = stripped(candidate_version)
     return F.when(F.length(v) > 0, v).otherwise(
         F.raise_error(F.lit("a run needs a candidate policy version"))
     )

@@ -41,9 +41,20 @@ def _vectors_by_step(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     both = side(action_keys(baseline), "b").unionByName(side(candidate, "c"))
 
     def gather(name: str) -> Column:
-        return F.map_from_entries(F.collect_list(F.when(F.col("side") == name, F.col("kv"))))
+        return F.sort_array(F.collect_list(F.when(F.col("side") == name, F.col("kv"))), asc=False)
 
-    return both.groupBy("episode_id", "step").agg(gather("b").alias("base"), gather("c").alias("cand"))
+    def by_key(entries: str) -> Column:
+        # Of values repeated for one key the greatest counts; see repeated_keys.
+        first = F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1)
+        return F.map_from_entries(first)
+
+    sides = both.groupBy("episode_id", "step").agg(gather("b").alias("base"), gather("c").alias("cand"))
+    return sides.select("episode_id", "step", by_key("base").alias("base"), by_key("cand").alias("cand"))
+
+
+def repeated_keys(samples: DataFrame) -> DataFrame:
+    """``(episode_id, key, step, n)`` of steps that give one key more than once."""
+    return samples.groupBy("episode_id", "key", "step").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def _step_distance(base: Column, cand: Column) -> Column:

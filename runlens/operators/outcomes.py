@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from runlens.functions.classify import classify_dataset
 from runlens.operators.ordering import salted_join
 
-DEFAULT_MAX_STEPS = 10_000
-
 
 def frame_outcomes(
     frames: DataFrame, columns: Sequence[str], episode: str, index: str
@@ -64,22 +62,19 @@ def demo_outcomes(datasets: DataFrame, keys: Sequence[str] = ("path", "demo")) -
 
 
 def rollout_totals(
-    steps: DataFrame, episode: str = "episode_id", fps: float = 30.0, max_steps: int = DEFAULT_MAX_STEPS
+    steps: DataFrame, episode: str = "episode_id", fps: float = 30.0, max_steps: int | None = None
 ) -> DataFrame:
     """Reward, length and ending of logged rollouts.
 
-    A rollout ends at its first terminal step or at ``max_steps``. The ending is
-    found by a combinable minimum, so no episode is gathered in one place.
+    A rollout ends at its first terminal step; all logged steps up to it count
+    unless ``max_steps`` is given. The ending is found by a combinable minimum,
+    so no episode is gathered in one place.
     """
+    if max_steps is not None:
+        steps = steps.where(F.col("step") < max_steps)
     done = F.col("terminated") | F.col("truncated")
-    stop = (
-        steps.where(F.col("step") < max_steps)
-        .groupBy(episode)
-        .agg(F.min(F.when(done, F.col("step"))).alias("_stop"))
-    )
-    within = salted_join(
-        steps.where(F.col("step") < max_steps), stop, [episode], F.col("step")
-    ).where(F.col("_stop").isNull() | (F.col("step") <= F.col("_stop")))
+    stop = steps.groupBy(episode).agg(F.min(F.when(done, F.col("step"))).alias("_stop"))
+    within = salted_join(steps, stop, [episode], F.col("step")).where(F.col("_stop").isNull() | (F.col("step") <= F.col("_stop")))
     return within.groupBy(episode).agg(
         F.sum(F.col("reward").cast("double")).alias("total_reward"),
         F.count(F.lit(1)).alias("steps"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.functions import classify
-from runlens.functions.flatten import Flattener, flatten_message
+from runlens.functions.flatten import MAX_DEPTH, Flattener, flatten_message, needed_depth
 from runlens.functions.scalars import seconds_to_ns, synthetic_ns
 from runlens.operators import quality
 from runlens.operators.ordering import number_rows, salted_join
@@ -46,12 +46,14 @@ def stored_flat_messages(
     payload again for each of them would cost far more than the write.
     """
     spread = spread_small(messages, *KEY, "seq")
-    return materialize(flat_messages(spread, custom), "flat")
+    return materialize(flat_messages(spread, custom, needed_depth(messages, custom)), "flat")
 
 
-def flat_messages(messages: DataFrame, custom: Mapping[str, Flattener] | None = None) -> DataFrame:
+def flat_messages(
+    messages: DataFrame, custom: Mapping[str, Flattener] | None = None, depth: int = MAX_DEPTH
+) -> DataFrame:
     """Messages with ``fields`` and ``failed`` in place of the payload."""
-    flat = messages.withColumn("_f", flatten_message(F.col("msgtype"), F.col("payload"), custom))
+    flat = messages.withColumn("_f", flatten_message(F.col("msgtype"), F.col("payload"), custom, depth))
     return flat.select(
         *KEY,
         "msgtype",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.functions.outcome import extract_outcome, mirror_outcome
+from runlens.functions.outcome import OUTCOME_KEYS, extract_outcome, mirror_told
 from runlens.operators import metrics
 from runlens.operators.ordering import salted_join
 from runlens.session import materialize
@@ -20,21 +19,47 @@ Policy = Callable[[dict[str, Any]], Mapping[str, Any]]
 
 SENTINEL = "_outcome"
 _ACTIONS = "ARRAY<STRUCT<key: STRING, value: ARRAY<DOUBLE>>>"
+_TOLD = (
+    "STRUCT<given: ARRAY<STRING>, success: BOOLEAN, reward_total: DOUBLE, collision_count: DOUBLE, time_to_goal_s: DOUBLE>"
+)
+_TOLD_ARROW = pa.struct(
+    [("given", pa.list_(pa.string())), ("success", pa.bool_())] + [(k, pa.float64()) for k in OUTCOME_KEYS[1:]]
+)
+
+
+def _vector(value: Any) -> np.ndarray | None:
+    """Numbers of one action value; what holds none counts as given without numbers."""
+    if value is None:
+        return None
+    try:
+        return np.asarray(value, dtype="float64").ravel()
+    except (TypeError, ValueError):
+        return None
+
+
+def _told(sentinel: Any) -> dict | None:
+    """Outcome fields of a sentinel with their presence; values of another kind are given as null."""
+    if not isinstance(sentinel, Mapping):
+        return None
+    out: dict[str, Any] = {"given": [k for k in OUTCOME_KEYS if k in sentinel]}
+    for key in out["given"]:
+        value = sentinel[key]
+        value = value.item() if isinstance(value, np.generic) else value
+        if key == "success":
+            out[key] = value if isinstance(value, bool) else None
+        else:
+            out[key] = float(value) if isinstance(value, (bool, int, float)) else None
+    return out
 
 
-def _act(policy: Policy, obs: dict[str, Any]) -> tuple[list | None, str | None, str | None]:
-    """One step: (actions, sentinel JSON, error)."""
+def _act(policy: Policy, obs: dict[str, Any]) -> tuple[list | None, dict | None, str | None]:
+    """One step: (actions, sentinel fields, error)."""
     try:
         action = policy(obs)
         if not isinstance(action, Mapping):
             raise TypeError(f"a policy must return a mapping, got {type(action).__name__}")
-        told = action.get(SENTINEL)
-        rows = [
-            (str(key), None if value is None else np.asarray(value, dtype="float64").ravel())
-            for key, value in action.items()
-            if key != SENTINEL
-        ]
-        return rows, json.dumps(dict(told)) if isinstance(told, Mapping) else None, None
+        rows = [(str(key), _vector(value)) for key, value in action.items() if key != SENTINEL]
+        return rows, _told(action.get(SENTINEL)), None
     except Exception as exc:  # noqa: BLE001 - a failing policy fails its episode only
         return None, None, f"{type(exc).__name__}: {exc}"
 
@@ -66,7 +91,7 @@ def _answers(ids: pa.Array, steps: pa.Array, out: list) -> pa.RecordBatch:
             ids,
             steps,
             actions,
-            pa.array([o[1] for o in out], pa.string()),
+            pa.array([o[1] for o in out], _TOLD_ARROW),
             pa.array([o[2] for o in out], pa.string()),
         ],
         ["episode_id", "step", "actions", "sentinel", "error"],
@@ -90,7 +115,7 @@ def replay(
         raise ValueError("give either policy or policy_factory")
     id_type = observations.schema["episode_id"].dataType.simpleString()
     schema = (
-        f"episode_id {id_type}, step BIGINT, actions {_ACTIONS}, sentinel STRING, error STRING"
+        f"episode_id {id_type}, step BIGINT, actions {_ACTIONS}, sentinel {_TOLD}, error STRING"
     )
     rows = observations.select("episode_id", "step", "obs")
 
@@ -173,8 +198,7 @@ def evaluate(
         .join(told, F.col("_id") == F.col("_m"), "left")
     )
     ok = F.col("error").isNull()
-    outcome = mirror_outcome(F.try_parse_json("sentinel"), F.col("b"))
-    scored = joined.withColumn("c", outcome)
+    scored = joined.withColumn("c", mirror_told(F.col("sentinel"), F.col("b")))
 
     def metric(value: Column) -> Column:
         return F.when(ok, value)

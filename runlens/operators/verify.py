@@ -231,7 +231,8 @@ def run_check(
     mine = results.where(F.col("candidate_policy_version") == candidate)
     latest = materialize(latest_status(mine, order), "latest")
     todo = materialize(blockers(scenarios, latest, candidate), "pending")
-    plan = todo.select(F.col(pos).alias("pos"), "baseline_episode_id")
+    # A baseline is replayed once, however many scenarios it serves.
+    plan = todo.groupBy("baseline_episode_id").agg(F.min(pos).alias("pos")).select("pos", "baseline_episode_id")
     # Results are stored once: they are the record of the check.
     fresh = materialize(
         scenario_results(evaluate(plan), todo, pos).withColumn(
@@ -242,8 +243,8 @@ def run_check(
     if dry_run:
         after = latest
     else:
-        renewed = fresh.select(
-            "scenario_id", "candidate_policy_version", F.col("verify_status").alias("latest_status")
+        renewed = fresh.groupBy("scenario_id", "candidate_policy_version").agg(
+            F.min("verify_status").alias("latest_status")  # error before fail before pass
         )
         kept = latest.join(renewed, ["scenario_id", "candidate_policy_version"], "left_anti")
         after = kept.unionByName(renewed)

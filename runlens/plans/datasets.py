@@ -277,7 +277,7 @@ def report_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("path"),
         F.explode(F.array(F.lit("timestamp"), F.lit("index"), F.lit("observation.images.top"))).alias("name"),
     )
-    return frames.feature_text(named.unionByName(hidden).distinct())
+    return frames.feature_text(named.unionByName(hidden).distinct(), limit=8)
 
 
 # ── packing frames ───────────────────────────────────────────────────
@@ -615,7 +615,7 @@ def report_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("total_episodes"),
         F.lit(None).cast("bigint").alias("total_frames"),
     )
-    return frames.dataset_report(frames.dataset_summary(info, eps), features, eps)
+    return frames.dataset_report(frames.dataset_summary(info, eps), features, eps, short=True)
 
 
 @query(

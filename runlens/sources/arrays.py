@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runlens.functions.scalars import stripped
+
 _ROWS = 50_000
 ARCHIVE_ROWS = "path STRING, key STRING, step BIGINT, t_ns BIGINT, value ARRAY<DOUBLE>, shape ARRAY<INT>, reason STRING"
 
@@ -102,7 +104,7 @@ def scan_csv_actions(
 
 def baseline_ids(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Ids of a list file: trimmed lines without blanks and ``#`` comments."""
-    line = F.trim("value")
+    line = stripped(F.col("value"))
     return (
         spark.read.text(paths)
         .select(line.alias("baseline_episode_id"))

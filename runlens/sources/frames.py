@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.functions.classify import FRAME_BOOKKEEPING, format_support, require_format
+from runlens.functions.scalars import stripped
 from runlens.operators.ordering import number_rows, row_hash, salted_join
 
 FRAME_NAME = r"chunk-(\d+)/episode_(\d+)\.parquet"
@@ -33,7 +35,7 @@ def scan_frames_v2(spark: SparkSession, root: str, schema: T.StructType | None =
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     frames = reader.parquet(f"{root}/data/chunk-*/episode_*.parquet")
-    files = frames.inputFiles()
+    files = [unquote(f) for f in frames.inputFiles()]
     kept = preferred_files(files)
     if len(kept) < len(files):
         frames = reader.parquet(*kept)
@@ -70,7 +72,7 @@ def slice_episodes(frames: DataFrame, wanted: Sequence[int]) -> DataFrame:
 
 def empty_episodes(episodes: DataFrame, frames: DataFrame) -> DataFrame:
     """Catalogued episodes without a single frame."""
-    return episodes.join(frames.select("episode_index"), "episode_index", "left_anti")
+    return episodes.join(frames.select("episode_index").distinct(), "episode_index", "left_anti")
 
 
 # ── metadata ─────────────────────────────────────────────────────────
@@ -144,14 +146,27 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
-        F.trim("value").alias("line"),
+        stripped(F.col("value")).alias("line"),
     )
     return number_rows(lines.where(F.col("line") != ""), ["path"], ["block", "id"], out="pos").drop("block", "id")
 
 
-def scan_episodes_jsonl(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(path, pos, episode_index, length, row VARIANT)`` of episode lines."""
+def broken_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(path, pos, line)`` of lines that hold no JSON."""
+    return numbered_lines(spark, paths).where(F.try_parse_json("line").isNull()).select("path", "pos", "line")
+
+
+def scan_episodes_jsonl(spark: SparkSession, paths: str | Sequence[str], strict: bool = False) -> DataFrame:
+    """``(path, pos, episode_index, length, row VARIANT)`` of episode lines.
+
+    Lines that hold no JSON are no episodes: ``broken_lines`` has them, and
+    ``strict`` fails on the first one.
+    """
     rows = numbered_lines(spark, paths).withColumn("row", F.try_parse_json("line"))
+    if strict:
+        fail = F.raise_error(F.concat(F.lit("no JSON in line "), F.col("pos").cast("string"), F.lit(" of "), F.col("path")))
+        rows = rows.withColumn("row", F.when(F.col("row").isNull(), fail.cast("variant")).otherwise(F.col("row")))
+    rows = rows.where(F.col("row").isNotNull())
     v = F.col("row")
 
     def positive(path: str) -> Column:
@@ -168,9 +183,8 @@ def scan_episodes_jsonl(spark: SparkSession, paths: str | Sequence[str]) -> Data
 
 
 def scan_episodes_v3(spark: SparkSession, root: str) -> DataFrame:
-    """Episode rows of all metadata shards, ascending."""
-    shards = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/meta/episodes")
-    return shards.orderBy("episode_index")
+    """Episode rows of all metadata shards; sort them where an order is needed."""
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{root}/meta/episodes")
 
 
 def _first_text(*values: Column) -> Column:
@@ -276,8 +290,8 @@ def dataset_summary(info: DataFrame, episodes: DataFrame, key: str = "path") ->
     ).drop("_episodes", "_frames")
 
 
-def feature_text(features: DataFrame, key: str = "path", limit: int = 8) -> DataFrame:
-    """The first features by name and how many more there are.
+def feature_text(features: DataFrame, key: str = "path", limit: int | None = None) -> DataFrame:
+    """All features by name; with ``limit`` the first ones and how many more there are.
 
     Cameras and bookkeeping columns are not listed.
     """
@@ -285,6 +299,8 @@ def feature_text(features: DataFrame, key: str = "path", limit: int = 8) -> Data
         ~F.col("name").startswith(CAMERA_PREFIX) & ~F.col("name").isin(*FRAME_BOOKKEEPING)
     )
     names = shown.groupBy(key).agg(F.sort_array(F.collect_list("name")).alias("_names"))
+    if limit is None:
+        return names.select(key, F.array_join("_names", ", ").alias("features"))
     more = F.size("_names") - limit
     return names.select(
         key,
@@ -295,14 +311,16 @@ def feature_text(features: DataFrame, key: str = "path", limit: int = 8) -> Data
     )
 
 
-def dataset_report(summary: DataFrame, features: DataFrame, episodes: DataFrame, key: str = "path") -> DataFrame:
-    """Text lines per dataset; episodes are listed for datasets of at most five."""
+def dataset_report(summary: DataFrame, features: DataFrame, episodes: DataFrame, key: str = "path", short: bool = False) -> DataFrame:
+    """Text lines per dataset; ``short`` names eight features and lists episodes of datasets of at most five."""
     cameras = camera_keys(features, key).groupBy(key).agg(
         F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("cameras")
     )
-    small = summary.where("total_episodes <= 5").select(key)
+    told = episodes
+    if short:
+        told = episodes.join(summary.where("total_episodes <= 5").select(key), key)
     listed = (
-        episodes.join(small, key)
+        told
         .groupBy(key)
         .agg(
             F.transform(
@@ -318,7 +336,7 @@ def dataset_report(summary: DataFrame, features: DataFrame, episodes: DataFrame,
     )
     joined = (
         summary.join(cameras, key, "left")
-        .join(feature_text(features, key), key, "left")
+        .join(feature_text(features, key, 8 if short else None), key, "left")
         .join(listed, key, "left")
     )
     head = F.format_string("%s  (%s, %s fps)", F.col(key).cast("string"), "codebase_version", F.col("fps").cast("string"))

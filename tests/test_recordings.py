@@ -95,9 +95,14 @@ def test_topic_without_numbers(spark):
     assert issues(spark, [{"name": "x"}], "std_msgs/msg/String") == {"no usable fields after flatten"}
 
 
-def test_deep_messages_are_reported_not_cut(spark):
-    deep = {"a": {"b": {"c": {"d": {"e": {"f": {"g": 1}}}}}}}
-    assert issues(spark, [deep], "x/msg/Deep") == {"flatten failed for x/msg/Deep: nested deeper than 6 levels"}
+def test_messages_are_walked_as_deep_as_they_are(spark):
+    deep = 1
+    for k in range(12):
+        deep = {f"k{k}": deep, "x": k}
+    rows = messages(spark, [(1, "/t", "x/msg/Deep", 0, deep)])
+    stored = pack.stored_flat_messages(rows)
+    assert stored.first()["failed"] is None and len(stored.first()["fields"]) == 13
+    assert pack.flat_messages(rows, depth=6).first()["failed"] is not None
 
 
 def test_custom_flatteners_replace_the_generic_walk(spark):
@@ -152,6 +157,8 @@ def test_ragged_columns(spark):
 def test_rollouts_stop_at_the_first_terminal_step(spark):
     rows = [("a", i, 1.0, i in (7, 9), False) for i in range(12)] + [("b", i, 0.5, False, False) for i in range(12)]
     df = spark.createDataFrame(rows, "episode_id STRING, step BIGINT, reward DOUBLE, terminated BOOLEAN, truncated BOOLEAN")
+    long = spark.range(12_000).selectExpr("'c' AS episode_id", "id AS step", "1.0D AS reward", "false AS terminated", "false AS truncated")
+    assert outcomes.rollout_totals(long).first()["steps"] == 12_000
     got = {r["episode_id"]: r for r in outcomes.rollout_totals(df, max_steps=10).collect()}
     assert (got["a"]["steps"], got["a"]["total_reward"], got["a"]["terminated"]) == (8, 8.0, True)
     assert (got["b"]["steps"], got["b"]["terminated"], got["b"]["duration_s"]) == (10, False, pytest.approx(1 / 3))

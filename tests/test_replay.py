@@ -104,3 +104,28 @@ def test_progress_can_be_observed(tables):
     df = rp.observed_progress(rp.evaluate(*tables, policy=lambda obs: {}, dry_run=True))
     df.collect()
     assert df.observation.get == {"episodes": 5, "completed": 5, "failed": 0}
+
+
+def test_sentinel_kinds_and_text_keys(tables):
+    import numpy as np
+
+    def policy(obs):
+        told = {"success": np.bool_(False), "time_to_goal_s": float("nan"), "collision_count": np.int64(2), "reward_total": "x"}
+        return {"/cmd/v": np.asarray(obs["/s/v"][:1]), "note": "ok", "_outcome": told}
+
+    got = by_pos(rp.evaluate(*tables, policy=policy, dry_run=True))
+    row = got[0]
+    assert row["status"] == "complete" and row["error"] is None
+    assert row["success_candidate"] is False and row["collision_count_candidate"] == 2.0
+    assert row["time_to_goal_s_candidate"] != row["time_to_goal_s_candidate"]
+    assert row["reward_total_candidate"] is None
+
+
+def test_repeated_keys_do_not_end_the_job(spark):
+    from runlens.operators import metrics
+
+    schema = "episode_id STRING, key STRING, step BIGINT, value ARRAY<DOUBLE>"
+    base = spark.createDataFrame([("a", "/cmd/v", 0, [1.0]), ("a", "/cmd/v", 0, [3.0]), ("b", "/cmd/v", 0, [1.0])], schema)
+    cand = spark.createDataFrame([("a", "/cmd/v", 0, [1.0]), ("b", "/cmd/v", 0, [1.0])], schema)
+    assert {r["episode_id"]: r["action_l2"] for r in metrics.action_l2(base, cand).collect()} == {"a": 2.0, "b": 0.0}
+    assert [tuple(r) for r in metrics.repeated_keys(base).collect()] == [("a", "/cmd/v", 0, 2)]

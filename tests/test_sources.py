@@ -263,3 +263,24 @@ def test_a_whole_dataset_from_files_to_samples(spark, tmp_path):
     ends = outcomes.frame_outcomes(data, ["next.reward", "next.done"], "episode_index", "frame_index")
     got = {r["episode_index"]: (r["outcome"]["next.done"], r["reward_sum"]) for r in ends.collect()}
     assert got == {0: (True, 2.5), 1: (True, 1.5)}
+
+
+def test_broken_lines_are_no_episodes_and_all_blanks_are_stripped(spark, tmp_path):
+    path = tmp_path / "episodes.jsonl"
+    path.write_text('{"episode_index": 4, "length": 3}\n\t \n{broken\n\t{"length": 5}\u00a0\n')
+    rows = frames.scan_episodes_jsonl(spark, str(path)).collect()
+    assert sorted((r["pos"], r["episode_index"], r["length"]) for r in rows) == [(0, 4, 3), (2, 2, 5)]
+    assert [(r["pos"], r["line"]) for r in frames.broken_lines(spark, str(path)).collect()] == [(1, "{broken")]
+    with pytest.raises(Exception, match="no JSON in line 1"):
+        frames.scan_episodes_jsonl(spark, str(path), strict=True).collect()
+
+
+def test_roots_with_blanks(spark, tmp_path):
+    root = tmp_path / "my data"
+    for chunk in (0, 1):
+        spark.range(2).coalesce(1).write.parquet(str(root / f"tmp{chunk}"))
+        target = root / "data" / f"chunk-00{chunk}"
+        target.mkdir(parents=True)
+        part = next((root / f"tmp{chunk}").glob("part-*.parquet"))
+        (target / "episode_000003.parquet").write_bytes(part.read_bytes())
+    assert frames.scan_frames_v2(spark, str(root)).count() == 2

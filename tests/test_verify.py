@@ -108,6 +108,22 @@ def test_check_replays_what_is_pending(spark, dry):
     assert [r["verify_status"] for r in fresh.collect()] == ["pass"]
 
 
+def test_scenarios_that_share_a_baseline_are_counted_once(spark):
+    shared = spark.createDataFrame(
+        [("s1", "e1", "one", "critical"), ("s2", "e1", "two", "critical")],
+        "scenario_id STRING, baseline_episode_id STRING, name STRING, severity STRING",
+    )
+
+    def evaluate(plan):
+        done = plan.select("baseline_episode_id", F.lit("complete").alias("status"), F.lit(True).alias("success_candidate"))
+        return done.union(done)
+
+    verdict, _ = verify.run_check(shared, results(spark, []), ["seq"], "v2", evaluate)
+    row = verdict.first()
+    # Results of a baseline belong to the last scenario listed for it.
+    assert (row["critical_total"], row["critical_passed"], row["critical_failed"], row["critical_pending"]) == (2, 1, 0, 1)
+
+
 def test_status_derivation(spark):
     rows = spark.createDataFrame(
         [("failed", True), ("complete", True), ("complete", False), ("complete", None)],
