@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.classify import kind_from_extension
+from runlens.functions.notes import note
 from runlens.functions.scalars import clamp_failure_time, stripped
 from runlens.operators.ordering import salted_join
 
 
 def failure_time_problem(status: Column, failure_time: Column) -> Column:
     """Why a failure time cannot be stored; NULL when it can."""
-    return F.when(failure_time < 0, F.lit("failure_time_s must be >= 0")).when(
+    return F.when(failure_time < 0, note("range", field="failure_time_s", low="0")).when(
         failure_time.isNotNull() & ~status.eqNullSafe(F.lit("failed")),
         F.lit("failure_time_s needs status failed"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from runlens.functions import classify
 from runlens.functions.flatten import MAX_DEPTH, Flattener, flatten_message, needed_depth
+from runlens.functions.notes import note
 from runlens.functions.scalars import seconds_to_ns, synthetic_ns
 from runlens.operators import quality
 from runlens.operators.ordering import number_rows, salted_join
@@ -87,9 +88,8 @@ def message_issues(flat: DataFrame) -> DataFrame:
     health = topic_health(flat)
     slot = classify.classify_topic(F.col("topic"), F.col("msgtype"))["slot"]
     reason = F.when(
-        F.col("failed").isNotNull(),
-        F.concat(F.lit("flatten failed for "), F.col("msgtype"), F.lit(": "), F.col("failed")),
-    ).when(F.col("usable") == 0, "no usable fields after flatten")
+        F.col("failed").isNotNull(), note("unreadable", msgtype=F.col("msgtype"), cause=F.col("failed"))
+    ).when(F.col("usable") == 0, note("no_numbers"))
     topics = health.select("recording_id", slot.alias("slot"), F.col("topic").alias("item"), reason.alias("reason"))
     rows = usable_rows(flat)
     types = health.select(*KEY, slot.alias("slot"))
@@ -141,25 +141,25 @@ def _numeric(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.FloatType, T.DoubleType, T.IntegralType))
 
 
-def frame_plan(frames: DataFrame, declared: Sequence[str], timestamp: str = "timestamp") -> tuple[list[str], list[str], list[tuple[str, str]]]:
-    """Split declared columns by schema: ``(scalars, lists, [(column, reason)])``.
+def frame_plan(frames: DataFrame, declared: Sequence[str], timestamp: str = "timestamp") -> tuple[list[str], list[str], list[tuple[str, str, str]]]:
+    """Split declared columns by schema: ``(scalars, lists, [(column, code, type)])``.
 
     Only the schema is read; no data is touched.
     """
     types = {f.name: f.dataType for f in frames.schema.fields}
     if timestamp not in types:
-        return [], [], [("*", f"no `{timestamp}` column in parquet - cannot align rows")]
+        return [], [], [("*", "no_clock", timestamp)]
     scalars, lists, notes = [], [], []
     for name in declared:
         kind = types.get(name)
         if kind is None:
-            notes.append((name, "declared in features but absent from data"))
+            notes.append((name, "column_absent", ""))
         elif _numeric(kind):
             scalars.append(name)
         elif isinstance(kind, T.ArrayType) and _numeric(kind.elementType):
             lists.append(name)
         else:
-            notes.append((name, f"unsupported value shape: type {kind.simpleString()} not supported"))
+            notes.append((name, "column_type", kind.simpleString()))
     return scalars, lists, notes
 
 
@@ -176,7 +176,7 @@ def pack_frames(
     issue_type = "recording_id STRING, slot STRING, item STRING, reason STRING"
     slot_of = classify.classify_column(F.col("item"))["slot"]
     static = spark.createDataFrame(
-        [(None, None, c, r) for c, r in notes], issue_type
+        [(None, None, c, f"{code} type={kind}" if code == "column_type" else code) for c, code, kind in notes], issue_type
     ).withColumn("slot", slot_of)
     series = [
         F.struct(F.lit(c).alias("column"), F.array(F.col(f"`{c}`").cast("float")).alias("value"), F.lit(True).alias("scalar"))
@@ -205,7 +205,7 @@ def pack_frames(
                 F.col("episode_id").cast("string").alias("recording_id"),
                 F.lit(None).cast("string").alias("slot"),
                 F.col("column").alias("item"),
-                F.concat(F.lit("unsupported value shape: "), F.col("reason")).alias("reason"),
+                "reason",
             ).withColumn("slot", slot_of)
         )
         # Empty lists are dropped without a note.
@@ -284,7 +284,7 @@ def demo_issues(datasets: DataFrame) -> DataFrame:
         F.col("path").alias("recording_id"),
         slot.alias("slot"),
         F.col("name").alias("item"),
-        F.lit("empty or scalar dataset").alias("reason"),
+        note("nothing_stored").alias("reason"),
     )
 
 

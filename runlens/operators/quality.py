@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions.classify import IMAGE_TYPES
 from runlens.functions.flatten import shape_text
+from runlens.functions.notes import note
 from runlens.operators.ordering import salted_join
 
 
@@ -39,7 +40,7 @@ def missing_topics(present: DataFrame, recordings: DataFrame, slot: str, wanted:
     )
     return asked.join(
         present.select("recording_id", F.col("topic").alias("item")), ["recording_id", "item"], "left_anti"
-    ).select("recording_id", F.lit(slot).alias("slot"), "item", F.lit("not in bag").alias("reason"))
+    ).select("recording_id", F.lit(slot).alias("slot"), "item", note("topic_absent").alias("reason"))
 
 
 def wrong_video_types(present: DataFrame, wanted: Sequence[str]) -> DataFrame:
@@ -48,7 +49,7 @@ def wrong_video_types(present: DataFrame, wanted: Sequence[str]) -> DataFrame:
         "recording_id",
         F.lit("video").alias("slot"),
         F.col("topic").alias("item"),
-        F.concat(F.lit("video slot expects Image, got "), F.col("msgtype")).alias("reason"),
+        note("no_image", msgtype=F.col("msgtype")).alias("reason"),
     )
 
 
@@ -66,11 +67,9 @@ def ragged_columns(df: DataFrame, group: Sequence[str], value: str, pos: str) ->
         F.coalesce(F.array_size(value), F.lit(0)).alias("len"), F.col(value).isNull().alias("gone")
     )
     out = first_two(df.withColumn("_v", size).select(*group, "_v", pos), group, "_v", pos)
-    text = F.when(
-        F.col("a.gone"), F.format_string("row %d has length 0, expected 0", F.lit(0))
-    ).when(
+    text = F.when(F.col("a.gone"), note("row_length", row="0", found="0", expected="0")).when(
         F.col("b").isNotNull(),
-        F.format_string("row %d has length %d, expected %d", "b_pos", "b.len", "a.len"),
+        note("row_length", row=F.col("b_pos"), found=F.col("b.len"), expected=F.col("a.len")),
     )
     return out.withColumn("reason", text)
 
@@ -103,7 +102,7 @@ def field_summary(rows: DataFrame) -> DataFrame:
 def field_consistency(rows: DataFrame) -> DataFrame:
     """Fields that cannot be stacked: ``(recording_id, topic, field, reason)``.
 
-    The earlier of "missing" and "shape changed" is reported, as a reader going
+    The earlier of the two problems is reported, as a reader going
     message by message would see it. Only the fields found unsteady are looked
     at again, so the second pass is as small as the problem.
     """
@@ -120,8 +119,8 @@ def field_consistency(rows: DataFrame) -> DataFrame:
         F.lit(""),
     )
     seen = first_two(again.select(*key, "pos", "field", shape.alias("shape")), [*key, "field"], "shape", "pos")
-    missing = F.format_string("field '%s' missing in some messages", "field")
-    changed = F.format_string("field '%s' shape changed mid-bag (%s → %s)", "field", "a", "b")
+    missing = note("field_absent", field=F.col("field"))
+    changed = note("field_shape", field=F.col("field"), found=F.col("b"), expected=F.col("a"))
     return seen.select(
         *key, "field", F.when((F.col("a") == "") | (F.col("b") == ""), missing).otherwise(changed).alias("reason")
     )

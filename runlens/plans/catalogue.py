@@ -15,7 +15,7 @@ from runlens.plans.registry import query
     "failure_time",
     f"""WITH {B.EPISODES_SQL},
     t AS (SELECT episode_id, CASE WHEN episode_id % 9 = 0 THEN 'ready' ELSE status END AS status, failure_time_s AS f FROM episodes)
-    SELECT episode_id, CASE WHEN f < 0 THEN 'failure_time_s must be >= 0'
+    SELECT episode_id, CASE WHEN f < 0 THEN 'range field=failure_time_s low=0'
                             WHEN f IS NOT NULL AND status <> 'failed' THEN 'failure_time_s needs status failed' END AS problem,
            CASE WHEN f >= 0 AND status = 'failed' THEN round(least(f, 60.0), 6) END AS value FROM t""",
 )
@@ -53,7 +53,7 @@ def eval_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT episode_id, CASE WHEN own THEN 'sim' ELSE 'replay' END AS source,
            CASE WHEN broken OR file = 'a.mp4' THEN 'failed' ELSE status END AS status,
            CASE WHEN failure_time_s >= 0 THEN round(least(failure_time_s, 60.0), 6) END AS failure_time_s,
-           CASE WHEN failure_time_s < 0 THEN 'failure_time_s must be >= 0' END AS problem,
+           CASE WHEN failure_time_s < 0 THEN 'range field=failure_time_s low=0' END AS problem,
            CASE WHEN broken THEN 'upload error: timed out' WHEN file = 'a.mp4' THEN 'upload error: file looks like video' END AS failure_reason
     FROM t""",
 )

@@ -316,9 +316,9 @@ def pack_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "pack_series_issues",
-    """SELECT NULL AS recording_id, 'sensors' AS slot, 'observation.absent' AS item, 'declared in features but absent from data' AS reason
-    UNION ALL SELECT NULL, 'sensors', 'observation.flag', 'unsupported value shape: type string not supported'
-    UNION ALL SELECT l_suppkey::VARCHAR, 'sensors', 'observation.ragged', 'unsupported value shape: row 49 has length 1, expected 2'
+    """SELECT NULL AS recording_id, 'sensors' AS slot, 'observation.absent' AS item, 'column_absent' AS reason
+    UNION ALL SELECT NULL, 'sensors', 'observation.flag', 'column_type type=string'
+    UNION ALL SELECT l_suppkey::VARCHAR, 'sensors', 'observation.ragged', 'row_length row=49 found=1 expected=2'
     FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY l_suppkey HAVING count(*) >= 50""",
 )
 def pack_series_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,9 +333,9 @@ def pack_series_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
              CASE WHEN vec_id % 40 = 13 THEN NULL WHEN vec_id % 60 = 31 THEN 3 ELSE 64 END AS size, label % 3 = 0 AS clean FROM embeddings),
     s AS (SELECT label, pos, CASE WHEN clean THEN 64 ELSE coalesce(size, 0) END AS len, NOT clean AND size IS NULL AS gone FROM e),
     f AS (SELECT label, arg_min(len, pos) AS first_len, bool_or(gone AND pos = 0) AS first_gone FROM s GROUP BY 1)
-    SELECT label, CASE WHEN bool_or(first_gone) THEN 'row 0 has length 0, expected 0'
-             WHEN count(*) FILTER (len <> first_len) > 0 THEN 'row ' || min(pos) FILTER (len <> first_len) || ' has length '
-               || arg_min(len, pos) FILTER (len <> first_len) || ', expected ' || any_value(first_len) END AS reason
+    SELECT label, CASE WHEN bool_or(first_gone) THEN 'row_length row=0 found=0 expected=0'
+             WHEN count(*) FILTER (len <> first_len) > 0 THEN 'row_length row=' || min(pos) FILTER (len <> first_len) || ' found='
+               || arg_min(len, pos) FILTER (len <> first_len) || ' expected=' || any_value(first_len) END AS reason
     FROM s JOIN f USING (label) GROUP BY label""",
 )
 def ragged_check(spark: SparkSession, sf_dir: str) -> DataFrame:

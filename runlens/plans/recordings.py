@@ -140,8 +140,8 @@ _CONSISTENCY_SQL = f"""{B.FIELDS_SQL},
     FROM seen WHERE shape IS NULL OR shape <> first_shape GROUP BY ALL),
   field_issues AS (
     SELECT recording_id, topic, field,
-           CASE WHEN gone THEN 'field ''' || field || ''' missing in some messages'
-                ELSE 'field ''' || field || ''' shape changed mid-bag (' || first_shape || ' → ' || shape || ')' END AS reason
+           CASE WHEN gone THEN 'field_absent field=' || field
+                ELSE 'field_shape field=' || field || ' found=' || shape || ' expected=' || first_shape END AS reason
     FROM broken)"""
 
 
@@ -155,20 +155,20 @@ _ISSUES_SQL = f"""{_CONSISTENCY_SQL},
   topic_types AS (SELECT DISTINCT recording_id, topic, msgtype FROM messages),
   all_issues AS (
     SELECT recording_id, {_SLOT_SQL} AS slot, topic AS item,
-           'flatten failed for ' || msgtype || ': angular.x missing' AS reason
+           'unreadable msgtype=' || msgtype || ' cause=angular.x missing' AS reason
     FROM topic_types SEMI JOIN failed_topics USING (recording_id, topic)
     UNION ALL
-    SELECT recording_id, {_SLOT_SQL}, topic, 'no usable fields after flatten'
+    SELECT recording_id, {_SLOT_SQL}, topic, 'no_numbers'
     FROM topic_types ANTI JOIN kept_rows USING (recording_id, topic) WHERE topic <> '/cmd_vel'
     UNION ALL
     SELECT recording_id, {_SLOT_SQL}, topic, reason FROM field_issues JOIN topic_types USING (recording_id, topic)
     UNION ALL
-    SELECT recording_id, 'video', '/camera/depth', 'not in bag' FROM (SELECT DISTINCT recording_id FROM messages)
+    SELECT recording_id, 'video', '/camera/depth', 'topic_absent' FROM (SELECT DISTINCT recording_id FROM messages)
     UNION ALL
-    SELECT recording_id, 'video', '/camera/image_raw', 'not in bag' FROM (SELECT DISTINCT recording_id FROM messages)
+    SELECT recording_id, 'video', '/camera/image_raw', 'topic_absent' FROM (SELECT DISTINCT recording_id FROM messages)
     ANTI JOIN (SELECT recording_id FROM messages WHERE topic = '/camera/image_raw') USING (recording_id)
     UNION ALL
-    SELECT recording_id, 'video', topic, 'video slot expects Image, got ' || msgtype FROM topic_types WHERE topic = '/battery')"""
+    SELECT recording_id, 'video', topic, 'no_image msgtype=' || msgtype FROM topic_types WHERE topic = '/battery')"""
 
 
 def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:

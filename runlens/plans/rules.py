@@ -242,9 +242,9 @@ rule(
     [
         ([3, 3, 3, 3], [""]),
         ([3, None, None, None], [""]),
-        ([0, 2, None, None], ["positions must have at least one value"]),
-        ([3, 2, None, None], ["velocities must be the same length as positions (2 vs 3)"]),
-        ([2, None, 3, 1], ["efforts must be the same length as positions (3 vs 2)|names must be the same length as positions (1 vs 2)"]),
+        ([0, 2, None, None], ["empty field=positions"]),
+        ([3, 2, None, None], ["unequal field=velocities found=2 expected=3"]),
+        ([2, None, 3, 1], ["unequal field=efforts found=3 expected=2|unequal field=names found=1 expected=2"]),
     ],
     lambda: {
         "violations": F.array_join(
@@ -266,9 +266,9 @@ rule(
     "pose, twist, imu",
     [
         ([3, 4, 3], ["", "", ""]),
-        ([2, 4, 3], ["translation must have exactly 3 values, got 2", "linear must have exactly 3 values, got 2", "linear_acceleration must have exactly 3 values, got 2"]),
-        ([3, None, 3], ["rotation is required", "", ""]),
-        ([3, 3, 4], ["rotation must have exactly 4 values, got 3", "angular must have exactly 3 values, got 4", "angular_velocity must have exactly 3 values, got 4|orientation must have exactly 4 values, got 3"]),
+        ([2, 4, 3], ["width field=translation found=2 expected=3", "width field=linear found=2 expected=3", "width field=linear_acceleration found=2 expected=3"]),
+        ([3, None, 3], ["absent field=rotation", "", ""]),
+        ([3, 3, 4], ["width field=rotation found=3 expected=4", "width field=angular found=4 expected=3", "width field=angular_velocity found=4 expected=3|width field=orientation found=3 expected=4"]),
     ],
     lambda: {
         "pose": F.array_join(typed.pose_violations(_repeat("n3"), _repeat("n4")), "|"),
@@ -382,8 +382,8 @@ def episode_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "vec_checks",
     """WITH v AS (SELECT vec_id, vec_id % 6 AS w FROM embeddings)
-    SELECT vec_id, CASE WHEN w = 3 THEN NULL ELSE 'v must have exactly 3 values, got ' || w END AS vec3,
-           CASE WHEN w = 4 THEN NULL ELSE 'q must have exactly 4 values, got ' || w END AS quat FROM v""",
+    SELECT vec_id, CASE WHEN w = 3 THEN NULL ELSE 'width field=v found=' || w || ' expected=3' END AS vec3,
+           CASE WHEN w = 4 THEN NULL ELSE 'width field=q found=' || w || ' expected=4' END AS quat FROM v""",
 )
 def vec_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.slice("embedding", F.lit(1), (F.col("vec_id") % 6).cast("int"))
@@ -396,7 +396,7 @@ def vec_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "validate_battery",
-    """SELECT event_type, CASE WHEN value - 5 < 0 OR value - 5 > 100 THEN 'percent must be in [0, 100]' ELSE '' END AS violations,
+    """SELECT event_type, CASE WHEN value - 5 < 0 OR value - 5 > 100 THEN 'range field=percent low=0 high=100' ELSE '' END AS violations,
               count(*) AS n FROM events GROUP BY ALL""",
 )
 def validate_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,8 +406,8 @@ def validate_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "validate_outcome",
-    """SELECT doc_id, concat_ws('|', CASE WHEN toxic - (doc_id % 7 = 0)::INT < 0 THEN 'collision_count must be >= 0' END,
-              CASE WHEN doc_id - 5 < 0 THEN 'time_to_goal_s must be >= 0' END) AS violations FROM labels""",
+    """SELECT doc_id, concat_ws('|', CASE WHEN toxic - (doc_id % 7 = 0)::INT < 0 THEN 'range field=collision_count low=0' END,
+              CASE WHEN doc_id - 5 < 0 THEN 'range field=time_to_goal_s low=0' END) AS violations FROM labels""",
 )
 def validate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     collisions = F.col("toxic") - (F.col("doc_id") % 7 == 0).cast("int")
