@@ -3,9 +3,10 @@
 Texts are split into the words of the vocabulary's own pattern, on all
 executors. Each distinct word of the corpus is encoded once. Ids go back to
 their positions in two ways: the ``COMMON_WORDS`` most frequent words travel to
-all tasks (a table of bounded size), which leave holes for all other words;
-those words join the word table by a shuffle and their ids fill the holes. So
-frequent words never meet in one task, and rare ones have no hot keys. Decoding
+all tasks (a table of bounded size), which write a text as the ranks of its
+words, with holes for all others; those join the word table by a shuffle and
+fill the holes. So frequent words never meet in one task, rare ones have no hot
+keys, and a text is shuffled once, as a byte or two for each word. Decoding
 looks every id up in the id-to-piece table, one row for each vocabulary entry.
 
 Defined cases: a missing or empty text has no ids; the vocabulary's special
@@ -17,6 +18,8 @@ empty table gives no rows.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -31,8 +34,7 @@ from runlens.llm.registry import query
 VOCABULARY = "byte_bpe_50k.json"
 # Bound of the table every task gets: so many words of at most so many characters.
 COMMON_WORDS, COMMON_CHARS = 1 << 19, 200
-WORDS_AT_ONCE = 200_000
-HOLE = 0xFFFFFFFF
+WORDS_AT_ONCE = 500_000
 # The two libraries know different Unicode versions; within these ranges they agree.
 AGREED = r"[^\x00-ԯ - 　-鿯가-힣]"
 
@@ -43,6 +45,22 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def plain_pattern(pattern: str) -> re.Pattern:
+    """The vocabulary's pattern for the standard library, exact within the agreed ranges.
+
+    The contractions may come second, as no other word before them starts with an apostrophe.
+    """
+    # Fixed value: the pattern that this rewrites.
+    if pattern != r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+":
+        raise ValueError("the vocabulary splits words by another pattern")
+    space = r" \t\n\x0b\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    agreed = re.compile(AGREED.replace("[^", "["))
+    other = "".join(c for c in map(chr, range(0xD800)) if agreed.match(c) and unicodedata.category(c) in ("No", "Nl"))
+    letter, number = rf"[^\W\d_{other}]", rf"[\d{other}]"
+    rest = rf"(?:[^\w{space}]|_)"
+    return re.compile(rf" ?{letter}+| ?{number}+|'(?:[stmd]|re|ve|ll)| ?{rest}+|[{space}]+(?![^{space}])|[{space}]+")
+
+
 class Splitter:
     """Texts to the words of a byte-level vocabulary; their encodings joined are the text's."""
 
@@ -50,7 +68,6 @@ class Splitter:
         import os
 
         import public_tokenizers
-        import regex
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -63,11 +80,11 @@ class Splitter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.word = regex.compile(public_tokenizers.PATTERN)
-        self.unusual = regex.compile(AGREED)
+        self.word = plain_pattern(public_tokenizers.PATTERN)
+        self.unusual = re.compile(AGREED)
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = set(special)
-        self.apart = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.apart = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
     def plain(self, text: str) -> list[str]:
         if self.unusual.search(text):
@@ -127,43 +144,65 @@ def word_counts(texts: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def word_table(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(word, n, ids) of all distinct words, each encoded once; ids are packed 32-bit numbers."""
+    """(word, n, ids) of all distinct words, each encoded once."""
 
     def make():
         splitter = Splitter(vocabulary)
 
         def step(batch):
             ids = splitter.encode(batch.column(0).to_pylist())
-            packed = [np.array(x, np.uint32).tobytes() for x in ids]
-            yield batch.append_column("ids", pa.array(packed, pa.binary()))
+            yield batch.append_column("ids", pa.array(ids, pa.list_(pa.int32())))
 
         return step
 
-    return word_counts(texts, vocabulary).mapInArrow(arrow_rows(make), "word string, n long, ids binary")
+    return word_counts(texts, vocabulary).mapInArrow(arrow_rows(make), "word string, n long, ids array<int>")
 
 
-def common_words(words: DataFrame) -> dict[str, bytes]:
-    """Ids of the most frequent words; at most ``COMMON_WORDS`` of bounded length."""
+def common_words(words: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The most frequent words by rank, their ids and where these end; at most ``COMMON_WORDS`` of bounded length."""
     top = (
         words.filter(F.length("word") <= COMMON_CHARS)
         .orderBy(F.desc("n"), "word")
         .limit(COMMON_WORDS)
-        .select("word", "ids")
+        .select("word", F.col("ids"))
         .toArrow()
+        .combine_chunks()
     )
-    return dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist()))
+    ids = top.column(1).to_pylist()
+    ends = np.cumsum([0, *map(len, ids)])
+    return top.column(0).to_pylist(), np.array([i for x in ids for i in x], np.int32), ends.astype(np.int32)
+
+
+def short_number(n: int) -> bytes:
+    """Seven bits a byte; all bytes but the last have the high bit."""
+    out = [n & 127]
+    while n := n >> 7:
+        out.append(n & 127 | 128)
+    return bytes(reversed(out))
+
+
+def numbers_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in joined ``short_number`` bytes, and the place of each one's last byte."""
+    last = np.flatnonzero(data < 128)
+    start = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
+    values = np.zeros(len(last), np.int64)
+    for k in range(int((last - start).max(initial=-1)) + 1):
+        live = start + k <= last
+        values[live] = values[live] << 7 | (data[start[live] + k] & 127)
+    return values, last
 
 
 def with_holes(keyed: DataFrame, common, vocabulary: str, packed: bool) -> DataFrame:
-    """Each text's ids with a hole for every word outside ``common``, or else (``packed`` false) those words."""
+    """Each text as the ranks of its common words from 1 and 0 for others, or (``packed`` false) those others."""
     others = [c for c in keyed.columns if c != "text"]
     place = keyed.columns.index("text")
     name, kind = ("_packed", "binary") if packed else ("_rare", "array<string>")
     schema = keyed.select(*others, F.lit(None).cast(kind).alias(name)).schema
-    hole = np.array([HOLE], np.uint32).tobytes()
 
     def make():
-        splitter, known = Splitter(vocabulary), common.value
+        splitter = Splitter(vocabulary)
+        known = {w: short_number(k) for k, w in enumerate(common.value[0], 1)}
+        hole = short_number(0)
 
         def step(batch):
             out = []
@@ -197,29 +236,27 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         .select("_a", "_b", F.posexplode("_rare").alias("_at", "word"))
         .join(words.select("word", "ids"), "word")
         .groupBy("_a", "_b")
-        .agg(F.collect_set(F.struct("_at", "ids")).alias("_fill"))
+        .agg(F.sort_array(F.collect_set(F.struct("_at", "ids"))).alias("_fill"))
     )
     joined = with_holes(keyed, common, vocabulary, packed=True).join(rare, ["_a", "_b"], "left").select(*others, "_packed", "_fill")
     schema = docs.select(*others, F.lit(None).cast("array<int>").alias("ids")).schema
 
     def make():
+        _, values, ends = common.value
+        known = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends))), pa.array(values))  # rank 0: a hole
+
         def step(batch):
-            values, sizes = [], [0]
-            for packed, fill in zip(batch.column(len(others)), batch.column(len(others) + 1)):
-                ids = np.frombuffer(zlib.decompress(packed.as_py()), np.uint32)
-                if fill.is_valid:
-                    order = np.argsort(fill.values.field("_at").to_numpy())
-                    given = fill.values.field("ids").to_pylist()
-                    holes, start, parts = np.flatnonzero(ids == HOLE), 0, []
-                    for at, k in zip(holes, order):
-                        parts += [ids[start:at], np.frombuffer(given[k], np.uint32)]
-                        start = at + 1
-                    ids = np.concatenate([*parts, ids[start:]])
-                values.append(ids)
-                sizes.append(len(ids))
-            flat = pa.array(np.concatenate(values).astype(np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(others))] + [lists], schema.names)
+            texts = [zlib.decompress(x.as_py()) for x in batch.column(len(others))]
+            fill = batch.column(len(others) + 1)
+            given = fill.flatten().field("ids")
+            ranks, last = numbers_of(np.frombuffer(b"".join(texts), np.uint8))
+            holes = np.flatnonzero(ranks == 0)
+            ranks[holes] = len(known) + np.arange(len(holes))
+            lists = pa.concat_arrays([known, given]).take(pa.array(ranks))
+            ends_at = np.concatenate(([0], np.searchsorted(last, np.cumsum([len(t) for t in texts]))))
+            bounds = np.asarray(lists.offsets)[ends_at] - lists.offsets[0].as_py()
+            ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), lists.flatten())
+            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(others))] + [ids], schema.names)
 
         return step
 
@@ -236,13 +273,16 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     schema = encoded.withColumn("text", F.lit(None).cast("string")).schema
 
     def make():
-        piece = pieces(vocabulary).__getitem__
+        piece = pa.array(pieces(vocabulary), pa.binary())
 
         def step(batch):
-            texts = [
-                b"".join(map(piece, ids.values.to_pylist() if ids.is_valid else ())).decode("utf-8", "replace")
-                for ids in batch.column(place)
-            ]
+            ids = batch.column(place)
+            found = piece.take(ids.flatten())
+            # The pieces of a batch stand joined in one buffer, in order of their positions.
+            whole, at = memoryview(found.buffers()[2] or b""), np.asarray(pa.Array.from_buffers(pa.int32(), len(found) + 1, [None, found.buffers()[1]]))
+            sizes = np.cumsum([0, *(len(x) if x.is_valid else 0 for x in ids)])
+            cut = at[sizes]
+            texts = [bytes(whole[a:b]).decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
         return step
