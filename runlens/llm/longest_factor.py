@@ -9,7 +9,7 @@ factor unless it is the greatest. Runs are therefore all that is needed: their
 size and their least position.
 
 The suffix order is built in two levels. Every window of ``width`` bytes has one
-anchor, the least hashed ``width // 2``-gram inside it, which depends on its
+anchor, the least hashed ``width // 3``-gram inside it, which depends on its
 bytes alone, so equal windows have equal anchors at equal offsets. Anchors that
 occur once are settled there. Repeated anchors are grouped with the bytes of all
 their windows (the context); equal contexts repeat as a whole, and only where one
@@ -79,7 +79,7 @@ class RollingHash:
 
 def anchors(hashes: RollingHash, size: int, width: int):
     """(anchor hash, context hash, first and last window start, anchor position) of the loaded text's anchors."""
-    gram = width // 2
+    gram = width // 3
     room = width - gram + 1
     found = []
     low = np.uint64((1 << 20) - 1)
