@@ -35,6 +35,8 @@ VOCABULARY = "byte_bpe_50k.json"
 # Bound of the table every task gets: so many words of at most so many characters.
 COMMON_WORDS, COMMON_CHARS = 1 << 19, 200
 WORDS_AT_ONCE = 500_000
+# Rows whose ids are put together in one piece of memory.
+ROWS_AT_ONCE = 1000
 # The two libraries know different Unicode versions; within these ranges they agree.
 AGREED = r"[^\x00-ԯ - 　-鿯가-힣]"
 
@@ -245,7 +247,11 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         _, values, ends = common.value
         known = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends))), pa.array(values))  # rank 0: a hole
 
-        def step(batch):
+        def step(whole):
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                yield filled(whole.slice(start, ROWS_AT_ONCE))
+
+        def filled(batch):
             texts = [zlib.decompress(x.as_py()) for x in batch.column(len(others))]
             fill = batch.column(len(others) + 1)
             given = fill.flatten().field("ids")
@@ -256,7 +262,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             ends_at = np.concatenate(([0], np.searchsorted(last, np.cumsum([len(t) for t in texts]))))
             bounds = np.asarray(lists.offsets)[ends_at] - lists.offsets[0].as_py()
             ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), lists.flatten())
-            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(others))] + [ids], schema.names)
+            return pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(others))] + [ids], schema.names)
 
         return step
 
