@@ -231,7 +231,8 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     words = stored(word_table(docs.select("text"), vocabulary), "words")
     common = spark.sparkContext.broadcast(common_words(words))
     keyed = docs.withColumns(
-        {"_a": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), "_b": F.xxhash64("doc_id", "text")}
+        # A row's name: its id, or a hash of its text, and a short hash that tells texts of one id apart.
+        {"_a": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "_b": F.hash("doc_id", "text")}
     )
     rare = (
         with_holes(keyed.select("_a", "_b", "text"), common, vocabulary, packed=False)
