@@ -1,14 +1,23 @@
 """Licence recognition by sentences and rules.
 
-Texts are cut into sentences; normalised sentences (lower case, one blank for
-anything but letters and digits) that are known get an identifier. The
-identifiers of neighbouring sentences form sequences, and ordered rules consume
-them: an earlier rule takes its sequence before a later, less specific one sees
-it. What no rule takes is counted as unmatched.
-
-Defined cases: a missing or empty text has no sentences; repeated rules matches
-in one text count each; rows with the same id and text are judged alike and all
-stay; columns named like an added one are replaced; an empty table gives no rows.
+Texts are normalised (lower case, one blank for anything but letters and
+digits) and known sentences in them get an identifier. A known sentence starts
+at a sentence end, a line or an enumerator ("1.", "(a)"), and may be wrapped
+over lines with indents or comment marks; it ends where a sentence or a line
+does or where the next known sentence follows. Those of ``OPEN`` may go on: in
+others, what follows can change the licence ("or any later version"). The
+identifiers of neighbouring sentences form sequences (blank lines and
+enumerators between them are nothing), and ordered rules consume them: an
+earlier rule takes its sequence before a later, less specific one sees it. What
+no rule takes is counted as unmatched. All happens inside the row.
+
+The SQL twin knows a sentence only where it stands whole between two breaks, so
+the two agree on notices of one line a sentence and differ on wrapped ones.
+
+Defined cases: a missing or empty text has no sentences but counts as one;
+``n_sentences`` counts the parts between breaks, so each line of a wrapped
+sentence; repeated rules matches in one text count each; all rows stay; columns
+named like an added one are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -83,6 +92,9 @@ RULES = (
     ("Unlicense", ("S61",)),
 )
 
+# Fixed value: sentences known by how they begin.
+OPEN = ("S15",)
+
 BREAKS = r"[.!?]+[ \t\r\f]+|[ \t\r\f.!?;:]*\n"
 GAP = "~"
 ADDED = ("n_sentences", "n_known", "n_unmatched", "licenses")
@@ -93,22 +105,37 @@ def normal(sentence: str) -> str:
     return " ".join("".join(c if c in kept else " " for c in sentence.lower()).split())
 
 
-def known_sentences(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(normal(s), k) for k, s in SENTENCES.items()], "sentence string, sid string")
+# Marks are capitals, as normalised texts have none: END of a sentence, and where a known one starts and stops.
+END, START, STOP = "X", "Y", "Z"
+ENUMERATOR = r"(?:[0-9]{1,3}|[a-z]|[ivx]{1,4})"
+ENDS = rf"[.!?]+[ \t\r\f\n]+|[)\]](?<=(?:^|\n)[^a-z0-9\n]{{0,20}}{ENUMERATOR}[)\]])[ \t]+"
+BETWEEN = rf"^[ \n{END}]*(?:{ENUMERATOR}[ \n{END}]*)?$"
 
 
-def normalised(sentence: Column) -> Column:
-    lower = F.translate(sentence, string.ascii_uppercase, string.ascii_lowercase)
-    return F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
+def known_pattern() -> str:
+    """Known sentences, the longest first, over any number of lines."""
+    words = {k: r"[ \n]+".join(normal(s).split()) for k, s in SENTENCES.items()}
+    longest = sorted(words, key=lambda k: -len(words[k]))
+    following = "|".join(words[k] for k in longest)
+    stop = rf"(?= ?[\n{END}]| ?$|[ \n]+(?:{following})(?![a-z0-9]))"
+    either = "|".join(words[k] + (r"(?![a-z0-9])" if k in OPEN else stop) for k in longest)
+    return rf"(?:(?<![^\n{END}]) ?|\G )(?:{either})"
 
 
-def sequence_of(found: Column) -> Column:
-    """Identifiers in order, with a gap wherever sentences between them are unknown."""
-    step = lambda a, x: F.struct(
-        x["at"].alias("at"),
-        F.concat(a["seq"], F.when(x["at"] == a["at"] + 1, F.lit("")).otherwise(F.lit(GAP)), x["sid"]).alias("seq"),
-    )
-    return F.aggregate(found, F.struct(F.lit(-2).alias("at"), F.lit("").alias("seq")), step, lambda a: a["seq"])
+def normalised(text: Column) -> Column:
+    """Letters, digits and single blanks, with line ends and sentence ends."""
+    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.regexp_replace(F.regexp_replace(lower, ENDS, END), rf"[^a-z0-9{END}\n]+", " ")
+
+
+def sequence_of(text: Column) -> Column:
+    """Identifiers of known sentences in order, with a gap wherever there is anything else between them."""
+    sids = F.create_map(*[F.lit(x) for k, s in SENTENCES.items() for x in (normal(s), k)])
+    marked = F.regexp_replace(normalised(text), known_pattern(), f"{START}$0{STOP}")
+    part = lambda x, i: F.when(
+        i % 2 == 1, sids[F.trim(F.regexp_replace(x, r"[ \n]+", " "))]
+    ).otherwise(F.when(x.rlike(BETWEEN), F.lit("")).otherwise(F.lit(GAP)))
+    return F.array_join(F.transform(F.split(marked, f"[{START}{STOP}]"), part), "")
 
 
 def apply_rules(sequence: Column) -> tuple[Column, Column]:
@@ -123,33 +150,13 @@ def apply_rules(sequence: Column) -> tuple[Column, Column]:
 
 def recognise(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_sentences, n_known, n_unmatched and licenses (array)."""
-    spark = docs.sparkSession
     docs = docs.select(*[c for c in docs.columns if c not in ADDED])
-    keyed = docs.withColumns(
-        {"_a": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_b": F.xxhash64("doc_id", whole_text())}
-    )
-    cut = F.split(whole_text(), BREAKS)
-    found = (
-        keyed.select("_a", "_b", F.posexplode(cut).alias("at", "raw"))
-        .select("_a", "_b", "at", normalised(F.col("raw")).alias("sentence"))
-        .join(F.broadcast(known_sentences(spark)), "sentence")
-        .groupBy("_a", "_b")
-        .agg(F.sort_array(F.collect_set(F.struct("at", "sid"))).alias("found"))
-        .select("_a", "_b", F.size("found").alias("n_known"), sequence_of(F.col("found")).alias("seq"))
-    )
-    licences, left = apply_rules(F.col("seq"))
-    judged = found.select("_a", "_b", "n_known", licences.alias("licenses"), left.alias("_left"))
+    licences, left = apply_rules(F.col("_seq"))
+    count = lambda seq: (F.length(F.replace(seq, F.lit(GAP), F.lit(""))) / 3).cast("long")
     return (
-        keyed.withColumn("n_sentences", F.size(cut).cast("long"))
-        .join(judged, ["_a", "_b"], "left")
-        .withColumns(
-            {
-                "n_known": F.coalesce("n_known", F.lit(0)).cast("long"),
-                "n_unmatched": F.coalesce(F.length(F.replace("_left", F.lit(GAP), F.lit(""))) / 3, F.lit(0)).cast("long"),
-                "licenses": F.coalesce("licenses", F.array().cast("array<string>")),
-            }
-        )
-        .drop("_a", "_b", "_left")
+        docs.select("*", F.size(F.split(whole_text(), BREAKS)).cast("long").alias("n_sentences"), sequence_of(whole_text()).alias("_seq"))
+        .select("*", count(F.col("_seq")).alias("n_known"), count(left).alias("n_unmatched"), licences.alias("licenses"))
+        .drop("_seq")
     )
 
 

@@ -59,3 +59,84 @@ def test_missing_ids_repeated_rows_and_extra_columns(spark):
     df = spark.createDataFrame(rows, SCHEMA + ", licenses string")
     assert sorted(len(r.licenses) for r in license_rules.recognise(df).collect()) == [0, 1, 1, 1]
     assert license_rules.recognise(df.filter("doc_id > 5")).count() == 0
+
+
+GPL_NOTICE = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAME = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not
+use this file except in compliance with the License. You may obtain a copy of
+the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+"""
+
+
+def commented(text, mark):
+    return "".join(f"{mark} {line}\n" for line in text.splitlines())
+
+
+def test_wrapped_notices(spark):
+    bsd3 = BSD_TEXT + BSD_NAME
+    notices = {
+        "GPL-3.0-or-later": (3, [GPL_NOTICE]),
+        "MIT": (2, [MIT_TEXT]),
+        "BSD-2-Clause": (3, [BSD_TEXT]),
+        "BSD-3-Clause": (4, [bsd3, bsd3.replace("1. ", "(a) ").replace("2. ", "(b) ").replace("3. ", "c) "), bsd3.replace("\n   ", " ")]),
+        "Apache-2.0": (3, [APACHE]),
+    }
+    rows, want = [], {}
+    for name, (n_known, texts) in notices.items():
+        for text in texts:
+            for t in (text, commented(text, "#"), commented(text, " *"), commented(text, "//"), text.replace("\n", "\r\n")):
+                want[len(rows)] = (n_known, [name])
+                rows.append((len(rows), "Some words before.\n" + t))
+    got = result(spark.createDataFrame(rows, SCHEMA))
+    assert {k: (v[1], v[3]) for k, v in got.items()} == want
+
+
+def test_no_licence_from_words_that_go_on(spark):
+    rows = [
+        (1, "This work is licensed under the GNU General Public License, version 2.1"),
+        (2, "This work is licensed under the GNU General Public License, version 2, or any later version."),
+        (3, "It is not released under the MIT License."),
+        (4, "Licensed under the Apache License, Version 2.0\n(the License)."),
+        (5, BSD_TEXT.replace("\n2. ", "\nOne more condition applies.\n2. ")),
+    ]
+    got = {k: v[3] for k, v in result(spark.createDataFrame(rows, SCHEMA)).items()}
+    assert got == {1: [], 2: [], 3: [], 4: ["Apache-2.0"], 5: []}
