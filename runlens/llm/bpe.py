@@ -11,7 +11,9 @@ looks every id up in the id-to-piece table, one row for each vocabulary entry.
 
 Defined cases: a missing or empty text has no ids; the vocabulary's special
 strings inside texts become their ids; rows with the same id and text are
-encoded alike and all stay; columns named like an added one are replaced; an
+encoded alike and all stay; texts of one id are told apart by a 64-bit hash, and
+a row that gets more or fewer ids of rare words than it has holes fails the run
+(so does a clash of hashes); columns named like an added one are replaced; an
 empty table gives no rows.
 """
 
@@ -223,6 +225,11 @@ def with_holes(keyed: DataFrame, common, vocabulary: str, packed: bool) -> DataF
     return keyed.mapInArrow(arrow_rows(make), schema)
 
 
+def row_name() -> dict:
+    """A row's name: its id, or a hash of its text, and another 64-bit hash of the text that tells texts of one id apart."""
+    return {"_a": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "_b": F.xxhash64(F.lit(1), "text")}
+
+
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ids (array of int) in place of text."""
     docs = docs.select(*[c for c in docs.columns if c != "ids"]).withColumn("text", whole_text())
@@ -230,10 +237,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     words = stored(word_table(docs.select("text"), vocabulary), "words")
     common = spark.sparkContext.broadcast(common_words(words))
-    keyed = docs.withColumns(
-        # A row's name: its id, or a hash of its text, and a short hash that tells texts of one id apart.
-        {"_a": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "_b": F.hash("doc_id", "text")}
-    )
+    keyed = docs.withColumns(row_name())
     rare = (
         with_holes(keyed.select("_a", "_b", "text"), common, vocabulary, packed=False)
         .select("_a", "_b", F.posexplode("_rare").alias("_at", "word"))
@@ -261,6 +265,9 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             ranks[holes] = len(known) + np.arange(len(holes))
             lists = pa.concat_arrays([known, given]).take(pa.array(ranks))
             ends_at = np.concatenate(([0], np.searchsorted(last, np.cumsum([len(t) for t in texts]))))
+            fills = fill.value_lengths().fill_null(0).to_numpy()
+            if not np.array_equal(np.diff(np.searchsorted(holes, ends_at)), fills):
+                raise ValueError("a row's rare words and its holes differ in number")
             bounds = np.asarray(lists.offsets)[ends_at] - lists.offsets[0].as_py()
             ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), lists.flatten())
             return pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(others))] + [ids], schema.names)

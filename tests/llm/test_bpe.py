@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from runlens.llm import bpe
 from tests.llm import brute
@@ -50,3 +51,22 @@ def test_missing_ids_repeated_rows_and_extra_columns(spark):
     got = bpe.encode(spark.createDataFrame(rows, SCHEMA + ", ids int")).collect()
     assert sorted(len(r.ids) for r in got) == [0, 2, 2, 2, 2]
     assert bpe.encode(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_texts_of_one_id_with_equal_short_hashes(spark, library, monkeypatch):
+    monkeypatch.setattr(bpe, "COMMON_WORDS", 0)
+    texts = spark.range(400_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("qx"), F.hex("id"), F.lit(" zv")).alias("text"))
+    groups = texts.groupBy(F.hash("doc_id", "text")).agg(F.collect_list("text").alias("texts")).filter("size(texts) > 1").collect()
+    clashing = [t for g in groups for t in g.texts]
+    assert clashing
+    got = bpe.decode(bpe.encode(spark.createDataFrame([(1, t) for t in clashing], SCHEMA))).collect()
+    assert sorted(r.text for r in got) == sorted(clashing)
+    assert all(r.ids == library.encode(r.text, add_special_tokens=False).ids for r in got)
+
+
+def test_more_rare_words_than_holes_fail(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "COMMON_WORDS", 0)
+    monkeypatch.setattr(bpe, "row_name", lambda: {"_a": F.col("doc_id"), "_b": F.lit(0)})
+    docs = spark.createDataFrame([(1, "one"), (1, "another text")], SCHEMA)
+    with pytest.raises(Exception, match="differ in number"):
+        bpe.encode(docs).collect()
