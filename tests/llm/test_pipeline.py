@@ -136,3 +136,20 @@ def test_quality_without_trusted_rows(spark, folder):
     docs = corpus_pipeline.table(spark, folder[0], "documents")
     none = corpus_pipeline.table(spark, folder[0], "labels").limit(0)
     assert {(r.kept, r.score) for r in importance.score(docs, none).filter("NOT base_failed").collect()} == {(True, 0.0)}
+
+
+def test_all_trusted_documents_count_however_often_labelled(spark, folder):
+    from pyspark.sql import functions as F
+
+    docs = corpus_pipeline.table(spark, folder[0], "documents")
+    labels = corpus_pipeline.table(spark, folder[0], "labels")
+    # Labels that stand first by hashed id: many of one document, and many of documents that are absent.
+    first = labels.filter("quality = 1").orderBy(F.xxhash64("doc_id")).first().doc_id
+    lit = lambda x: F.lit(x).cast("int")
+    more = spark.range(25_000).select(F.lit(first).alias("doc_id"), lit(1).alias("quality"), lit(0).alias("toxic"))
+    absent = spark.range(1000, 61_000).select(F.col("id").alias("doc_id"), lit(1).alias("quality"), lit(0).alias("toxic"))
+    want = importance.log_ratios(docs, labels).first().ratios
+    assert importance.log_ratios(docs, labels.union(more)).first().ratios == want
+    assert importance.log_ratios(docs, labels.union(absent)).first().ratios == want
+    nameless = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert set(importance.log_ratios(nameless, labels).first().ratios) == {0.0}
