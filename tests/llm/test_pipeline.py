@@ -91,7 +91,8 @@ def test_quality_figures_and_score(spark, folder):
     loop = brute.prose(rng, 20)
     more = [(100 + k, t) for k, t in enumerate([loop + "\n" + loop + "\n" + brute.prose(rng, 60), "a b " * 40, "x\n\nx\n x\nx", "é\x0b#ü |>\t<"])]
     more += [r for r in brute.awkward_documents(2) if len(r[1] or "") < 3000]
-    base = [(d[0], d[1]) for d in docs] + [(5000 + i, t) for i, t in more]
+    # Running numbers: the plain version keeps texts by id.
+    base = [(d[0], d[1]) for d in docs] + [(5000 + i, t) for i, (_, t) in enumerate(more)]
     df = spark.createDataFrame(base, "doc_id long, text string")
     labels = corpus_pipeline.table(spark, path, "labels")
     got = {r.doc_id: r for r in importance.score(df, labels).collect()}
@@ -153,3 +154,34 @@ def test_all_trusted_documents_count_however_often_labelled(spark, folder):
     assert importance.log_ratios(docs, labels.union(absent)).first().ratios == want
     nameless = docs.withColumn("doc_id", F.lit(None).cast("long"))
     assert set(importance.log_ratios(nameless, labels).first().ratios) == {0.0}
+
+
+def test_rows_of_one_id_are_all_counted_and_judged(spark, folder):
+    docs = corpus_pipeline.table(spark, folder[0], "documents").select("doc_id", "text")
+    labels = corpus_pipeline.table(spark, folder[0], "labels")
+    twice = docs.union(docs.filter("doc_id = 3")).union(docs.filter("doc_id = 4").selectExpr("3L", "text"))
+    once = {r.doc_id: r.n_words for r in importance.score(docs, labels).collect()}
+    rows = [r.n_words for r in importance.score(twice, labels).filter("doc_id = 3").collect()]
+    assert sorted(rows) == sorted([once[3], once[3], once[4]])
+    raw = importance.log_ratios(twice, labels).first().ratios
+    assert raw != importance.log_ratios(docs, labels).first().ratios
+
+
+def test_quality_replaces_columns_of_its_own_names(spark, folder):
+    docs = corpus_pipeline.table(spark, folder[0], "documents").select("doc_id", "text")
+    labels = corpus_pipeline.table(spark, folder[0], "labels")
+    clashing = docs.selectExpr("*", "'x' AS score", "7 AS kept", "1 AS n_words", "'mine' AS extra")
+    got = importance.score(clashing, labels)
+    assert got.columns.count("score") == got.columns.count("kept") == 1
+    want = importance.score(docs, labels).select("doc_id", "n_words", "score", "kept")
+    assert got.filter("extra = 'mine'").select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_the_quality_stage_computes_each_figure_once(spark, folder):
+    """A filter above the scoring must not copy its expressions."""
+    docs = corpus_pipeline.table(spark, folder[0], "documents")
+    labels = corpus_pipeline.table(spark, folder[0], "labels")
+    plan = importance.keep_good(spark, docs, folder[0])._jdf.queryExecution().optimizedPlan().toString()
+    scored = importance.score(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") <= scored.count("xxhash64")
+    assert plan.count("split(") <= scored.count("split(")
