@@ -11,14 +11,14 @@ from runlens.operators.ordering import grouped_median, number_rows, previous_val
 KEY = ["recording_id", "topic"]
 
 
-def message_gaps(messages: DataFrame, slices: int | None = None) -> DataFrame:
+def message_gaps(messages: DataFrame) -> DataFrame:
     """Positive gaps between neighbouring messages of a topic."""
     narrow = messages.select(*KEY, "t_ns", "seq")
-    before = previous_value(narrow, KEY, ["t_ns", "seq"], "t_ns", "_prev", slices=slices)
+    before = previous_value(narrow, KEY, ["t_ns", "seq"], "t_ns", "_prev")
     return before.withColumn("delta", F.col("t_ns") - F.col("_prev")).where("delta > 0").drop("_prev")
 
 
-def infer_fps(messages: DataFrame, slices: int | None = None) -> DataFrame:
+def infer_fps(messages: DataFrame) -> DataFrame:
     """Rate of each topic, and whether it is the recording's primary one.
 
     The primary topic has most messages; the one seen first wins ties.
@@ -26,7 +26,7 @@ def infer_fps(messages: DataFrame, slices: int | None = None) -> DataFrame:
     topics = messages.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("t_ns", "seq")).alias("first")
     )
-    medians = grouped_median(message_gaps(messages, slices), KEY, "delta", "median_ns")
+    medians = grouped_median(message_gaps(messages), KEY, "delta", "median_ns")
     best = topics.groupBy("recording_id").agg(
         F.max_by("topic", F.struct("n", -F.col("first.t_ns"), -F.col("first.seq"))).alias("primary")
     )
@@ -56,14 +56,14 @@ def require_camera(frames: DataFrame, camera: str) -> DataFrame:
     return frames.where(F.col("topic") == camera)
 
 
-def camera_frames(frames: DataFrame, slices: int | None = None) -> DataFrame:
+def camera_frames(frames: DataFrame) -> DataFrame:
     """Frame i of every camera side by side, up to the shortest camera.
 
     ``frames`` is ``(recording_id, topic, t_ns, seq, width, height)``. The
     layout is that of each camera's first frame: widths add up, the tallest
     gives the height.
     """
-    numbered = number_rows(frames, KEY, ["t_ns", "seq"], out="frame", slices=slices)
+    numbered = number_rows(frames, KEY, ["t_ns", "seq"], out="frame")
     cameras = frames.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by(F.struct("width", "height"), F.struct("t_ns", "seq")).alias("size"),

@@ -1,137 +1,127 @@
 """Positions inside ordered groups, safe for groups of any size.
 
-A window over a group sends the whole group through one task. When the input
-is large, the leading order column is cut at its own quantiles into slices;
-no (group, slice) then holds more than one slice's share of the whole table,
-whatever share of the rows a single group has. Per-slice totals are tiny and
-give each slice its offset, so results equal those of the plain window.
+A window over a group sends the whole group through one task. Here rows are
+dealt out by ranges of group and order together, so a hot group covers several
+partitions, and each partition is walked once in order. Only a partition's
+first group can have begun before it: what is carried into it (rows so far, the
+last value) comes from one summary row for each partition. The wide rows are
+shuffled once and stored, because ranges are drawn anew whenever a plan runs.
+
+Any sortable type may be a group or an order column. Neighbouring groups are
+told apart by a 64-bit hash. Rows that tie in all order columns are ordered by a
+hash of the whole row; only rows equal in every column share one place, and
+those stay together.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
-from runlens.session import SMALL_INPUT_BYTES, estimated_bytes
-
-ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 4096
-_FANOUT = 64
-
-
-def slice_bounds(df: DataFrame, lead: Column, slices: int | None = None) -> list[float]:
-    """Ascending cut points of ``lead``; empty when no cutting is needed.
-
-    One aggregate row (at most ``MAX_SLICES`` numbers) reaches the driver.
+from pyspark.sql import types as T
+
+from runlens.session import materialize
+
+# Working columns of a dealt table: group, partition, number of the group in it, place in the group there.
+WORKING = ("_group", "_part", "_run", "_at")
+
+
+def _walker(value: str | None):
+    """Adds partition, run and place in the run to sorted batches, and ``value`` of the row before in the same run."""
+
+    def walk(batches):
+        part = TaskContext.get().partitionId()
+        last, run, filled, before = None, -1, 0, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            group = batch.column(batch.schema.get_field_index("_group")).to_numpy()
+            new = np.concatenate(([last is None or group[0] != last], group[1:] != group[:-1]))
+            begins = np.flatnonzero(new)
+            nth = np.searchsorted(begins, np.arange(n), "right")
+            # Where each run began; the one at hand began before the batch.
+            at = np.arange(n) - np.concatenate(([-filled], begins))[nth]
+            runs = run + nth
+            added = {"_part": pa.array(np.full(n, part, np.int32)), "_run": pa.array(runs), "_at": pa.array(at)}
+            if value is not None:
+                column = batch.column(batch.schema.get_field_index(value))
+                held = column if before is None else pa.concat_arrays([before, column])
+                place = np.arange(n) - (before is None)
+                added["_before"] = held.take(pa.array(place, mask=new))
+                before = column.slice(n - 1)
+            last, run, filled = group[-1], int(runs[-1]), int(at[-1]) + 1
+            for name, column in added.items():
+                batch = batch.append_column(name, column)
+            yield batch
+
+    return walk
+
+
+def deal_in_order(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str | None = None) -> DataFrame:
+    """``df`` stored in order over partitions of even size, with the ``WORKING`` columns.
+
+    ``value`` names a column whose value one row earlier in the run becomes ``_before``.
     """
-    if slices is None:
-        if estimated_bytes(df) <= SMALL_INPUT_BYTES:
-            return []
-        rows = df.count()
-        slices = min(MAX_SLICES, math.ceil(rows / ROWS_PER_SLICE))
-    if slices <= 1:
-        return []
-    points = [i / slices for i in range(1, slices)]
-    row = df.agg(
-        F.percentile_approx(lead.cast("double"), points, 100 * slices).alias("b")
-    ).first()
-    return sorted(set(row["b"] or []))
-
-
-def slice_index(lead: Column, bounds: Sequence[float]) -> Column:
-    """Number of bounds not above ``lead``: monotone in ``lead``.
-
-    Two steps of at most 64 comparisons each instead of one long scan.
-    """
-    if not bounds:
-        return F.lit(0)
-    x = lead.cast("double")
-    blocks = [list(bounds[i : i + _FANOUT]) for i in range(0, len(bounds), _FANOUT)]
-    heads = F.array(*[F.lit(b[0]) for b in blocks])
-    block = F.size(F.filter(heads, lambda b: b <= x))
-    table = F.array(*[F.array(*[F.lit(v) for v in b]) for b in blocks])
-    inside = F.size(F.filter(F.element_at(table, F.greatest(block, F.lit(1))), lambda b: b <= x))
-    return F.when(x.isNull(), 0).otherwise(
-        F.greatest((block - 1) * _FANOUT, F.lit(0)) + inside
-    )
+    by = [F.col(c).asc_nulls_first() for c in (*group, *order)] + [F.col("_tie")]
+    keyed = df.withColumns({"_group": F.xxhash64(*group), "_tie": row_hash(df)})
+    dealt = keyed.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+    added = {"_part": F.lit(0), "_run": F.lit(0).cast("long"), "_at": F.lit(0).cast("long")}
+    if value is not None:
+        added["_before"] = F.when(F.lit(False), F.col(value))
+    return materialize(dealt.mapInArrow(_walker(value), dealt.withColumns(added).schema), "ordered")
 
 
+def carried(dealt: DataFrame, tail: dict[str, Column], start: dict, step: Callable[[dict, dict], dict]) -> DataFrame:
+    """One row for each partition whose first group began before it: ``_part`` and what is carried in.
 
-
-def number_rows(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    out: str = "step",
-    lead: str | None = None,
-    slices: int | None = None,
-) -> DataFrame:
+    ``tail`` are aggregates over the rows of a partition's last group. ``step``
+    adds a partition's own tail to what came before it in the same group. The
+    driver holds one row of a few values for each partition.
+    """
+    end = dealt.groupBy("_part").agg(F.max("_run").alias("_last"), F.max(F.when(F.col("_run") == 0, F.col("_group"))).alias("_first"))
+    last = dealt.join(F.broadcast(end.select("_part", "_last")), "_part").where("_run = _last")
+    tails = last.groupBy("_part").agg(F.first("_group").alias("_group"), *[c.alias(k) for k, c in tail.items()])
+    parts = end.join(tails, "_part").collect()
+    rows, before, held = [], None, dict(start)
+    for p in sorted(parts, key=lambda r: r["_part"]):
+        goes_on = p["_first"] == before
+        if goes_on:
+            rows.append((p["_part"], *held.values()))
+        own = {k: p[k] for k in tail}
+        held = step(held if goes_on and p["_last"] == 0 else dict(start), own)
+        before = p["_group"]
+    kinds = tails.select(*tail).schema
+    schema = T.StructType([T.StructField("_part", T.IntegerType())] + [T.StructField(f"_in_{f.name}", f.dataType) for f in kinds.fields])
+    return dealt.sparkSession.createDataFrame(rows, schema)
+
+
+def _given(dealt: DataFrame, into: DataFrame) -> DataFrame:
+    # One row for each partition at most, so the broadcast is bounded.
+    return dealt.join(F.broadcast(into), "_part", "left")
+
+
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "step") -> DataFrame:
     """Add the 0-based position of each row of its group as ``out``."""
-    lead = lead or order[0]
-    bounds = slice_bounds(df, F.col(lead), slices)
-    by = [F.col(c).asc_nulls_first() for c in order]
-    if not bounds:
-        w = W.partitionBy(*group).orderBy(*by)
-        return df.withColumn(out, F.row_number().over(w).cast("bigint") - 1)
-    keys = [*group, "_slice"]
-    cut = df.withColumn("_slice", slice_index(F.col(lead), bounds))
-    local = cut.withColumn(
-        out, F.row_number().over(W.partitionBy(*keys).orderBy(*by)).cast("bigint") - 1
-    )
-    before = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .select(*[F.col(k).alias(f"_o_{k}") for k in keys], "_offset")
-    )
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return (
-        local.join(offsets, cond)
-        .withColumn(out, F.col(out) + F.col("_offset"))
-        .drop("_slice", "_offset", *[f"_o_{k}" for k in keys])
-    )
+    dealt = deal_in_order(df, group, order)
+    into = carried(dealt, {"n": F.count(F.lit(1))}, {"n": 0}, lambda a, b: {"n": a["n"] + b["n"]})
+    offset = F.when(F.col("_run") == 0, F.coalesce("_in_n", F.lit(0))).otherwise(0)
+    numbered = _given(dealt, into).withColumn("_position", F.col("_at") + offset)
+    return numbered.drop(*WORKING, "_in_n").drop(out).withColumnRenamed("_position", out)
 
 
-def previous_value(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    out: str,
-    lead: str | None = None,
-    slices: int | None = None,
-) -> DataFrame:
+def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """Add ``value`` of the row before, in the order given, as ``out``."""
-    lead = lead or order[0]
-    bounds = slice_bounds(df, F.col(lead), slices)
-    by = [F.col(c).asc_nulls_first() for c in order]
-    if not bounds:
-        return df.withColumn(out, F.lag(value).over(W.partitionBy(*group).orderBy(*by)))
-    keys = [*group, "_slice"]
-    cut = df.withColumn("_slice", slice_index(F.col(lead), bounds))
-    local = cut.withColumn("_pos", F.row_number().over(W.partitionBy(*keys).orderBy(*by)))
-    local = local.withColumn(out, F.lag(value).over(W.partitionBy(*keys).orderBy(*by)))
-    carried = (
-        cut.groupBy(*keys)
-        .agg(F.max_by(value, F.struct(*order)).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(W.partitionBy(*group).orderBy("_slice")))
-        .select(*[F.col(k).alias(f"_o_{k}") for k in keys], "_carry")
-    )
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return (
-        local.join(carried, cond)
-        .withColumn(out, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col(out)))
-        .drop("_slice", "_pos", "_carry", *[f"_o_{k}" for k in keys])
-    )
+    dealt = deal_in_order(df, group, order, value)
+    into = carried(dealt, {"v": F.max_by(value, "_at")}, {"v": None}, lambda _, b: b)
+    came = F.when((F.col("_run") == 0) & (F.col("_at") == 0), F.col("_in_v")).otherwise(F.col("_before"))
+    found = _given(dealt, into).withColumn("_came", came)
+    return found.drop(*WORKING, "_before", "_in_v").drop(out).withColumnRenamed("_came", out)
 
 
 def grouped_median(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:

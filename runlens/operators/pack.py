@@ -99,14 +99,14 @@ def message_issues(flat: DataFrame) -> DataFrame:
     )
 
 
-def pack_messages(flat: DataFrame, slices: int | None = None) -> DataFrame:
+def pack_messages(flat: DataFrame) -> DataFrame:
     """Samples of a flat message stream.
 
     A field is kept when every usable message of its topic has it with one
     shape; otherwise only that field is dropped.
     """
     rows = usable_rows(flat)
-    numbered = number_rows(rows, KEY, ["t_ns", "seq"], slices=slices)
+    numbered = number_rows(rows, KEY, ["t_ns", "seq"])
     long = numbered.select(*KEY, "msgtype", "t_ns", "step", F.inline("fields"))
     steady = quality.field_summary(rows).where("steady").drop("steady")
     kept = salted_join(long, steady, [*KEY, "field"], F.col("step"))

@@ -170,12 +170,12 @@ LINE_ORDER = (
 )
 
 
-def line_steps(spark: SparkSession, sf_dir: str, episode: str = "l_suppkey", slices: int | None = None) -> DataFrame:
+def line_steps(spark: SparkSession, sf_dir: str, episode: str = "l_suppkey") -> DataFrame:
     """Line items with ``episode_id`` and a 0-based ``step``."""
     lines = table(spark, sf_dir, "lineitem").withColumn("episode_id", F.col(episode))
     lead = "l_orderkey" if episode != "l_orderkey" else "l_partkey"
     order = LINE_ORDER if episode != "l_orderkey" else (lead, *[c for c in LINE_ORDER if c != lead])
-    return number_rows(lines, ["episode_id"], order, lead=lead, slices=slices)
+    return number_rows(lines, ["episode_id"], order)
 
 
 def line_sql(episode: str = "l_suppkey") -> str:

@@ -444,7 +444,7 @@ def _demo_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_suppkey") % 5 != 0, F.concat(F.lit("demo_"), F.col("l_linenumber").cast("string"))).alias("demo"),
         *[c for c in B.LINE_ORDER],
     )
-    return number_rows(lines, ["path", "demo"], B.LINE_ORDER, lead="l_orderkey")
+    return number_rows(lines, ["path", "demo"], B.LINE_ORDER)
 
 
 def _demo_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

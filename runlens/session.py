@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Below this many estimated input bytes a plain per-group window is cheaper
-# than measuring the data and cutting hot groups into slices.
+# Below this many estimated input bytes rows are dealt over all cores before heavy work on each.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 

@@ -37,11 +37,14 @@ def test_entry_runs(spark):
 
 
 @pytest.mark.parametrize("name", ["step_number", "infer_fps", "msg_deltas", "camera_frames", "rollout_totals", "ragged_check"])
-def test_large_input_path_gives_the_same_rows(spark, duck, name, monkeypatch):
-    """Force the slicing that only large inputs get."""
-    from runlens.operators import ordering
-
-    monkeypatch.setattr(ordering, "SMALL_INPUT_BYTES", 0)
-    monkeypatch.setattr(ordering, "ROWS_PER_SLICE", 100)
-    ok, note = compare(spark, duck, name, QUERIES[name], ORACLES[name], SF_DIR)
+def test_many_range_partitions_give_the_same_rows(spark, duck, name):
+    """Groups then cross the borders of the ranges that rows are dealt by."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ok, note = compare(spark, duck, name, QUERIES[name], ORACLES[name], SF_DIR)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
     assert ok, note

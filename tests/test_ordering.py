@@ -31,33 +31,69 @@ def expected(df):
     return out
 
 
-@pytest.mark.parametrize("slices", [1, 7, 300])
-def test_positions_do_not_depend_on_slices(skewed, slices):
+@pytest.fixture(params=[1, 7, 60])
+def parts(request, spark):
+    """Range partitions of any number, also such that hold a piece of one group only."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_positions_do_not_depend_on_partitions(skewed, parts):
     want = expected(skewed)
-    numbered = ordering.number_rows(skewed, ["g"], ["o", "id"], slices=slices)
+    numbered = ordering.number_rows(skewed, ["g"], ["o", "id"])
+    assert numbered.columns == ["g", "o", "id", "step"]
     assert {r["id"]: r["step"] for r in numbered.collect()} == {i: v[0] for i, v in want.items()}
 
 
-@pytest.mark.parametrize("slices", [1, 7, 300])
-def test_previous_values_cross_slices(skewed, slices):
+def test_previous_values_cross_partitions(skewed, parts):
     want = expected(skewed)
-    got = ordering.previous_value(skewed, ["g"], ["o", "id"], "o", "prev", slices=slices)
+    got = ordering.previous_value(skewed, ["g"], ["o", "id"], "o", "prev")
     assert {r["id"]: r["prev"] for r in got.collect()} == {i: v[1] for i, v in want.items()}
 
 
-def test_slices_bound_the_share_of_a_hot_group(skewed):
-    bounds = ordering.slice_bounds(skewed, F.col("o"), 50)
-    sizes = (
-        skewed.groupBy("g", ordering.slice_index(F.col("o"), bounds).alias("s")).count().agg(F.max("count")).first()[0]
-    )
-    assert sizes <= 3 * HOT / 50 * 2
-
-
-def test_slice_index_is_monotone_and_exact(spark):
-    bounds = sorted(set(np.random.default_rng(0).integers(0, 10**6, 500).tolist()))
-    df = spark.range(0, 10**6, 997).select("id", ordering.slice_index(F.col("id"), bounds).alias("s"))
-    for r in df.collect():
-        assert r["s"] == np.searchsorted(bounds, r["id"], side="right")
+def test_a_hot_group_spreads_and_is_shuffled_once(skewed, parts):
+    dealt = ordering.deal_in_order(skewed, ["g"], ["o", "id"])
+    sizes = [r["count"] for r in dealt.groupBy("_part").count().collect()]
+    assert len(sizes) >= min(parts, 7) and max(sizes) <= max(3 * HOT / parts * 3, 300)
+    numbered = ordering.number_rows(skewed, ["g"], ["o", "id"])
+    assert "Exchange hash" not in numbered._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz", "double", "struct<a:int,b:string>"])
+def test_any_sortable_type_gives_the_order(spark, parts, kind):
+    rows = spark.range(600).select(F.expr("id % 3").alias("g"), F.expr("CASE WHEN id % 50 <> 7 THEN (id * 37) % 600 END").cast("int").alias("n"))
+    made = {
+        "string": "lpad(cast(n AS string), 4, '0')",
+        "date": "date_add(DATE'2020-01-01', n)",
+        "timestamp_ntz": "cast(date_add(DATE'2020-01-01', n) AS timestamp_ntz)",
+        "double": "n / 7.0D",
+        "struct<a:int,b:string>": "IF(n IS NULL, NULL, struct(n DIV 10 AS a, cast(n % 10 AS string) AS b))",
+    }
+    df = rows.withColumn("o", F.expr(made[kind]))
+    got = ordering.previous_value(ordering.number_rows(df, ["g"], ["o"]), ["g"], ["o"], "o", "p")
+    seen = {}
+    for r in got.collect():
+        seen.setdefault(r["g"], []).append((r["step"], r["n"], r["o"], r["p"]))
+    for g in seen.values():
+        g.sort(key=lambda r: r[0])
+        assert [r[0] for r in g] == list(range(200))
+        numbers = [-1 if r[1] is None else r[1] for r in g]
+        assert numbers == sorted(numbers)
+        filled = [r for r in g if r[1] is not None]
+        assert all(b[3] == a[2] for a, b in zip(filled, filled[1:]))
+
+
+def test_ties_nulls_and_empty_tables(spark, parts):
+    tied = spark.createDataFrame([(None, 1, x % 5) for x in range(40)] + [("a", None, 0)] * 3, "g STRING, o INT, x INT")
+    steps = ordering.number_rows(tied, ["g"], ["o"])
+    assert sorted(r["step"] for r in steps.where("g IS NULL").collect()) == list(range(40))
+    assert sorted(r["step"] for r in steps.where("g = 'a'").collect()) == [0, 1, 2]
+    assert ordering.number_rows(tied.limit(0), ["g"], ["o"]).count() == 0
+    assert ordering.previous_value(tied.limit(0), ["g"], ["o"], "x", "p").columns == ["g", "o", "x", "p"]
 
 
 def test_median_equals_numpy(spark):

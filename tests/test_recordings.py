@@ -63,13 +63,6 @@ def test_packed_shapes(bag):
     assert got["/cmd_vel/linear"] == [3] * 3 and got["/cmd_vel/angular"] == [3] * 3
 
 
-@pytest.mark.parametrize("slices", [1, 3])
-def test_packing_does_not_depend_on_slices(bag, slices):
-    flat = pack.flat_messages(bag)
-    want = sorted(map(str, pack.pack_messages(flat).collect()))
-    assert sorted(map(str, pack.pack_messages(flat, slices=slices).collect())) == want
-
-
 def issues(spark, payloads, msgtype=JOINT):
     rows = [(1, "/t", msgtype, i, p) for i, p in enumerate(payloads)]
     return {r["reason"] for r in pack.message_issues(pack.flat_messages(messages(spark, rows))).collect()}
