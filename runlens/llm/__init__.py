@@ -15,6 +15,7 @@ MODULES = (
     "sharding",
     "token_budget",
     "toxicity",
+    "token_files",
 )
 
 
