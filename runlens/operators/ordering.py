@@ -31,12 +31,16 @@ from runlens.session import materialize
 WORKING = ("_group", "_part", "_run", "_at")
 
 
-def _walker(value: str | None):
-    """Adds partition, run and place in the run to sorted batches, and ``value`` of the row before in the same run."""
+def _walker(value: str | None, running: Sequence[str]):
+    """Adds partition, run and place in the run to sorted batches, and ``value`` of the row before in the same run.
+
+    Columns of ``running`` become their exclusive or over the run so far.
+    """
 
     def walk(batches):
         part = TaskContext.get().partitionId()
         last, run, filled, before = None, -1, 0, None
+        bits = dict.fromkeys(running, 0)
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -55,6 +59,13 @@ def _walker(value: str | None):
                 place = np.arange(n) - (before is None)
                 added["_before"] = held.take(pa.array(place, mask=new))
                 before = column.slice(n - 1)
+            for name in running:
+                place = batch.schema.get_field_index(name)
+                sums = np.bitwise_xor.accumulate(np.concatenate(([bits[name]], batch.column(place).to_numpy())))
+                # What lay before a run is taken out again; nothing for the run at hand.
+                sums = sums[1:] ^ np.concatenate(([0], sums[begins]))[nth]
+                bits[name] = int(sums[-1])
+                batch = batch.set_column(place, batch.schema.field(place), pa.array(sums))
             last, run, filled = group[-1], int(runs[-1]), int(at[-1]) + 1
             for name, column in added.items():
                 batch = batch.append_column(name, column)
@@ -63,10 +74,14 @@ def _walker(value: str | None):
     return walk
 
 
-def deal_in_order(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str | None = None) -> DataFrame:
+def deal_in_order(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str | None = None, running: Sequence[str] = ()
+) -> DataFrame:
     """``df`` stored in order over partitions of even size, with the ``WORKING`` columns.
 
-    ``value`` names a column whose value one row earlier in the run becomes ``_before``.
+    ``value`` names a column whose value one row earlier in the run becomes
+    ``_before``; long columns of ``running`` become their exclusive or over the
+    run so far.
     """
     by = [F.col(c).asc_nulls_first() for c in (*group, *order)] + [F.col("_tie")]
     keyed = df.withColumns({"_group": F.xxhash64(*group), "_tie": row_hash(df)})
@@ -74,7 +89,7 @@ def deal_in_order(df: DataFrame, group: Sequence[str], order: Sequence[str], val
     added = {"_part": F.lit(0), "_run": F.lit(0).cast("long"), "_at": F.lit(0).cast("long")}
     if value is not None:
         added["_before"] = F.when(F.lit(False), F.col(value))
-    return materialize(dealt.mapInArrow(_walker(value), dealt.withColumns(added).schema), "ordered")
+    return materialize(dealt.mapInArrow(_walker(value, tuple(running)), dealt.withColumns(added).schema), "ordered")
 
 
 def carried(dealt: DataFrame, tail: dict[str, Column], start: dict, step: Callable[[dict, dict], dict]) -> DataFrame:
@@ -124,6 +139,22 @@ def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[str], va
     return found.drop(*WORKING, "_before", "_in_v").drop(out).withColumnRenamed("_came", out)
 
 
+def running_xor(df: DataFrame, group: Sequence[str], order: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """Add the exclusive or of long columns over their group's rows up to each row; ``columns`` gives input and name.
+
+    Of hashes that depend on place and content, it identifies the sequence so far.
+    """
+    held = {f"_bits_{k}": F.coalesce(F.col(c), F.lit(0)).cast("long") for k, c in enumerate(columns)}
+    dealt = deal_in_order(df.withColumns(held), group, order, running=tuple(held))
+    tail = {c: F.max_by(c, "_at") for c in held}
+    into = carried(dealt, tail, dict.fromkeys(held, 0), lambda a, b: {c: a[c] ^ b[c] for c in held})
+    found = _given(dealt, into)
+    for (c, _), out in zip(held.items(), columns.values()):
+        before = F.when(F.col("_run") == 0, F.coalesce(f"_in_{c}", F.lit(0))).otherwise(0)
+        found = found.withColumn(out, F.col(c).bitwiseXOR(before))
+    return found.drop(*WORKING, *held, *[f"_in_{c}" for c in held])
+
+
 def grouped_median(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
     """Exact interpolating median of positive integers per group.
 

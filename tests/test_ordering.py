@@ -55,6 +55,18 @@ def test_previous_values_cross_partitions(skewed, parts):
     assert {r["id"]: r["prev"] for r in got.collect()} == {i: v[1] for i, v in want.items()}
 
 
+def test_running_xor_crosses_partitions(skewed, parts):
+    rows = sorted((r["g"], r["o"], r["id"]) for r in skewed.collect())
+    want, last, bits = {}, None, 0
+    for g, o, i in rows:
+        bits = (0 if g != last else bits) ^ (o * 31 + i)
+        last, want[i] = g, bits
+    df = skewed.withColumn("h", F.col("o") * 31 + F.col("id"))
+    got = ordering.running_xor(df, ["g"], ["o", "id"], {"h": "x"})
+    assert got.columns == ["g", "o", "id", "h", "x"]
+    assert {r["id"]: r["x"] for r in got.collect()} == want
+
+
 def test_a_hot_group_spreads_and_is_shuffled_once(skewed, parts):
     dealt = ordering.deal_in_order(skewed, ["g"], ["o", "id"])
     sizes = [r["count"] for r in dealt.groupBy("_part").count().collect()]
