@@ -16,6 +16,7 @@ MODULES = (
     "token_budget",
     "toxicity",
     "token_files",
+    "prefix_trie",
 )
 
 

@@ -20,6 +20,9 @@ COLUMNS = {
     "op7_importance": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_toxicity": "doc_id held_out score predicted",
     "op10_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_token_files": "doc_id start n_tokens ids_crc32",
 }
 
 
@@ -33,4 +36,4 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
