@@ -17,6 +17,7 @@ MODULES = (
     "toxicity",
     "token_files",
     "prefix_trie",
+    "hard_negatives",
 )
 
 

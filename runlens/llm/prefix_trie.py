@@ -154,8 +154,8 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
 
 # The checksum, bit by bit over the digits of the id: a number from 0 on is a byte to take in, -1 a step of one bit.
 CRC32 = """list_reduce(flatten([[4294967295], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
-  c -> [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))]),
-  (a, x) -> CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)"""
+  lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))]),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)"""
 
 TRIE_SQL = f"""WITH raw AS (
   SELECT conv_id, turn, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
