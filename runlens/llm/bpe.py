@@ -1,20 +1,19 @@
 """Byte-pair encoding through a table of distinct words, and decoding through a table of pieces.
 
-Texts are split into the words of the vocabulary's own pattern, on all
-executors. Each distinct word of the corpus is encoded once. Ids go back to
-their positions in two ways: the ``COMMON_WORDS`` most frequent words travel to
-all tasks (a table of bounded size), which write a text as the ranks of its
-words, with holes for all others; those join the word table by a shuffle and
-fill the holes. So frequent words never meet in one task, rare ones have no hot
-keys, and a text is shuffled once, as a byte or two for each word. Decoding
-looks every id up in the id-to-piece table, one row for each vocabulary entry.
+Texts are split once into the words of the vocabulary's own pattern, on all
+executors. A task cuts its rows into pieces and writes each text as numbers into
+its piece's list of distinct words. The lists of all pieces meet by word; each
+distinct word of the corpus is encoded once, and its ids go back to every
+(piece, place) that holds it. Texts stay where they were written: their table is
+bucketed by piece, so only words and their ids are shuffled. A piece holds a word
+once, however frequent it is, so no word is a hot key, and nothing depends on
+ids, hashes of rows or their number. Decoding looks every id up in the
+id-to-piece table, one row for each vocabulary entry.
 
 Defined cases: a missing or empty text has no ids; the vocabulary's special
-strings inside texts become their ids; rows with the same id and text are
-encoded alike and all stay; texts of one id are told apart by a 64-bit hash, and
-a row that gets more or fewer ids of rare words than it has holes fails the run
-(so does a clash of hashes); columns named like an added one are replaced; an
-empty table gives no rows.
+strings inside texts become their ids; rows without an id, of one id or equal in
+all columns are rows of their own and all stay; columns named like an added one
+are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,23 +21,25 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-import zlib
-from collections import Counter
+import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from runlens.llm.common import arrow_rows, stored, table, whole_text
+from runlens.llm.common import arrow_rows, shared_folder, table, whole_text
 from runlens.llm.registry import query
 
 VOCABULARY = "byte_bpe_50k.json"
-# Bound of the table every task gets: so many words of at most so many characters.
-COMMON_WORDS, COMMON_CHARS = 1 << 19, 200
-WORDS_AT_ONCE = 500_000
-# Rows whose ids are put together in one piece of memory.
-ROWS_AT_ONCE = 1000
+# A piece ends with the text that brings it to so many distinct words or characters.
+PIECE_WORDS, PIECE_CHARS = 1 << 18, 1 << 24
+# Bytes of text for each bucket of the table of written texts.
+BUCKET_BYTES = 16 << 20
+# Words whose ids are sent back together.
+WORDS_AT_ONCE = 1 << 17
 # The two libraries know different Unicode versions; within these ranges they agree.
 AGREED = r"[^\x00-ԯ - 　-鿯가-힣]"
 
@@ -120,161 +121,170 @@ def pieces(name: str = VOCABULARY) -> list[bytes]:
     return [by_id.get(i, b"") for i in range(max(by_id) + 1)]
 
 
-def word_counts(texts: DataFrame, vocabulary: str) -> DataFrame:
-    """(word, n) of all distinct words."""
+def packed(numbers) -> bytes:
+    """Numbers below 2^32, compressed byte plane by byte plane, as high bytes are mostly zero."""
+    import zstandard
 
-    def make():
-        splitter = Splitter(vocabulary)
-
-        def rows(counts):
-            words = sorted(counts)  # neighbours share prefixes, so the shuffle packs them well
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())], ["word", "n"]
-            )
-
-        def step(batch):
-            counts: Counter = Counter()
-            for value in batch.column(0):
-                counts.update(splitter.words(value.as_py()))
-                if len(counts) > WORDS_AT_ONCE:
-                    yield rows(counts)
-                    counts = Counter()
-            if counts:
-                yield rows(counts)
-
-        return step
-
-    return texts.select("text").mapInArrow(arrow_rows(make), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def word_table(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(word, n, ids) of all distinct words, each encoded once."""
-
-    def make():
-        splitter = Splitter(vocabulary)
-
-        def step(batch):
-            ids = splitter.encode(batch.column(0).to_pylist())
-            yield batch.append_column("ids", pa.array(ids, pa.list_(pa.int32())))
-
-        return step
+    planes = np.asarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
-    return word_counts(texts, vocabulary).mapInArrow(arrow_rows(make), "word string, n long, ids array<int>")
 
+def unpacked(data: bytes) -> np.ndarray:
+    import zstandard
 
-def common_words(words: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The most frequent words by rank, their ids and where these end; at most ``COMMON_WORDS`` of bounded length."""
-    top = (
-        words.filter(F.length("word") <= COMMON_CHARS)
-        .orderBy(F.desc("n"), "word")
-        .limit(COMMON_WORDS)
-        .select("word", F.col("ids"))
-        .toArrow()
-        .combine_chunks()
-    )
-    ids = top.column(1).to_pylist()
-    ends = np.cumsum([0, *map(len, ids)])
-    return top.column(0).to_pylist(), np.array([i for x in ids for i in x], np.int32), ends.astype(np.int32)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def short_number(n: int) -> bytes:
-    """Seven bits a byte; all bytes but the last have the high bit."""
-    out = [n & 127]
-    while n := n >> 7:
-        out.append(n & 127 | 128)
-    return bytes(reversed(out))
+class Numbers(dict):
+    """Words numbered as they come up."""
 
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
 
-def numbers_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers in joined ``short_number`` bytes, and the place of each one's last byte."""
-    last = np.flatnonzero(data < 128)
-    start = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
-    values = np.zeros(len(last), np.int64)
-    for k in range(int((last - start).max(initial=-1)) + 1):
-        live = start + k <= last
-        values[live] = values[live] << 7 | (data[start[live] + k] & 127)
-    return values, last
 
+def written_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """The columns of ``docs`` without text, _piece, _packed (the text's words by number), _words; stored, bucketed by piece.
 
-def with_holes(keyed: DataFrame, common, vocabulary: str, packed: bool) -> DataFrame:
-    """Each text as the ranks of its common words from 1 and 0 for others, or (``packed`` false) those others."""
-    others = [c for c in keyed.columns if c != "text"]
-    place = keyed.columns.index("text")
-    name, kind = ("_packed", "binary") if packed else ("_rare", "array<string>")
-    schema = keyed.select(*others, F.lit(None).cast(kind).alias(name)).schema
+    A piece's own row has its words in order of their numbers and no text.
+    """
+    spark = docs.sparkSession
+    others = [c for c in docs.columns if c != "text"]
+    place = docs.columns.index("text")
+    # Every column may be missing: in a piece's own row, or in those of its texts.
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema.fields if f.name != "text"])
+    schema = schema.add("_piece", T.LongType()).add("_packed", T.BinaryType()).add("_words", T.ArrayType(T.StringType()))
 
     def make():
         splitter = Splitter(vocabulary)
-        known = {w: short_number(k) for k, w in enumerate(common.value[0], 1)}
-        hole = short_number(0)
+        piece = TaskContext.get().partitionId() << 32
+        numbers, chars = Numbers(), 0
 
-        def step(batch):
-            out = []
-            for value in batch.column(place):
-                words = splitter.words(value.as_py())
-                if packed:
-                    out.append(zlib.compress(b"".join([known.get(w, hole) for w in words]), 1))
-                else:
-                    out.append([w for w in words if w not in known])
-            columns = [batch.column(k) for k in range(batch.num_columns) if k != place]
-            kind = pa.binary() if packed else pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, kind)], schema.names)
+        def closing(fields):
+            row = [pa.nulls(1, f.type) for f in fields]
+            return pa.RecordBatch.from_arrays([*row, pa.array([piece]), pa.nulls(1, pa.binary()), pa.array([list(numbers)])], schema.names)
 
+        def step(batch):
+            nonlocal piece, numbers, chars
+            kept = [k for k in range(batch.num_columns) if k != place]
+            fields = [batch.schema.field(k) for k in kept]
+            start, out = 0, []
+            for at, value in enumerate(batch.column(place), 1):
+                text = value.as_py()
+                out.append(packed(list(map(numbers.__getitem__, splitter.words(text)))))
+                chars += len(text)
+                full = len(numbers) >= PIECE_WORDS or chars >= PIECE_CHARS
+                if full or at == batch.num_rows:
+                    columns = [batch.column(k).slice(start, at - start) for k in kept]
+                    columns += [pa.array([piece] * len(out)), pa.array(out, pa.binary()), pa.nulls(len(out), pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
+                    start, out = at, []
+                if full:
+                    yield closing(fields)
+                    piece, numbers, chars = piece + 1, Numbers(), 0
+            step.fields = fields
+
+        step.last = lambda: [closing(step.fields)] if numbers else []
         return step
 
-    return keyed.mapInArrow(arrow_rows(make), schema)
-
-
-def row_name() -> dict:
-    """A row's name: its id, or a hash of its text, and another 64-bit hash of the text that tells texts of one id apart."""
-    return {"_a": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "_b": F.xxhash64(F.lit(1), "text")}
+    def run(batches):
+        step = make()
+        for batch in batches:
+            if batch.num_rows:
+                yield from step(batch)
+        yield from step.last()
+
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(spark.sparkContext.defaultParallelism, size // BUCKET_BYTES + 1)
+    # A name is needed to write buckets; the files lie in the shared folder and outlive it.
+    name = f"bpe_{uuid.uuid4().hex}"
+    rows = docs.mapInArrow(run, schema)
+    rows.write.bucketBy(int(buckets), "_piece").option("path", shared_folder(spark, "pieces")).saveAsTable(name)
+    pieces = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return pieces
+
+
+def word_ids(pieces: DataFrame, vocabulary: str) -> DataFrame:
+    """(_piece, places): the ids of the words of ``pieces`` and their places there; each distinct word is encoded once."""
+
+    def sent(rows):
+        """Rows of (piece, place, ids) of many words, one row for each piece."""
+        piece, at, ids = (pa.concat_arrays([r[k] for r in rows]) for k in range(3))
+        piece, at = piece.to_numpy(), at.to_numpy()
+        order = np.lexsort((at, piece))
+        piece, at, ids = piece[order], at[order], ids.take(pa.array(order))
+        sizes, flat, offsets = ids.value_lengths().to_numpy(), ids.flatten().to_numpy(), np.asarray(ids.offsets)
+        begins = np.concatenate(([0], np.flatnonzero(np.diff(piece)) + 1))
+        places = [
+            packed(np.concatenate(([b - a], at[a:b], sizes[a:b], flat[offsets[a] - offsets[0] : offsets[b] - offsets[0]])))
+            for a, b in zip(begins, [*begins[1:], len(piece)])
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(piece[begins]), pa.array(places, pa.binary())], ["_piece", "places"])
+
+    def encode_sorted(batches):
+        splitter = Splitter(vocabulary)
+        last, last_ids, rows, size = None, None, [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = batch.column(0).dictionary_encode()  # sorted, so equal words lie together
+            distinct = words.dictionary.to_pylist()
+            known = [last_ids] if distinct[0] == last else []
+            ids = known + splitter.encode(distinct[len(known) :])
+            last, last_ids = distinct[-1], ids[-1]
+            lists = pa.array(ids, pa.list_(pa.int32())).take(words.indices)
+            rows.append((batch.column(1), batch.column(2), lists))
+            size += batch.num_rows
+            if size >= WORDS_AT_ONCE:
+                yield sent(rows)
+                rows, size = [], 0
+        if rows:
+            yield sent(rows)
+
+    words = pieces.filter("_words IS NOT NULL").select("_piece", F.posexplode("_words").alias("_at", "_word"))
+    words = words.select("_word", "_piece", "_at").repartition("_word").sortWithinPartitions("_word")
+    return words.mapInArrow(encode_sorted, "_piece long, places binary")
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ids (array of int) in place of text."""
     docs = docs.select(*[c for c in docs.columns if c != "ids"]).withColumn("text", whole_text())
-    spark = docs.sparkSession
     others = [c for c in docs.columns if c != "text"]
-    words = stored(word_table(docs.select("text"), vocabulary), "words")
-    common = spark.sparkContext.broadcast(common_words(words))
-    keyed = docs.withColumns(row_name())
-    rare = (
-        with_holes(keyed.select("_a", "_b", "text"), common, vocabulary, packed=False)
-        .select("_a", "_b", F.posexplode("_rare").alias("_at", "word"))
-        .join(words.select("word", "ids"), "word")
-        .groupBy("_a", "_b")
-        .agg(F.sort_array(F.collect_set(F.struct("_at", "ids"))).alias("_fill"))
-    )
-    joined = with_holes(keyed, common, vocabulary, packed=True).join(rare, ["_a", "_b"], "left").select(*others, "_packed", "_fill")
+    pieces = written_pieces(docs, vocabulary)
     schema = docs.select(*others, F.lit(None).cast("array<int>").alias("ids")).schema
 
-    def make():
-        _, values, ends = common.value
-        known = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends))), pa.array(values))  # rank 0: a hole
-
-        def step(whole):
-            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
-                yield filled(whole.slice(start, ROWS_AT_ONCE))
-
-        def filled(batch):
-            texts = [zlib.decompress(x.as_py()) for x in batch.column(len(others))]
-            fill = batch.column(len(others) + 1)
-            given = fill.flatten().field("ids")
-            ranks, last = numbers_of(np.frombuffer(b"".join(texts), np.uint8))
-            holes = np.flatnonzero(ranks == 0)
-            ranks[holes] = len(known) + np.arange(len(holes))
-            lists = pa.concat_arrays([known, given]).take(pa.array(ranks))
-            ends_at = np.concatenate(([0], np.searchsorted(last, np.cumsum([len(t) for t in texts]))))
-            fills = fill.value_lengths().fill_null(0).to_numpy()
-            if not np.array_equal(np.diff(np.searchsorted(holes, ends_at)), fills):
-                raise ValueError("a row's rare words and its holes differ in number")
-            bounds = np.asarray(lists.offsets)[ends_at] - lists.offsets[0].as_py()
-            ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), lists.flatten())
-            return pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(others))] + [ids], schema.names)
-
-        return step
-
-    return joined.mapInArrow(arrow_rows(make), schema)
+    def fill(texts: pa.Table, words: pa.Table) -> pa.Table:
+        at, sizes, flat = [], [], []
+        for blob in words.column("places").to_pylist():
+            data = unpacked(blob)
+            n = int(data[0])
+            at.append(data[1 : n + 1])
+            sizes.append(data[n + 1 : 2 * n + 1])
+            flat.append(data[2 * n + 1 :].astype(np.int32))
+        none = [np.zeros(0, np.int64)]
+        at, sizes, flat = (np.concatenate(x or none) for x in (at, sizes, flat))
+        starts, order = np.cumsum(sizes) - sizes, np.argsort(at)
+        if not np.array_equal(at[order], np.arange(len(at))):
+            raise ValueError("a piece did not get the ids of all its words")
+        starts, sizes = starts[order], sizes[order]
+        ids = []
+        for blob in texts.column("_packed"):
+            numbers = unpacked(blob.as_py())
+            count = sizes[numbers]
+            ends = np.cumsum(count)
+            place = np.repeat(starts[numbers] - ends + count, count) + np.arange(count.sum())
+            ids.append(pa.array(flat[place].astype(np.int32)))
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)),
+            pa.concat_arrays([pa.array([], pa.int32()), *ids]),
+        )
+        return pa.table([*(texts.column(c) for c in others), lists], names=schema.names)
+
+    texts = pieces.filter("_packed IS NOT NULL").select(*others, "_piece", "_packed")
+    met = texts.groupBy("_piece").cogroup(word_ids(pieces, vocabulary).groupBy("_piece"))
+    return met.applyInArrow(fill, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

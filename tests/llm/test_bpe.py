@@ -3,7 +3,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from runlens.llm import bpe
 from tests.llm import brute
@@ -25,9 +24,11 @@ def odd_texts():
     return texts + ["x <|endoftext|>y<|endoftext|>", "<|endoftext|>", "we'll don't  it's ", "೜₏1 a" * 5, "ab" * 3000, "   x   "]
 
 
-@pytest.mark.parametrize("common", [0, 50, 1 << 19])
-def test_same_ids_and_texts_as_the_library(spark, library, monkeypatch, common):
-    monkeypatch.setattr(bpe, "COMMON_WORDS", common)
+@pytest.mark.parametrize(("words", "chars", "sent"), [(1, 1, 1), (50, 1 << 24, 7), (1 << 18, 3000, 1 << 17), (1 << 18, 1 << 24, 1 << 17)])
+def test_same_ids_and_texts_as_the_library(spark, library, monkeypatch, words, chars, sent):
+    monkeypatch.setattr(bpe, "PIECE_WORDS", words)
+    monkeypatch.setattr(bpe, "PIECE_CHARS", chars)
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", sent)
     rows = brute.awkward_documents(3) + [(5000 + k, t) for k, t in enumerate(odd_texts())]
     got = bpe.decode(bpe.encode(spark.createDataFrame(rows, SCHEMA).repartition(4))).collect()
     assert len(got) == len(rows)
@@ -53,20 +54,21 @@ def test_missing_ids_repeated_rows_and_extra_columns(spark):
     assert bpe.encode(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_texts_of_one_id_with_equal_short_hashes(spark, library, monkeypatch):
-    monkeypatch.setattr(bpe, "COMMON_WORDS", 0)
-    texts = spark.range(400_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("qx"), F.hex("id"), F.lit(" zv")).alias("text"))
-    groups = texts.groupBy(F.hash("doc_id", "text")).agg(F.collect_list("text").alias("texts")).filter("size(texts) > 1").collect()
-    clashing = [t for g in groups for t in g.texts]
-    assert clashing
-    got = bpe.decode(bpe.encode(spark.createDataFrame([(1, t) for t in clashing], SCHEMA))).collect()
-    assert sorted(r.text for r in got) == sorted(clashing)
+def test_texts_are_not_shuffled_and_no_table_is_left(spark):
+    docs = spark.createDataFrame(brute.awkward_documents(3), SCHEMA)
+    plan = bpe.encode(docs)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("\n") if "Scan parquet" in x]
+    assert any("Bucketed: true" in x for x in scans)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bpe_")]
+
+
+def test_many_texts_of_one_id(spark, library):
+    texts = [f"qx{k:x} zv" for k in range(5000)]
+    got = bpe.decode(bpe.encode(spark.createDataFrame([(1, t) for t in texts], SCHEMA).repartition(6))).collect()
+    assert sorted(r.text for r in got) == sorted(texts)
     assert all(r.ids == library.encode(r.text, add_special_tokens=False).ids for r in got)
 
 
-def test_more_rare_words_than_holes_fail(spark, monkeypatch):
-    monkeypatch.setattr(bpe, "COMMON_WORDS", 0)
-    monkeypatch.setattr(bpe, "row_name", lambda: {"_a": F.col("doc_id"), "_b": F.lit(0)})
-    docs = spark.createDataFrame([(1, "one"), (1, "another text")], SCHEMA)
-    with pytest.raises(Exception, match="differ in number"):
-        bpe.encode(docs).collect()
+def test_numbers_are_packed_without_loss():
+    for x in ([], [0], [255, 256, 65535, 65536, (1 << 32) - 1], list(range(5000))):
+        assert bpe.unpacked(bpe.packed(x)).tolist() == x
