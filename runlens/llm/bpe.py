@@ -40,6 +40,8 @@ PIECE_WORDS, PIECE_CHARS = 1 << 18, 1 << 24
 BUCKET_BYTES = 16 << 20
 # Words whose ids are sent back together.
 WORDS_AT_ONCE = 1 << 17
+# Marks that stand together as one word behind letters, and in none of the vocabulary's special strings.
+PLAIN_MARKS = ",.;:!?"
 # The two libraries know different Unicode versions; within these ranges they agree.
 AGREED = r"[^\x00-ԯ - 　-鿯가-힣]"
 
@@ -87,6 +89,8 @@ class Splitter:
         self.tokenizer.no_padding()
         self.word = plain_pattern(public_tokenizers.PATTERN)
         self.unusual = re.compile(AGREED)
+        self.blanks = re.compile(r"\s ")
+        self.cut = re.compile(r"(?<=\S) ")
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = set(special)
         self.apart = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
@@ -104,18 +108,39 @@ class Splitter:
             out += [part] if part in self.special else self.plain(part)
         return out
 
+    def units(self, text: str) -> list[str]:
+        """``text`` cut at each blank that follows something else; all but the first lack that blank.
+
+        No word reaches over such a place, so the words of a text are those of
+        its first unit and of each other one with its blank.
+        """
+        if any(" " in s for s in self.special):
+            return [text]
+        return self.cut.split(text) if self.blanks.search(text) else text.split(" ")
+
+    def unit_words(self, unit: str) -> list[str]:
+        """The words of a unit that lacks its leading blank; letters with plain marks behind them need no pattern."""
+        core = unit.rstrip(PLAIN_MARKS)
+        if core.isalpha() and (core.isascii() or not self.unusual.search(core)):
+            return [" " + core] if len(core) == len(unit) else [" " + core, unit[len(core) :]]
+        return self.words(" " + unit)
+
     def encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
 
+def byte_letters() -> dict[str, int]:
+    """The characters that stand for bytes: byte-level vocabularies write those that do not print as characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in shown}
+    return letters | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+
+
 def pieces(name: str = VOCABULARY) -> list[bytes]:
     """The id-to-piece table: bytes of each vocabulary entry, in order of ids."""
     with open(vocabulary_path(name), encoding="utf-8") as f:
         spec = json.load(f)
-    # Byte-level vocabularies write the bytes that do not print as characters from 256 on.
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {chr(b): b for b in shown}
-    letters |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+    letters = byte_letters()
     by_id = {i: bytes(letters[c] for c in piece) for piece, i in spec["model"]["vocab"].items()}
     by_id |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
     return [by_id.get(i, b"") for i in range(max(by_id) + 1)]
@@ -125,7 +150,8 @@ def packed(numbers) -> bytes:
     """Numbers below 2^32, compressed byte plane by byte plane, as high bytes are mostly zero."""
     import zstandard
 
-    planes = np.asarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
+    data = numbers if isinstance(numbers, bytes) else np.asarray(numbers, "<u4")
+    planes = np.frombuffer(data, np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
@@ -137,12 +163,25 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class Numbers(dict):
-    """Words numbered as they come up."""
+    """Words numbered as they come up, as 32-bit bytes; the units of texts that were met are remembered likewise."""
 
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
+    def __init__(self, splitter: Splitter):
+        super().__init__()
+        self.splitter = splitter
+        self.units: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = number = len(self).to_bytes(4, "little")
         return number
 
+    def text(self, text: str) -> bytes:
+        """Numbers of all words of a text."""
+        first, *rest = self.splitter.units(text)
+        known, number, words_of = self.units, self.__getitem__, self.splitter.unit_words
+        for unit in set(rest).difference(known):
+            known[unit] = b"".join(map(number, words_of(unit)))
+        return b"".join([*map(number, self.splitter.words(first)), *map(known.__getitem__, rest)])
+
 
 def written_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
     """The columns of ``docs`` without text, _piece, _packed (the text's words by number), _words; stored, bucketed by piece.
@@ -159,7 +198,7 @@ def written_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
     def make():
         splitter = Splitter(vocabulary)
         piece = TaskContext.get().partitionId() << 32
-        numbers, chars = Numbers(), 0
+        numbers, chars = Numbers(splitter), 0
 
         def closing(fields):
             row = [pa.nulls(1, f.type) for f in fields]
@@ -172,7 +211,7 @@ def written_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
             start, out = 0, []
             for at, value in enumerate(batch.column(place), 1):
                 text = value.as_py()
-                out.append(packed(list(map(numbers.__getitem__, splitter.words(text)))))
+                out.append(packed(numbers.text(text)))
                 chars += len(text)
                 full = len(numbers) >= PIECE_WORDS or chars >= PIECE_CHARS
                 if full or at == batch.num_rows:
@@ -182,7 +221,7 @@ def written_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
                     start, out = at, []
                 if full:
                     yield closing(fields)
-                    piece, numbers, chars = piece + 1, Numbers(), 0
+                    piece, numbers, chars = piece + 1, Numbers(splitter), 0
             step.fields = fields
 
         step.last = lambda: [closing(step.fields)] if numbers else []

@@ -21,6 +21,7 @@ gives no shard and no rows.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import posixpath
 import zlib
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.bpe import VOCABULARY, Splitter
+from runlens.llm.bpe import VOCABULARY, Splitter, byte_letters
 from runlens.llm.common import arrow_rows, shared_folder, stored, table, whole_text
 from runlens.llm.registry import query
 
@@ -40,11 +41,9 @@ END_ID = 2
 SAMPLE_DOCUMENTS, SAMPLE_TOKENS, LEAST_SAMPLE = 2048, 2048, 64
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-SHARD_BYTES = 128 << 20
-# Words whose ids a task remembers; beyond it starts anew.
+SHARD_BYTES = 64 << 20
+# Words, and units around them, whose ids a task remembers; of older ones as many again.
 WORDS_KEPT = 1 << 18
-# Bytes of text whose unknown words are encoded together.
-CHARS_AT_ONCE = 1 << 20
 
 # The file format: a mark, the dictionary's hash, the bytes of one id.
 MARK = b"TOKIDS01"
@@ -52,33 +51,57 @@ HEADER = len(MARK) + 32 + 1
 INDEX = np.dtype([("has_id", "<u1"), ("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
 
 
+class Remembered(dict):
+    """Values of a function, the last ``WORDS_KEPT`` or more that were asked for."""
+
+    def __init__(self, value_of):
+        super().__init__()
+        self.value_of, self.older = value_of, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.value_of(key)
+        if len(self) >= WORDS_KEPT:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Serialiser:
-    """Whole texts to little-endian id arrays that close with the end id; words are encoded once and remembered."""
+    """Whole texts to little-endian id arrays that close with the end id; words and the units around them are remembered."""
 
     def __init__(self, vocabulary: str):
         self.splitter = Splitter(vocabulary)
-        self.kind = np.dtype("<u2" if self.splitter.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.end = np.array([END_ID], self.kind).tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > WORDS_KEPT:
-            self.known.clear()
-        for word, ids in zip(words, self.splitter.encode(words)):
-            self.known[word] = np.array(ids, self.kind).tobytes()
+        tokenizer = self.splitter.tokenizer
+        self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.tokenize = tokenizer.model.tokenize
+        self.special = {w: tokenizer.token_to_id(w) for w in self.splitter.special}
+        self.shown = str.maketrans({chr(b): c for c, b in byte_letters().items()})
+        self.blank = " ".translate(self.shown)
+        self.words = Remembered(self.word)
+        self.units = Remembered(self.unit)
+        self.of_id = [x.tobytes() for x in np.arange(tokenizer.get_vocab_size(), dtype=self.kind)]
+        self.end = self.of_id[END_ID]
+
+    def word(self, word: str) -> bytes:
+        if word in self.special:
+            return self.of_id[self.special[word]]
+        rest = word[1:]
+        if word[0] == " " and rest.isalpha() and rest.isascii():
+            shown = self.blank + rest
+        else:
+            shown = word.encode().decode("latin-1").translate(self.shown)
+        return b"".join([self.of_id[t.id] for t in self.tokenize(shown)])
+
+    def unit(self, unit: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.splitter.unit_words(unit)))
 
     def serialise(self, text: str) -> bytes:
-        words = self.splitter.words(text)
-        out = []
-        for start in range(0, len(words), CHARS_AT_ONCE):
-            part = words[start : start + CHARS_AT_ONCE]
-            new = set(part).difference(self.known)
-            if new:
-                if len(self.known) + len(new) > WORDS_KEPT:
-                    new = set(part)
-                self.learn(list(new))
-            out.append(b"".join(map(self.known.__getitem__, part)))
-        return b"".join([*out, self.end])
+        first, *rest = self.splitter.units(text)
+        head = map(self.words.__getitem__, self.splitter.words(first))
+        return b"".join([*head, *map(self.units.__getitem__, rest), self.end])
 
 
 def is_short():
@@ -136,6 +159,13 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY) ->
 
         fs, base = opened(folder)
         context = TaskContext.get()
+        gc.disable()  # what a task makes here holds no cycles, and looking for them takes a sixth of its time
+        try:
+            yield from shard_of(batches, zstandard, fs, base, context)
+        finally:
+            gc.enable()
+
+    def shard_of(batches, zstandard, fs, base, context):
         name = f"{context.partitionId():06d}"
         draft = posixpath.join(base, f"{name}-{context.taskAttemptId()}")
         out, index, at, n_ids = None, [], HEADER, 0
