@@ -35,11 +35,11 @@ from runlens.llm.registry import query
 
 VOCABULARY = "byte_bpe_50k.json"
 # A piece ends with the text that brings it to so many distinct words or characters.
-PIECE_WORDS, PIECE_CHARS = 1 << 18, 1 << 24
+PIECE_WORDS, PIECE_CHARS = 1 << 19, 1 << 24
 # Bytes of text for each bucket of the table of written texts.
 BUCKET_BYTES = 16 << 20
-# Words whose ids are sent back together.
-WORDS_AT_ONCE = 1 << 17
+# Words whose ids are sent back together, and texts that are returned together.
+WORDS_AT_ONCE, TEXTS_AT_ONCE = 1 << 17, 500
 # Marks that stand together as one word behind letters, and in none of the vocabulary's special strings.
 PLAIN_MARKS = ",.;:!?"
 # The two libraries know different Unicode versions; within these ranges they agree.
@@ -287,14 +287,19 @@ def word_ids(pieces: DataFrame, vocabulary: str) -> DataFrame:
     return words.mapInArrow(encode_sorted, "_piece long, places binary")
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ids (array of int) in place of text."""
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, and_decode: bool = False) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with ids (array of int) in place of text; or with the text that they decode to as well.
+
+    Decoding in the same pass saves a second set of Python workers.
+    """
     docs = docs.select(*[c for c in docs.columns if c != "ids"]).withColumn("text", whole_text())
     others = [c for c in docs.columns if c != "text"]
-    pieces = written_pieces(docs, vocabulary)
-    schema = docs.select(*others, F.lit(None).cast("array<int>").alias("ids")).schema
+    pieces_table = written_pieces(docs, vocabulary)
+    schema = docs.select(*others, F.lit(None).cast("array<int>").alias("ids"))
+    schema = (schema.withColumn("text", F.lit(None).cast("string")) if and_decode else schema).schema
 
     def fill(texts: pa.Table, words: pa.Table) -> pa.Table:
+        piece = pa.array(pieces(vocabulary), pa.binary()) if and_decode else None
         at, sizes, flat = [], [], []
         for blob in words.column("places").to_pylist():
             data = unpacked(blob)
@@ -307,27 +312,43 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         starts, order = np.cumsum(sizes) - sizes, np.argsort(at)
         if not np.array_equal(at[order], np.arange(len(at))):
             raise ValueError("a piece did not get the ids of all its words")
-        starts, sizes = starts[order], sizes[order]
-        ids = []
-        for blob in texts.column("_packed"):
+        starts, sizes, flat = starts[order], sizes[order], flat.astype(np.int32)
+
+        def ids_of(blob) -> pa.Array:
             numbers = unpacked(blob.as_py())
             count = sizes[numbers]
-            ends = np.cumsum(count)
-            place = np.repeat(starts[numbers] - ends + count, count) + np.arange(count.sum())
-            ids.append(pa.array(flat[place].astype(np.int32)))
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)),
-            pa.concat_arrays([pa.array([], pa.int32()), *ids]),
-        )
-        return pa.table([*(texts.column(c) for c in others), lists], names=schema.names)
-
-    texts = pieces.filter("_packed IS NOT NULL").select(*others, "_piece", "_packed")
-    met = texts.groupBy("_piece").cogroup(word_ids(pieces, vocabulary).groupBy("_piece"))
+            place = np.repeat(starts[numbers] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            return pa.array(flat[place], pa.int32())
+
+        batches = []
+        for batch in texts.to_batches(max_chunksize=TEXTS_AT_ONCE):
+            ids = [ids_of(x) for x in batch.column("_packed")]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays([pa.array([], pa.int32()), *ids]))
+            columns = [*(batch.column(c) for c in others), lists]
+            if and_decode:
+                columns.append(pa.array(decoded(piece, lists), pa.string()))
+            batches.append(pa.RecordBatch.from_arrays(columns, schema.names))
+        kinds = pa.schema([texts.schema.field(c) for c in others] + [("ids", pa.list_(pa.int32()))] + [("text", pa.string())] * and_decode)
+        return pa.Table.from_batches(batches) if batches else kinds.empty_table()
+
+    texts = pieces_table.filter("_packed IS NOT NULL").select(*others, "_piece", "_packed")
+    met = texts.groupBy("_piece").cogroup(word_ids(pieces_table, vocabulary).groupBy("_piece"))
     return met.applyInArrow(fill, schema)
 
 
+def decoded(piece: pa.Array, lists: pa.ListArray) -> list[str]:
+    """Texts of lists of ids: the pieces' bytes joined in order."""
+    found = piece.take(lists.flatten())
+    # The pieces of all lists stand joined in one buffer, in order of their positions.
+    whole, at = memoryview(found.buffers()[2] or b""), np.asarray(pa.Array.from_buffers(pa.int32(), len(found) + 1, [None, found.buffers()[1]]))
+    sizes = np.cumsum([0, *(len(x) if x.is_valid else 0 for x in lists)])
+    cut = at[sizes]
+    return [bytes(whole[a:b]).decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
+
+
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``encoded`` (ids, ...) with text: each id's piece by a broadcast look-up, bytes joined in order.
+    """``encoded`` (ids, ...) with text: each id's piece from the id-to-piece table, bytes joined in order.
 
     Bytes that are no UTF-8 become replacement characters. A missing list gives an empty text.
     """
@@ -339,13 +360,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         piece = pa.array(pieces(vocabulary), pa.binary())
 
         def step(batch):
-            ids = batch.column(place)
-            found = piece.take(ids.flatten())
-            # The pieces of a batch stand joined in one buffer, in order of their positions.
-            whole, at = memoryview(found.buffers()[2] or b""), np.asarray(pa.Array.from_buffers(pa.int32(), len(found) + 1, [None, found.buffers()[1]]))
-            sizes = np.cumsum([0, *(len(x) if x.is_valid else 0 for x in ids)])
-            cut = at[sizes]
-            texts = [bytes(whole[a:b]).decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
+            texts = decoded(piece, batch.column(place))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
         return step
@@ -355,13 +370,13 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents with their ids, and the text that the ids decode to."""
-    return decode(encode(docs)).select(*docs.columns, F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return encode(docs, and_decode=True).select(*docs.columns, F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs)).select(
+    return encode(docs, and_decode=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -41,9 +41,9 @@ END_ID = 2
 SAMPLE_DOCUMENTS, SAMPLE_TOKENS, LEAST_SAMPLE = 2048, 2048, 64
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 96 << 20
 # Words, and units around them, whose ids a task remembers; of older ones as many again.
-WORDS_KEPT = 1 << 18
+WORDS_KEPT = 3 << 17
 
 # The file format: a mark, the dictionary's hash, the bytes of one id.
 MARK = b"TOKIDS01"

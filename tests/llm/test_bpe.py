@@ -30,8 +30,9 @@ def test_same_ids_and_texts_as_the_library(spark, library, monkeypatch, words, c
     monkeypatch.setattr(bpe, "PIECE_CHARS", chars)
     monkeypatch.setattr(bpe, "WORDS_AT_ONCE", sent)
     rows = brute.awkward_documents(3) + [(5000 + k, t) for k, t in enumerate(odd_texts())]
-    got = bpe.decode(bpe.encode(spark.createDataFrame(rows, SCHEMA).repartition(4))).collect()
-    assert len(got) == len(rows)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = bpe.encode(docs, and_decode=True).collect() + bpe.decode(bpe.encode(docs)).collect()
+    assert len(got) == 2 * len(rows)
     want = dict(rows)
     for r in got:
         ids = library.encode(want[r.doc_id] or "", add_special_tokens=False).ids
