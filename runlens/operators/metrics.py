@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.classify import is_metric_key, key_namespace
+from runlens.operators.moments import vector_moments
 from runlens.operators.ordering import salted_join
 
 # Fixed values of the out-of-distribution rule.
@@ -44,9 +45,11 @@ def _vectors_by_step(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
         return F.sort_array(F.collect_list(F.when(F.col("side") == name, F.col("kv"))), asc=False)
 
     def by_key(entries: str) -> Column:
-        # Of values repeated for one key the greatest counts; see repeated_keys.
-        first = F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1)
-        return F.map_from_entries(first)
+        # Sorted, so values repeated for one key lie together and the greatest stands first; see repeated_keys.
+        before = F.concat(F.array(F.lit(None).cast("struct<key:string,value:array<double>>")), F.col(entries))
+        pairs = F.arrays_zip(F.col(entries).alias("e"), before.alias("p"))
+        first = F.filter(pairs, lambda x: x["e"].isNotNull() & ~x["e"]["key"].eqNullSafe(x["p"]["key"]))
+        return F.map_from_entries(F.transform(first, lambda x: x["e"]))
 
     sides = both.groupBy("episode_id", "step").agg(gather("b").alias("base"), gather("c").alias("cand"))
     return sides.select("episode_id", "step", by_key("base").alias("base"), by_key("cand").alias("cand"))
@@ -102,21 +105,17 @@ def action_l2(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
 
 
 def action_stats(baseline: DataFrame) -> DataFrame:
-    """``(episode_id, key, mean ARRAY, std ARRAY)`` of keys with enough rows."""
-    dims = action_keys(baseline).select(
-        "episode_id", "key", F.posexplode(F.col("value").cast("array<double>")).alias("dim", "x")
-    )
-    per_dim = dims.groupBy("episode_id", "key", "dim").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")
-    )
-    floored = F.when(F.col("std") < STD_FLOOR, 1.0).otherwise(F.col("std"))
-    per_key = (
-        per_dim.where(F.col("n") >= MIN_BASELINE_ROWS)
-        .groupBy("episode_id", "key")
-        .agg(F.sort_array(F.collect_list(F.struct("dim", "mean", floored.alias("std")))).alias("dims"))
-    )
-    return per_key.select(
-        "episode_id", "key", F.col("dims.mean").alias("mean"), F.col("dims.std").alias("std")
+    """``(episode_id, key, mean ARRAY, std ARRAY)`` of keys with enough rows.
+
+    Components that too few rows have are left out behind the others.
+    """
+    vectors = action_keys(baseline).select("episode_id", "key", F.col("value").cast("array<double>").alias("value"))
+    found = vector_moments(vectors, ["episode_id", "key"], "value")
+    std = F.zip_with("m2", "m", lambda q, m: F.sqrt(q / m))
+    floored = F.transform(std, lambda x: F.when(x < STD_FLOOR, 1.0).otherwise(x))
+    enough = F.size(F.filter("n", lambda n: n >= MIN_BASELINE_ROWS))
+    return found.where(enough > 0).select(
+        "episode_id", "key", F.slice("mean", 1, enough).alias("mean"), F.slice(floored, 1, enough).alias("std")
     )
 
 

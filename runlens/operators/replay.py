@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from runlens.functions.outcome import OUTCOME_KEYS, extract_outcome, mirror_told
@@ -143,6 +145,66 @@ def replay(
     return by_episode.mapInArrow(ordered, schema)
 
 
+def replay_resumed(
+    observations: DataFrame, policy_factory: Callable[[], Policy], states: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``(answers, states)``: replay in order of steps with policies that remember, going on from earlier states.
+
+    ``states`` is ``(episode_id, state BINARY)`` of an earlier call; episodes
+    without one get a new policy. A state is the pickled policy and whether it
+    has failed, so pass on only states that this function wrote. Each episode is
+    read in order, batch by batch, by one task that holds one policy at a time;
+    a task that is lost begins again from the stored states. Both results come
+    from one stored table.
+    """
+    id_type = observations.schema["episode_id"].dataType.simpleString()
+    schema = f"episode_id {id_type}, step BIGINT, actions {_ACTIONS}, sentinel {_TOLD}, error STRING, state BINARY"
+    rows = observations.select("episode_id", "step", "obs", F.lit(None).cast("binary").alias("state"))
+    if states is not None:
+        # A state stands before all steps of its episode.
+        first = F.lit(None).cast("bigint").alias("step"), F.lit(None).cast(observations.schema["obs"].dataType).alias("obs")
+        rows = rows.unionByName(states.select("episode_id", *first, "state"))
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import cloudpickle
+
+        current, live, broken, begun = None, None, False, False
+
+        def put_by() -> pa.RecordBatch:
+            row = _answers(pa.array([current], ids.type), pa.array([None], pa.int64()), [(None, None, None)])
+            return row.append_column("state", pa.array([cloudpickle.dumps((broken, live))], pa.binary()))
+
+        for batch in batches:
+            ids, given = batch.column("episode_id"), batch.column("state")
+            out, kept, start = [], [], 0
+            observed = _observations(batch.column("obs")) if batch.num_rows else iter(())
+            for i, (ep, obs) in enumerate(zip(ids.to_pylist(), observed, strict=True)):
+                if not begun or ep != current:
+                    if out:
+                        chosen = pa.array(kept)
+                        yield _answers(ids.take(chosen), batch.column("step").take(chosen), out).append_column("state", pa.nulls(len(out), pa.binary()))
+                        out, kept = [], []
+                    if begun:
+                        yield put_by()
+                    begun, current, broken, live = True, ep, False, policy_factory()
+                if given[i].is_valid:
+                    broken, live = cloudpickle.loads(given[i].as_py())
+                    continue
+                result = (None, None, None) if broken else _act(live, obs)
+                broken = broken or result[2] is not None
+                out.append(result)
+                kept.append(i)
+            if out:
+                chosen = pa.array(kept)
+                yield _answers(ids.take(chosen), batch.column("step").take(chosen), out).append_column("state", pa.nulls(len(out), pa.binary()))
+        if begun:
+            yield put_by()
+
+    ordered = rows.repartition("episode_id").sortWithinPartitions("episode_id", F.col("step").asc_nulls_first())
+    played = materialize(ordered.mapInArrow(in_order, schema), "resumed")
+    return played.where("step IS NOT NULL").drop("state"), played.where("state IS NOT NULL").select("episode_id", "state")
+
+
 def candidate_samples(played: DataFrame) -> DataFrame:
     """Long action series of what the policy answered."""
     return played.select("episode_id", "step", F.inline("actions"))
@@ -228,8 +290,6 @@ def evaluate(
 
 def observed_progress(df: DataFrame, name: str = "progress") -> DataFrame:
     """Attach running counters that a listener or ``Observation`` can read."""
-    from pyspark.sql import Observation
-
     watch = Observation(name)
     out = df.observe(
         watch,
@@ -241,3 +301,25 @@ def observed_progress(df: DataFrame, name: str = "progress") -> DataFrame:
     return out
 
 
+def stored_with_progress(
+    results: DataFrame,
+    on_progress: Callable[[dict], None] | None = None,
+    on_episode: Callable[[dict], None] | None = None,
+) -> tuple[DataFrame, dict]:
+    """``(stored results, counters)``, with callbacks whose errors change nothing.
+
+    The counters are gathered while the results are written. ``on_progress``
+    gets them once; ``on_episode`` gets id, status and error of each row, in
+    order of ``pos``, read a partition at a time.
+    """
+    watched = observed_progress(results, f"progress-{uuid.uuid4().hex[:8]}")
+    stored = materialize(watched, "results")
+    counters = dict(watched.observation.get)
+    if on_progress is not None:
+        with contextlib.suppress(Exception):
+            on_progress(counters)
+    if on_episode is not None:
+        for row in stored.select("pos", "baseline_episode_id", "status", "error").orderBy("pos").toLocalIterator():
+            with contextlib.suppress(Exception):
+                on_episode(row.asDict())
+    return stored, counters

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("evaluation", "recordings", "rules", "datasets", "catalogue", "live")
+MODULES = ("evaluation", "recordings", "rules", "values", "datasets", "catalogue", "live")
 
 
 def load():

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens import model
-from runlens.operators import catalog
+from runlens.operators import catalog, sink
 from runlens.plans import bindings as B
+from runlens.plans import staging
 from runlens.plans.registry import query
 
 
@@ -71,6 +73,42 @@ def log_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("duration_s").withColumn("failure_time_s", F.round("failure_time_s", 6))
 
 
+@query(
+    "episode_table",
+    f"""WITH {B.EPISODES_SQL}
+    SELECT episode_id, CASE WHEN episode_id % 5 = 0 THEN 'sim' ELSE 'replay' END AS source,
+           CASE WHEN episode_id % 11 = 0 AND episode_id % 4 <> 0 THEN 'failed' ELSE status END AS status,
+           CASE WHEN failure_time_s >= 0 THEN round(least(failure_time_s, 60.0), 6) END AS failure_time_s,
+           CASE WHEN episode_id % 11 = 0 AND episode_id % 4 <> 0 THEN 'upload error: timed out' END AS failure_reason,
+           CASE WHEN episode_id % 4 = 0 THEN 'b-again' ELSE 'a-first' END AS "commit"
+    FROM episodes""",
+)
+def episode_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs are logged to an episode table; a quarter is logged again without upload errors, after a try that fails."""
+    k = F.col("episode_id")
+
+    def logged(error) -> DataFrame:
+        runs = B.episodes(spark, sf_dir).select(
+            "episode_id", "status", "failure_time_s", "duration_s",
+            F.when(k % 5 == 0, "sim").alias("source"), error.cast("string").alias("upload_error"),
+        )
+        return catalog.log_episodes(runs, model.DEFAULT_SOURCE["frames"]).drop("duration_s", "problem")
+
+    root = staging.fresh(spark, "episodes")
+    first = logged(F.when(k % 11 == 0, "timed out"))
+    sink.write_episodes(first, root, "a-first")
+    again = logged(F.lit(None)).where(k % 4 == 0)
+    broken = F.when(k % 1000 == 4, F.raise_error(F.lit("broken on purpose"))).otherwise(F.col("source"))
+    try:
+        sink.write_episodes(again.withColumn("source", broken), root, "b-again")
+    except PySparkException as e:
+        if "broken on purpose" not in str(e):
+            raise
+    sink.write_episodes(again, root, "b-again")
+    table = sink.read_episodes(spark, root, first.schema)
+    return table.withColumn("failure_time_s", F.round("failure_time_s", 6))
+
+
 @query(
     "finalize_episodes",
     """WITH c AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders),

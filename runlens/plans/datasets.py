@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.operators import outcomes, pack, quality
+from runlens.operators import outcomes, pack, quality, sink
 from runlens.operators.ordering import number_rows
 from runlens.plans import bindings as B
 from runlens.plans import staging
@@ -47,7 +48,9 @@ def scan_frames_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def slice_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = staging.fresh(spark, "frames-v3")
-    staging.line_frames(spark, sf_dir).write.parquet(f"{root}/data/chunk-000")
+    # Shards hold ranges of episodes in order, as datasets of this version do.
+    ordered = staging.line_frames(spark, sf_dir).repartitionByRange("episode_index").sortWithinPartitions("episode_index", "frame_index")
+    ordered.write.option("parquet.block.size", 1 << 16).parquet(f"{root}/data/chunk-000")
     shards = frames.scan_frames_v3(spark, root)
     wanted = (
         B.table(spark, sf_dir, "supplier")
@@ -55,7 +58,7 @@ def slice_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("s_suppkey").alias("episode_index"))
         .unionByName(spark.sql("SELECT -1L AS episode_index"))
     )
-    found = shards.join(wanted, "episode_index", "left_semi").groupBy("episode_index").agg(
+    found = frames.slice_episodes(shards, wanted).groupBy("episode_index").agg(
         _count(),
         F.round(F.sum(F.col("`observation.state`")[0].cast("double")), 3).alias("total"),
         F.lit(False).alias("empty"),
@@ -314,6 +317,47 @@ def pack_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fails_midway(rows: DataFrame, when: Column) -> DataFrame:
+    """``rows``, but a row where ``when`` holds ends the job."""
+    broken = F.when(when, F.raise_error(F.lit("broken on purpose")).cast("bigint")).otherwise(F.col("step"))
+    return rows.withColumn("step", broken)
+
+
+@query(
+    "write_samples",
+    f"""WITH {B.line_sql()},
+    series AS (
+      SELECT s.episode_id, s.step, u.key, u.slot, u.x, u.w FROM steps s,
+      LATERAL (VALUES ('observation.state/value', 'sensors', l_quantity::FLOAT::DOUBLE + l_discount::FLOAT::DOUBLE, 2),
+                      ('observation.line/value', 'sensors', l_linenumber, 1),
+                      ('action/value', 'actions', l_tax::FLOAT::DOUBLE * 3, 3)) u(key, slot, x, w))
+    SELECT CASE WHEN episode_id % 2 = 0 THEN 'even' ELSE 'odd' END AS "commit", episode_id, key, slot, count(*) AS n,
+           max(step) AS last_step, max(trunc(((step / 10.0::DOUBLE)::FLOAT)::DOUBLE * 1e9::DOUBLE)::BIGINT) AS last_t_ns,
+           round(sum(x), 3) AS total, sum(w)::BIGINT AS numbers
+    FROM series GROUP BY ALL""",
+)
+def write_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two commits; the first is tried with wrong values, then fails half-way, then succeeds; all are read back."""
+    frames_of = staging.line_frames(spark, sf_dir)
+    samples, _ = pack.pack_frames(frames_of, ["observation.state", "observation.line", "action"])
+    root = staging.fresh(spark, "samples")
+    even = samples.where("episode_id % 2 = 0")
+    sink.write_samples(even.withColumn("t_ns", F.lit(0).cast("bigint")), root, "even")
+    try:
+        sink.write_samples(_fails_midway(even, F.col("step") % 97 == 41), root, "even")
+    except PySparkException as e:
+        if "broken on purpose" not in str(e):
+            raise
+    sink.write_samples(even, root, "even")
+    sink.write_samples(samples.where("episode_id % 2 <> 0"), root, "odd")
+    stored = sink.committed(spark, root, samples.schema)
+    total = F.aggregate(F.col("value").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+    return stored.groupBy("commit", "episode_id", "key", "slot").agg(
+        _count(), F.max("step").alias("last_step"), F.max("t_ns").alias("last_t_ns"),
+        F.round(F.sum(total), 3).alias("total"), F.sum(F.size("value")).alias("numbers"),
+    )
+
+
 @query(
     "pack_series_issues",
     """SELECT NULL AS recording_id, 'sensors' AS slot, 'observation.absent' AS item, 'column_absent' AS reason

@@ -10,7 +10,7 @@ from runlens.functions.outcome import OUTCOME_KEYS, extract_outcome, mirror_outc
 from runlens.operators import catalog, metrics, verify
 from runlens.operators.ordering import salted_join
 from runlens.operators.outcomes import frame_outcomes
-from runlens.operators.replay import candidate_samples, evaluate, replay, replay_summary
+from runlens.operators.replay import candidate_samples, evaluate, replay, replay_resumed, replay_summary, stored_with_progress
 from runlens.plans import bindings as B
 from runlens.plans.registry import query
 from runlens.session import materialize
@@ -299,6 +299,83 @@ def replay_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class CarefulPolicy:
+    """Remembers what it lifted: answers with the running total, and breaks for good beyond a limit."""
+
+    LIMIT = 20_000
+
+    def __init__(self):
+        self.total, self.lifts = 0.0, 0
+
+    def __call__(self, obs):
+        quantity, _, _, returned = obs["/state/value"]
+        self.lifts += 1
+        self.total += quantity * (2 if returned else 1)
+        if self.total > self.LIMIT:
+            raise RuntimeError(f"worn out after {self.lifts}")
+        return {"/lift": [self.total, self.lifts]}
+
+
+_REMEMBERED_SQL = f"""{B.line_sql()},
+    worked AS (
+      SELECT episode_id, step, sum(l_quantity * CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END) OVER w AS total
+      FROM steps WINDOW w AS (PARTITION BY episode_id ORDER BY step)),
+    ended AS (SELECT episode_id, min(step) FILTER (total > 20000) AS broke, count(*) AS steps FROM worked GROUP BY 1)"""
+
+
+@query(
+    "replay_resumed",
+    f"""WITH {_REMEMBERED_SQL}
+    SELECT w.episode_id, any_value(steps) AS steps, count(*) FILTER (broke IS NULL OR step < broke) AS answered,
+           max(total) FILTER (broke IS NULL OR step < broke) AS lifted,
+           sum(step + 1) FILTER (broke IS NULL OR step < broke)::DOUBLE AS lifts,
+           CASE WHEN any_value(broke) IS NOT NULL THEN 'RuntimeError: worn out after ' || any_value(broke) + 1 END AS error
+    FROM worked w JOIN ended USING (episode_id) GROUP BY 1""",
+)
+def replay_resumed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A policy that remembers is replayed over the first 200 steps of each episode and resumed for the rest."""
+    observed = metrics.materialize_steps(_line_sensors(_stored_steps(spark, sf_dir)))
+    first, states = replay_resumed(observed.where(F.col("step") < 200), CarefulPolicy)
+    second, _ = replay_resumed(observed.where(F.col("step") >= 200), CarefulPolicy, states)
+    played = first.unionByName(second)
+    lift = F.try_element_at(F.transform("actions", lambda a: a["value"]), F.lit(1))
+    return played.groupBy("episode_id").agg(
+        F.count(F.lit(1)).alias("steps"), F.count_if(F.size("actions") > 0).alias("answered"), F.max(lift[0]).alias("lifted"),
+        F.sum(lift[1]).alias("lifts"), F.max("error").alias("error"),
+    )
+
+
+@query(
+    "replay_progress",
+    f"""WITH {_REPLAY_SQL}
+    SELECT 'counted while written' AS source, count(*) AS episodes, count(*) FILTER (status = 'complete') AS completed,
+           count(*) FILTER (status = 'failed') AS failed FROM results
+    UNION ALL SELECT 'told one by one', count(*), count(*) FILTER (status = 'complete'), count(*) FILTER (status = 'failed') FROM results""",
+)
+def replay_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of an evaluation, and what a callback that fails now and then was told."""
+    steps = _stored_steps(spark, sf_dir)
+    results = evaluate(
+        _supplier_plan(spark, sf_dir), _line_sensors(steps), B.line_actions(steps), _line_metadata(spark, sf_dir),
+        policy=line_policy, run_id="watched", dry_run=True,
+    )
+    told = {"episodes": 0, "completed": 0, "failed": 0}
+
+    def on_episode(row):
+        told["episodes"] += 1
+        told["completed"] += row["status"] == "complete"
+        told["failed"] += row["status"] == "failed"
+        if told["episodes"] % 2:
+            raise RuntimeError("the display is gone")
+
+    def on_progress(counters):
+        raise RuntimeError(f"no display for {counters}")
+
+    _, counters = stored_with_progress(results, on_progress, on_episode)
+    rows = [(name, *(int(c[k]) for k in told)) for name, c in (("counted while written", counters), ("told one by one", told))]
+    return spark.createDataFrame(rows, "source STRING, episodes BIGINT, completed BIGINT, failed BIGINT")
+
+
 # ── rollups and gates ────────────────────────────────────────────────
 
 
@@ -466,6 +543,55 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.gate(_supplier_scenarios(spark, sf_dir), latest)
 
 
+@query(
+    "gate_body",
+    f"""WITH {_LATEST_SQL},
+    candidates AS (SELECT l_returnflag AS v FROM lineitem UNION SELECT l_linestatus FROM lineitem),
+    critical AS (SELECT scenario_id, name FROM scenarios WHERE severity = 'critical'),
+    known AS (
+      SELECT v, c.scenario_id, c.name, l.latest_status FROM candidates CROSS JOIN critical c
+      LEFT JOIN latest l ON l.scenario_id = c.scenario_id AND l.candidate_policy_version = v)
+    SELECT v AS candidate_policy_version, count(*) AS critical_total,
+           count(*) FILTER (latest_status = 'pass') AS critical_passed,
+           count(*) FILTER (latest_status <> 'pass') AS critical_failed,
+           count(*) FILTER (latest_status IS NULL) AS critical_pending,
+           count(*) FILTER (latest_status = 'pass') = count(*) AS passed,
+           coalesce(string_agg(name, ',' ORDER BY name, scenario_id), '') AS scenarios,
+           coalesce(string_agg(name, ',' ORDER BY name, scenario_id) FILTER (latest_status IS DISTINCT FROM 'pass'), '') AS blockers
+    FROM known GROUP BY v""",
+)
+def gate_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line statuses are candidates that have no results at all."""
+    lines = B.table(spark, sf_dir, "lineitem")
+    candidates = lines.select(F.explode(F.array("l_returnflag", "l_linestatus")).alias("candidate_policy_version")).distinct()
+    latest = verify.latest_status(_verify_rows(spark, sf_dir), _RESULT_ORDER)
+    body = verify.gate_body(_supplier_scenarios(spark, sf_dir), latest, candidates)
+    return body.withColumns({c: F.array_join(c, ",") for c in ("scenarios", "blockers")})
+
+
+@query(
+    "record_results",
+    """SELECT status, error IS NOT NULL AS has_error, success, n,
+       coalesce(status, CASE WHEN error IS NOT NULL THEN 'error' WHEN success THEN 'pass' ELSE 'fail' END) AS recorded
+    FROM (SELECT CASE WHEN l_linenumber = 1 THEN 'pass' WHEN l_linenumber = 2 THEN 'fail' END AS status,
+                 CASE WHEN l_quantity >= 45 THEN 'stuck' END AS error,
+                 CASE WHEN l_tax > 0.05 THEN true WHEN l_tax > 0.01 THEN false END AS success, count(*) AS n
+          FROM lineitem GROUP BY ALL)""",
+)
+def record_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, tax = F.col("l_linenumber"), F.col("l_tax")
+    given = B.table(spark, sf_dir, "lineitem").select(
+        F.when(line == 1, "pass").when(line == 2, "fail").alias("status"),
+        F.when(F.col("l_quantity") >= 45, "stuck").alias("error"),
+        F.when(tax > 0.05, True).when(tax > 0.01, False).alias("success_candidate"),
+    )
+    recorded = verify.record_results(given.withColumn("said", F.col("status")))
+    return recorded.groupBy(
+        F.col("said").alias("status"), F.col("error").isNotNull().alias("has_error"),
+        F.col("success_candidate").alias("success"), F.col("status").alias("recorded"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "run_check",
     f"""WITH {_REPLAY_SQL}, {_LATEST_SQL},

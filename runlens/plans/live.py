@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.plans import bindings as B
 from runlens.plans import staging
@@ -20,6 +21,22 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.message_columns(raw.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
+BATCHES = 5
+
+
+def _inbox(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """The events as five files that arrive in turn: a fifth of the time each, but every seventh message one file late."""
+    events = B.table(spark, sf_dir, "events")
+    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    time = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)
+    part = F.floor(time * BATCHES / F.lit((hi or 0) - (lo or 0) + 1)) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    dealt = events.withColumn("_part", F.least(F.lit(BATCHES - 1), part))
+    inbox = staging.fresh(spark, "inbox")
+    for k in range(BATCHES):
+        dealt.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(inbox)
+    return inbox, events.schema
+
+
 def _run(stream: DataFrame, spark: SparkSession, mode: str = "append", name: str = "rows") -> DataFrame:
     out = staging.fresh(spark, "stream")
     schema = stream.schema
@@ -43,8 +60,12 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {B.MESSAGES_SQL} SELECT recording_id, topic, count(*) AS n FROM messages GROUP BY ALL",
 )
 def stream_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _run(live.topic_counts(_stream(spark, sf_dir)), spark, mode="update")
-    return live.latest_per_key(rows, ["recording_id", "topic"])
+    """Counted over five batches; the counts are read from the state store."""
+    inbox, schema = _inbox(spark, sf_dir)
+    stream = B.message_columns(live.file_stream(spark, inbox, schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp")))
+    checkpoint = staging.fresh(spark, "counts")
+    live.drain(live.topic_counts(stream), None, checkpoint, "update")
+    return live.held_counts(spark, checkpoint)
 
 
 @query(
@@ -64,27 +85,30 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_late",
-    """WITH e AS (SELECT *, event_id % 13 = 0 AS late FROM events),
-    mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 days AS w FROM e WHERE NOT late)
-    SELECT count(*) FILTER (NOT late OR ts > w) AS kept, count(*) FILTER (late AND ts <= w) AS dropped FROM e, mark""",
+    f"""WITH span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+    e AS (
+      SELECT ts, event_id, least({BATCHES - 1}, (epoch_us(ts) - lo) * {BATCHES} // (hi - lo + 1) + (event_id % 7 = 0)::INT) AS part
+      FROM events, span),
+    clocks AS (SELECT part, max(ts) AS latest FROM e GROUP BY part),
+    marks AS (
+      SELECT a.part, date_trunc('millisecond', max(b.latest)) - INTERVAL 2 DAY AS w
+      FROM clocks a JOIN clocks b ON b.part < a.part GROUP BY a.part)
+    SELECT e.part AS batch, count(*) FILTER (w IS NULL OR ts > w) AS kept, count(*) FILTER (ts <= w) AS dropped,
+           min(event_id) FILTER (ts <= w) AS first_dropped
+    FROM e LEFT JOIN marks USING (part) GROUP BY e.part""",
 )
 def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table in two arrivals, one of them behind the clock."""
-    events = B.table(spark, sf_dir, "events")
-    inbox, out = staging.fresh(spark, "inbox"), staging.fresh(spark, "late")
-    late = F.col("event_id") % 13 == 0
-    dropped = 0
-    for part in (events.where(~late), events.where(late)):
-        part.write.mode("append").parquet(inbox)
-        raw = live.file_stream(spark, inbox, events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
-        unique = live.unique_messages(B.message_columns(raw), ["seq"], "10 days")
-        done = live.drain(
-            unique.select("seq", "ts"), live.folder_writer(out, "rows"), f"{out}/checkpoint"
-        )
-        for progress in done.recentProgress:
-            dropped += sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
-    rows = live.stored(spark, out, "rows", "seq BIGINT, ts TIMESTAMP")
-    return rows.agg(F.count(F.lit(1)).alias("kept"), F.lit(dropped).cast("bigint").alias("dropped"))
+    """Five arrivals; what comes behind its batch's watermark goes to a side output."""
+    inbox, schema = _inbox(spark, sf_dir)
+    out = staging.fresh(spark, "late")
+    raw = live.file_stream(spark, inbox, schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = B.message_columns(raw).select("seq", "ts")
+    live.drain(rows, live.late_splitter(out, 2 * 24 * 3600 * 1000), f"{out}/checkpoint")
+    return live.split_rows(spark, out, rows.schema).groupBy("batch").agg(
+        F.count_if(~F.col("late")).alias("kept"),
+        F.count_if("late").alias("dropped"),
+        F.min(F.when(F.col("late"), F.col("seq"))).alias("first_dropped"),
+    )
 
 
 @query(
@@ -103,11 +127,15 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM totals WHERE message_count > 0""",
 )
 def stream_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stop = F.col("event_type") == "error"
+    """Five arrivals, some rows a batch late, and last a row that only moves the clock."""
+    inbox, schema = _inbox(spark, sf_dir)
+    # Behind every message and its delay.
+    spark.sql("SELECT -1L AS event_id, TIMESTAMP_NTZ'2200-01-01' AS ts").write.mode("append").parquet(inbox)
+    raw = live.file_stream(spark, inbox, schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    stop = F.when(F.col("seq") >= 0, F.col("event_type") == "error")
     broken = stop & (F.col("seq") % 2 == 1)
-    stream = _stream(spark, sf_dir).select(
+    stream = B.message_columns(raw).select(
         "recording_id",
-        "topic",
         "t_ns",
         "seq",
         stop.alias("is_stop"),
@@ -115,10 +143,10 @@ def stream_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(broken & (F.col("seq") % 3 == 0), F.concat(F.lit("motor "), F.col("seq").cast("string"))).alias("exc_message"),
     )
     out = staging.fresh(spark, "finalize")
-    live.drain(stream, live.stop_writer(out), f"{out}/checkpoint")
+    live.append_rows(live.closed_recordings(stream, "20 days", salts=2), f"{out}/closed", f"{out}/checkpoint")
     given = B.headers(spark, sf_dir).select("recording_id").distinct().where("recording_id % 4 = 0")
     given = given.withColumn("metadata", F.create_map(F.lit("mode"), F.lit("shadow")))
-    done = live.finalized(spark, out, given)
+    done = live.finalized(spark.read.schema(live.CLOSED).parquet(f"{out}/closed"), given)
     pairs = F.transform(F.map_entries("metadata"), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return done.withColumn("duration_s", F.round("duration_s", 6)).withColumn(
         "metadata", F.array_join(F.sort_array(pairs), ";")
@@ -132,21 +160,19 @@ def stream_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
             ORDER BY {", ".join(c + " DESC" for c in B.LINE_ORDER)}) AS rn FROM lineitem) WHERE rn = 1""",
 )
 def stream_result_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All results arrive twice, as retried pushes do."""
+    """All results arrive twice, as retried pushes do, over five batches; the state store has the last of each."""
     lines = B.table(spark, sf_dir, "lineitem")
     order = [c for c in B.LINE_ORDER if c not in ("l_returnflag", "l_suppkey")]
-    inbox, out = staging.fresh(spark, "pushes"), staging.fresh(spark, "results")
+    inbox, checkpoint = staging.fresh(spark, "pushes"), staging.fresh(spark, "results")
     keys = ["eval_run_id", "baseline_episode_id"]
     for _ in range(2):
-        lines.write.mode("append").parquet(inbox)
-        pushed = live.file_stream(spark, inbox, lines.schema).select(
-            F.col("l_returnflag").alias("eval_run_id"),
-            F.col("l_suppkey").alias("baseline_episode_id"),
-            F.col("l_linestatus").alias("status"),
-            F.col("l_extendedprice").alias("reward"),
-            *[F.col(c).alias(f"_{c}") for c in order],
-        )
-        live.drain(pushed, live.upsert_writer(out, keys, [f"_{c}" for c in order]), f"{out}/checkpoint")
-    rows = live.stored(spark, out, "results", pushed.schema)
-    latest = live.latest_per_key(rows, keys, [*[f"_{c}" for c in order], "batch"])
-    return latest.select(*keys, "status", "reward")
+        lines.repartition(BATCHES, "l_orderkey").write.mode("append").parquet(inbox)
+    pushed = live.file_stream(spark, inbox, lines.schema, files_per_batch=2).select(
+        F.col("l_returnflag").alias("eval_run_id"),
+        F.col("l_suppkey").alias("baseline_episode_id"),
+        F.col("l_linestatus").alias("status"),
+        F.col("l_extendedprice").alias("reward"),
+        *[F.col(c).alias(f"_{c}") for c in order],
+    )
+    live.drain(live.latest_results(pushed, keys, [f"_{c}" for c in order]), None, checkpoint, "update")
+    return live.held_results(spark, checkpoint).select(*keys, "status", "reward")

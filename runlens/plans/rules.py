@@ -420,7 +420,12 @@ def validate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT event_id, '{"__type":"runlens.Battery","percent":' || value || ',"voltage_v":null,"current_a":null,"charging":'
        || CASE WHEN value > 50 THEN 'true' ELSE 'false' END || '}' AS battery,
        '{"__type":"runlens.Twist","linear":[' || value || ',0.0,0.0],"angular":[0.0,0.0,0.0]}' AS twist,
-       'runlens.Battery' AS tag FROM events""",
+       'runlens.Battery' AS tag,
+       '{"robot":"r' || user_id || '","packs":{' || '"' || event_id % 3 || '":[{"at":' || event_id || ',"cell":'
+       || CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '{"__type":"runlens.Battery","percent":' || value || ',"voltage_v":null,"current_a":null,"charging":false}' END
+       || '}]},"goal":{"__type":"runlens.EpisodeOutcome","success":' || CASE WHEN value > 50 THEN 'true' ELSE 'false' END
+       || ',"reward_total":' || value || ',"collision_count":null,"time_to_goal_s":null},"said":{"k":' || event_id || '}}' AS nested
+       FROM events""",
 )
 def typed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     zero = F.lit(0.0)
@@ -429,7 +434,24 @@ def typed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
         typed.encode("Battery", percent=F.col("value"), charging=F.col("value") > 50).alias("battery"),
         typed.encode("Twist", linear=F.array("value", zero, zero), angular=F.array(zero, zero, zero)).alias("twist"),
     )
-    return out.withColumn("tag", typed.payload_type(F.parse_json("battery")))
+    return out.withColumn("tag", typed.payload_type(F.parse_json("battery"))).join(_nested_payloads(spark, sf_dir), "event_id")
+
+
+def _nested_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A struct with a map of lists of structs that hold typed payloads, a typed payload of its own and a variant."""
+    none, k = F.lit(None).cast("double"), F.col("event_id")
+    cell = F.struct(F.col("value").alias("percent"), none.alias("voltage_v"), none.alias("current_a"), F.lit(False).alias("charging"))
+    part = F.struct(k.alias("at"), F.when(k % 5 != 0, cell).alias("cell"))
+    goal = F.struct(
+        (F.col("value") > 50).alias("success"), F.col("value").alias("reward_total"),
+        F.lit(None).cast("bigint").alias("collision_count"), none.alias("time_to_goal_s"),
+    )
+    run = F.struct(
+        F.concat(F.lit("r"), F.col("user_id").cast("string")).alias("robot"), F.create_map(k % 3, F.array(part)).alias("packs"),
+        goal.alias("goal"), F.parse_json(F.concat(F.lit('{"k":'), k.cast("string"), F.lit("}"))).alias("said"),
+    )
+    rows = B.table(spark, sf_dir, "events").select("event_id", run.alias("run"))
+    return rows.select("event_id", typed.encode_nested(F.col("run"), rows.schema["run"].dataType).alias("nested"))
 
 
 @query(

@@ -6,9 +6,7 @@ A dataset root holds ``meta/info.json``, episode and task tables below
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,33 +28,30 @@ def scan_frames_v2(spark: SparkSession, root: str, schema: T.StructType | None =
     """Frames of one file per episode, with ``episode_index`` from the path.
 
     When an episode lies in both chunkings, the directory for chunks of 1000
-    wins. That follows from the file names Spark has listed for the scan, so
-    frames themselves need no join.
+    wins. Files that lose are found from the paths of the scan in a Spark
+    aggregate, and their frames are left out by an anti join on the path.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    frames = reader.parquet(f"{root}/data/chunk-*/episode_*.parquet")
-    files = [unquote(f) for f in frames.inputFiles()]
-    kept = preferred_files(files)
-    if len(kept) < len(files):
-        frames = reader.parquet(*kept)
+    glob = f"{root}/data/chunk-*/episode_*.parquet"
+    frames = reader.parquet(glob)
     path = F.col("_metadata.file_path")
-    return frames.select(
+    lost = superseded_files(reader.parquet(glob).select(path.alias("_path")).distinct())
+    kept = frames.withColumn("_path", path).join(lost, "_path", "left_anti")
+    return kept.select(
         *[F.col(f"`{c}`") for c in frames.columns if c != "episode_index"],
-        F.regexp_extract(path, FRAME_NAME, 2).cast("bigint").alias("episode_index"),
+        F.regexp_extract("_path", FRAME_NAME, 2).cast("bigint").alias("episode_index"),
     )
 
 
-def preferred_files(files: Sequence[str]) -> list[str]:
-    """One file per episode: the one in its chunk of 1000 when there are two."""
-    chosen: dict[int, str] = {}
-    for path in files:
-        found = re.search(FRAME_NAME, path)
-        if found is None:
-            continue
-        chunk, episode = int(found[1]), int(found[2])
-        if episode not in chosen or chunk == episode // DEFAULT_CHUNK:
-            chosen[episode] = path
-    return list(chosen.values())
+def superseded_files(files: DataFrame) -> DataFrame:
+    """Paths (``_path``) of all but one file of each episode: the one in its chunk of 1000 stays, else the first by name."""
+    chunk, episode = (F.regexp_extract("_path", FRAME_NAME, k).try_cast("bigint") for k in (1, 2))
+    named = files.select("_path", chunk.alias("chunk"), episode.alias("episode")).where("episode IS NOT NULL")
+    in_place = F.col("chunk") == F.expr(f"episode DIV {DEFAULT_CHUNK}")
+    ranked = F.struct((~in_place).cast("int"), "_path")
+    best = named.groupBy("episode").agg(F.min_by("_path", ranked).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    doubled = best.where("_n > 1").select("episode", "_best")
+    return named.join(doubled, "episode").where("_path <> _best").select("_path")
 
 
 def scan_frames_v3(spark: SparkSession, root: str) -> DataFrame:
@@ -64,10 +59,43 @@ def scan_frames_v3(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(f"{root}/data")
 
 
-def slice_episodes(frames: DataFrame, wanted: Sequence[int]) -> DataFrame:
+# Ranges of episode indexes that a scan gets pushed down at most.
+RANGES = 256
+
+
+def slice_episodes(frames: DataFrame, wanted: Sequence[int] | DataFrame) -> DataFrame:
+    """Frames of the wanted episodes: a list, or a table with ``episode_index`` of any size.
+
+    A table is first covered by at most ``RANGES`` ranges, which reach the scan,
+    so row groups outside all of them are not read; a semi join then decides.
+    """
     if "episode_index" not in frames.columns:
         raise ValueError("frames have no episode_index column")
-    return frames.where(F.col("episode_index").isin(*wanted))
+    if not isinstance(wanted, DataFrame):
+        return frames.where(F.col("episode_index").isin(*wanted))
+    ids = wanted.select(F.col("episode_index").cast("bigint").alias("episode_index")).where("episode_index IS NOT NULL")
+    low, high = ids.agg(F.min("episode_index"), F.max("episode_index")).first()
+    if low is None:
+        return frames.where(F.lit(False))
+    width = (high - low) // RANGES + 1
+    part = F.expr(f"(episode_index - {low}L) DIV {width}L")
+    # At most RANGES rows, however many episodes are wanted.
+    ends = ids.groupBy(part).agg(F.min("episode_index").alias("lo"), F.max("episode_index").alias("hi")).collect()
+    inside = F.lit(False)
+    for lo, hi in joined_ranges(sorted((r["lo"], r["hi"]) for r in ends)):
+        inside = inside | F.col("episode_index").between(lo, hi)
+    return frames.where(inside).join(ids.distinct(), "episode_index", "left_semi")
+
+
+def joined_ranges(ranges: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted ranges, with those that touch made one."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in ranges:
+        if out and lo <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
 
 
 def empty_episodes(episodes: DataFrame, frames: DataFrame) -> DataFrame:

@@ -1,31 +1,38 @@
 """Recordings as they arrive.
 
-Sinks write one folder per micro-batch and overwrite it when a batch is tried
-again, so every result is exactly-once; views combine the folders. Known state
-is read from the folders of earlier batches only, which makes a retry see what
-the first try saw.
+Running results live in Spark's state store and are read from there
+(``held_state``): one row for each key, the newest committed batch, nothing
+re-read. Rows that are final when they appear (closed recordings, late rows) are
+appended. What a recording holds when it is closed is decided in event time: an
+open recording keeps the messages that the watermark has not passed, so how
+messages fall into batches makes no difference.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from runlens.functions.outcome import merge_metadata
 from runlens.operators.catalog import exit_status
-from runlens.operators.ordering import salted_join
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet"
+    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int | None = None
 ) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    """New files of a folder, in order of their times; all that are there in one batch unless a number is given."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def ingest(stream: DataFrame, known: DataFrame, topics: Sequence[str]) -> DataFrame:
@@ -80,41 +87,71 @@ def unique_messages(stream: DataFrame, keys: Sequence[str], delay: str) -> DataF
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def latest_results(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last write for each key by ``order``; a write that is pushed again changes nothing."""
+    rest = [c for c in stream.columns if c not in keys]
+    return stream.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
+
+
 # ── running ──────────────────────────────────────────────────────────
 
 
-def drain(stream: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process everything available now and stop."""
+def drain(stream: DataFrame, write: BatchWriter | None, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Process everything available now and stop; without a writer, only the state is kept."""
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    query = (writer.foreachBatch(write) if write else writer.format("noop")).start()
+    query.awaitTermination()
+    return query
+
+
+def append_rows(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Append final rows to the folder ``out``; its commit log makes each batch count once."""
     query = (
-        stream.writeStream.outputMode(mode)
+        stream.writeStream.format("parquet")
+        .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(write)
         .start()
     )
     query.awaitTermination()
     return query
 
 
+def held_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Key and value columns of a query's state after its newest committed batch."""
+    return spark.read.format("statestore").load(checkpoint)
+
+
+def held_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What ``topic_counts`` has counted so far."""
+    return held_state(spark, checkpoint).select("key.*", F.col("value.count").alias("n"))
+
+
+def held_results(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What ``latest_results`` holds: one row for each key."""
+    return held_state(spark, checkpoint).select("key.*", "value.valueWithExtremumOrdering.*")
+
+
 def batch_folder(out: str, name: str, batch_id: int) -> str:
     return f"{out}/{name}/batch={batch_id}"
 
 
 def folder_writer(out: str, name: str) -> BatchWriter:
+    """Each batch's rows in a folder of their own, which a retry overwrites: an append log."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(batch_folder(out, name, batch_id))
 
     return write
 
 
-def stored(spark: SparkSession, out: str, name: str, schema: T.StructType | str, before: int | None = None) -> DataFrame:
-    """Rows of all batches, or of those before one, with their ``batch``."""
+def stored(spark: SparkSession, out: str, name: str, schema: T.StructType | str) -> DataFrame:
+    """Rows of all batches with their ``batch``."""
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = T.StructType([*struct.fields, T.StructField("batch", T.LongType())])
     if not _exists(spark, f"{out}/{name}"):
         return spark.createDataFrame([], full)
-    rows = spark.read.schema(full).option("basePath", f"{out}/{name}").parquet(f"{out}/{name}")
-    return rows if before is None else rows.where(F.col("batch") < before)
+    return spark.read.schema(full).option("basePath", f"{out}/{name}").parquet(f"{out}/{name}")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -122,68 +159,169 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ("batch",)) -> DataFrame:
-    """Newest row per key over all batches."""
-    rest = [c for c in rows.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
-    return last.select(*keys, "r.*").drop("batch")
+# ── late rows ────────────────────────────────────────────────────────
 
+CLOCK = "latest_ms BIGINT"
 
-# ── explicit stop markers ────────────────────────────────────────────
-
-STOPS = "recording_id BIGINT, stop_ns BIGINT, exc_type STRING, exc_message STRING"
-COUNTS = "recording_id BIGINT, topic STRING, n BIGINT, late BIGINT, first_ns BIGINT, last_ns BIGINT"
 
+def late_splitter(out: str, delay_ms: int) -> BatchWriter:
+    """Rows of each batch below ``out``/rows, parted by ``late``: at or behind the batch's watermark.
 
-def stop_writer(out: str) -> BatchWriter:
-    """Close recordings at their first stop marker and drop what comes after.
-
-    A batch row has ``is_stop``, ``exc_type`` and ``exc_message``. Messages are
-    counted per recording and topic before they are shuffled.
+    The watermark of a batch is the latest ``ts`` of the batches before it, in
+    whole milliseconds, less the delay, as Spark's own is. The clock is one row,
+    written with each batch and read by the next one alone; a batch that is
+    tried again reads what it read at first.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        earlier = stored(spark, out, "stops", STOPS, before=batch_id).drop("batch")
-        fresh = (
-            batch.where("is_stop")
-            .groupBy("recording_id")
-            .agg(F.min(F.struct("t_ns", "seq", "exc_type", "exc_message")).alias("s"))
-            .select("recording_id", F.col("s.t_ns").alias("stop_ns"), "s.exc_type", "s.exc_message")
-            .join(earlier.select("recording_id"), "recording_id", "left_anti")
-        )
-        fresh.write.mode("overwrite").parquet(batch_folder(out, "stops", batch_id))
-        closed = earlier.unionByName(
-            spark.read.schema(T.StructType.fromDDL(STOPS)).parquet(batch_folder(out, "stops", batch_id))
-        ).select("recording_id", "stop_ns")
-        in_time = F.col("stop_ns").isNull() | (F.col("t_ns") <= F.col("stop_ns"))
-        marked = salted_join(
-            batch.where("NOT is_stop"), closed, ["recording_id"], F.col("seq"), how="left"
-        ).withColumn("in_time", in_time)
-        counts = marked.groupBy("recording_id", "topic").agg(
-            F.count_if("in_time").alias("n"),
-            F.count_if(~F.col("in_time")).alias("late"),
-            F.min(F.when(F.col("in_time"), F.col("t_ns"))).alias("first_ns"),
-            F.max(F.when(F.col("in_time"), F.col("t_ns"))).alias("last_ns"),
-        )
-        counts.write.mode("overwrite").parquet(batch_folder(out, "counts", batch_id))
+        clock = None
+        if batch_id > 0 and _exists(spark, batch_folder(out, "clock", batch_id - 1)):
+            clock = spark.read.schema(CLOCK).parquet(batch_folder(out, "clock", batch_id - 1)).first()["latest_ms"]
+        time = F.unix_millis("ts")
+        late = F.lit(False) if clock is None else F.unix_micros("ts") <= (clock - delay_ms) * 1000
+        seen = Observation()
+        marked = batch.withColumn("late", F.coalesce(late, F.lit(False))).observe(seen, F.max(time).alias("latest"))
+        marked.write.mode("overwrite").partitionBy("late").parquet(batch_folder(out, "rows", batch_id))
+        latest = max((x for x in (clock, seen.get["latest"]) if x is not None), default=None)
+        spark.createDataFrame([(latest,)], CLOCK).coalesce(1).write.mode("overwrite").parquet(batch_folder(out, "clock", batch_id))
 
     return write
 
 
-def finalized(spark: SparkSession, out: str, given: DataFrame | None = None) -> DataFrame:
-    """Closed recordings with at least one message: one row each."""
-    stops = stored(spark, out, "stops", STOPS).drop("batch")
-    totals = (
-        stored(spark, out, "counts", COUNTS)
-        .groupBy("recording_id")
+def split_rows(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """All rows that a ``late_splitter`` wrote, with ``batch`` and ``late``."""
+    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("late", T.BooleanType())])
+    return spark.read.schema(full).option("basePath", f"{out}/rows").parquet(f"{out}/rows")
+
+
+# ── explicit stop markers ────────────────────────────────────────────
+
+CLOSED = (
+    "recording_id BIGINT, salt INT, n BIGINT, late BIGINT, first_ns BIGINT, last_ns BIGINT, "
+    "stop_ns BIGINT, exc_type STRING, exc_message STRING"
+)
+# What one key holds: its first stop, what was counted before the watermark, and the times beyond it.
+OPEN = (
+    "closed BOOLEAN, stop_ns BIGINT, stop_seq BIGINT, exc_type STRING, exc_message STRING, "
+    "n BIGINT, late BIGINT, first_ns BIGINT, last_ns BIGINT, pending ARRAY<BIGINT>"
+)
+NS_PER_MS = 1_000_000
+
+
+class Closing(StatefulProcessor):
+    """Closes a recording once the watermark passes its first stop; later messages are counted as late."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("recording", OPEN)
+
+    def _load(self) -> dict:
+        names = [part.split()[0] for part in OPEN.split(", ")]
+        row = self.held.get()
+        if row is None:
+            return dict(zip(names, (False, None, None, None, None, 0, 0, None, None, [])))
+        return dict(zip(names, row))
+
+    def _settle(self, key, state: dict, watermark: int):
+        """Fold what the watermark has passed; rows to emit."""
+        pending = np.sort(np.array(state["pending"], np.int64))
+        stop = state["stop_ns"]
+        emit = False
+        if state["closed"]:
+            counted, state["late"] = pending[:0], len(pending)
+            pending, emit = pending[:0], state["late"] > 0
+            state["n"] = 0
+        elif stop is not None and stop // NS_PER_MS <= watermark:
+            cut = np.searchsorted(pending, stop, "right")
+            counted, state["late"] = pending[:cut], state["late"] + len(pending) - cut
+            pending, state["closed"], emit = pending[:0], True, True
+        else:
+            cut = np.searchsorted(pending // NS_PER_MS, watermark, "right")
+            counted, pending = pending[:cut], pending[cut:]
+        if len(counted):
+            state["n"] += len(counted)
+            ends = [x for x in (state["first_ns"], state["last_ns"]) if x is not None]
+            state["first_ns"] = int(min([counted[0], *ends]))
+            state["last_ns"] = int(max([counted[-1], *ends]))
+        state["pending"] = pending.tolist()
+        rows = []
+        if emit:
+            rows = [(key[0], key[1], *(state[k] for k in ("n", "late", "first_ns", "last_ns", "stop_ns", "exc_type", "exc_message")))]
+            state["n"] = state["late"] = 0
+        self.held.update(tuple(state.values()))
+        if not state["closed"]:
+            ahead = [stop] if stop is not None else state["pending"][-1:]
+            for t in ahead:
+                self.handle.registerTimer(max(int(t) // NS_PER_MS, watermark + 1))
+        names = [part.split()[0] for part in CLOSED.split(", ")]
+        if rows:
+            frame = pd.DataFrame(rows, columns=names)
+            whole = ["recording_id", "n", "late", "first_ns", "last_ns", "stop_ns"]
+            yield frame.astype(dict.fromkeys(whole, "Int64") | {"salt": "int32"})
+
+    def handleInputRows(self, key, rows, timerValues):
+        state = self._load()
+        pending = [np.array(state["pending"], np.int64)]
+        for frame in rows:
+            said = frame[frame["is_stop"].notna()]
+            stops = said[said["is_stop"].astype(bool)].sort_values(["t_ns", "seq"])
+            pending.append(said.loc[~said["is_stop"].astype(bool), "t_ns"].to_numpy(np.int64))
+            if len(stops) and not state["closed"]:
+                first = stops.iloc[0]
+                found = (int(first["t_ns"]), int(first["seq"]))
+                if state["stop_ns"] is None or found < (state["stop_ns"], state["stop_seq"]):
+                    text = [None if pd.isna(first[c]) else first[c] for c in ("exc_type", "exc_message")]
+                    state |= dict(zip(("stop_ns", "stop_seq", "exc_type", "exc_message"), (*found, *text)))
+        state["pending"] = np.concatenate(pending).tolist()
+        yield from self._settle(key, state, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._settle(key, self._load(), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def closed_recordings(stream: DataFrame, delay: str, salts: int = 4) -> DataFrame:
+    """``CLOSED`` rows of recordings whose first stop marker the watermark has passed, and of late messages after that.
+
+    ``stream`` has recording_id, t_ns, seq, is_stop, exc_type and exc_message; a
+    row whose ``is_stop`` is missing only moves the clock. Messages of a
+    recording are dealt over ``salts`` keys, its stop goes to each, so a
+    recording with very many messages is counted by several tasks.
+    """
+    spark = stream.sparkSession
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    one = F.array(F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int"))
+    rows = (
+        stream.withColumn("ts", F.timestamp_micros(F.expr("t_ns DIV 1000")))
+        .withWatermark("ts", delay)
+        .withColumn("salt", F.explode(F.when(F.col("is_stop"), every).otherwise(one)))
+        .select("recording_id", "salt", "t_ns", "seq", "is_stop", "exc_type", "exc_message", "ts")
+    )
+    return rows.groupBy("recording_id", "salt").transformWithStateInPandas(
+        Closing(), CLOSED, outputMode="append", timeMode="EventTime"
+    )
+
+
+def finalized(closed: DataFrame, given: DataFrame | None = None) -> DataFrame:
+    """Closed recordings with at least one message, one row each, from the appended ``CLOSED`` rows."""
+    ended = (
+        closed.groupBy("recording_id")
         .agg(
             F.sum("n").alias("message_count"),
             F.sum("late").alias("late_count"),
             ((F.max("last_ns") - F.min("first_ns")) / 1e9).alias("duration_s"),
+            F.max("exc_type").alias("exc_type"),
+            F.max("exc_message").alias("exc_message"),
         )
+        .where("message_count > 0")
     )
-    ended = stops.join(totals, "recording_id").where("message_count > 0")
     ended = ended.withColumn("_x", exit_status(F.col("exc_type"), F.col("exc_message")))
     made = F.map_filter(
         F.create_map(
@@ -202,14 +340,3 @@ def finalized(spark: SparkSession, out: str, given: DataFrame | None = None) ->
         "duration_s",
         made.alias("metadata"),
     )
-
-
-def upsert_writer(out: str, keys: Sequence[str], order: Sequence[str]) -> BatchWriter:
-    """Keep the last write per key of each batch; retried pushes change nothing."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rest = [c for c in batch.columns if c not in keys]
-        last = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
-        last.select(*keys, "r.*").write.mode("overwrite").parquet(batch_folder(out, "results", batch_id))
-
-    return write

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runlens.functions import flatten as fl
-from runlens.operators import alignment, outcomes, pack, quality
+from runlens.operators import alignment, outcomes, pack, quality, sink
 from runlens.sources import recordings as rec
 
 IMAGE, JOINT, TWIST = "sensor_msgs/msg/Image", "sensor_msgs/msg/JointState", "geometry_msgs/msg/Twist"
@@ -166,7 +166,7 @@ def test_two_dimensional_frames_without_clock_are_skipped(spark):
 
 def test_samples_are_written_by_slot(spark, bag, tmp_path):
     samples = pack.pack_messages(pack.flat_messages(bag))
-    pack.write_samples(samples, str(tmp_path / "samples"))
-    back = spark.read.parquet(str(tmp_path / "samples"))
+    sink.write_samples(samples, str(tmp_path / "samples"), "bag")
+    back = sink.committed(spark, str(tmp_path / "samples"), samples.schema)
     assert back.count() == samples.count()
-    assert {p.name for p in (tmp_path / "samples").glob("slot=*")} == {"slot=video", "slot=sensors", "slot=actions"}
+    assert {p.name for p in (tmp_path / "samples").glob("files/*/slot=*")} == {"slot=video", "slot=sensors", "slot=actions"}

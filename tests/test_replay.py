@@ -129,3 +129,76 @@ def test_repeated_keys_do_not_end_the_job(spark):
     cand = spark.createDataFrame([("a", "/cmd/v", 0, [1.0]), ("b", "/cmd/v", 0, [1.0])], schema)
     assert {r["episode_id"]: r["action_l2"] for r in metrics.action_l2(base, cand).collect()} == {"a": 2.0, "b": 0.0}
     assert [tuple(r) for r in metrics.repeated_keys(base).collect()] == [("a", "/cmd/v", 0, 2)]
+
+
+class Counting:
+    """Answers with how often it was asked; breaks at the fifth step of episode b."""
+
+    def __init__(self):
+        self.seen = []
+
+    def __call__(self, obs):
+        self.seen.append(obs["/s/v"][0])
+        if obs["/s/v"][1] == 9.0:
+            raise KeyError("worn")
+        return {"/cmd/v": [len(self.seen), sum(self.seen)]}
+
+
+def observed(spark, rows):
+    made = spark.createDataFrame(rows, "episode_id STRING, step BIGINT, x DOUBLE, y DOUBLE")
+    return made.select("episode_id", "step", F.create_map(F.lit("/s/v"), F.array("x", "y")).alias("obs"))
+
+
+def test_a_policy_that_remembers_goes_on_where_it_stopped(spark):
+    rows = [(ep, i, float(i), 9.0 if ep == "b" and i == 4 else 1.0) for ep in ("a", "b", "c") for i in range(9)]
+    whole, _ = rp.replay_resumed(observed(spark, rows), Counting)
+    want = sorted(map(str, whole.collect()))
+    first, states = rp.replay_resumed(observed(spark, [r for r in rows if r[1] < 3 and r[0] != "c"]), Counting)
+    assert sorted(r.episode_id for r in states.collect()) == ["a", "b"]
+    second, states = rp.replay_resumed(observed(spark, [r for r in rows if 3 <= r[1] < 6 or (r[0] == "c" and r[1] < 6)]), Counting, states)
+    third, _ = rp.replay_resumed(observed(spark, [r for r in rows if r[1] >= 6]), Counting, states)
+    assert sorted(map(str, first.union(second).union(third).collect())) == want
+    by_step = {(r.episode_id, r.step): r for r in whole.collect()}
+    assert by_step["a", 8].actions[0].value == [9.0, 36.0]
+    assert by_step["b", 4].error == "KeyError: 'worn'" and by_step["b", 5].actions == [] and by_step["b", 5].error is None
+
+
+def test_a_lost_task_begins_again_from_the_stored_states(spark, tmp_path):
+    rows = [(ep, i, float(i), 1.0) for ep in ("a", "b") for i in range(6)]
+    _, states = rp.replay_resumed(observed(spark, [r for r in rows if r[1] < 3]), Counting)
+    mark = str(tmp_path / "lost")
+
+    class Lost(Counting):
+        def __call__(self, obs):
+            import os
+
+            if obs["/s/v"][0] == 4.0 and not os.path.exists(mark):
+                open(mark, "w").close()
+                os._exit(1)  # the worker is gone, and what the policy had seen in this try
+            return super().__call__(obs)
+
+    spark.sparkContext.setLogLevel("OFF")
+    second = None
+    for _ in range(2):  # local sessions do not try tasks again
+        try:
+            second, _ = rp.replay_resumed(observed(spark, [r for r in rows if r[1] >= 3]), Lost, None if second else states)
+            break
+        except Exception:  # noqa: BLE001
+            continue
+    spark.sparkContext.setLogLevel("ERROR")
+    got = {(r.episode_id, r.step): r.actions[0].value for r in second.collect()}
+    assert got["a", 5] == [6.0, 15.0] and got["b", 3] == [4.0, 6.0]
+
+
+def test_callbacks_may_fail(tables):
+    told = []
+
+    def on_episode(row):
+        told.append((row["pos"], row["baseline_episode_id"], row["status"]))
+        raise RuntimeError("display")
+
+    results = rp.evaluate(*tables, policy=lambda obs: {"/cmd/v": obs["/s/v"][:1]}, run_id="w", dry_run=True)
+    stored, counters = rp.stored_with_progress(results, lambda c: 1 / 0, on_episode)
+    assert counters == {"episodes": 5, "completed": 5, "failed": 0} and stored.count() == 5
+    assert [t[1] for t in told] == ["a", "b", "c", "empty", "a"]
+    assert {r["candidate_episode_id"] for r in stored.collect()} == {None}

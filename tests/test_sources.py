@@ -41,6 +41,43 @@ def test_shards_are_sliced_by_a_pushed_filter(spark, tmp_path):
         frames.slice_episodes(shards.drop("episode_index"), [1])
 
 
+def test_a_table_of_wanted_episodes_reads_only_their_row_groups(spark, tmp_path):
+    rows = spark.range(0, 200_000, 1, 1).selectExpr("id DIV 200 AS episode_index", "id AS frame_index", "cast(id AS string) AS pad")
+    rows.write.option("parquet.block.size", 1 << 17).parquet(str(tmp_path / "data"))
+    shards = frames.scan_frames_v3(spark, str(tmp_path))
+    wanted = spark.createDataFrame([(3,), (4,), (990,), (990,), (5000,), (None,)], "episode_index BIGINT")
+    part = frames.slice_episodes(shards, wanted)
+    assert {(r[0], r[1]) for r in part.groupBy("episode_index").count().collect()} == {(3, 200), (4, 200), (990, 200)}
+    assert "PushedFilters: [Or(" in part._jdf.queryExecution().executedPlan().toString()
+    assert scanned_rows(spark, part) < 60_000 < 200_000 == scanned_rows(spark, shards)
+    assert frames.slice_episodes(shards, wanted.where("episode_index IS NULL")).count() == 0
+
+
+def scanned_rows(spark, df):
+    """Rows that the parquet scan of a plan gives out."""
+    from py4j.java_gateway import is_instance_of
+
+    plan = df.select(*df.columns)._jdf.queryExecution().executedPlan()
+    if is_instance_of(spark.sparkContext._gateway, plan, "org.apache.spark.sql.execution.adaptive.AdaptiveSparkPlanExec"):
+        plan.executeCollect()
+        plan = plan.executedPlan()
+    else:
+        plan.executeCollect()
+    scans = []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan parquet"):
+            scans.append(node.metrics().apply("numOutputRows").value())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            walk(node.plan())
+        kids = node.children()
+        for k in range(kids.size()):
+            walk(kids.apply(k))
+
+    walk(plan)
+    return max(scans)
+
+
 def test_info_files(spark, tmp_path):
     good = {"codebase_version": "v2.1", "fps": 10, "features": {"action": {"dtype": "float32"}, "top": {"dtype": "video"}}}
     (tmp_path / "a.json").write_text(json.dumps(good, indent=1))

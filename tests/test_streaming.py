@@ -1,40 +1,116 @@
 from __future__ import annotations
 
+import datetime
+import random
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.streaming import live
 
-SCHEMA = (
-    "recording_id BIGINT, topic STRING, t_ns BIGINT, seq BIGINT, is_stop BOOLEAN, exc_type STRING, exc_message STRING"
-)
+SCHEMA = "recording_id BIGINT, t_ns BIGINT, seq BIGINT, is_stop BOOLEAN, exc_type STRING, exc_message STRING"
+SECOND = 1_000_000_000
 
 
-def message(rec, t, seq, stop=False, exc=None, text=None):
-    return (rec, "/t", t, seq, stop, exc, text)
+def arrivals(spark, folder, batches, schema):
+    """One file for each batch, in order of time."""
+    import os
+    import time
 
+    for k, rows in enumerate(batches):
+        before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        for f in set(os.listdir(folder)) - before:
+            os.utime(f"{folder}/{f}", times=(time.time() - 1000 + k,) * 2)
+    return live.file_stream(spark, folder, T.StructType.fromDDL(schema), files_per_batch=1)
 
-def test_recordings_close_once_and_retries_change_nothing(spark, tmp_path):
-    out = str(tmp_path / "out")
-    write = live.stop_writer(out)
-    first = [message(1, 10, 1), message(1, 20, 2), message(2, 5, 3), message(3, 7, 9, True)]
-    second = [
-        message(1, 30, 4),
-        message(1, 40, 5, True, "ValueError", "bad"),
-        message(1, 50, 6),
-        message(1, 60, 7, True),
-    ]
-    third = [message(1, 70, 8), message(1, 80, 10, True, "Late"), message(2, 9, 11, True, "Stopped")]
-    for i, rows in enumerate((first, second, second, third, third)):
-        batch = spark.createDataFrame(rows, SCHEMA)
-        write(batch, {0: 0, 1: 1, 2: 1, 3: 2, 4: 2}[i])
+
+def recordings():
+    rng = random.Random(12)
+    rows, seq = [], 0
+    for rec in range(12):
+        times = sorted(rng.sample(range(1, 900), 40))
+        for t in times:
+            seq += 1
+            rows.append((rec, t * SECOND, seq, False, None, None))
+        for t in rng.sample(range(1, 900), rng.choice([0, 1, 1, 3])):
+            seq += 1
+            failed = rng.random() < 0.5
+            rows.append((rec, t * SECOND, seq, True, "ValueError" if failed else None, f"at {t}" if failed and rng.random() < 0.5 else None))
+    rows.append((50, 7 * SECOND, seq + 1, True, None, None))  # stopped without a message
+    return rows
+
+
+def plain_closing(rows):
+    out = {}
+    for rec in {r[0] for r in rows}:
+        stops = sorted((r[1], r[2], r[4], r[5]) for r in rows if r[0] == rec and r[3])
+        times = [r[1] for r in rows if r[0] == rec and not r[3]]
+        if stops and any(t <= stops[0][0] for t in times):
+            within = [t for t in times if t <= stops[0][0]]
+            reason = ": ".join(x for x in stops[0][2:] if x)
+            meta = {"mode": "live", **({"failure_reason": reason} if reason else {})}
+            status = "failed" if stops[0][2] else "ready"
+            out[rec] = (status, len(within), len(times) - len(within), (max(within) - min(within)) / 1e9, meta)
+    return out
+
+
+def splits():
+    rows = recordings()
+    rng = random.Random(4)
+    by_time = sorted(rows, key=lambda r: r[1])
+    yield "in order", [by_time[k * 110 : (k + 1) * 110] for k in range(5)]
+    near = sorted(rows, key=lambda r: r[1] + rng.randrange(200) * SECOND)
+    yield "some late", [near[k * 55 : (k + 1) * 55] for k in range(10)]
+    anyhow = rows[:]
+    rng.shuffle(anyhow)
+    yield "anyhow", [anyhow[k::7] for k in range(7)]
+
+
+@pytest.mark.parametrize(("name", "batches"), list(splits()))
+@pytest.mark.parametrize("salts", [1, 3])
+def test_closing_does_not_depend_on_batches(spark, tmp_path, name, batches, salts):
+    rows = [r for b in batches for r in b]
+    delay = "250 seconds" if name != "anyhow" else "1000 seconds"
+    clock = [(None, 10_000 * SECOND, -1, None, None, None)]
+    stream = arrivals(spark, str(tmp_path / "in"), [*batches, clock], SCHEMA)
+    live.append_rows(live.closed_recordings(stream, delay, salts), str(tmp_path / "out"), str(tmp_path / "cp"))
+    closed = spark.read.schema(live.CLOSED).parquet(str(tmp_path / "out"))
+    got = {r["recording_id"]: tuple(r)[1:] for r in live.finalized(closed).collect()}
+    want = plain_closing(rows)
+    assert {k: (*v[:3], round(v[3], 6), v[4]) for k, v in got.items()} == {k: (*v[:3], round(v[3], 6), v[4]) for k, v in want.items()}
+
+
+def test_metadata_of_the_user_wins(spark):
+    closed = spark.createDataFrame([(1, 0, 3, 1, 10, 20, 30, "ValueError", "bad")], live.CLOSED)
     given = spark.createDataFrame([(1, {"mode": "mine"})], "recording_id BIGINT, metadata MAP<STRING, STRING>")
-    got = {r["recording_id"]: r.asDict() for r in live.finalized(spark, out, given).collect()}
-    # Recording 3 was stopped without a message and gives no episode.
-    assert set(got) == {1, 2}
-    assert (got[1]["status"], got[1]["message_count"], got[1]["late_count"]) == ("failed", 3, 2)
-    assert got[1]["metadata"] == {"mode": "mine", "failure_reason": "ValueError: bad"}
-    assert (got[2]["status"], got[2]["metadata"]["failure_reason"]) == ("failed", "Stopped")
+    row = live.finalized(closed, given).first()
+    assert (row["status"], row["metadata"]) == ("failed", {"mode": "mine", "failure_reason": "ValueError: bad"})
+
+
+def test_late_rows_of_150_batches(spark, tmp_path):
+    rng = random.Random(1)
+    out = str(tmp_path / "out")
+    schema = "seq BIGINT, ts TIMESTAMP"
+    start = datetime.datetime(2024, 1, 1)
+    write = live.late_splitter(out, 20_000)
+    latest, want, seq = None, set(), 0
+    for k in range(150):
+        rows = []
+        for _ in range(4):
+            seq += 1
+            at = start + datetime.timedelta(seconds=5 * k - rng.choice([0, 1, 10, 30, 60]), microseconds=rng.randrange(1_000_000))
+            rows.append((seq, at))
+            if latest is not None and at <= latest.replace(microsecond=latest.microsecond // 1000 * 1000) - datetime.timedelta(seconds=20):
+                want.add(seq)
+        latest = max([t for _, t in rows] + ([latest] if latest else []))
+        batch = spark.createDataFrame(rows, schema)
+        write(batch, k)
+        if k % 40 == 3:
+            write(batch, k)  # tried again
+    done = live.split_rows(spark, out, T.StructType.fromDDL(schema))
+    assert done.count() == seq
+    assert {r["seq"] for r in done.where("late").collect()} == want and len(want) > 50
 
 
 def test_unknown_topics_fail_before_the_start(spark):
@@ -47,16 +123,24 @@ def test_unknown_topics_fail_before_the_start(spark):
         live.ingest(stream, known, [])
 
 
-def test_counts_over_several_batches_match_a_batch_count(spark, tmp_path):
-    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
-    rows = spark.range(300).select(
-        (F.col("id") % 3).alias("recording_id"), F.concat(F.lit("/t"), F.col("id") % 2).alias("topic")
-    )
-    rows.repartition(5).write.parquet(inbox)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    counts = live.topic_counts(stream)
-    live.drain(counts, live.folder_writer(out, "rows"), f"{out}/checkpoint", "update")
-    stored = live.stored(spark, out, "rows", counts.schema)
-    assert stored.select("batch").distinct().count() == 5
-    got = sorted(map(tuple, live.latest_per_key(stored, ["recording_id", "topic"]).collect()))
-    assert got == sorted(map(tuple, rows.groupBy("recording_id", "topic").count().collect()))
+def test_counts_come_from_the_state_of_several_batches(spark, tmp_path):
+    rows = [(i % 3, f"/t{i % 2}") for i in range(300)]
+    stream = arrivals(spark, str(tmp_path / "in"), [rows[k * 60 : (k + 1) * 60] for k in range(5)], "recording_id BIGINT, topic STRING")
+    query = live.drain(live.topic_counts(stream), None, str(tmp_path / "cp"), "update")
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 5
+    got = sorted(map(tuple, live.held_counts(spark, str(tmp_path / "cp")).collect()))
+    assert got == sorted((r, t, rows.count((r, t))) for r, t in set(rows))
+
+
+def test_the_last_result_of_each_key_is_held_once(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [("run", k % 20, rng.random(), seq) for seq, k in enumerate(rng.sample(range(400), 400))]
+    again = rows[100:300] + rows[:50]
+    stream = arrivals(spark, str(tmp_path / "in"), [rows[:150], rows[150:], again[:90], again[90:], rows[-3:]], "run STRING, base BIGINT, reward DOUBLE, seq BIGINT")
+    live.drain(live.latest_results(stream, ["run", "base"], ["seq"]), None, str(tmp_path / "cp"), "update")
+    held = live.held_results(spark, str(tmp_path / "cp"))
+    assert held.columns == ["run", "base", "reward", "seq"]
+    want = {}
+    for r in rows:
+        want[r[1]] = r
+    assert sorted(map(tuple, held.collect())) == sorted(want.values())

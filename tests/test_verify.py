@@ -154,3 +154,24 @@ def test_promote_once_per_episode(spark):
 def test_declared_schemas_parse(spark):
     for ddl in (model.EPISODES, model.SAMPLES, model.EVAL_RESULTS, model.SCENARIOS, model.VERIFY_RESULTS):
         assert spark.createDataFrame([], ddl).count() == 0
+
+
+def test_the_gate_names_blockers_of_all_candidates(spark):
+    scenarios = spark.createDataFrame(
+        [(1, "stairs", "critical"), (2, "door", "critical"), (3, "ramp", "warning"), (4, "door", "critical")],
+        "scenario_id INT, name STRING, severity STRING",
+    )
+    latest = spark.createDataFrame(
+        [(1, "v1", "pass"), (2, "v1", "fail"), (3, "v1", "fail"), (1, "v2", "pass"), (2, "v2", "pass"), (4, "v2", "pass"), (9, "v1", "pass")],
+        "scenario_id INT, candidate_policy_version STRING, latest_status STRING",
+    )
+    candidates = spark.createDataFrame([("v1",), ("v2",), ("new",), ("v1",)], "candidate_policy_version STRING")
+    body = verify.gate_body(scenarios, latest, candidates)
+    got = {r["candidate_policy_version"]: r.asDict() for r in body.collect()}
+    assert set(got) == {"v1", "v2", "new"}
+    assert got["v1"]["blockers"] == ["door", "door"] and not got["v1"]["passed"]
+    assert (got["v1"]["critical_failed"], got["v1"]["critical_pending"]) == (1, 1)
+    assert got["v2"]["passed"] and got["v2"]["blockers"] == []
+    assert got["new"]["blockers"] == got["new"]["scenarios"] == ["door", "door", "stairs"] and got["new"]["critical_pending"] == 3
+    open_gate = verify.gate_body(scenarios.limit(0), latest, candidates).collect()
+    assert all(r["passed"] and r["critical_total"] == 0 for r in open_gate)
