@@ -35,7 +35,7 @@ from runlens.llm.registry import query
 
 VOCABULARY = "byte_bpe_50k.json"
 # A piece ends with the text that brings it to so many distinct words or characters.
-PIECE_WORDS, PIECE_CHARS = 1 << 19, 1 << 24
+PIECE_WORDS, PIECE_CHARS = 1 << 19, 1 << 25
 # Bytes of text for each bucket of the table of written texts.
 BUCKET_BYTES = 16 << 20
 # Words whose ids are sent back together, and texts that are returned together.
@@ -239,7 +239,7 @@ def written_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
     # A name is needed to write buckets; the files lie in the shared folder and outlive it.
     name = f"bpe_{uuid.uuid4().hex}"
     rows = docs.mapInArrow(run, schema)
-    rows.write.bucketBy(int(buckets), "_piece").option("path", shared_folder(spark, "pieces")).saveAsTable(name)
+    rows.write.option("compression", "zstd").bucketBy(int(buckets), "_piece").option("path", shared_folder(spark, "pieces")).saveAsTable(name)
     pieces = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return pieces
