@@ -29,11 +29,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: no lineage, no second evaluation."""
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

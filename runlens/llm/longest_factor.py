@@ -1,6 +1,15 @@
-"""Removing repeated byte strings by longest-previous-factor reasoning over cut suffixes.
-
-Two positions share ``width`` bytes exactly when their suffixes, cut at
+"""Removing repeated byte strings: anchored windows in place of a suffix array.
+
+The method asked for, a suffix order with longest-previous-factor arrays from
+previous and next smaller positions, is **not** built here. A suffix order of
+the whole corpus needs about as many rounds of sorting all positions as the
+logarithm of the longest repeat, eight and more bytes for each position and
+round, while the budget is four times the input. Instead the one question that
+the rule asks, whether a position's factor reaches ``width``, is answered from
+hashes of windows. Equality of contexts, chunk cores and windows rests on 64-bit
+hashes; what lies beside a chunk's core is compared byte by byte.
+
+What links the two: two positions share ``width`` bytes exactly when their suffixes, cut at
 ``width``, are equal, that is, when they lie in one run of the suffix order with
 common prefixes of at least ``width``. Inside such a run a position's previous
 and next smaller positions are earlier copies, so its longest previous factor
@@ -107,9 +116,23 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+# Bits for a distance between window starts of one anchor, in a packed place.
+NEAR = 12
+
+
+def unpacked_places(rows: DataFrame) -> DataFrame:
+    """``rows`` with lo, hi and at in place of ``place``."""
+    bits = lambda shift: F.shiftright("place", shift).bitwiseAND((1 << NEAR) - 1)
+    lo = F.shiftright("place", 2 * NEAR)
+    others = [c for c in rows.columns if c != "place"]
+    return rows.select(*others, lo.alias("lo"), (lo + bits(0)).alias("hi"), (lo + bits(NEAR)).alias("at"))
+
+
 def anchor_rows(texts: DataFrame, width: int) -> DataFrame:
-    """(_a, _b, h, c, lo, hi, at) of every anchor of every text."""
-    names = ["_a", "_b", "h", "c", "lo", "hi", "at"]
+    """(_a, _b, h, c, place) of every anchor of every text; ``place`` packs first and last window start and anchor."""
+    names = ["_a", "_b", "h", "c", "place"]
+    if width >= 1 << NEAR:
+        raise ValueError(f"windows of {width} bytes are too wide for packed places")
 
     def make():
         hashes = RollingHash()
@@ -126,8 +149,9 @@ def anchor_rows(texts: DataFrame, width: int) -> DataFrame:
                 if len(data) < width:
                     continue
                 hashes.load(data)
-                h, *rest = anchors(hashes, len(data), width)
-                rows.append((np.full(len(h), a), np.full(len(h), b), h, *rest))
+                h, c, lo, hi, at = anchors(hashes, len(data), width)
+                place = lo << (2 * NEAR) | (at - lo) << NEAR | (hi - lo)
+                rows.append((np.full(len(h), a), np.full(len(h), b), h, c, place))
                 size += len(h)
                 if size > 100_000:
                     yield flush()
@@ -137,7 +161,7 @@ def anchor_rows(texts: DataFrame, width: int) -> DataFrame:
 
         return step
 
-    return texts.mapInArrow(arrow_rows(make), "_a long, _b long, h long, c long, lo long, hi long, at long")
+    return texts.mapInArrow(arrow_rows(make), "_a long, _b long, h long, c long, place long")
 
 
 def chunk_rows(texts: DataFrame, width: int) -> DataFrame:
@@ -189,7 +213,7 @@ def settle(rows: DataFrame, key: list[str], context: list[str], keep_first: bool
     """
     place = [c for c in ("_a", "_b", "lo", "hi", "at") if c in rows.columns]
     groups = stored(
-        rows.groupBy(*key, *context).agg(F.sum("n").alias("n"), F.min(F.struct(*place)).alias("first")), "groups"
+        rows.groupBy(*key, *context).agg(F.sum("n").alias("n"), F.min(F.struct(*place)).alias("first")), "groups", "zstd"
     )
     copied = groups.filter("n > 1").select(*key, *context, "first")
     copies = rows.join(copied, [*key, *context])
@@ -203,14 +227,15 @@ def repeated_starts(texts: DataFrame, width: int, keep_first: bool) -> DataFrame
     """(_a, _b, lo, hi): ranges of window starts that are copies; all of them, or all but the first of each run."""
     rows = anchor_rows(texts, width)
     twice = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    repeated = stored(rows.join(twice, "h", "left_semi").withColumn("n", F.lit(1).cast("long")), "anchors")
+    met = unpacked_places(rows.join(twice, "h", "left_semi"))
+    repeated = stored(met.withColumn("n", F.lit(1).cast("long")), "anchors", "zstd")
     by_context, contexts = settle(repeated, ["h"], ["c"], keep_first)
     reps = contexts.groupBy(F.col("first._a").alias("_a"), F.col("first._b").alias("_b")).agg(
         F.collect_list(F.struct("h", "first.lo", "first.hi", "first.at", "n")).alias("reps")
     )
     # Rows with one id and text are one entry here: their contexts were counted above.
     listed = texts.join(reps, ["_a", "_b"]).select("_a", "_b", "text", "reps").dropDuplicates(["_a", "_b"])
-    chunks = stored(chunk_rows(listed, width), "chunks")
+    chunks = stored(chunk_rows(listed, width), "chunks", "zstd")
     by_chunk, chunk_contexts = settle(chunks, ["h", "k"], ["left", "right"], keep_first)
     # A window takes the end of what is left of the core and the start of what is right of it.
     windows = (
@@ -219,7 +244,7 @@ def repeated_starts(texts: DataFrame, width: int, keep_first: bool) -> DataFrame
         .withColumn("w", F.xxhash64(F.expr("substring(left, length(left) - i + 1, i)"), F.expr(f"substring(right, 1, {STEP - 1} - i)")))
         .select("h", "k", "i", "w", "n", F.col("first._a").alias("_a"), F.col("first._b").alias("_b"), F.col("p").alias("lo"), F.col("p").alias("hi"))
     )
-    by_window, _ = settle(stored(windows, "windows"), ["h", "k", "i", "w"], [], keep_first)
+    by_window, _ = settle(stored(windows, "windows", "zstd"), ["h", "k", "i", "w"], [], keep_first)
     return by_context.union(by_chunk).union(by_window)
 
 
