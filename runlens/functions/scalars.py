@@ -82,11 +82,12 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.substring_index(path, "/", -1), r"(?<=.)\.[^.]*$", "")
 
 
-def replay_name(run_name: Column, version: Column, baseline_id: Column) -> Column:
+def replay_name(run_name: Column, version: Column, baseline_id: Column, chars: int | None = None) -> Column:
+    """Name of a replayed episode; ``chars`` shortens the baseline id, which then need not be unique."""
     return F.concat(
         F.coalesce(F.nullif(run_name, F.lit("")), F.concat(F.lit("replay "), version)),
         F.lit(" · "),
-        F.substring(baseline_id, 1, 8),
+        baseline_id if chars is None else F.substring(baseline_id, 1, chars),
     )
 
 

@@ -79,6 +79,20 @@ def report_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.bag_report(rec.bag_summary(B.headers(spark, sf_dir), _recordings(spark, sf_dir)))
 
 
+@query(
+    "slot_artifacts",
+    f"""WITH {_SUMMARY_SQL},
+    per AS (
+      SELECT recording_id, slot, CASE slot WHEN 'video' THEN 1 WHEN 'sensors' THEN 2 ELSE 3 END AS rank,
+             string_agg(topic, ',' ORDER BY topic) AS topics
+      FROM summary WHERE topic IS NOT NULL GROUP BY ALL)
+    SELECT recording_id, (row_number() OVER (PARTITION BY recording_id ORDER BY rank) - 1)::INT AS artifact_no, slot, topics FROM per""",
+)
+def slot_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rec.artifacts(rec.bag_summary(B.headers(spark, sf_dir), _recordings(spark, sf_dir)))
+    return out.withColumn("topics", F.array_join("topics", ","))
+
+
 @query(
     "slot_override",
     f"""WITH {B.MESSAGES_SQL}

@@ -475,7 +475,7 @@ def traceparent(spark: SparkSession, sf_dir: str) -> DataFrame:
        CASE o_orderkey % 3 WHEN 0 THEN 'run ' || o_orderkey || ' of lab/set' ELSE 'lab/set #' || o_orderkey END AS named,
        'bag-' || o_orderkey || ' (ros2 bag)' AS bag, 'demo-' || o_orderkey AS stem,
        CASE WHEN o_orderkey % 2 = 0 THEN 'nightly' ELSE 'replay ' || o_orderpriority END || ' · '
-         || left('episode-' || o_orderkey, 8) AS replay FROM orders""",
+         || 'episode-' || o_orderkey AS replay FROM orders""",
 )
 def episode_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("o_orderkey")

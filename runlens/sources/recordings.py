@@ -37,10 +37,24 @@ def bag_summary(messages: DataFrame, recordings: DataFrame) -> DataFrame:
     )
 
 
+SLOT_ORDER = ("video", "sensors", "actions")
+
+
 def topics_in(summary: DataFrame, slots: Sequence[str]) -> DataFrame:
     return summary.where(F.col("slot").isin(*slots))
 
 
+def artifacts(summary: DataFrame, slots: Sequence[str] = SLOT_ORDER) -> DataFrame:
+    """Slots of each recording that hold topics, in the order of ``slots``: ``(recording_id, artifact_no, slot, topics)``.
+
+    Lists are bounded by the number of topics of one recording.
+    """
+    per = topics_in(summary, slots).groupBy("recording_id", "slot").agg(F.sort_array(F.collect_list("topic")).alias("topics"))
+    rank = F.array_position(F.array(*[F.lit(s) for s in slots]), F.col("slot"))
+    listed = per.groupBy("recording_id").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "slot", "topics"))).alias("a"))
+    return listed.select("recording_id", F.posexplode("a").alias("artifact_no", "a")).select("recording_id", "artifact_no", "a.slot", "a.topics")
+
+
 def bag_report(summary: DataFrame) -> DataFrame:
     """Text lines per recording: totals, then topics by slot."""
     slot_rank = F.array_position(F.array(*[F.lit(s) for s in ("video", "sensors", "actions")]), F.col("slot"))
