@@ -45,11 +45,13 @@ def _vectors_by_step(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
         return F.sort_array(F.collect_list(F.when(F.col("side") == name, F.col("kv"))), asc=False)
 
     def by_key(entries: str) -> Column:
+        given = F.col(entries)
         # Sorted, so values repeated for one key lie together and the greatest stands first; see repeated_keys.
-        before = F.concat(F.array(F.lit(None).cast("struct<key:string,value:array<double>>")), F.col(entries))
-        pairs = F.arrays_zip(F.col(entries).alias("e"), before.alias("p"))
-        first = F.filter(pairs, lambda x: x["e"].isNotNull() & ~x["e"]["key"].eqNullSafe(x["p"]["key"]))
-        return F.map_from_entries(F.transform(first, lambda x: x["e"]))
+        before = F.concat(F.array(F.lit(None).cast("struct<key:string,value:array<double>>")), given)
+        pairs = F.filter(F.arrays_zip(given.alias("e"), before.alias("p")), lambda x: ~x["e"]["key"].eqNullSafe(x["p"]["key"]))
+        firsts = F.map_from_entries(F.filter(pairs["e"], lambda e: e.isNotNull()))
+        unique = F.size(F.array_distinct(given["key"])) == F.size(given)
+        return F.when(unique, F.map_from_entries(given)).otherwise(firsts)
 
     sides = both.groupBy("episode_id", "step").agg(gather("b").alias("base"), gather("c").alias("cand"))
     return sides.select("episode_id", "step", by_key("base").alias("base"), by_key("cand").alias("cand"))
