@@ -1,14 +1,18 @@
 """Toxicity by subword-bag embeddings and a linear softmax, trained jointly in numpy.
 
 A word's vector is the mean of the embeddings of its hashed character n-grams,
-so a misspelling shares most of the vector of the word it comes from. The
-vectors of a few neighbouring words are averaged and go through a linear
-softmax; a text is as toxic as its windows together (log of the sum of their
-odds), so one insult in a long text counts as much as in a short one.
+so a misspelling shares most of the vector of the word it comes from. Vectors are
+averaged twice, over windows of a few neighbouring words and over the whole text,
+and go through two linear softmax heads on the same embeddings: a text's logit is
+that of its most toxic window plus that of its mean. One insult in a long text so
+counts as much as in a short one, while clean windows and repeats add nothing.
+In training the most toxic window is a weighted mean that sharpens from epoch to
+epoch (``SHARPEST``), so early steps reach all windows.
 
 Training sees at most ``TRAIN_ROWS`` labelled texts of each class, first by
-hashed id, of at most ``TRAIN_CHARS`` characters; held-out ids never. Scoring
-covers every whole text and needs no shuffle.
+hashed id, and of these whole texts as many as fit into ``TRAIN_CHARS``
+characters together; held-out ids never. Scoring covers every whole text and
+needs no shuffle.
 
 Defined cases: a missing or empty text gets the score of no windows; without
 labelled rows of both classes every text gets the same score; a label that is
@@ -23,14 +27,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.common import arrow_rows, table, whole_text
 from runlens.llm.registry import query
 
 TRAIN_ROWS = 2500
-TRAIN_CHARS = 100_000
+TRAIN_CHARS = 40_000_000
 BINS = 1 << 18
 SIZE = 8
 WINDOW = 6
@@ -40,6 +44,7 @@ BATCH = 64
 KEPT_WORDS = 300_000
 LEAST_SCORE = 0.3
 START_BIAS = -5.0
+SHARPEST = 10.0
 EDGES = " \t\r\n.,;:!?\"'()[]{}#$%&*|<>-_=+~^`/\\"
 
 
@@ -79,56 +84,68 @@ class Bags:
         return self.grams[first + np.arange(len(first))]
 
 
-def train(texts: list[str], labels: list[int]) -> dict:
-    """Embeddings, softmax weights and bias, by adaptive gradient steps over random batches."""
+def sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def epochs_for(rows: int) -> int:
+    return max(EPOCHS, LEAST_STEPS // (rows // BATCH + 1))
+
+
+def train(texts: list[str], labels: list[int], epochs: int | None = None) -> dict:
+    """Embeddings, weights of both heads and bias, by adaptive gradient steps over random batches."""
     rng = np.random.default_rng(31)
     bags = Bags(texts)
     known = np.array([k for k, t in enumerate(bags.texts) if len(t)], np.int64)
     y = np.array(labels, np.float64)
     embed = rng.uniform(-1 / SIZE, 1 / SIZE, (BINS, SIZE)).astype(np.float32)
-    weights = rng.normal(0, 0.3, (SIZE, 2)).astype(np.float32)
+    # Two classes each: first for windows, then for the mean of the text.
+    heads = rng.normal(0, 0.3, (2, SIZE, 2)).astype(np.float32)
     bias = np.array([0.0, START_BIAS], np.float32)
-    seen = {"e": np.full(BINS, 1e-6, np.float32), "w": np.full((SIZE, 2), 1e-6, np.float32), "b": np.full(2, 1e-6, np.float32)}
+    seen = {"e": np.full(BINS, 1e-6, np.float32), "w": np.full(heads.shape, 1e-6, np.float32), "b": np.full(2, 1e-6, np.float32)}
     positives = max(1.0, y[known].sum()) if len(known) else 1.0
     lift = min(3.0, max(1.0, (len(known) - positives) / positives))
-    epochs = max(EPOCHS, LEAST_STEPS // (len(known) // BATCH + 1)) if len(set(y[known])) == 2 else 0
+    epochs = (epochs or epochs_for(len(known))) if len(set(y[known])) == 2 else 0
     for epoch in range(epochs):
         rate = 0.5 * (1 - epoch / epochs) + 0.05
+        sharp = 1 + (SHARPEST - 1) * epoch / max(epochs - 1, 1)
+        order = rng.permutation(known)
         for at in range(0, len(known), BATCH):
-            if at == 0:
-                order = rng.permutation(known)
             chosen = order[at : at + BATCH]
             lengths = np.array([len(bags.texts[k]) for k in chosen])
             words, back = np.unique(np.concatenate([bags.texts[k] for k in chosen]), return_inverse=True)
             grams, counts = bags.grams_at(words), bags.counts[words]
-            gram_starts = np.cumsum(counts) - counts
-            vectors = sums(embed[grams], gram_starts) / counts[:, None]
+            vectors = sums(embed[grams], np.cumsum(counts) - counts) / counts[:, None]
             per_text = -(-lengths // WINDOW)
             text_starts = np.cumsum(per_text) - per_text
             inside = np.arange(per_text.sum()) - np.repeat(text_starts, per_text)
             begin = np.repeat(np.cumsum(lengths) - lengths, per_text) + inside * WINDOW
             size = np.minimum(WINDOW, np.repeat(lengths, per_text) - inside * WINDOW)
-            bag = sums(vectors[back], begin) / size[:, None]
-            margin = (bag @ weights + bias) @ np.array([-1.0, 1.0])
+            in_window = sums(vectors[back], begin)
+            bag, mean = in_window / size[:, None], sums(in_window, text_starts) / lengths[:, None]
+            window_head, text_head = heads[:, :, 1] - heads[:, :, 0]
+            margin = bag @ window_head
             top = np.maximum.reduceat(margin, text_starts)
-            odds = np.exp(margin - np.repeat(top, per_text))
-            total = sums(odds, text_starts)
-            p = 1 / (1 + np.exp(-np.clip(top + np.log(total), -30, 30)))
-            pull = (p - y[chosen]) * np.where(y[chosen] > 0, lift, 1.0) / len(chosen)
-            g = (np.repeat(pull / total, per_text) * odds).astype(np.float32)
-            both = np.stack([-g, g], axis=1)
-            to_words = np.repeat((both @ weights.T) / size[:, None], size, axis=0)
+            share = np.exp(sharp * (margin - np.repeat(top, per_text)))
+            share /= np.repeat(sums(share, text_starts), per_text)
+            p = sigmoid(sums(share * margin, text_starts) + mean @ text_head + bias[1] - bias[0])
+            pull = ((p - y[chosen]) * np.where(y[chosen] > 0, lift, 1.0) / len(chosen)).astype(np.float32)
+            g = (np.repeat(pull, per_text) * share).astype(np.float32)
+            to_words = np.repeat(g[:, None] * window_head / size[:, None], size, axis=0)
+            to_words += np.repeat(pull[:, None] * text_head / lengths[:, None], lengths, axis=0)
             by_word = np.stack([np.bincount(back, to_words[:, d], len(words)) for d in range(SIZE)], axis=1) / counts[:, None]
             bins, place = np.unique(grams, return_inverse=True)
             wide = np.repeat(by_word, counts, axis=0)
             step = np.stack([np.bincount(place, wide[:, d], len(bins)) for d in range(SIZE)], axis=1).astype(np.float32)
             seen["e"][bins] += (step**2).mean(axis=1)
             embed[bins] -= rate * step / np.sqrt(seen["e"][bins])[:, None]
-            for value, name, change in ((weights, "w", bag.T.astype(np.float32) @ both), (bias, "b", both.sum(axis=0))):
+            toxic = np.stack([bag.T.astype(np.float32) @ g, mean.T.astype(np.float32) @ pull])
+            for value, name, change in ((heads, "w", np.stack([-toxic, toxic], axis=2)), (bias, "b", np.array([-pull.sum(), pull.sum()]))):
                 seen[name] += change**2
                 value -= 0.2 * rate * change / np.sqrt(seen[name])
-    # A gram's part in the margin is all that scoring needs.
-    return {"grams": (embed @ (weights[:, 1] - weights[:, 0])).astype(np.float32), "bias": float(bias[1] - bias[0])}
+    # A gram's part in the logits is all that scoring needs.
+    window, text = (embed @ (head[:, 1] - head[:, 0]).astype(np.float32) for head in heads)
+    return {"windows": window, "texts": text, "bias": float(bias[1] - bias[0])}
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -140,8 +157,12 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     first = lambda flag: known.filter(f"toxic = {flag}").orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS)
     sample = first(0).union(first(1))  # two bounded lists of ids
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("text")).filter(F.length("text") <= TRAIN_CHARS)
-    return texts.join(F.broadcast(sample), "_id").groupBy("_id", "toxic").agg(F.max("text").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("text"))
+    # A text beyond the whole bound cannot be part of a sample within it.
+    fitting = texts.filter(F.length("text") <= TRAIN_CHARS).join(F.broadcast(sample), "_id")
+    single = fitting.groupBy("_id", "toxic").agg(F.max("text").alias("text"))
+    so_far = F.sum(F.length("text")).over(Window.orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, 0))
+    return single.withColumn("_chars", so_far).filter(F.col("_chars") <= TRAIN_CHARS).drop("_chars")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
@@ -158,19 +179,31 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
 
 class WordScores(dict):
-    """Word -> its mean part in the margin; a bounded memory."""
+    """Word -> its mean part in the logit of a window, and in ``in_text`` in that of a text; a memory for ``KEPT_WORDS`` and one text."""
 
-    def __init__(self, grams: np.ndarray):
+    def __init__(self, model: dict):
         super().__init__()
-        self.grams = grams.tolist()
+        self.windows, self.texts, self.bias = model["windows"].tolist(), model["texts"].tolist(), model["bias"]
+        self.in_text: dict[str, float] = {}
 
     def __missing__(self, word: str) -> float:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
         bins = grams_of(word)
-        score = self[word] = sum(map(self.grams.__getitem__, bins)) / len(bins)
+        self.in_text[word] = sum(map(self.texts.__getitem__, bins)) / len(bins)
+        score = self[word] = sum(map(self.windows.__getitem__, bins)) / len(bins)
         return score
 
+    def of(self, text: str) -> float:
+        words = words_of(text)
+        if not words:
+            return sigmoid(self.bias)
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+            self.in_text.clear()
+        values = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
+        starts = np.arange(0, len(words), WINDOW)
+        top = (np.add.reduceat(values, starts) / np.minimum(WINDOW, len(words) - starts)).max()
+        return sigmoid(top + sum(map(self.in_text.__getitem__, words)) / len(words) + self.bias)
+
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with score and predicted."""
@@ -180,18 +213,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        scores, bias = WordScores(shared.value["grams"]), shared.value["bias"]
-
-        def of(text: str) -> float:
-            words = words_of(text)
-            if not words:
-                return 1 / (1 + np.exp(-bias))
-            values = np.fromiter(map(scores.__getitem__, words), np.float64, len(words))
-            starts = np.arange(0, len(words), WINDOW)
-            size = np.minimum(WINDOW, len(words) - starts)
-            margin = np.add.reduceat(values, starts) / size + bias
-            top = margin.max()
-            return 1 / (1 + np.exp(-np.clip(top + np.log(np.exp(margin - top).sum()), -30, 30)))
+        of = WordScores(shared.value).of
 
         def step(batch):
             found = np.array([of(t.as_py() or "") for t in batch.column(place)], np.float64)
