@@ -14,10 +14,12 @@ differences from the pivot are joined by an exact prefix filter
 the bucket into its pairs.
 
 Defined cases: texts without words are linked with nothing; rows that share an
-id are one document; a row without id takes its class's component and is kept
-only if that has no id (the pipeline stage then keeps all rows without one);
-columns named like an added one are replaced; an empty
-table gives no rows.
+id are one document; rows without an id are known by a 62-bit hash of their text
+(``row_key``) and linked like all others; a component's id is the least id of its
+rows, none if no row has one, and then its row with the least key is kept; columns
+named like an added one are replaced; an empty table gives no rows. The pipeline
+stage keeps one of equal texts under a kept id or key, and all different texts of
+one id.
 """
 
 from __future__ import annotations
@@ -39,6 +41,26 @@ LEAST_ESTIMATE = 0.5
 ADDED = ("n_shingles", "component_id", "kept")
 
 
+# Keys of rows without an id start here, so that a row with a common id comes first.
+NO_ID = 1 << 62
+
+
+def row_key():
+    """The id of a row, or a hash of its text if it has none."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(whole_text()).bitwiseAND(NO_ID - 1).bitwiseOR(NO_ID))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+
+
+def free_name(name: str, docs: DataFrame) -> str:
+    """``name``, longer by as many signs as set it apart from all columns."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def odd_numbers(n: int, seed: int, kind) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, np.iinfo(kind).max, n, kind) | kind(1)
 
@@ -81,7 +103,7 @@ def minima():
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, fingerprint of the set, signature) of every row."""
+    """(key, doc_id, n_shingles, fingerprint of the set, signature) of every row."""
 
     def make():
         import xxhash
@@ -90,20 +112,19 @@ def sketches(docs: DataFrame) -> DataFrame:
 
         def step(batch):
             sizes, prints, signatures = [], [], []
-            for value in batch.column(1):
+            for value in batch.column(2):
                 h = hashes(value.as_py())
                 sizes.append(len(h))
                 prints.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
                 signatures.append(signature(h).tobytes() if len(h) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())],
-                ["doc_id", "n_shingles", "fingerprint", "signature"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())],
+                ["key", "doc_id", "n_shingles", "fingerprint", "signature"],
             )
 
         return step
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(arrow_rows(make), "doc_id long, n_shingles long, fingerprint binary, signature binary")
+    return keyed(docs).mapInArrow(arrow_rows(make), "key long, doc_id long, n_shingles long, fingerprint binary, signature binary")
 
 
 def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -264,53 +285,67 @@ def pairs_by_difference(diffs: DataFrame, labels: DataFrame) -> DataFrame:
     return met.select(F.least("u_a", "u").alias("u"), F.greatest("u_a", "u").alias("v")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+def keyed_duplicates(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     sketch = stored(sketches(docs), "sketches")
     classes = (
         sketch.filter("n_shingles > 0")
         .groupBy("fingerprint")
-        .agg(F.min("doc_id").alias("rep"), F.max("signature").alias("signature"))
+        .agg(F.min("key").alias("rep"), F.min("doc_id").alias("least"), F.max("signature").alias("signature"))
     )
     classes = stored(classes, "classes")
-    named = classes.filter("rep IS NOT NULL")
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring(F.col("signature"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))),
     )
-    members = named.select("rep", F.explode(keys).alias("key"))
+    members = classes.select("rep", F.explode(keys).alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stored(members.join(shared, "key"), "buckets")
     candidates = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-        .join(candidates, "doc_id", "left_semi")
-    )
+    texts = keyed(docs).select(F.col("key").alias("doc_id"), "text").join(candidates, "doc_id", "left_semi")
     texts = stored(texts, "texts")
     pivots = stored(pivots_of(buckets), "pivots")
-    links = stored(confirmed(alike(pivot_pairs(buckets, pivots), named), texts), "links")
+    links = stored(confirmed(alike(pivot_pairs(buckets, pivots), classes), texts), "links")
     labels = components(links)
     diffs = stored(differences(open_members(buckets, pivots, labels), texts), "differences")
     if not diffs.isEmpty():
         links = links.union(diffs.filter("linked").select("u", F.col("q").alias("v")))
         labels = components(links)
-        more = stored(confirmed(alike(pairs_by_difference(diffs, labels), named), texts), "more")
+        more = stored(confirmed(alike(pairs_by_difference(diffs, labels), classes), texts), "more")
         labels = labels if more.isEmpty() else components(links.union(more))
-    placed = classes.select("fingerprint", "rep").join(labels, F.col("rep") == F.col("id"), "left").select(
-        "fingerprint", F.coalesce("root", "rep").alias("root")
+    placed = classes.select("fingerprint", "rep", "least").join(labels, F.col("rep") == F.col("id"), "left").select(
+        "fingerprint", "least", F.coalesce("root", "rep").alias("root")
     )
-    out = sketch.select("doc_id", "n_shingles", "fingerprint").join(placed, "fingerprint", "left")
-    # Texts without words have no class.
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("root"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # A root from ``NO_ID`` on may be the key of a row without an id, or an id with lesser ones of its component behind it.
+    high = placed.filter(F.col("root") >= NO_ID).groupBy("root").agg(F.min("least").alias("component"))
+    placed = placed.drop("least").join(high, "root", "left").withColumn(
+        "component", F.when(F.col("root") < NO_ID, F.col("root")).otherwise(F.col("component"))
     )
+    out = sketch.select("key", "doc_id", "n_shingles", "fingerprint").join(placed, "fingerprint", "left")
+    # Texts without words have no class.
+    alone = F.col("n_shingles") == 0
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
+    kept = alone | F.coalesce(F.col("doc_id") == F.col("component"), F.col("component").isNull() & (F.col("key") == F.col("root")))
+    return out.select("key", "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(kept, F.lit(False)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+    return keyed_duplicates(docs).drop("key")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each component."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)
+    """Pipeline stage: one document of each component; repeats of its text go, texts without words stay."""
+    key, text = free_name("_key", docs), free_name("_text", docs)
+    repeated = F.count_if(F.col("n_shingles") > 0) > 1
+    kept = stored(keyed_duplicates(docs).filter("kept").groupBy(F.col("key").alias(key)).agg(repeated.alias("repeated")), "kept")
+    rows = docs.withColumn(key, row_key())
+    once = rows.join(kept.filter("NOT repeated").select(key), key, "left_semi")
+    again = kept.filter("repeated").select(key)
+    if not again.isEmpty():
+        several = rows.join(again, key, "left_semi").withColumn(text, whole_text())
+        once = once.union(several.dropDuplicates([key, text]).drop(text))
+    return once.select(*docs.columns)
 
 
 @query("op3_near_dup")
