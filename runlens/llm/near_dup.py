@@ -318,7 +318,10 @@ def keyed_duplicates(docs: DataFrame) -> DataFrame:
     )
     # A root from ``NO_ID`` on may be the key of a row without an id, or an id with lesser ones of its component behind it.
     high = placed.filter(F.col("root") >= NO_ID).groupBy("root").agg(F.min("least").alias("component"))
-    placed = placed.drop("least").join(high, "root", "left").withColumn(
+    # All other rows are dealt out by negative numbers, which meet nothing: a root of many classes is no hot key.
+    apart = F.when(F.col("root") >= NO_ID, F.col("root")).otherwise(-1 - F.pmod(F.xxhash64("fingerprint"), F.lit(1 << 30)))
+    met = placed.drop("least").withColumn("met", apart).join(high.withColumnRenamed("root", "met"), "met", "left")
+    placed = met.drop("met").withColumn(
         "component", F.when(F.col("root") < NO_ID, F.col("root")).otherwise(F.col("component"))
     )
     out = sketch.select("key", "doc_id", "n_shingles", "fingerprint").join(placed, "fingerprint", "left")
