@@ -94,7 +94,9 @@ def vector_moments(rows: DataFrame, keys: Sequence[str], value: str) -> DataFram
             if not batch.num_rows:
                 continue
             if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+                # Columns are joined, not batches: Spark's know of fields that cannot be null, and name list items in its way.
+                both = [pa.concat_arrays([a.cast(b.type), b]) for a, b in zip(held.columns, batch.columns, strict=True)]
+                batch = pa.RecordBatch.from_arrays(both, names)
             group = _groups([batch.column(k) for k in range(len(keys))])
             lists = [batch.column(len(keys) + k) for k in range(4)]
             sizes = lists[0].value_lengths().to_numpy()

@@ -36,3 +36,18 @@ def test_moments_equal_numpy_for_hot_and_small_groups(spark):
     assert np.isnan(got[77, "k"]["mean"][0]) and got[77, "k"]["mean"][1] == 2.0
     assert got[None, "k"]["mean"] == [5.0]
     assert vector_moments(df.where(F.lit(False)), ["ep", "key"], "value").count() == 0
+
+
+def test_moments_of_many_batches_under_keys_that_cannot_be_null(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = spark.range(0, 40, 1, 8).select(
+            (F.col("id") % 2).alias("episode_id"), F.lit("/arm").alias("key"), F.array(F.col("id").cast("double")).alias("value")
+        )
+        assert not rows.schema["key"].nullable
+        found = {r["episode_id"]: r for r in vector_moments(rows, ["episode_id", "key"], "value").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {k: (r["n"], r["mean"]) for k, r in found.items()} == {0: ([20], [19.0]), 1: ([20], [20.0])}
+    assert all(abs(r["m2"][0] - 2660.0) < 1e-6 for r in found.values())
