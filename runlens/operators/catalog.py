@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from runlens.functions.classify import kind_from_extension
 from runlens.functions.notes import note
 from runlens.functions.scalars import clamp_failure_time, stripped
-from runlens.operators.ordering import salted_join
 
 
 def failure_time_problem(status: Column, failure_time: Column) -> Column:
@@ -87,7 +86,8 @@ def eval_plan(requests: DataFrame, episodes: DataFrame) -> DataFrame:
     """Requested baselines ``(pos, token)`` in order, repeats kept.
 
     Tokens are trimmed; blanks and ``#`` lines are dropped; ids without an
-    episode are kept with ``known`` false.
+    episode are kept with ``known`` false. Neither side is small, so they meet
+    in a sort-merge join; the adaptive skew join splits an id that very many ask for.
     """
     asked = (
         requests.withColumn("baseline_episode_id", stripped(F.col("token")))
@@ -95,13 +95,8 @@ def eval_plan(requests: DataFrame, episodes: DataFrame) -> DataFrame:
         .drop("token")
     )
     ids = episodes.select(F.col("episode_id").cast("string").alias("baseline_episode_id")).distinct()
-    return salted_join(
-        asked,
-        ids.withColumn("known", F.lit(True)),
-        ["baseline_episode_id"],
-        F.xxhash64("pos"),
-        how="left",
-    ).withColumn("known", F.coalesce("known", F.lit(False)))
+    found = asked.join(ids.withColumn("known", F.lit(True)).hint("merge"), "baseline_episode_id", "left")
+    return found.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
 def require_run(candidate_version: Column) -> Column:

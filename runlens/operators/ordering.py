@@ -222,7 +222,11 @@ def salted_join(
     Rows of a key are dealt over ``salts`` join keys by ``spread``; the small
     side is repeated once per salt. AQE may still turn it into a broadcast when
     the small side is measured to be small.
+
+    The salts are a joined table of fixed size, as Catalyst's estimate of an
+    exploded array leaves out its length: a table a little below the broadcast
+    limit would be sent through the driver ``salts`` times over.
     """
     left = big.withColumn("_salt", F.pmod(spread.cast("bigint"), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right = small.crossJoin(F.broadcast(big.sparkSession.range(0, salts, 1, 1).select(F.col("id").cast("int").alias("_salt"))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -125,3 +125,21 @@ def test_salted_join_keeps_every_row(spark, skewed):
     assert joined.where("x <> g * 2").count() == 0
     semi = ordering.salted_join(skewed, small, ["g"], F.col("id"), how="left_semi")
     assert semi.count() == skewed.where("g < 100").count()
+
+
+def test_small_side_of_a_salted_join_is_estimated_with_its_salts(spark):
+    """Below the broadcast limit as it stands, sixteen times as large when salted."""
+    small = spark.range(0, 100_000).select(F.col("id").alias("g"), F.lit(True).alias("x"))
+    big = spark.range(0, 20_000_000).select((F.col("id") % 7).alias("g"), F.col("id").alias("step"))
+    plan = ordering.salted_join(big, small, ["g"], F.col("step"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_plan_of_requests_sends_no_ids_through_the_driver(spark):
+    from runlens.operators import catalog
+
+    asked = spark.createDataFrame([(1, " 5"), (2, "#5"), (3, "  "), (4, "9999999"), (5, "5 ")], "pos BIGINT, token STRING")
+    found = catalog.eval_plan(asked, spark.range(0, 100_000).withColumnRenamed("id", "episode_id"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r["pos"], r["baseline_episode_id"], r["known"]) for r in found.collect())
+    assert got == [(1, "5", True), (4, "9999999", False), (5, "5", True)]
