@@ -133,10 +133,21 @@ def traceparent(trace_hex: Column, span_hex: Column, flags: Column) -> Column:
     )
 
 
+def fixed_text(value: Column, digits: int, signed: bool = False) -> Column:
+    """A number with so many decimals, rounded by its exact binary value, ties to the even digit.
+
+    ``format_string`` rounds the shortest decimal text of a number and takes ties up.
+    """
+    number = value.cast("double")
+    shape = "0." + "0" * digits
+    text = F.call_function("format_number", number, F.lit(f"+{shape};-{shape}" if signed else shape))
+    finite = ~F.isnan(number) & (F.abs(number) < float("inf"))
+    return F.when(finite, text).otherwise(F.format_string(f"%{'+' if signed else ''}.{digits}f", number))
+
+
 def number_text(value: Column, signed: bool = False) -> Column:
     """Three decimals, an optional plus sign, ``-`` for NULL."""
-    text = F.format_string("%+.3f" if signed else "%.3f", value.cast("double"))
-    return F.when(value.isNull(), F.lit("-")).otherwise(text)
+    return F.when(value.isNull(), F.lit("-")).otherwise(fixed_text(value, 3, signed))
 
 
 def flag_text(value: Column) -> Column:

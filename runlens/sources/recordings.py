@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions.classify import classify_topic
 from runlens.functions.outcome import merge_metadata
+from runlens.functions.scalars import fixed_text
 
 
 def topic_summary(messages: DataFrame) -> DataFrame:
@@ -72,9 +73,9 @@ def bag_report(summary: DataFrame) -> DataFrame:
         F.col("duration_s").isNull(), F.format_string("%s  (empty bag)", F.col("recording_id").cast("string"))
     ).otherwise(
         F.format_string(
-            "%s  %.2fs, %d message%s",
+            "%s  %ss, %d message%s",
             F.col("recording_id").cast("string"),
-            F.col("duration_s"),
+            fixed_text(F.col("duration_s"), 2),
             F.col("message_count"),
             F.when(F.col("message_count") == 1, "").otherwise("s"),
         )

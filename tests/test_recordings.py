@@ -170,3 +170,20 @@ def test_samples_are_written_by_slot(spark, bag, tmp_path):
     back = sink.committed(spark, str(tmp_path / "samples"), samples.schema)
     assert back.count() == samples.count()
     assert {p.name for p in (tmp_path / "samples").glob("files/*/slot=*")} == {"slot=video", "slot=sensors", "slot=actions"}
+
+
+def test_reports_round_by_the_exact_value(spark):
+    """As printf does: ties to the even digit, and 1.005 lies below its text."""
+    from runlens.functions.scalars import fixed_text, number_text
+
+    values = [0.125, 0.375, 1.005, 2.675, 2515.625, 0.0, 12345.0, 1e-9, 0.995, -0.125, 1e15 / 8]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, v DOUBLE")
+    got = [r[1] for r in df.select("i", fixed_text(F.col("v"), 2)).orderBy("i").collect()]
+    assert got == [f"{v:.2f}" for v in values]
+    signed = [r[1] for r in df.select("i", number_text(F.col("v") / 100, signed=True)).orderBy("i").collect()]
+    assert signed == [f"{v / 100:+.3f}" for v in values]
+    summary = spark.createDataFrame(
+        [(7, 1, 0.125, None, None, None, None, None)],
+        "recording_id BIGINT, message_count BIGINT, duration_s DOUBLE, topic STRING, msgtype STRING, n BIGINT, slot STRING, reason STRING",
+    )
+    assert [r["line"] for r in rec.bag_report(summary).collect()] == ["7  0.12s, 1 message"]
