@@ -198,25 +198,29 @@ def gate_body(scenarios: DataFrame, latest: DataFrame, candidates: DataFrame) ->
     """The gate of every candidate, also of those without results, with the names of its scenarios and blockers.
 
     ``candidates`` is ``(candidate_policy_version)``. The critical scenarios are
-    one sorted list for all; a candidate's blockers are that list without those
-    it passed, so scenarios and candidates are never multiplied out.
+    one sorted list for all; a candidate's blockers are the places of that list
+    without those it passed, so scenarios and candidates are never multiplied
+    out. Places are plain numbers, which ``array_except`` finds by hash; records
+    it would compare one by one with all others.
     """
     named = scenarios.where(F.col("severity") == "critical").select("name", "scenario_id")
-    everything = named.agg(F.sort_array(F.collect_set(F.struct("name", "scenario_id"))).alias("s")).scalar()
-    told = latest.join(named, "scenario_id").groupBy("candidate_policy_version").agg(
-        F.collect_set(F.when(F.col("latest_status") == "pass", F.struct("name", "scenario_id"))).alias("passed_ones"),
+    listed = named.agg(F.sort_array(F.collect_set(F.struct("name", "scenario_id"))).alias("s"))
+    everything = listed.scalar()
+    placed = listed.select(F.posexplode("s").alias("_place", "_s")).select("_place", F.col("_s.scenario_id").alias("scenario_id"))
+    told = latest.join(placed, "scenario_id").groupBy("candidate_policy_version").agg(
+        F.collect_set(F.when(F.col("latest_status") == "pass", F.col("_place"))).alias("passed_places"),
         F.count_if(F.col("latest_status") != "pass").alias("critical_failed"),
     )
-    none = F.array().cast(everything_type(named))
     out = candidates.select("candidate_policy_version").distinct().join(told, "candidate_policy_version", "left")
     out = out.select(
         "candidate_policy_version",
         everything.alias("_all"),
-        F.coalesce("passed_ones", none).alias("_passed"),
+        F.coalesce("passed_places", F.array().cast("array<int>")).alias("_passed"),
         F.coalesce("critical_failed", F.lit(0)).alias("critical_failed"),
     )
     size = lambda c: F.size(c).cast("bigint")
-    blocked = F.sort_array(F.array_except("_all", "_passed"))
+    places = F.when(F.size("_all") > 0, F.sequence(F.lit(0), F.size("_all") - 1)).otherwise(F.array().cast("array<int>"))
+    blocked = F.array_except(places, F.col("_passed"))
     return out.select(
         "candidate_policy_version",
         size("_all").alias("critical_total"),
@@ -225,15 +229,10 @@ def gate_body(scenarios: DataFrame, latest: DataFrame, candidates: DataFrame) ->
         (size("_all") - size("_passed") - F.col("critical_failed")).alias("critical_pending"),
         (size("_all") == size("_passed")).alias("passed"),
         F.col("_all.name").alias("scenarios"),
-        blocked["name"].alias("blockers"),
+        F.transform(blocked, lambda k: F.get("_all", k)["name"]).alias("blockers"),
     )
 
 
-def everything_type(named: DataFrame) -> str:
-    """The type of a list of named scenarios."""
-    return f"array<{named.schema.simpleString()}>"
-
-
 def gate_of(scenarios: DataFrame, latest: DataFrame, candidate: str) -> DataFrame:
     """The gate of one candidate, also when it has no results yet: one row."""
     known = with_status(scenarios, latest, candidate)

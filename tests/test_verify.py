@@ -175,3 +175,15 @@ def test_the_gate_names_blockers_of_all_candidates(spark):
     assert got["new"]["blockers"] == got["new"]["scenarios"] == ["door", "door", "stairs"] and got["new"]["critical_pending"] == 3
     open_gate = verify.gate_body(scenarios.limit(0), latest, candidates).collect()
     assert all(r["passed"] and r["critical_total"] == 0 for r in open_gate)
+
+
+def test_the_gate_of_many_scenarios_compares_no_two_of_them(spark):
+    """Quadratic in the scenarios, this took 40,000 x 40,000 comparisons of records."""
+    n = 40_000
+    scenarios = spark.range(0, n).select(F.col("id").alias("scenario_id"), F.lpad(F.col("id").cast("string"), 6, "0").alias("name"), F.lit("critical").alias("severity"))
+    latest = spark.range(0, n).select(F.col("id").alias("scenario_id"), F.lit("v").alias("candidate_policy_version"), F.when(F.col("id") % 3 == 0, "fail").otherwise("pass").alias("latest_status"))
+    body = verify.gate_body(scenarios, latest, spark.sql("SELECT 'v' AS candidate_policy_version"))
+    plan = body._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_except" in plan and "array<struct" not in plan.split("array_except")[1].split("AS blockers")[0]
+    r = body.first()
+    assert r["blockers"] == [f"{k:06d}" for k in range(0, n, 3)] and r["critical_total"] == len(r["scenarios"]) == n
