@@ -11,6 +11,7 @@ from runlens.operators.ordering import number_rows
 from runlens.plans import bindings as B
 from runlens.plans import staging
 from runlens.plans.registry import query
+from runlens.session import materialize
 from runlens.sources import arrays, demos, frames
 
 
@@ -50,7 +51,8 @@ def slice_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = staging.fresh(spark, "frames-v3")
     # Shards hold ranges of episodes in order, as datasets of this version do.
     ordered = staging.line_frames(spark, sf_dir).repartitionByRange("episode_index").sortWithinPartitions("episode_index", "frame_index")
-    ordered.write.option("parquet.block.size", 1 << 16).parquet(f"{root}/data/chunk-000")
+    # Every seek fills a read buffer of up to 64 KB, so row groups are many times as large.
+    ordered.write.option("parquet.block.size", 1 << 22).parquet(f"{root}/data/chunk-000")
     shards = frames.scan_frames_v3(spark, root)
     wanted = (
         B.table(spark, sf_dir, "supplier")
@@ -93,9 +95,10 @@ def scan_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = F.when(k % 10 == 7, "[1,2]").when(k % 10 == 8, "{broken").otherwise(body)
     root = staging.fresh(spark, "info")
-    texts = B.table(spark, sf_dir, "supplier").select(line.alias("line"))
+    # Each row becomes a file, so the work is in the files: they are dealt over all cores, and read once.
+    texts = B.table(spark, sf_dir, "supplier").select(line.alias("line")).repartition(spark.sparkContext.defaultParallelism * 4, "line")
     texts.write.option("maxRecordsPerFile", 1).text(root)
-    info = frames.scan_info(spark, root)
+    info = materialize(frames.scan_info(spark, root), "info-read")
     facts = frames.info_features(info).select("path", "codebase_version", "support", "total_frames")
     return (
         info.join(facts, "path")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import pathlib
 
 import numpy as np
 import pandas as pd
@@ -321,3 +322,30 @@ def test_roots_with_blanks(spark, tmp_path):
         part = next((root / f"tmp{chunk}").glob("part-*.parquet"))
         (target / "episode_000003.parquet").write_bytes(part.read_bytes())
     assert frames.scan_frames_v2(spark, str(root)).count() == 2
+
+
+def test_written_descriptions_are_dealt_over_tasks_and_read_once(spark, monkeypatch):
+    """One task made all files, and the scan of them ran on both sides of a join."""
+    from runlens.plans import datasets, staging
+
+    roots, reads = [], []
+    old_fresh, old_scan = staging.fresh, frames.scan_info
+    monkeypatch.setattr(staging, "fresh", lambda *a: roots.append(old_fresh(*a)) or roots[-1])
+    monkeypatch.setattr(frames, "scan_info", lambda *a, **k: reads.append(old_scan(*a, **k)) or reads[-1])
+    out = datasets.scan_info(spark, "/root/testdata/sf0.01")
+    written = [p.name for p in pathlib.Path(roots[0].removeprefix("file://")).glob("part-*")]
+    assert len(written) == 100 and len({name.split("-")[1] for name in written}) > 1
+    assert "FileScan text" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shards_of_the_slice_query_have_few_row_groups(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from runlens.plans import datasets, staging
+
+    roots, old_fresh = [], staging.fresh
+    monkeypatch.setattr(staging, "fresh", lambda *a: roots.append(old_fresh(*a)) or roots[-1])
+    datasets.slice_episode(spark, "/root/testdata/sf0.01")
+    files = pathlib.Path(roots[0].removeprefix("file://")).glob("data/chunk-000/*.parquet")
+    metas = [pq.ParquetFile(f).metadata for f in files]
+    assert sum(m.num_rows for m in metas) == 60_000 and all(m.num_row_groups <= 1 for m in metas)
