@@ -1,13 +1,15 @@
 """Quality by importance weights: hashed n-gram log-likelihood ratio of a trusted target to the whole corpus.
 
-Words are split at blanks. Hashed one-word n-grams and the character bigram at
-the end of each word (where punctuation and junk symbols sit) of all documents
-give the corpus multinomial, those of trusted documents (quality 1) the
-target's. A document's score is the mean log ratio over its n-grams; below
-``THRESHOLD`` it is rejected. All documents are counted and scored, by SQL
-expressions inside the row. Texts are shuffled once, to meet the distinct
-trusted ids, of which there may be any number; besides, only the counts of a
-fixed number of bins are shuffled.
+Words are split at blanks. Hashed n-grams of one and of two words, and besides
+the character bigram at the end of each word (where punctuation and junk symbols
+sit), of all documents give the corpus multinomial, those of trusted documents
+(quality 1) the target's. The general functions take ``pairs``, whether n-grams
+of two words count; the query and the pipeline always count them. A document's
+score is the mean log ratio over its n-grams; below ``THRESHOLD`` it is
+rejected. All documents are counted and scored, by SQL expressions inside the
+row. Texts are shuffled once, to meet the distinct trusted ids, of which there
+may be any number; besides, only the counts of a fixed number of bins are
+shuffled.
 
 Defined cases: a missing text has no words and fails the base rule; with no
 trusted rows the ratio is 0 everywhere and the base rule decides alone; repeated
@@ -45,24 +47,43 @@ def bins_of(word: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(k), part), F.lit(BINS)).cast("int") for k, part in enumerate((word, F.right(word, F.lit(2))))]
 
 
+def pair_bin(pair: Column) -> Column:
+    """Bin of the hash of a two-word run."""
+    return F.pmod(pair, F.lit(BINS)).cast("int")
+
+
 def trusted(labels: DataFrame) -> DataFrame:
     """Distinct ids of all trusted documents."""
     return labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row with the log ratio of every bin, as an array."""
+def log_ratios(docs: DataFrame, labels: DataFrame, pairs: bool = False) -> DataFrame:
+    """One row with the log ratio of every bin, as an array; ``pairs``: two-word runs count too."""
     spark = docs.sparkSession
     # One plan for all sizes, so that figures of small tables hold for large ones.
     target = trusted(labels).select(F.col("doc_id").alias("_trusted")).hint("merge")
     # The second key deals out rows without an id.
     dealt = F.coalesce(F.col("_id"), F.xxhash64("_text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("_text")).join(
+        target, (F.col("_id") == F.col("_trusted")) & (dealt == F.col("_trusted")), "left"
+    )
+    known = F.col("_trusted").isNotNull().cast("long").alias("_in_target")
+    if pairs:
+        following = F.slice("_words", 2, F.size("_words"))
+        words = (
+            texts.select(known, words_of(F.col("_text")).alias("_words"))
+            .select("_in_target", F.explode(F.arrays_zip(F.col("_words").alias("a"), following.alias("b"))).alias("_w"))
+            .select("_in_target", F.col("_w.a").alias("_word"), F.col("_w.b").alias("_next"))
+        )
+        # The last word of a text begins no run.
+        run = F.when(F.col("_next").isNotNull(), pair_bin(F.xxhash64("_word", "_next")))
+        found = F.array(*bins_of(F.col("_word")), run)
+    else:
+        words = texts.select(known, F.explode(F.split("_text", BLANKS)).alias("_word")).filter("_word <> ''")
+        found = F.array(*bins_of(F.col("_word")))
     bins = (
-        docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("_text"))
-        .join(target, (F.col("_id") == F.col("_trusted")) & (dealt == F.col("_trusted")), "left")
-        .select(F.col("_trusted").isNotNull().cast("long").alias("_in_target"), F.explode(F.split("_text", BLANKS)).alias("_word"))
-        .filter("_word <> ''")
-        .select("_in_target", F.explode(F.array(*bins_of(F.col("_word")))).alias("bin"))
+        words.select("_in_target", F.explode(found).alias("bin"))
+        .filter("bin IS NOT NULL")
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("raw"), F.sum("_in_target").alias("target"))
     )
@@ -111,14 +132,18 @@ def repeated_words(pairs: Column):
     return hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h))
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, pairs: bool = False) -> DataFrame:
     """``docs`` with the base figures, the length-normalised ratio and the verdict."""
-    ratios = log_ratios(docs, labels).scalar()
+    ratios = log_ratios(docs, labels, pairs).scalar()
     kept_columns = [c for c in docs.columns if c not in ADDED]
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     hashes, covered = repeated_words(F.col("_pairs"))
     ratio_of = lambda x: sum((F.get("_ratios", b) for b in bins_of(x)), F.lit(0.0))
     total = F.aggregate("_words", F.lit(0.0), lambda a, x: a + ratio_of(x))
+    n_grams = 2 * F.size("_words")
+    if pairs:
+        total = F.aggregate("_pairs", total, lambda a, x: a + F.get("_ratios", pair_bin(x)))
+        n_grams = n_grams + F.size("_pairs")
     return (
         docs.select(*kept_columns, whole_text().alias("_text"))
         .select("*", words_of(F.col("_text")).alias("_words"), lines.alias("_lines"), ratios.alias("_ratios"))
@@ -131,7 +156,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
             F.regexp_count("_text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
             covered(F.col("_hashes")).alias("n_repeat_words"),
-            F.when(F.size("_words") > 0, total / (2 * F.size("_words"))).otherwise(F.lit(0.0)).alias("score"),
+            F.when(F.size("_words") > 0, total / n_grams).otherwise(F.lit(0.0)).alias("score"),
         )
         .withColumn(
             "base_failed",
@@ -148,13 +173,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pushed below its projections, with every figure's expressions written out
     again and again.
     """
-    scored = score(docs, table(spark, sf_dir, "labels"))
+    scored = score(docs, table(spark, sf_dir, "labels"), pairs=True)
     return stored(scored.select(*docs.columns, F.col("kept").alias("_kept")), "scored", "zstd").filter("_kept").select(*docs.columns)
 
 
 @query("op7_importance")
 def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, table(spark, sf_dir, "labels")).select(
+    return score(docs, table(spark, sf_dir, "labels"), pairs=True).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
     )
