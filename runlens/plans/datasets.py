@@ -413,7 +413,9 @@ def scan_npz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     name = F.concat(F.lit("block="), F.col("block").cast("string"), F.lit("/conv_"), F.col("conv_id").cast("string"))
     root = staging.fresh(spark, "npz")
-    staging.archives(blocks.select(name.alias("name"), "steps"), root)
+    # The work is in the files, not in the bytes that small partitions are joined by.
+    dealt = blocks.repartition(spark.sparkContext.defaultParallelism * 4, "conv_id", "block")
+    staging.archives(dealt.select(name.alias("name"), "steps"), root)
     samples, issues = arrays.scan_npz(spark, root)
     stem = r"(conv_\d+)\.npz$"
     good = samples.groupBy(F.regexp_extract("path", stem, 1).alias("name"), "key").agg(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.scalars import stripped
+from runlens.session import materialize
 
 _ROWS = 50_000
 ARCHIVE_ROWS = "path STRING, key STRING, step BIGINT, t_ns BIGINT, value ARRAY<DOUBLE>, shape ARRAY<INT>, reason STRING"
@@ -78,7 +79,8 @@ def scan_npz(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = files.option("pathGlobFilter", "*.npz").load(paths).select("path", "content")
-    rows = files.mapInPandas(load, ARCHIVE_ROWS)
+    # Stored, so that samples and issues do not open every archive each.
+    rows = materialize(files.mapInPandas(load, ARCHIVE_ROWS), "archives")
     samples = rows.where(F.col("reason").isNull()).drop("reason")
     issues = rows.where(F.col("reason").isNotNull()).select(
         F.col("path").alias("recording_id"), F.col("key").alias("item"), "reason"

@@ -349,3 +349,11 @@ def test_shards_of_the_slice_query_have_few_row_groups(spark, monkeypatch):
     files = pathlib.Path(roots[0].removeprefix("file://")).glob("data/chunk-000/*.parquet")
     metas = [pq.ParquetFile(f).metadata for f in files]
     assert sum(m.num_rows for m in metas) == 60_000 and all(m.num_row_groups <= 1 for m in metas)
+
+
+def test_archives_are_opened_once_for_samples_and_issues(spark, tmp_path):
+    np.savez(tmp_path / "a.npz", x=np.arange(3.0), s=np.array(1))
+    samples, issues = arrays.scan_npz(spark, str(tmp_path))
+    for part in (samples, issues):
+        assert "MapInPandas" not in part._jdf.queryExecution().executedPlan().toString()
+    assert (samples.count(), issues.count()) == (3, 1)
