@@ -24,17 +24,29 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCHES = 5
 
 
-def _inbox(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
-    """The events as five files that arrive in turn: a fifth of the time each, but every seventh message one file late."""
+# Rows of one arrived file; an arrival of more is written as several files by several tasks.
+ROWS_PER_FILE = 500_000
+
+
+def _inbox(spark: SparkSession, sf_dir: str, rows_per_file: int = ROWS_PER_FILE) -> tuple[str, T.StructType, int]:
+    """The events as five arrivals in turn: a fifth of the time each, but every seventh message one arrival late.
+
+    All arrivals have the same number of files, which is returned last.
+    """
     events = B.table(spark, sf_dir, "events")
     lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
     time = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)
     part = F.floor(time * BATCHES / F.lit((hi or 0) - (lo or 0) + 1)) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
     dealt = events.withColumn("_part", F.least(F.lit(BATCHES - 1), part))
+    sizes = dict(dealt.groupBy("_part").count().collect())
+    # By the smallest arrival, so that no file is left out for want of rows.
+    files = max(1, min(sizes.get(k, 0) for k in range(BATCHES)) // rows_per_file)
     inbox = staging.fresh(spark, "inbox")
     for k in range(BATCHES):
-        dealt.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(inbox)
-    return inbox, events.schema
+        arrived = dealt.where(F.col("_part") == k).drop("_part")
+        arrived = arrived.coalesce(1) if files == 1 else arrived.repartition(files)
+        arrived.write.mode("append").parquet(inbox)
+    return inbox, events.schema, files
 
 
 def _run(stream: DataFrame, spark: SparkSession, mode: str = "append", name: str = "rows") -> DataFrame:
@@ -61,8 +73,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted over five batches; the counts are read from the state store."""
-    inbox, schema = _inbox(spark, sf_dir)
-    stream = B.message_columns(live.file_stream(spark, inbox, schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp")))
+    inbox, schema, files = _inbox(spark, sf_dir)
+    stream = B.message_columns(live.file_stream(spark, inbox, schema, files_per_batch=files).withColumn("ts", F.col("ts").cast("timestamp")))
     checkpoint = staging.fresh(spark, "counts")
     live.drain(live.topic_counts(stream), None, checkpoint, "update")
     return live.held_counts(spark, checkpoint)
@@ -99,9 +111,9 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five arrivals; what comes behind its batch's watermark goes to a side output."""
-    inbox, schema = _inbox(spark, sf_dir)
+    inbox, schema, files = _inbox(spark, sf_dir)
     out = staging.fresh(spark, "late")
-    raw = live.file_stream(spark, inbox, schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    raw = live.file_stream(spark, inbox, schema, files_per_batch=files).withColumn("ts", F.col("ts").cast("timestamp"))
     rows = B.message_columns(raw).select("seq", "ts")
     live.drain(rows, live.late_splitter(out, 2 * 24 * 3600 * 1000), f"{out}/checkpoint")
     return live.split_rows(spark, out, rows.schema).groupBy("batch").agg(
@@ -128,10 +140,10 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five arrivals, some rows a batch late, and last a row that only moves the clock."""
-    inbox, schema = _inbox(spark, sf_dir)
+    inbox, schema, files = _inbox(spark, sf_dir)
     # Behind every message and its delay.
     spark.sql("SELECT -1L AS event_id, TIMESTAMP_NTZ'2200-01-01' AS ts").write.mode("append").parquet(inbox)
-    raw = live.file_stream(spark, inbox, schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    raw = live.file_stream(spark, inbox, schema, files_per_batch=files).withColumn("ts", F.col("ts").cast("timestamp"))
     stop = F.when(F.col("seq") >= 0, F.col("event_type") == "error")
     broken = stop & (F.col("seq") % 2 == 1)
     stream = B.message_columns(raw).select(

@@ -10,6 +10,7 @@ messages fall into batches makes no difference.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -201,79 +202,117 @@ CLOSED = (
     "recording_id BIGINT, salt INT, n BIGINT, late BIGINT, first_ns BIGINT, last_ns BIGINT, "
     "stop_ns BIGINT, exc_type STRING, exc_message STRING"
 )
-# What one key holds: its first stop, what was counted before the watermark, and the times beyond it.
-OPEN = (
-    "closed BOOLEAN, stop_ns BIGINT, stop_seq BIGINT, exc_type STRING, exc_message STRING, "
-    "n BIGINT, late BIGINT, first_ns BIGINT, last_ns BIGINT, pending ARRAY<BIGINT>"
-)
 NS_PER_MS = 1_000_000
+# Recordings are dealt over so many keys of the state store (for each salt); a key holds all of its recordings as arrays.
+BUCKETS = 512
+NEVER, UNSEEN = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+# What a key holds of each recording: its first stop, what was counted before the watermark; then the times beyond it.
+_START = {
+    "closed": False, "stop_ns": NEVER, "stop_seq": NEVER, "exc_type": None, "exc_message": None,
+    "n": 0, "late": 0, "first_ns": NEVER, "last_ns": UNSEEN,
+}
+_KINDS = {"closed": bool, "exc_type": object, "exc_message": object}
 
 
 class Closing(StatefulProcessor):
-    """Closes a recording once the watermark passes its first stop; later messages are counted as late."""
+    """Closes recordings once the watermark passes their first stop; later messages are counted as late.
+
+    A key is a bucket of recordings: a call costs as much for one recording as
+    for a thousand, and the number of calls does not grow with the recordings.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("recording", OPEN)
+        self.held = handle.getValueState("recordings", "held BINARY")
 
     def _load(self) -> dict:
-        names = [part.split()[0] for part in OPEN.split(", ")]
         row = self.held.get()
-        if row is None:
-            return dict(zip(names, (False, None, None, None, None, 0, 0, None, None, [])))
-        return dict(zip(names, row))
+        if row is not None:
+            return pickle.loads(row[0])
+        state = {name: np.zeros(0, _KINDS.get(name, np.int64)) for name in _START}
+        return state | {"id": np.zeros(0, np.int64), "who": np.zeros(0, np.int64), "at": np.zeros(0, np.int64), "timer": None}
+
+    def _known(self, state: dict, ids: np.ndarray) -> None:
+        """Make room for recordings that were not met before; ids stay sorted."""
+        every = np.union1d(state["id"], ids)
+        if len(every) == len(state["id"]):
+            return
+        place = np.searchsorted(every, state["id"])
+        for name, start in _START.items():
+            wider = np.full(len(every), start, _KINDS.get(name, np.int64))
+            wider[place] = state[name]
+            state[name] = wider
+        state["who"] = place[state["who"]] if len(state["who"]) else state["who"]
+        state["id"] = every
+
+    def _stopped(self, state: dict, stops: pd.DataFrame) -> None:
+        """Take over the first stops of open recordings."""
+        first = stops.sort_values(["recording_id", "t_ns", "seq"]).drop_duplicates("recording_id")
+        place = np.searchsorted(state["id"], first["recording_id"].to_numpy(np.int64))
+        at, seq = first["t_ns"].to_numpy(np.int64), first["seq"].to_numpy(np.int64)
+        held_at, held_seq = state["stop_ns"][place], state["stop_seq"][place]
+        earlier = ~state["closed"][place] & ((at < held_at) | ((at == held_at) & (seq < held_seq)))
+        place = place[earlier]
+        state["stop_ns"][place], state["stop_seq"][place] = at[earlier], seq[earlier]
+        for name in ("exc_type", "exc_message"):
+            text = first[name].astype(object)
+            state[name][place] = text.where(text.notna(), None).to_numpy()[earlier]
 
     def _settle(self, key, state: dict, watermark: int):
         """Fold what the watermark has passed; rows to emit."""
-        pending = np.sort(np.array(state["pending"], np.int64))
-        stop = state["stop_ns"]
-        emit = False
-        if state["closed"]:
-            counted, state["late"] = pending[:0], len(pending)
-            pending, emit = pending[:0], state["late"] > 0
-            state["n"] = 0
-        elif stop is not None and stop // NS_PER_MS <= watermark:
-            cut = np.searchsorted(pending, stop, "right")
-            counted, state["late"] = pending[:cut], state["late"] + len(pending) - cut
-            pending, state["closed"], emit = pending[:0], True, True
-        else:
-            cut = np.searchsorted(pending // NS_PER_MS, watermark, "right")
-            counted, pending = pending[:cut], pending[cut:]
-        if len(counted):
-            state["n"] += len(counted)
-            ends = [x for x in (state["first_ns"], state["last_ns"]) if x is not None]
-            state["first_ns"] = int(min([counted[0], *ends]))
-            state["last_ns"] = int(max([counted[-1], *ends]))
-        state["pending"] = pending.tolist()
-        rows = []
-        if emit:
-            rows = [(key[0], key[1], *(state[k] for k in ("n", "late", "first_ns", "last_ns", "stop_ns", "exc_type", "exc_message")))]
-            state["n"] = state["late"] = 0
-        self.held.update(tuple(state.values()))
-        if not state["closed"]:
-            ahead = [stop] if stop is not None else state["pending"][-1:]
-            for t in ahead:
-                self.handle.registerTimer(max(int(t) // NS_PER_MS, watermark + 1))
-        names = [part.split()[0] for part in CLOSED.split(", ")]
-        if rows:
-            frame = pd.DataFrame(rows, columns=names)
-            whole = ["recording_id", "n", "late", "first_ns", "last_ns", "stop_ns"]
-            yield frame.astype(dict.fromkeys(whole, "Int64") | {"salt": "int32"})
+        who, at, stop = state["who"], state["at"], state["stop_ns"]
+        was_closed = state["closed"].copy()
+        due = ~was_closed & (stop != NEVER) & (stop // NS_PER_MS <= watermark)
+        # Behind its recording's first stop a message is late, even if an earlier stop is still to come.
+        late = was_closed[who] | (at > stop[who])
+        counted = ~late & (due[who] | (at // NS_PER_MS <= watermark))
+        size = len(state["id"])
+        state["late"] += np.bincount(who[late], minlength=size)
+        state["n"] += np.bincount(who[counted], minlength=size)
+        np.minimum.at(state["first_ns"], who[counted], at[counted])
+        np.maximum.at(state["last_ns"], who[counted], at[counted])
+        stay = ~late & ~counted
+        state["who"], state["at"] = who[stay], at[stay]
+        state["closed"] |= due
+        out = np.flatnonzero(due | (was_closed & (state["late"] > 0)))
+        rows = {name: state[name][out] for name in ("n", "late", "first_ns", "last_ns", "stop_ns", "exc_type", "exc_message")}
+        rows["recording_id"] = state["id"][out]
+        state["n"][out] = state["late"][out] = 0
+        ahead = stop[~state["closed"] & (stop != NEVER)]
+        ahead = ahead.min() if len(ahead) else state["at"].max(initial=UNSEEN)
+        timer = None if ahead == UNSEEN else max(int(ahead) // NS_PER_MS, watermark + 1)
+        if timer != state["timer"]:
+            # One that has expired is taken away by Spark.
+            if state["timer"] is not None and state["timer"] > watermark:
+                self.handle.deleteTimer(state["timer"])
+            if timer is not None:
+                self.handle.registerTimer(timer)
+            state["timer"] = timer
+        self.held.update((pickle.dumps(state, pickle.HIGHEST_PROTOCOL),))
+        if len(out):
+            frame = pd.DataFrame(rows).assign(salt=key[1])
+            frame["recording_id"] = frame["recording_id"].astype("Int64").mask(np.full(len(out), key[0] < 0))
+            for name, nothing in (("first_ns", NEVER), ("last_ns", UNSEEN)):
+                frame[name] = frame[name].astype("Int64").mask(rows[name] == nothing)
+            whole = ["n", "late", "stop_ns"]
+            yield frame.astype(dict.fromkeys(whole, "Int64") | {"salt": "int32"})[[part.split()[0] for part in CLOSED.split(", ")]]
 
     def handleInputRows(self, key, rows, timerValues):
         state = self._load()
-        pending = [np.array(state["pending"], np.int64)]
+        who, at, stops = [], [], []
         for frame in rows:
             said = frame[frame["is_stop"].notna()]
-            stops = said[said["is_stop"].astype(bool)].sort_values(["t_ns", "seq"])
-            pending.append(said.loc[~said["is_stop"].astype(bool), "t_ns"].to_numpy(np.int64))
-            if len(stops) and not state["closed"]:
-                first = stops.iloc[0]
-                found = (int(first["t_ns"]), int(first["seq"]))
-                if state["stop_ns"] is None or found < (state["stop_ns"], state["stop_seq"]):
-                    text = [None if pd.isna(first[c]) else first[c] for c in ("exc_type", "exc_message")]
-                    state |= dict(zip(("stop_ns", "stop_seq", "exc_type", "exc_message"), (*found, *text)))
-        state["pending"] = np.concatenate(pending).tolist()
+            is_stop = said["is_stop"].to_numpy(bool)
+            stops.append(said[is_stop])
+            who.append(said["recording_id"].to_numpy(np.int64)[~is_stop])
+            at.append(said["t_ns"].to_numpy(np.int64)[~is_stop])
+        stops = pd.concat([f for f in stops if len(f)]) if any(map(len, stops)) else None
+        ids = np.concatenate(who)
+        self._known(state, ids if stops is None else np.concatenate([ids, stops["recording_id"].to_numpy(np.int64)]))
+        state["who"] = np.concatenate([state["who"], np.searchsorted(state["id"], ids)])
+        state["at"] = np.concatenate([state["at"], *at])
+        if stops is not None:
+            self._stopped(state, stops)
         yield from self._settle(key, state, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -283,13 +322,15 @@ class Closing(StatefulProcessor):
         pass
 
 
-def closed_recordings(stream: DataFrame, delay: str, salts: int = 4) -> DataFrame:
+def closed_recordings(stream: DataFrame, delay: str, salts: int = 4, buckets: int = BUCKETS) -> DataFrame:
     """``CLOSED`` rows of recordings whose first stop marker the watermark has passed, and of late messages after that.
 
     ``stream`` has recording_id, t_ns, seq, is_stop, exc_type and exc_message; a
-    row whose ``is_stop`` is missing only moves the clock. Messages of a
+    row whose ``is_stop`` is missing only moves the clock. Recordings are dealt
+    over ``buckets``; a key of the state holds those of one. Messages of a
     recording are dealt over ``salts`` keys, its stop goes to each, so a
-    recording with very many messages is counted by several tasks.
+    recording with very many messages is counted by several tasks. Both numbers
+    stay as they are for the life of a checkpoint.
     """
     spark = stream.sparkSession
     spark.conf.set(
@@ -298,13 +339,17 @@ def closed_recordings(stream: DataFrame, delay: str, salts: int = 4) -> DataFram
     )
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     one = F.array(F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int"))
+    # A missing id has a bucket of its own and passes as 0, so that no id becomes a floating number on its way.
+    bucket = F.when(F.col("recording_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("recording_id"), F.lit(buckets)).cast("int"))
     rows = (
         stream.withColumn("ts", F.timestamp_micros(F.expr("t_ns DIV 1000")))
         .withWatermark("ts", delay)
         .withColumn("salt", F.explode(F.when(F.col("is_stop"), every).otherwise(one)))
-        .select("recording_id", "salt", "t_ns", "seq", "is_stop", "exc_type", "exc_message", "ts")
+        .withColumn("bucket", bucket)
+        .withColumn("recording_id", F.coalesce("recording_id", F.lit(0).cast("bigint")))
+        .select("bucket", "salt", "recording_id", "t_ns", "seq", "is_stop", "exc_type", "exc_message", "ts")
     )
-    return rows.groupBy("recording_id", "salt").transformWithStateInPandas(
+    return rows.groupBy("bucket", "salt").transformWithStateInPandas(
         Closing(), CLOSED, outputMode="append", timeMode="EventTime"
     )
 

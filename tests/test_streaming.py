@@ -144,3 +144,35 @@ def test_the_last_result_of_each_key_is_held_once(spark, tmp_path):
     for r in rows:
         want[r[1]] = r
     assert sorted(map(tuple, held.collect())) == sorted(want.values())
+
+
+def test_a_call_closes_many_recordings(spark, tmp_path, monkeypatch):
+    """Rows of 400 recordings in 4 buckets reach the state in as many keys, not one for each recording; a missing id is one too."""
+    big = 1 << 60  # not a floating number's neighbour
+    rows = [(big + r, t * SECOND, 10 * r + t, False, None, None) for r in range(400) for t in (1, 2, 9)]
+    rows += [(big + r, 5 * SECOND, 10 * r + 5, True, "ValueError", f"at {r}") for r in range(400)]
+    rows += [(None, 3 * SECOND, 7000, False, None, None), (None, 4 * SECOND, 7001, True, None, None)]
+    clock = [(None, 10_000 * SECOND, -1, None, None, None)]
+    stream = arrivals(spark, str(tmp_path / "in"), [rows, clock], SCHEMA)
+    live.append_rows(live.closed_recordings(stream, "100 seconds", 1, buckets=4), str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = {r["recording_id"]: tuple(r)[1:4] for r in live.finalized(spark.read.schema(live.CLOSED).parquet(str(tmp_path / "out"))).collect()}
+    assert got == {big + r: ("failed", 2, 1) for r in range(400)} | {None: ("ready", 1, 0)}
+    held = spark.read.format("statestore").option("stateVarName", "recordings").load(str(tmp_path / "cp"))
+    assert held.count() <= 5
+
+
+@pytest.mark.parametrize("rows_per_file", [100, 1_000_000])
+def test_arrivals_have_as_many_files_as_their_rows_need(spark, tmp_path, rows_per_file):
+    from runlens.plans import live as plans
+
+    start = datetime.datetime(2024, 1, 1)
+    rows = [(k, start + datetime.timedelta(minutes=k), k % 7, "view", 1.0, "{}") for k in range(3000)]
+    schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    inbox, found, files = plans._inbox(spark, str(tmp_path), rows_per_file)
+    assert files == (5 if rows_per_file == 100 else 1)
+    stream = live.file_stream(spark, inbox, found, files_per_batch=files)
+    sizes = []
+    live.drain(stream, lambda batch, _: sizes.append((batch.count(), batch.rdd.getNumPartitions())), str(tmp_path / "cp"))
+    part = [min(4, k * 5 * 60_000_000 // (2999 * 60_000_000 + 1) + (k % 7 == 0)) for k in range(3000)]
+    assert [n for n, _ in sizes] == [part.count(p) for p in range(5)]
