@@ -177,9 +177,11 @@ def stream_result_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [c for c in B.LINE_ORDER if c not in ("l_returnflag", "l_suppkey")]
     inbox, checkpoint = staging.fresh(spark, "pushes"), staging.fresh(spark, "results")
     keys = ["eval_run_id", "baseline_episode_id"]
+    # Twice the lines in five batches: each has two files for as many rows as one task writes.
+    files = max(1, lines.count() // (BATCHES * ROWS_PER_FILE))
     for _ in range(2):
-        lines.repartition(BATCHES, "l_orderkey").write.mode("append").parquet(inbox)
-    pushed = live.file_stream(spark, inbox, lines.schema, files_per_batch=2).select(
+        lines.repartition(BATCHES * files, "l_orderkey").write.mode("append").parquet(inbox)
+    pushed = live.file_stream(spark, inbox, lines.schema, files_per_batch=2 * files).select(
         F.col("l_returnflag").alias("eval_run_id"),
         F.col("l_suppkey").alias("baseline_episode_id"),
         F.col("l_linestatus").alias("status"),

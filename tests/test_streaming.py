@@ -176,3 +176,18 @@ def test_arrivals_have_as_many_files_as_their_rows_need(spark, tmp_path, rows_pe
     live.drain(stream, lambda batch, _: sizes.append((batch.count(), batch.rdd.getNumPartitions())), str(tmp_path / "cp"))
     part = [min(4, k * 5 * 60_000_000 // (2999 * 60_000_000 + 1) + (k % 7 == 0)) for k in range(3000)]
     assert [n for n, _ in sizes] == [part.count(p) for p in range(5)]
+
+
+def test_pushed_results_are_written_by_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    import os
+
+    from runlens.plans import live as plans
+
+    written = []
+    monkeypatch.setattr(plans, "ROWS_PER_FILE", 300)
+    fresh = plans.staging.fresh
+    monkeypatch.setattr(plans.staging, "fresh", lambda s, purpose: written.append(fresh(s, purpose)) or written[-1])
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    got = plans.stream_result_upsert(spark, "/root/testdata/sf0.001")
+    assert got.count() == lines.select("l_returnflag", "l_suppkey").distinct().count()
+    assert len([f for f in os.listdir(written[0].removeprefix("file://")) if f.endswith(".parquet")]) > 2 * plans.BATCHES
