@@ -75,17 +75,21 @@ def _walker(value: str | None, running: Sequence[str]):
 
 
 def deal_in_order(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str | None = None, running: Sequence[str] = ()
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str | None = None, running: Sequence[str] = (),
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """``df`` stored in order over partitions of even size, with the ``WORKING`` columns.
 
     ``value`` names a column whose value one row earlier in the run becomes
     ``_before``; long columns of ``running`` become their exclusive or over the
-    run so far.
+    run so far. With ``keep`` only these columns are stored; the others decide
+    the order and go no further.
     """
     by = [F.col(c).asc_nulls_first() for c in (*group, *order)] + [F.col("_tie")]
     keyed = df.withColumns({"_group": F.xxhash64(*group), "_tie": row_hash(df)})
     dealt = keyed.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+    if keep is not None:
+        dealt = dealt.select(*keep, "_group")
     added = {"_part": F.lit(0), "_run": F.lit(0).cast("long"), "_at": F.lit(0).cast("long")}
     if value is not None:
         added["_before"] = F.when(F.lit(False), F.col(value))
@@ -121,9 +125,9 @@ def _given(dealt: DataFrame, into: DataFrame) -> DataFrame:
     return dealt.join(F.broadcast(into), "_part", "left")
 
 
-def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "step") -> DataFrame:
-    """Add the 0-based position of each row of its group as ``out``."""
-    dealt = deal_in_order(df, group, order)
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "step", keep: Sequence[str] | None = None) -> DataFrame:
+    """Add the 0-based position of each row of its group as ``out``; with ``keep`` to these columns alone."""
+    dealt = deal_in_order(df, group, order, keep=keep)
     into = carried(dealt, {"n": F.count(F.lit(1))}, {"n": 0}, lambda a, b: {"n": a["n"] + b["n"]})
     offset = F.when(F.col("_run") == 0, F.coalesce("_in_n", F.lit(0))).otherwise(0)
     numbered = _given(dealt, into).withColumn("_position", F.col("_at") + offset)

@@ -5,6 +5,8 @@ Each binding has a SQL fragment with the same meaning for the oracles.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,12 +172,16 @@ LINE_ORDER = (
 )
 
 
-def line_steps(spark: SparkSession, sf_dir: str, episode: str = "l_suppkey") -> DataFrame:
-    """Line items with ``episode_id`` and a 0-based ``step``."""
+# What sensors and actions of line items are made of.
+LINE_VALUES = ("l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice")
+
+
+def line_steps(spark: SparkSession, sf_dir: str, episode: str = "l_suppkey", keep: Sequence[str] | None = None) -> DataFrame:
+    """Line items with ``episode_id`` and a 0-based ``step``; ``keep`` names the columns that are needed besides."""
     lines = table(spark, sf_dir, "lineitem").withColumn("episode_id", F.col(episode))
     lead = "l_orderkey" if episode != "l_orderkey" else "l_partkey"
     order = LINE_ORDER if episode != "l_orderkey" else (lead, *[c for c in LINE_ORDER if c != lead])
-    return number_rows(lines, ["episode_id"], order)
+    return number_rows(lines, ["episode_id"], order, keep=None if keep is None else ["episode_id", *keep])
 
 
 def line_sql(episode: str = "l_suppkey") -> str:

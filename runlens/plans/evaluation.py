@@ -24,7 +24,7 @@ from runlens.session import materialize
     FROM steps GROUP BY episode_id""",
 )
 def action_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = B.line_steps(spark, sf_dir)
+    steps = B.line_steps(spark, sf_dir, keep=B.LINE_VALUES)
     out = metrics.action_l2(B.line_actions(steps), B.line_candidate(steps))
     return out.select("episode_id", F.round("action_l2", 6).alias("action_l2"))
 
@@ -133,7 +133,7 @@ def outcome_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM steps GROUP BY episode_id""",
 )
 def outcome_lerobot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = B.line_steps(spark, sf_dir)
+    steps = B.line_steps(spark, sf_dir, keep=["l_extendedprice"])
     last = steps.groupBy("episode_id").agg(F.max("step").alias("last"))
     frames = salted_join(steps, last, ["episode_id"], F.col("step")).select(
         "episode_id",
@@ -218,7 +218,7 @@ _BROKEN_SQL = """broken AS (
     GROUP BY ALL""",
 )
 def replay_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    observed = metrics.materialize_steps(_line_sensors(B.line_steps(spark, sf_dir)))
+    observed = metrics.materialize_steps(_line_sensors(_stored_steps(spark, sf_dir)))
     played = materialize(replay(observed, line_policy), "replay-policy")
     errors = replay_summary(played).select("episode_id", "error")
     totals = (
@@ -230,8 +230,8 @@ def replay_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered line items as a stored table, the way recordings are kept."""
-    return materialize(B.line_steps(spark, sf_dir), "steps")
+    """Numbered line items, the way recordings are kept: numbering stores them."""
+    return B.line_steps(spark, sf_dir, keep=B.LINE_VALUES)
 
 
 def _line_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

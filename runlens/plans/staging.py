@@ -105,7 +105,7 @@ def text_files(rows: DataFrame, root: str, group: str, order: str) -> None:
 
 def line_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as frames of a per-frame dataset, one episode per supplier."""
-    steps = B.line_steps(spark, sf_dir)
+    steps = B.line_steps(spark, sf_dir, keep=(*B.LINE_VALUES, "l_linenumber"))
     state = F.array(F.col("l_quantity").cast("float"), F.col("l_discount").cast("float"))
     ragged = F.when(F.col("step") % 50 == 49, F.slice(state, 1, 1)).otherwise(state)
     last = F.col("l_tax").cast("float")

@@ -143,3 +143,12 @@ def test_plan_of_requests_sends_no_ids_through_the_driver(spark):
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     got = sorted((r["pos"], r["baseline_episode_id"], r["known"]) for r in found.collect())
     assert got == [(1, "5", True), (4, "9999999", False), (5, "5", True)]
+
+
+def test_only_kept_columns_are_stored_with_a_position(spark):
+    rows = [(k % 5, k * 37 % 101, f"text {k}", k) for k in range(300)]
+    df = spark.createDataFrame(rows, "g INT, o INT, wide STRING, v INT")
+    got = ordering.number_rows(df, ["g"], ["o", "v"], keep=["g", "v"])
+    assert got.columns == ["g", "v", "step"]
+    want = {(g, v, k) for x in range(5) for k, (g, _, _, v) in enumerate(sorted((r for r in rows if r[0] == x), key=lambda r: (r[1], r[3])))}
+    assert set(map(tuple, got.collect())) == want
