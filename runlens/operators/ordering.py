@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.session import materialize
+from runlens.session import materialize, partitions_by_size
 
 # Working columns of a dealt table: group, partition, number of the group in it, place in the group there.
 WORKING = ("_group", "_part", "_run", "_at")
@@ -85,9 +85,15 @@ def deal_in_order(
     run so far. With ``keep`` only these columns are stored; the others decide
     the order and go no further.
     """
-    by = [F.col(c).asc_nulls_first() for c in (*group, *order)] + [F.col("_tie")]
-    keyed = df.withColumns({"_group": F.xxhash64(*group), "_tie": row_hash(df)})
-    dealt = keyed.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+    by = [F.col(c).asc_nulls_first() for c in dict.fromkeys((*group, *order))]
+    # Rows that tie in every column are equal, so a hash, which does not compress, is shuffled only for other columns.
+    if not set(df.columns) <= {*group, *order}:
+        df = df.withColumn("_tie", row_hash(df))
+        by.append(F.col("_tie"))
+    dealt = df.repartitionByRange(*partitions_by_size(df), *by).sortWithinPartitions(*by).drop("_tie")
+    if keep is not None:
+        dealt = dealt.select(*keep, *[c for c in group if c not in keep])
+    dealt = dealt.withColumn("_group", F.xxhash64(*group))
     if keep is not None:
         dealt = dealt.select(*keep, "_group")
     added = {"_part": F.lit(0), "_run": F.lit(0).cast("long"), "_at": F.lit(0).cast("long")}

@@ -183,7 +183,10 @@ def pack_frames(
         ragged = quality.ragged_columns(
             long.where(~F.col("scalar")), ["episode_id", "column"], "value", "step"
         )
-        bad = ragged.where(F.col("reason").isNotNull())
+        # Empty lists are dropped without a note. What is left out is stored, as samples may be read several times; it is
+        # small unless the data are broken, and Spark then broadcasts it by its size instead of shuffling all samples.
+        left_out = materialize(ragged.where(F.col("reason").isNotNull() | (F.col("a.len") == 0)), "ragged")
+        bad = left_out.where(F.col("reason").isNotNull())
         issues = static.unionByName(
             bad.select(
                 F.col("episode_id").cast("string").alias("recording_id"),
@@ -192,10 +195,7 @@ def pack_frames(
                 "reason",
             ).withColumn("slot", slot_of)
         )
-        # Empty lists are dropped without a note.
-        drop = ragged.where(F.col("reason").isNotNull() | (F.col("a.len") == 0)).select(
-            "episode_id", "column", F.lit(True).alias("dropped")
-        )
+        drop = left_out.select("episode_id", "column", F.lit(True).alias("dropped"))
         long = salted_join(long, drop, ["episode_id", "column"], F.col("step"), how="left").where(
             F.col("dropped").isNull()
         )

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runlens.session import partitions_by_size
+
 MANIFEST = "folder STRING, rows BIGINT"
 # Steps of one series that lie in one file.
 STEPS_PER_FILE = 1_000_000
@@ -54,7 +56,7 @@ def commit(
         raise ValueError(f"{name!r} cannot name a commit")
     seq = _manifests(spark, root).where(F.col("commit") == name).agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0] + 1
     folder = f"files/{name}-{seq}-{uuid.uuid4().hex[:12]}"
-    dealt = rows.repartition(*partition_by, *cluster_by) if cluster_by else rows
+    dealt = rows.repartition(*partitions_by_size(rows), *partition_by, *cluster_by) if cluster_by else rows
     if sort_by:
         dealt = dealt.sortWithinPartitions(*partition_by, *sort_by)
     dealt.write.partitionBy(*partition_by).parquet(f"{root}/{folder}")

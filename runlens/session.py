@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Below this many estimated input bytes rows are dealt over all cores before heavy work on each.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
+# Stored input bytes for one partition of a shuffle; sorted rows take some twenty times as much memory.
+PARTITION_BYTES = 8 * 1024 * 1024
+# Spark's estimate for sources of unknown size is far above this.
+UNKNOWN_BYTES = 1 << 60
 
 
 def build_session(master: str | None = None, name: str = "runlens", **conf: str) -> SparkSession:
@@ -53,6 +57,20 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def partitions_by_size(df: DataFrame) -> list[int]:
+    """The number of partitions to shuffle ``df`` into, as a list to put before the columns; empty leaves it to Spark.
+
+    A fixed number makes the share, and so the memory, of a task grow with the
+    input. Larger inputs get a partition for each ``PARTITION_BYTES`` of what
+    they are read from; sources of unknown size, as lists of the driver, do not count.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    needed = sum(s for s in sizes if s < UNKNOWN_BYTES) // PARTITION_BYTES + 1
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [needed] if needed > usual else []
+
+
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Deal a small input over all cores before heavy per-row work.
 
