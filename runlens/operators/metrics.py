@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from runlens.functions.classify import is_metric_key, key_namespace
 from runlens.operators.moments import vector_moments
 from runlens.operators.ordering import salted_join
+from runlens.session import partitions_by_size
 
 # Fixed values of the out-of-distribution rule.
 MIN_BASELINE_ROWS = 5
@@ -40,6 +41,10 @@ def _vectors_by_step(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
         )
 
     both = side(action_keys(baseline), "b").unionByName(side(candidate, "c"))
+    # Large inputs are dealt out by their size first, else a task's share grows until it spills.
+    by_size = partitions_by_size(both)
+    if by_size:
+        both = both.repartition(*by_size, "episode_id", "step")
 
     def gather(name: str) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("side") == name, F.col("kv"))), asc=False)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runlens import session
-from runlens.operators import ordering, pack, sink
+from runlens.operators import metrics, ordering, pack, sink
 
 
 @pytest.fixture
@@ -58,3 +58,13 @@ def test_no_hash_is_shuffled_where_all_columns_decide(spark, monkeypatch):
     rows = spark.createDataFrame([(1, 5, "a"), (1, 5, "a"), (1, 4, "b"), (2, 9, "c")], "g BIGINT, o BIGINT, s STRING")
     got = ordering.number_rows(rows, ["g"], ["o", "s"]).collect()
     assert sorted((r["g"], r["o"], r["s"], r["step"]) for r in got) == [(1, 4, "b", 0), (1, 5, "a", 1), (1, 5, "a", 2), (2, 9, "c", 0)]
+
+
+def test_distances_of_large_inputs_are_dealt_by_size(spark, tiny_partitions, tmp_path):
+    made = "id % 3 AS episode_id, '/cmd_vel/linear' AS key, id DIV 3 AS step, array(cast(id AS double)) AS value"
+    spark.range(90).selectExpr(*made.split(", ")).write.parquet(str(tmp_path / "s"))
+    base = spark.read.parquet(str(tmp_path / "s"))
+    cand = base.withColumn("value", F.transform("value", lambda x: x + 2.0))
+    out = metrics.action_l2(base, cand)
+    assert "REPARTITION_BY_NUM" in plan_of(out)
+    assert {r["episode_id"]: r["action_l2"] for r in out.collect()} == {0: 2.0, 1: 2.0, 2: 2.0}
