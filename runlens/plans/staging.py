@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.plans import bindings as B
-from runlens.session import shared_dir
+from runlens.session import partitions_by_size, shared_dir
 
 _WRITTEN = "path STRING, rows BIGINT"
 
@@ -55,7 +55,7 @@ def frames_by_file(frames: DataFrame, root: str) -> None:
         if done:
             yield pd.DataFrame({"path": done, "rows": [0] * len(done)})
 
-    sorted_frames = frames.repartition("episode_index").sortWithinPartitions("episode_index", "frame_index")
+    sorted_frames = frames.repartition(*partitions_by_size(frames), "episode_index").sortWithinPartitions("episode_index", "frame_index")
     # Pandas functions cannot take column names with dots.
     sorted_frames = sorted_frames.toDF(*[f"c{i}" for i in range(len(names))])
     sorted_frames.mapInPandas(write, _WRITTEN).write.format("noop").mode("overwrite").save()

@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 from runlens.functions.classify import FRAME_BOOKKEEPING, format_support, require_format
 from runlens.functions.scalars import stripped
 from runlens.operators.ordering import number_rows, row_hash, salted_join
+from runlens.session import materialize
 
 FRAME_NAME = r"chunk-(\d+)/episode_(\d+)\.parquet"
+FRAME_FILES = "episode_*.parquet"
 DEFAULT_CHUNK = 1000
 CAMERA_PREFIX = "observation.images."
 
@@ -28,14 +30,17 @@ def scan_frames_v2(spark: SparkSession, root: str, schema: T.StructType | None =
     """Frames of one file per episode, with ``episode_index`` from the path.
 
     When an episode lies in both chunkings, the directory for chunks of 1000
-    wins. Files that lose are found from the paths of the scan in a Spark
-    aggregate, and their frames are left out by an anti join on the path.
+    wins. Files that lose are found from the listed paths in a Spark aggregate
+    that opens no file, and their frames are left out by an anti join on the
+    path. The few paths are stored, so Spark knows that they are few.
     """
+    # Folders are listed as a whole; a pattern for files would make every file a listing of its own.
+    folders = f"{root}/data/chunk-*"
     reader = spark.read if schema is None else spark.read.schema(schema)
-    glob = f"{root}/data/chunk-*/episode_*.parquet"
-    frames = reader.parquet(glob)
+    frames = reader.option("pathGlobFilter", FRAME_FILES).parquet(folders)
     path = F.col("_metadata.file_path")
-    lost = superseded_files(reader.parquet(glob).select(path.alias("_path")).distinct())
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", FRAME_FILES).load(folders)
+    lost = materialize(superseded_files(listed.select(path.alias("_path"))), "superseded")
     kept = frames.withColumn("_path", path).join(lost, "_path", "left_anti")
     return kept.select(
         *[F.col(f"`{c}`") for c in frames.columns if c != "episode_index"],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runlens import session
 from runlens.operators import metrics, ordering, pack, sink
+from runlens.sources import frames
 
 
 @pytest.fixture
@@ -68,3 +69,17 @@ def test_distances_of_large_inputs_are_dealt_by_size(spark, tiny_partitions, tmp
     out = metrics.action_l2(base, cand)
     assert "REPARTITION_BY_NUM" in plan_of(out)
     assert {r["episode_id"]: r["action_l2"] for r in out.collect()} == {0: 2.0, 1: 2.0, 2: 2.0}
+
+
+def test_frame_files_are_listed_by_folder(spark, frames_table, tmp_path):
+    parts = {(0, 1): 0, (0, 2): 1, (1, 2): 2, (0, 3): 3}
+    for (chunk, episode), k in parts.items():
+        rows = frames_table.where(F.col("episode_index") == k).toPandas()
+        path = tmp_path / "data" / f"chunk-{chunk:03d}" / f"episode_{episode:06d}.parquet"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        rows.to_parquet(path)
+    (tmp_path / "data" / "chunk-000" / "notes.txt").write_text("no frames")
+    got = frames.scan_frames_v2(spark, str(tmp_path))
+    assert "InMemoryFileIndex(2 paths)" in plan_of(got)
+    # Episode 2 lies in two chunks; the one of its thousand stays.
+    assert {r["episode_index"]: r["count"] for r in got.groupBy("episode_index").count().collect()} == {1: 100, 2: 100, 3: 100}
