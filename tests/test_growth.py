@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runlens import session
 from runlens.operators import metrics, ordering, pack, sink
+from runlens.plans import datasets
 from runlens.sources import frames
 
 
@@ -83,3 +84,10 @@ def test_frame_files_are_listed_by_folder(spark, frames_table, tmp_path):
     assert "InMemoryFileIndex(2 paths)" in plan_of(got)
     # Episode 2 lies in two chunks; the one of its thousand stays.
     assert {r["episode_index"]: r["count"] for r in got.groupBy("episode_index").count().collect()} == {1: 100, 2: 100, 3: 100}
+
+
+def test_demo_steps_store_what_is_read(spark):
+    steps = datasets._demo_steps(spark, "/root/testdata/sf0.001")
+    stored = {f.name for f in spark.read.parquet(*steps.inputFiles()).schema.fields}
+    assert not stored & {"path", "demo", "l_orderkey", "l_shipdate", "l_returnflag"}
+    assert {r["demo"] is None for r in steps.where("single").select("demo").distinct().collect()} == {True}
