@@ -74,16 +74,32 @@ def _walker(value: str | None, running: Sequence[str]):
     return walk
 
 
+def _ending(batches):
+    """Adds to walked batches whether a row is the last of its group; NULL in a partition's last row, which cannot tell.
+
+    A batch is held back until the next one has come.
+    """
+    held, ends, last = None, None, None
+    for batch in batches:
+        group = batch.column(batch.schema.get_field_index("_group")).to_numpy()
+        if held is not None:
+            yield held.append_column("_ends", pa.array([*ends, group[0] != last], pa.bool_()))
+        held, ends, last = batch, group[1:] != group[:-1], group[-1]
+    if held is not None:
+        yield held.append_column("_ends", pa.array([*ends, None], pa.bool_()))
+
+
 def deal_in_order(
     df: DataFrame, group: Sequence[str], order: Sequence[str], value: str | None = None, running: Sequence[str] = (),
-    keep: Sequence[str] | None = None,
+    keep: Sequence[str] | None = None, ends: bool = False,
 ) -> DataFrame:
     """``df`` stored in order over partitions of even size, with the ``WORKING`` columns.
 
     ``value`` names a column whose value one row earlier in the run becomes
     ``_before``; long columns of ``running`` become their exclusive or over the
     run so far. With ``keep`` only these columns are stored; the others decide
-    the order and go no further.
+    the order and go no further. ``ends`` adds ``_ends``: whether the group ends
+    with the row, NULL in the last row of a partition.
     """
     by = [F.col(c).asc_nulls_first() for c in dict.fromkeys((*group, *order))]
     # Rows that tie in every column are equal, so a hash, which does not compress, is shuffled only for other columns.
@@ -99,11 +115,15 @@ def deal_in_order(
     added = {"_part": F.lit(0), "_run": F.lit(0).cast("long"), "_at": F.lit(0).cast("long")}
     if value is not None:
         added["_before"] = F.when(F.lit(False), F.col(value))
-    return materialize(dealt.mapInArrow(_walker(value, tuple(running)), dealt.withColumns(added).schema), "ordered")
+    if ends:
+        added["_ends"] = F.lit(None).cast("boolean")
+    walk = _walker(value, tuple(running))
+    steps = (lambda batches: _ending(walk(batches))) if ends else walk
+    return materialize(dealt.mapInArrow(steps, dealt.withColumns(added).schema), "ordered")
 
 
 def carried(dealt: DataFrame, tail: dict[str, Column], start: dict, step: Callable[[dict, dict], dict]) -> DataFrame:
-    """One row for each partition whose first group began before it: ``_part`` and what is carried in.
+    """One row for each partition: ``_part``, what is carried into its first group, and ``_out`` if its last one goes on.
 
     ``tail`` are aggregates over the rows of a partition's last group. ``step``
     adds a partition's own tail to what came before it in the same group. The
@@ -117,12 +137,14 @@ def carried(dealt: DataFrame, tail: dict[str, Column], start: dict, step: Callab
     for p in sorted(parts, key=lambda r: r["_part"]):
         goes_on = p["_first"] == before
         if goes_on:
-            rows.append((p["_part"], *held.values()))
+            rows[-1][1] = True
+        rows.append([p["_part"], False, *(held if goes_on else start).values()])
         own = {k: p[k] for k in tail}
         held = step(held if goes_on and p["_last"] == 0 else dict(start), own)
         before = p["_group"]
     kinds = tails.select(*tail).schema
-    schema = T.StructType([T.StructField("_part", T.IntegerType())] + [T.StructField(f"_in_{f.name}", f.dataType) for f in kinds.fields])
+    known = [T.StructField("_part", T.IntegerType()), T.StructField("_out", T.BooleanType())]
+    schema = T.StructType(known + [T.StructField(f"_in_{f.name}", f.dataType) for f in kinds.fields])
     return dealt.sparkSession.createDataFrame(rows, schema)
 
 
@@ -131,13 +153,21 @@ def _given(dealt: DataFrame, into: DataFrame) -> DataFrame:
     return dealt.join(F.broadcast(into), "_part", "left")
 
 
-def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "step", keep: Sequence[str] | None = None) -> DataFrame:
-    """Add the 0-based position of each row of its group as ``out``; with ``keep`` to these columns alone."""
-    dealt = deal_in_order(df, group, order, keep=keep)
+def number_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "step", keep: Sequence[str] | None = None,
+    last: str | None = None,
+) -> DataFrame:
+    """Add the 0-based position of each row of its group as ``out``; with ``keep`` to these columns alone.
+
+    ``last`` names a further column: whether the row is the last one of its group.
+    """
+    dealt = deal_in_order(df, group, order, keep=keep, ends=last is not None)
     into = carried(dealt, {"n": F.count(F.lit(1))}, {"n": 0}, lambda a, b: {"n": a["n"] + b["n"]})
     offset = F.when(F.col("_run") == 0, F.coalesce("_in_n", F.lit(0))).otherwise(0)
     numbered = _given(dealt, into).withColumn("_position", F.col("_at") + offset)
-    return numbered.drop(*WORKING, "_in_n").drop(out).withColumnRenamed("_position", out)
+    if last is not None:
+        numbered = numbered.withColumn(last, F.coalesce("_ends", ~F.col("_out")))
+    return numbered.drop(*WORKING, "_ends", "_out", "_in_n").drop(out).withColumnRenamed("_position", out)
 
 
 def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
@@ -146,7 +176,7 @@ def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[str], va
     into = carried(dealt, {"v": F.max_by(value, "_at")}, {"v": None}, lambda _, b: b)
     came = F.when((F.col("_run") == 0) & (F.col("_at") == 0), F.col("_in_v")).otherwise(F.col("_before"))
     found = _given(dealt, into).withColumn("_came", came)
-    return found.drop(*WORKING, "_before", "_in_v").drop(out).withColumnRenamed("_came", out)
+    return found.drop(*WORKING, "_before", "_out", "_in_v").drop(out).withColumnRenamed("_came", out)
 
 
 def running_xor(df: DataFrame, group: Sequence[str], order: Sequence[str], columns: dict[str, str]) -> DataFrame:
@@ -162,7 +192,7 @@ def running_xor(df: DataFrame, group: Sequence[str], order: Sequence[str], colum
     for (c, _), out in zip(held.items(), columns.values()):
         before = F.when(F.col("_run") == 0, F.coalesce(f"_in_{c}", F.lit(0))).otherwise(0)
         found = found.withColumn(out, F.col(c).bitwiseXOR(before))
-    return found.drop(*WORKING, *held, *[f"_in_{c}" for c in held])
+    return found.drop(*WORKING, "_out", *held, *[f"_in_{c}" for c in held])
 
 
 def grouped_median(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.functions.classify import classify_dataset
 from runlens.operators.ordering import salted_join
@@ -16,10 +17,17 @@ def frame_outcomes(
 ) -> DataFrame:
     """Last frame's value of each column, and the summed reward.
 
-    One combinable aggregate: ``(episode, outcome STRUCT, reward_sum)``.
+    One combinable aggregate: ``(episode, outcome STRUCT, reward_sum)``. Numbers
+    and flags are kept one by one, by the same comparisons: a struct, as a text,
+    would make Spark sort all frames by episode instead of hashing them.
     """
     quoted = [F.col(f"`{c}`").alias(c) for c in columns]
-    aggs = [F.max_by(F.struct(*quoted), index).alias("outcome")]
+    kinds = [frames.schema[c].dataType for c in columns]
+    if all(isinstance(k, (T.NumericType, T.BooleanType)) for k in kinds):
+        last = F.when(F.max(index).isNotNull(), F.struct(*[F.max_by(q, index).alias(c) for c, q in zip(columns, quoted)]))
+    else:
+        last = F.max_by(F.struct(*quoted), index)
+    aggs = [last.alias("outcome")]
     if "next.reward" in columns:
         aggs.append(F.sum(F.col("`next.reward`").cast("double")).alias("reward_sum"))
     return frames.groupBy(episode).agg(*aggs)

@@ -176,16 +176,21 @@ LINE_ORDER = (
 LINE_VALUES = ("l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice")
 
 
-def line_steps(spark: SparkSession, sf_dir: str, episode: str = "l_suppkey", keep: Sequence[str] | None = None) -> DataFrame:
-    """Line items with ``episode_id`` and a 0-based ``step``; ``keep`` names the columns that are needed besides."""
+def line_steps(
+    spark: SparkSession, sf_dir: str, episode: str = "l_suppkey", keep: Sequence[str] | None = None, last: str | None = None
+) -> DataFrame:
+    """Line items with ``episode_id`` and a 0-based ``step``; ``keep`` names the columns that are needed besides.
+
+    ``last`` names a column that marks the last step of each episode.
+    """
     lines = table(spark, sf_dir, "lineitem")
     lead = "l_orderkey" if episode != "l_orderkey" else "l_partkey"
     # The episode's own column is the same in all its rows, so it decides no order and is not shuffled twice.
     order = [lead, *[c for c in LINE_ORDER if c not in (lead, episode)]]
     if keep is None or episode in keep:
-        numbered = number_rows(lines, [episode], order, keep=keep)
+        numbered = number_rows(lines, [episode], order, keep=keep, last=last)
         return numbered.withColumn("episode_id", F.col(episode))
-    return number_rows(lines, [episode], order, keep=[episode, *keep]).withColumnRenamed(episode, "episode_id")
+    return number_rows(lines, [episode], order, keep=[episode, *keep], last=last).withColumnRenamed(episode, "episode_id")
 
 
 def line_sql(episode: str = "l_suppkey") -> str:

@@ -133,13 +133,13 @@ def outcome_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM steps GROUP BY episode_id""",
 )
 def outcome_lerobot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = B.line_steps(spark, sf_dir, keep=["l_extendedprice"])
-    last = steps.groupBy("episode_id").agg(F.max("step").alias("last"))
-    frames = salted_join(steps, last, ["episode_id"], F.col("step")).select(
+    # Ends are marked while steps are numbered: no join sorts all steps once more.
+    steps = B.line_steps(spark, sf_dir, keep=["l_extendedprice"], last="done")
+    frames = steps.select(
         "episode_id",
         F.col("step").alias("frame_index"),
         F.col("l_extendedprice").alias("next.reward"),
-        (F.col("step") == F.col("last")).alias("next.done"),
+        F.col("done").alias("next.done"),
     )
     out = frame_outcomes(frames, ["next.reward", "next.done"], "episode_id", "frame_index")
     return out.select(

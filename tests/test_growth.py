@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runlens import session
-from runlens.operators import metrics, ordering, pack, sink
+from runlens.operators import metrics, ordering, outcomes, pack, sink
 from runlens.plans import datasets
 from runlens.sources import frames
 
@@ -91,3 +91,23 @@ def test_demo_steps_store_what_is_read(spark):
     stored = {f.name for f in spark.read.parquet(*steps.inputFiles()).schema.fields}
     assert not stored & {"path", "demo", "l_orderkey", "l_shipdate", "l_returnflag"}
     assert {r["demo"] is None for r in steps.where("single").select("demo").distinct().collect()} == {True}
+
+
+@pytest.mark.parametrize("parts", [1, 7, 60])
+def test_last_rows_are_marked_across_partitions(spark, monkeypatch, parts):
+    monkeypatch.setattr(ordering, "partitions_by_size", lambda df: [parts])
+    rows = spark.range(500).selectExpr("IF(id < 300, 0, id % 40) AS g", "id AS o")
+    got = ordering.number_rows(rows, ["g"], ["o"], last="done").collect()
+    ends = {}
+    for r in got:
+        ends[r["g"]] = max(ends.get(r["g"], -1), r["o"])
+    assert all(r["done"] == (ends[r["g"]] == r["o"]) for r in got) and len(got) == 500
+
+
+def test_outcomes_of_numbers_sort_nothing(spark):
+    rows = [(1, 0, 5.0, False), (1, 1, 7.0, True), (2, 0, None, True)]
+    made = spark.createDataFrame(rows, "e BIGINT, i BIGINT, `next.reward` DOUBLE, `next.done` BOOLEAN")
+    out = outcomes.frame_outcomes(made, ["next.reward", "next.done"], "e", "i")
+    assert "Sort" not in plan_of(out)
+    got = {r["e"]: (r["outcome"]["next.reward"], r["outcome"]["next.done"], r["reward_sum"]) for r in out.collect()}
+    assert got == {1: (7.0, True, 12.0), 2: (None, True, None)}
