@@ -133,9 +133,9 @@ def scan_episodes_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = staging.fresh(spark, "episodes-jsonl")
     staging.text_files(rows, root, "g", "at")
-    got = frames.scan_episodes_jsonl(spark, f"{root}/g=*")
+    got = frames.scan_episodes_jsonl(spark, f"{root}/*")
     return got.select(
-        F.regexp_extract("path", r"/g=(\d+)/", 1).cast("bigint").alias("g"), "pos", "episode_index", "length"
+        F.regexp_extract("path", r"/g=(\d+)\.", 1).cast("bigint").alias("g"), "pos", "episode_index", "length"
     )
 
 
@@ -199,7 +199,7 @@ def scan_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = staging.fresh(spark, "tasks")
     staging.text_files(rows.select("g", (k * 10 + F.col("p")).alias("at"), "line"), root, "g", "at")
-    return frames.tasks_from_lines(spark, f"{root}/g=*")
+    return frames.tasks_from_lines(spark, f"{root}/*")
 
 
 @query(

@@ -181,7 +181,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         F.monotonically_increasing_id().alias("id"),
         stripped(F.col("value")).alias("line"),
     )
-    return number_rows(lines.where(F.col("line") != ""), ["path"], ["block", "id"], out="pos").drop("block", "id")
+    return number_rows(lines.where(F.col("line") != ""), ["path"], ["block", "id"], out="pos", keep=["path", "line"])
 
 
 def broken_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from runlens import session
 from runlens.operators import metrics, ordering, outcomes, pack, sink
-from runlens.plans import datasets
+from runlens.plans import datasets, staging
 from runlens.sources import frames
 
 
@@ -111,3 +111,12 @@ def test_outcomes_of_numbers_sort_nothing(spark):
     assert "Sort" not in plan_of(out)
     got = {r["e"]: (r["outcome"]["next.reward"], r["outcome"]["next.done"], r["reward_sum"]) for r in out.collect()}
     assert got == {1: (7.0, True, 12.0), 2: (None, True, None)}
+
+
+def test_text_files_share_folders(spark, tmp_path):
+    rows = spark.range(60).selectExpr("id % 3 + 999 AS g", "-id AS at", "concat('é ', id) AS line")
+    staging.text_files(rows, str(tmp_path / "t"), "g", "at")
+    found = sorted(str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t").rglob("*.txt"))
+    assert found == ["part-000/g=999.txt", "part-001/g=1000.txt", "part-001/g=1001.txt"]
+    text = (tmp_path / "t" / "part-001" / "g=1000.txt").read_text()
+    assert text == "".join(f"é {i}\n" for i in range(58, 0, -3))
