@@ -74,6 +74,18 @@ def ragged_columns(df: DataFrame, group: Sequence[str], value: str, pos: str) ->
     return out.withColumn("reason", text)
 
 
+def field_counts(rows: DataFrame) -> DataFrame:
+    """``(recording_id, topic, field, n, lo, hi)``: messages with the field, least and greatest shape as a number.
+
+    Shapes are numbers here, as a minimum of texts makes Spark sort all fields.
+    """
+    shape = F.when(F.col("f.scalar"), F.lit(-1)).otherwise(F.coalesce(F.array_size("f.value"), F.lit(-2)))
+    long = rows.select("recording_id", "topic", F.explode("fields").alias("f"))
+    return long.groupBy("recording_id", "topic", F.col("f.field").alias("field")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(shape).alias("lo"), F.max(shape).alias("hi")
+    )
+
+
 def field_summary(rows: DataFrame) -> DataFrame:
     """``(recording_id, topic, field, steady)``: in every usable row with one shape.
 

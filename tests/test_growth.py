@@ -120,3 +120,23 @@ def test_text_files_share_folders(spark, tmp_path):
     assert found == ["part-000/g=999.txt", "part-001/g=1000.txt", "part-001/g=1001.txt"]
     text = (tmp_path / "t" / "part-001" / "g=1000.txt").read_text()
     assert text == "".join(f"é {i}\n" for i in range(58, 0, -3))
+
+
+def test_messages_meet_the_verdict_of_their_topic_once(spark):
+    entry = "array<struct<field:string,value:array<float>,scalar:boolean>>"
+    rows = [
+        ("r", "/a", "T", 20, 2, [("x", [1.0], True), ("y", [1.0, 2.0], False)], None),
+        ("r", "/a", "T", 10, 1, [("x", [3.0], True), ("y", [1.0], False)], None),
+        ("r", "/a", "T", 15, 3, [], None),
+        ("r", "/b", "T", 10, 4, [("x", [1.0], True)], None),
+        ("r", "/b", "T", 11, 5, [], "x missing"),
+        # A scalar and a vector of one number have different shapes.
+        ("r", "/c", "T", 10, 6, [("x", [1.0], True), ("z", [4.0], True)], None),
+        ("r", "/c", "T", 11, 7, [("x", [1.0], False), ("z", [5.0], True)], None),
+    ]
+    kind = f"recording_id STRING, topic STRING, msgtype STRING, t_ns BIGINT, seq BIGINT, fields {entry}, failed STRING"
+    flat = spark.createDataFrame(rows, kind).withColumn("pos", F.struct("t_ns", "seq"))
+    out = pack.pack_messages(flat)
+    assert "SortAggregate" not in plan_of(out)
+    got = sorted((r["key"], r["step"], r["t_ns"], r["value"]) for r in out.collect())
+    assert got == [("/a/x", 0, 10, [3.0]), ("/a/x", 1, 20, [1.0]), ("/c/z", 0, 10, [4.0]), ("/c/z", 1, 11, [5.0])]
